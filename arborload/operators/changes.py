@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 
 from arborload.operators import links as L
 from arborload.operators.columns import align
+from arborload.operators.quality import distinct_rows
 from arborload.tree import ROOT_KEY, Tree
 
 
@@ -22,7 +23,7 @@ def delete_by_key(target: DataFrame, keys: DataFrame, key: str) -> DataFrame:
 
 def upsert_by_key(target: DataFrame, stage: DataFrame, keys: DataFrame, key: str) -> DataFrame:
     """Delete the rows in the key set, then add the distinct rows of the stage."""
-    fresh = align(stage, target.schema).distinct()
+    fresh = distinct_rows(align(stage, target.schema))
     return delete_by_key(target, keys, key).unionByName(fresh)
 
 
@@ -74,6 +75,6 @@ def upsert_tree(
     for table, rows in kept.items():
         fresh = stage.get(table)
         if fresh is not None:
-            rows = rows.unionByName(align(fresh, rows.schema).distinct())
+            rows = rows.unionByName(distinct_rows(align(fresh, rows.schema)))
         out[table] = rows
     return out

@@ -6,11 +6,12 @@ from collections.abc import Collection, Sequence
 from functools import reduce
 from operator import and_
 
-from pyspark.sql import DataFrame, Observation, Window
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 COPIES = "dup_count"
+_ROW = "__row"
 
 
 def _reject_maps(frame: DataFrame) -> None:
@@ -19,6 +20,23 @@ def _reject_maps(frame: DataFrame) -> None:
         raise ValueError(f"map columns cannot be compared, use to_json: {', '.join(maps)}")
 
 
+def _whole(columns: Sequence[str]) -> Column:
+    """The given columns as one grouping value.
+
+    Grouping by several columns lets Spark reuse a partitioning by just one of them,
+    for instance that of a join below, and a hot value of that column would then
+    stay in one task.  Grouping by the whole row always spreads the rows anew,
+    after counting copies within each task.
+    """
+    return F.struct(*[F.col(f"`{c}`") for c in columns]).alias(_ROW)
+
+
+def distinct_rows(frame: DataFrame) -> DataFrame:
+    """One copy of every row."""
+    _reject_maps(frame)
+    return frame.select(_whole(frame.columns)).distinct().select(f"{_ROW}.*")
+
+
 def duplicate_groups(frame: DataFrame) -> DataFrame:
     """Each row that occurs more than once, with the number of its copies.
 
@@ -26,8 +44,8 @@ def duplicate_groups(frame: DataFrame) -> DataFrame:
     one partial count per task.
     """
     _reject_maps(frame)
-    counted = frame.groupBy(*frame.columns).agg(F.count(F.lit(1)).alias(COPIES))
-    return counted.where(F.col(COPIES) > 1)
+    counted = frame.groupBy(_whole(frame.columns)).agg(F.count(F.lit(1)).alias(COPIES))
+    return counted.where(F.col(COPIES) > 1).select(f"{_ROW}.*", COPIES)
 
 
 def duplicate_rows(frame: DataFrame) -> DataFrame:
@@ -55,11 +73,11 @@ def dedupe(
     _reject_maps(frame)
     skip = {v.lower() for v in volatile}
     business = [c for c in frame.columns if c.lower() not in skip]
-    keeping = [F.min(F.col(f"`{c}`")).alias(c) for c in frame.columns if c.lower() in skip]
+    keeping = [c for c in frame.columns if c.lower() in skip]
     if observe is None and not keeping:
-        return frame.dropDuplicates()
-    grouped = frame.groupBy(*[F.col(f"`{c}`") for c in business])
-    unique = grouped.agg(F.count(F.lit(1)).alias(COPIES), *keeping)
+        return distinct_rows(frame)
+    smallest = [F.min(F.col(f"`{c}`")).alias(c) for c in keeping]
+    unique = frame.groupBy(_whole(business)).agg(F.count(F.lit(1)).alias(COPIES), *smallest)
     if observe is not None:
         unique = unique.observe(
             observe,
@@ -67,7 +85,8 @@ def dedupe(
             F.count(F.lit(1)).alias("rows_kept"),
             F.count(F.when(F.col(COPIES) > 1, 1)).alias("rows_repeated"),
         )
-    return unique.select(*[F.col(f"`{c}`") for c in frame.columns])
+    shown = [F.col(f"`{c}`") if c in keeping else F.col(_ROW).getField(c).alias(c) for c in frame.columns]
+    return unique.select(*shown)
 
 
 def latest_per_key(frame: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable
+from collections.abc import Callable, Iterable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 from datetime import datetime
@@ -21,6 +21,7 @@ from arborload.operators.project import project, project_tree
 from arborload.plans.config import Feed, Mode
 from arborload.sinks.reports import report_path, write_rows, write_summary
 from arborload.sinks.tables import BUCKET, Tables
+from arborload.sources.csv import CsvTransform, csv_to_parquet
 from arborload.sources.landing import Granularity, delete_keys, scan
 from arborload.sources.scratch import BROADCAST_ROWS, materialise, sized
 from arborload.tree import ROOT_KEY, Tree
@@ -166,7 +167,7 @@ def apply_upserts(
     as_of: datetime | None = None,
 ) -> None:
     """Replace the subtrees of all staged roots, then drop the stage tables."""
-    stage = {t: tables.read(f"stage_{name(t)}").drop(BUCKET) for t in tree.tables}
+    stage = {t: tables.read(f"stage_{name(t)}") for t in tree.tables}
     gone = stage[tree.root.table].select(ROOT_KEY).distinct()
     report = None
     if reports_to:
@@ -205,7 +206,8 @@ def _apply(tables: Tables, tree: Tree, name, gone: DataFrame, stage, counts, rep
     table changes; children are published before parents for deletes, and roots
     last for upserts.
     """
-    bucketed = gone.withColumn(BUCKET, K.bucket(F.col(ROOT_KEY), tables.buckets))
+    buckets = tables.bucket_count(*[name(t) for t in tree.tables])
+    bucketed = gone.withColumn(BUCKET, K.bucket(F.col(ROOT_KEY), buckets))
     saved, rows = materialise(bucketed, "root-keys")
     touched = sorted(r[0] for r in saved.select(BUCKET).distinct().collect())
     keys = sized(saved.select(ROOT_KEY), rows)
@@ -220,7 +222,7 @@ def _apply(tables: Tables, tree: Tree, name, gone: DataFrame, stage, counts, rep
         kept = old[table].join(keys, ROOT_KEY, "left_anti")
         fresh = None
         if stage is not None:
-            fresh = align(stage[table], schema).distinct()
+            fresh = quality.distinct_rows(align(stage[table], schema))
         return table, tables.write_buckets(name(table), kept, fresh, scattered)
 
     written = dict(_each(tree.leaf_first(), rewrite))
@@ -245,3 +247,24 @@ def _each(names: Iterable[str], work: Callable) -> list:
     """Run the independent writes of one batch side by side."""
     with ThreadPoolExecutor(PARALLEL_WRITES) as pool:
         return list(pool.map(work, names))
+
+
+def load_csv(
+    spark: SparkSession,
+    source: str,
+    landing: str,
+    feed: str,
+    table: str,
+    tables: Tables,
+    run_id: str,
+    transforms: Mapping[str, CsvTransform] | None = None,
+    columns: Sequence[str] | None = None,
+) -> Outcome:
+    """Convert a CSV feed to Parquet at ``landing`` and append its rows to a table.
+
+    CSV feeds are not projected: their transform already gives the table's columns.
+    """
+    outcome = Outcome(Metrics(run_id), [table])
+    rows = csv_to_parquet(spark, source, landing, feed, run_id, transforms, columns)
+    tables.append(outcome.metrics.rows(rows, table), table)
+    return outcome

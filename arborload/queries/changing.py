@@ -172,11 +172,12 @@ def keys_deep(spark: SparkSession, sf: str) -> DataFrame:
 
 @query(
     "unmatched_keys",
-    f"""WITH {KEYS_SQL} SELECT pncid AS c_custkey FROM k
+    f"""WITH {KEYS_SQL} SELECT CAST(pncid AS VARCHAR) AS c_custkey FROM k
     WHERE NOT EXISTS (SELECT 1 FROM customer WHERE c_custkey = pncid)""",
 )
 def unmatched_keys(spark: SparkSession, sf: str) -> DataFrame:
-    return links.unmatched_keys(_delete_keys(spark, sf), X.table(spark, sf, "customer"), "c_custkey")
+    keys = links.unmatched_keys(_delete_keys(spark, sf), X.table(spark, sf, "customer"), "c_custkey")
+    return keys.select(F.col("c_custkey").cast("string"))
 
 
 # -- single tables -----------------------------------------------------------

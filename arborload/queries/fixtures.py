@@ -6,6 +6,7 @@ one document.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -16,6 +17,7 @@ from arborload.functions import keys as K
 from arborload.functions.keys import digest
 from arborload.plans import nominal
 from arborload.sources.landing import PARTITIONS
+from arborload.sources.scratch import scratch_dir
 from arborload.tree import ROOT_KEY, Tree, id_column, link_column
 
 RUN_ID = "run-1"
@@ -135,13 +137,13 @@ NOMINAL_CUTS = {
     "custody": ", ",
     "bailconditions": ": ",
     "breachofbail": "; ",
-    "disposal": " ",
-    "subsequentappearance": "e",
-    "cooffender": ", ",
-    "mokeywordlocation": " ",
-    "mokeywordvictim": ", ",
-    "periodininstitution": " ",
-    "releasedetails": "e",
+    "disposal": " de ",
+    "subsequentappearance": " the ",
+    "cooffender": " la ",
+    "mokeywordlocation": ", ",
+    "mokeywordvictim": " and ",
+    "periodininstitution": " of ",
+    "releasedetails": " ",
 }
 
 
@@ -356,22 +358,49 @@ def delete_feed(spark: SparkSession, sf: str) -> DataFrame:
 # -- landing areas -----------------------------------------------------------
 
 
-def land(frame: DataFrame, at: Column, path: str) -> None:
-    """Write rows into year=/month=/day=/hour=/minute= directories, minutes in steps of 20.
+_LANDED: dict[tuple[str, str], str] = {}
 
-    Rows are ranged by time, so a task fills few directories and a busy directory
-    is shared by several tasks.
+
+def landed_at(ts: Column) -> Column:
+    """Landing time of an event: its minutes since January, ten to one, from 30 January on.
+
+    A month of events thus lands in three days that cross the end of a month.
+    """
+    days = F.datediff(ts.cast("date"), F.lit("2024-01-01").cast("date"))
+    minutes = days * 1440 + F.hour(ts) * 60 + F.minute(ts)
+    start = F.lit("2024-01-30").cast("timestamp_ntz")
+    return F.timestamp_add("MINUTE", F.floor(minutes / 10).cast("int"), start)
+
+
+def landed_events(spark: SparkSession, sf: str) -> tuple[str, T.StructType]:
+    """The events as a landing area, written once per application."""
+    events = table(spark, sf, "events")
+    area = (spark.sparkContext.applicationId, sf)
+    if area not in _LANDED:
+        path = scratch_dir(spark, "events")
+        land(events, landed_at(F.col("ts")), path, spread_by=["event_id"])
+        _LANDED[area] = path
+    return _LANDED[area], events.schema
+
+
+def land(frame: DataFrame, at: Column, path: str, spread_by: Sequence[str] = ()) -> None:
+    """Write rows into year=/month=/day=/hour=/minute= directories.
+
+    Every third hour has a directory, with minutes in steps of 20.  With
+    ``spread_by`` rows are ranged by time and those columns, so that a task fills
+    few directories and a busy directory is shared by several tasks; without it
+    the tasks write what they hold.
     """
     values = [
         F.year(at),
         F.month(at),
         F.dayofmonth(at),
-        F.hour(at),
-        (F.floor(F.minute(at) / 20) * 20).cast("int"),
+        F.floor(F.hour(at) / 3) * 3 + 2,
+        F.floor(F.minute(at) / 20) * 20,
     ]
-    stamped = frame.select(
-        "*", *[F.lpad(v.cast("string"), 2, "0").alias(p) for p, v in zip(PARTITIONS, values, strict=True)]
-    )
-    stamped = stamped.withColumn("year", F.year(at).cast("string"))
-    order = [*PARTITIONS, *[c for c in frame.columns if c in ("event_id",)]]
-    stamped.repartitionByRange(*order).write.partitionBy(*PARTITIONS).parquet(path)
+    padded = [F.lpad(v.cast("string"), 2, "0") for v in values[1:]]
+    stamps = [v.alias(p) for p, v in zip(PARTITIONS, [values[0], *padded], strict=True)]
+    rows = frame.select("*", *stamps)
+    if spread_by:
+        rows = rows.repartitionByRange(*PARTITIONS, *spread_by)
+    rows.write.partitionBy(*PARTITIONS).parquet(path)

@@ -197,7 +197,7 @@ def flatten_nominal(spark: SparkSession, sf: str) -> DataFrame:
     "backfill_columns",
     """
     SELECT o_orderkey, o_custkey, o_orderstatus, CAST(NULL AS VARCHAR) AS o_comment,
-           CAST(NULL AS BIGINT) AS o_shippriority FROM orders""",
+           CAST(NULL AS VARCHAR) AS o_shippriority FROM orders""",
 )
 def backfill_columns(spark: SparkSession, sf: str) -> DataFrame:
     """Prefixed columns are stripped; absent ones are added, but not one that differs in case."""
@@ -211,7 +211,7 @@ def backfill_columns(spark: SparkSession, sf: str) -> DataFrame:
             T.StructField("o_orderkey", T.LongType()),
             T.StructField("O_CUSTKEY", T.LongType()),
             T.StructField("o_comment", T.StringType()),
-            T.StructField("o_shippriority", T.LongType()),
+            T.StructField("o_shippriority", T.StringType()),
         ]
     )
     return columns.backfill(columns.strip_prefixes(orders), declared)
@@ -264,7 +264,7 @@ def _projections() -> Projections:
     SELECT to_base64(recordHash) AS cdlz_header_record_hash_b64, dataFeedId AS cdlz_header_data_feed_id,
            nullif(sourceZipArchive, '') AS cdlz_header_source_zip_archive,
            r.doc_id, upper(lang) AS language, 'run-1' AS job_run_id,
-           CAST(l.pos AS INT) AS line_no, l.line, l.words_fk
+           CAST(coalesce(l.pos, -1) AS INT) AS line_no, l.line, l.words_fk
     FROM roots r LEFT JOIN line_rows l ON r.lines_fk = l.document_id""",
 )
 def project_flattened(spark: SparkSession, sf: str) -> DataFrame:
@@ -284,7 +284,8 @@ def project_flattened(spark: SparkSession, sf: str) -> DataFrame:
         F.col("lines_fk").alias("document_id"),
     )
     lines = shaped["lines"].select("document_id", "line_no", "line", "words_fk")
-    return root.join(lines, "document_id", "left").drop("document_id")
+    rows = root.join(lines, "document_id", "left").drop("document_id")
+    return rows.withColumn("line_no", F.coalesce("line_no", F.lit(-1)))
 
 
 HEADER_SQL = """
@@ -342,7 +343,7 @@ def _texts(spark: SparkSession, sf: str) -> DataFrame:
     QUALIFY count(*) OVER (PARTITION BY {BUSINESS_SQL}) > 1
     UNION ALL
     SELECT a.*
-    FROM (SELECT user_id::VARCHAR AS text, event_type AS lang, NULL AS source, NULL AS n_chars FROM events) a
+    FROM (SELECT user_id::VARCHAR AS text, event_type AS lang, NULL AS source, -1 AS n_chars FROM events) a
     QUALIFY count(*) OVER (PARTITION BY text, lang) > 1""",
 )
 def duplicate_rows(spark: SparkSession, sf: str) -> DataFrame:
@@ -351,7 +352,7 @@ def duplicate_rows(spark: SparkSession, sf: str) -> DataFrame:
         F.col("user_id").cast("string").alias("text"),
         F.col("event_type").alias("lang"),
         F.lit(None).cast("string").alias("source"),
-        F.lit(None).cast("bigint").alias("n_chars"),
+        F.lit(-1).cast("bigint").alias("n_chars"),
     )
     texts = quality.duplicate_rows(_texts(spark, sf))
     return texts.unionByName(quality.duplicate_rows(pairs))

@@ -13,7 +13,7 @@ from arborload.operators import quality
 from arborload.operators.metrics import Metrics
 from arborload.operators.project import Projections
 from arborload.plans.config import Feed, Mode
-from arborload.plans.load import Outcome, run
+from arborload.plans.load import Outcome, load_csv, run
 from arborload.queries import fixtures as X
 from arborload.queries.flattening import DOC_SQL
 from arborload.queries.registry import query
@@ -276,3 +276,28 @@ def load_flat(spark: SparkSession, sf: str) -> DataFrame:
     return tables.read("text_flat").select(
         "cdlz_header_record_hash_b64", "doc_id", "language", "job_run_id"
     )
+
+
+@query(
+    "load_csv",
+    """
+    SELECT CAST(o_orderkey AS VARCHAR) AS o_orderkey, lower(o_orderstatus) AS o_orderstatus,
+           o_orderpriority, 'run-1' AS job_run_id FROM orders""",
+)
+def csv_load(spark: SparkSession, sf: str) -> DataFrame:
+    """A CSV feed is converted, landed and appended."""
+    rows = X.table(spark, sf, "orders").select("o_orderkey", "o_orderstatus", "o_orderpriority")
+    source = scratch_dir(spark, "csv")
+    rows.write.option("header", True).csv(source)
+
+    def order(frame: DataFrame, run_id: str) -> DataFrame:
+        return frame.withColumn("o_orderstatus", F.lower("o_orderstatus")).withColumn(
+            "job_run_id", F.lit(run_id)
+        )
+
+    tables = _tables(spark)
+    landing = scratch_dir(spark, "csv-landing")
+    load_csv(
+        spark, source, landing, "order", "shop_order", tables, X.RUN_ID, {"order": order}, rows.columns
+    )
+    return tables.read("shop_order")

@@ -19,44 +19,39 @@ from arborload.streaming.incremental import append_batches, load_new_files
 EVENT_COLUMNS = "event_id, ts, user_id, event_type, value, props"
 
 
-def _landed_events(spark: SparkSession, sf: str) -> tuple[str, T.StructType]:
-    """Events two days later, so that they cross a month end, as a landing area."""
-    events = X.table(spark, sf, "events")
-    moved = events.withColumn("ts", F.col("ts") + F.expr("INTERVAL 2 DAYS"))
-    path = scratch_dir(spark, "events")
-    X.land(moved, F.col("ts"), path)
-    return path, moved.schema
-
-
 def _slice(spark: SparkSession, sf: str, granularity: Granularity, where: str | None = None) -> DataFrame:
-    path, schema = _landed_events(spark, sf)
+    path, schema = X.landed_events(spark, sf)
     rows = scan(spark, path, schema, granularity, X.AS_OF, where)
     return rows.select("year", "month", "day", "hour", "minute", *schema.fieldNames())
 
 
 def _slice_sql(condition: str) -> str:
     return f"""
-        WITH moved AS (SELECT * REPLACE (ts + INTERVAL 2 DAY AS ts) FROM events)
-        SELECT CAST(year(ts) AS INT) AS year, CAST(month(ts) AS INT) AS month,
-               CAST(day(ts) AS INT) AS day, CAST(hour(ts) AS INT) AS hour,
-               CAST(minute(ts) // 20 * 20 AS INT) AS minute, {EVENT_COLUMNS}
-        FROM moved WHERE {condition}"""
+        WITH timed AS (
+            SELECT *, TIMESTAMP '2024-01-30' + to_minutes(CAST(floor((
+                date_diff('day', DATE '2024-01-01', CAST(ts AS DATE)) * 1440 + hour(ts) * 60 + minute(ts)
+            ) / 10) AS BIGINT)) AS moment FROM events
+        ),
+        landed AS (
+            SELECT *, CAST(year(moment) AS INT) AS year, CAST(month(moment) AS INT) AS month,
+                   CAST(day(moment) AS INT) AS day, CAST(hour(moment) // 3 * 3 + 2 AS INT) AS hour,
+                   CAST(minute(moment) // 20 * 20 AS INT) AS minute
+            FROM timed
+        )
+        SELECT year, month, day, hour, minute, {EVENT_COLUMNS} FROM landed WHERE {condition}"""
 
 
-@query("scan_yesterday", _slice_sql("ts >= TIMESTAMP '2024-01-31' AND ts < TIMESTAMP '2024-02-01'"))
+@query("scan_yesterday", _slice_sql("month = 1 AND day = 31"))
 def scan_yesterday(spark: SparkSession, sf: str) -> DataFrame:
     return _slice(spark, sf, Granularity.YESTERDAY)
 
 
-@query("scan_today", _slice_sql("ts >= TIMESTAMP '2024-02-01' AND ts < TIMESTAMP '2024-02-02'"))
+@query("scan_today", _slice_sql("month = 2 AND day = 1"))
 def scan_today(spark: SparkSession, sf: str) -> DataFrame:
     return _slice(spark, sf, Granularity.TODAY)
 
 
-@query(
-    "scan_hour",
-    _slice_sql("ts >= TIMESTAMP '2024-01-31 23:00:00' AND ts < TIMESTAMP '2024-02-01 00:00:00'"),
-)
+@query("scan_hour", _slice_sql("month = 1 AND day = 31 AND hour = 23"))
 def scan_hour(spark: SparkSession, sf: str) -> DataFrame:
     return _slice(spark, sf, Granularity.HOUR)
 
@@ -81,7 +76,7 @@ def scan_filter(spark: SparkSession, sf: str) -> DataFrame:
 )
 def scan_missing(spark: SparkSession, sf: str) -> DataFrame:
     """A slice that was never landed, next to the whole area: no rows and two metrics."""
-    path, schema = _landed_events(spark, sf)
+    path, schema = X.landed_events(spark, sf)
     metrics = Metrics(X.RUN_ID)
     never = datetime(2031, 1, 1)
     late = scan(spark, path, schema, Granularity.TODAY, never, metrics=metrics, entity="events")
@@ -101,12 +96,13 @@ DELETE_KEYS_SQL = f"""
     UNION ALL SELECT CAST(NULL AS BIGINT) FROM region"""
 
 
-@query("delete_feed", DELETE_KEYS_SQL)
+@query("delete_feed", f"SELECT CAST(pncid AS VARCHAR) AS pncid FROM ({DELETE_KEYS_SQL})")
 def delete_feed(spark: SparkSession, sf: str) -> DataFrame:
     docs = X.delete_feed(spark, sf)
     path = scratch_dir(spark, "deletes")
     X.land(docs, F.lit(X.AS_OF), path)
-    return delete_keys(scan(spark, path, docs.schema, Granularity.TODAY, X.AS_OF), "body.PNCID", "pncid")
+    feed = scan(spark, path, docs.schema, Granularity.TODAY, X.AS_OF)
+    return delete_keys(feed, "body.PNCID", "pncid").select(F.col("pncid").cast("string"))
 
 
 @query(

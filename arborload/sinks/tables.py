@@ -21,12 +21,16 @@ from arborload.operators.columns import align
 from arborload.tree import ROOT_KEY
 
 BUCKET = "root_bucket"
+_COUNT = "arborload.buckets"
 
 
 class Tables:
-    """Tables of one database, kept below one location."""
+    """Tables of one database, kept below one location.
 
-    def __init__(self, spark: SparkSession, database: str, location: str, buckets: int = 64) -> None:
+    ``buckets`` is the number of buckets of new tables; existing ones keep theirs.
+    """
+
+    def __init__(self, spark: SparkSession, database: str, location: str, buckets: int = 256) -> None:
         self.spark = spark
         self.database = database
         self.location = location.rstrip("/")
@@ -49,38 +53,32 @@ class Tables:
 
     def create(self, table: str, schema: T.StructType) -> None:
         """Create an empty table; with a root key it is partitioned by its bucket."""
-        if self.exists(table):
-            return
-        empty = self.spark.createDataFrame([], schema)
-        writer = self._bucketed(empty).write if self._has_root(schema) else empty.write
+        columns = [f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields]
+        layout = ""
         if self._has_root(schema):
-            writer = writer.partitionBy(BUCKET)
-        writer.option("path", self._directory(table)).format("parquet").saveAsTable(self.name(table))
+            columns.append(f"`{BUCKET}` int")
+            layout = f"PARTITIONED BY (`{BUCKET}`) TBLPROPERTIES ('{_COUNT}' = '{self.buckets}')"
+        self.spark.sql(
+            f"CREATE TABLE IF NOT EXISTS {self.name(table)} ({', '.join(columns)}) "
+            f"USING parquet LOCATION '{self._directory(table)}' {layout}"
+        )
 
     def append(self, frame: DataFrame, table: str, drop: Collection[str] = ()) -> None:
-        """Add rows, matched to the table's columns by name."""
+        """Add rows, matched to the table's columns by name; a new table is created."""
         if not self.exists(table):
-            keep = [f for f in frame.schema.fields if f.name not in drop]
-            self.create(table, T.StructType(keep))
+            self.create(table, T.StructType([f for f in frame.schema.fields if f.name not in drop]))
         schema = self.schema(table)
         rows = align(frame, schema, drop)
         if self._has_root(schema):
-            rows = self._clustered(rows)
+            rows = self._clustered(rows, table)
         rows.write.insertInto(self.name(table))
 
     def stage(self, frame: DataFrame, table: str, drop: Collection[str] = ()) -> str:
-        """Fill ``stage_<table>``, recreated empty with the target's columns."""
+        """Make ``stage_<table>`` anew, with the target's columns, and fill it."""
         staged = f"stage_{table}"
         self.drop(staged)
-        self.spark.sql(
-            f"CREATE TABLE {self.name(staged)} USING parquet LOCATION '{self._directory(staged)}' "
-            f"AS SELECT * FROM {self.name(table)} WHERE 1 = 2"
-        )
-        full = self.read(staged).schema
         rows = align(frame, self.schema(table), drop)
-        if BUCKET in full.fieldNames():
-            rows = align(self._bucketed(rows), full)
-        rows.write.insertInto(self.name(staged))
+        rows.write.format("parquet").option("path", self._directory(staged)).saveAsTable(self.name(staged))
         return staged
 
     def drop(self, table: str) -> None:
@@ -114,7 +112,7 @@ class Tables:
         if scattered:
             rows = rows.hint("rebalance", BUCKET)
         if fresh is not None:
-            rows = rows.unionByName(self._clustered(align(fresh, schema)))
+            rows = rows.unionByName(self._clustered(align(fresh, schema), table))
         directory = self._directory(table)
         rows.write.partitionBy(BUCKET).parquet(directory)
         return directory
@@ -128,14 +126,17 @@ class Tables:
         name = self.name(table)
         filled = self._buckets_in(directory)
         had = {int(r[0].split("=")[1]) for r in self.spark.sql(f"SHOW PARTITIONS {name}").collect()}
-        for b in sorted({int(b) for b in touched}):
-            where = f"'{directory}/{BUCKET}={b}'"
-            if b in filled and b in had:
-                self.spark.sql(f"ALTER TABLE {name} PARTITION ({BUCKET}={b}) SET LOCATION {where}")
-            elif b in filled:
-                self.spark.sql(f"ALTER TABLE {name} ADD PARTITION ({BUCKET}={b}) LOCATION {where}")
-            elif b in had:
-                self.spark.sql(f"ALTER TABLE {name} DROP PARTITION ({BUCKET}={b})")
+        wanted = {int(b) for b in touched}
+        for b in sorted(wanted & filled & had):
+            self.spark.sql(
+                f"ALTER TABLE {name} PARTITION ({BUCKET}={b}) SET LOCATION '{directory}/{BUCKET}={b}'"
+            )
+        new = [f"PARTITION ({BUCKET}={b}) LOCATION '{directory}/{BUCKET}={b}'" for b in wanted & filled - had]
+        if new:
+            self.spark.sql(f"ALTER TABLE {name} ADD {' '.join(sorted(new))}")
+        emptied = [f"PARTITION ({BUCKET}={b})" for b in wanted & had - filled]
+        if emptied:
+            self.spark.sql(f"ALTER TABLE {name} DROP {', '.join(sorted(emptied))}")
         self.spark.catalog.refreshTable(name)
 
     def _buckets_in(self, directory: str) -> set[int]:
@@ -146,12 +147,21 @@ class Tables:
     def _has_root(self, schema: T.StructType) -> bool:
         return ROOT_KEY in schema.fieldNames()
 
-    def _bucketed(self, rows: DataFrame) -> DataFrame:
-        return rows.withColumn(BUCKET, K.bucket(F.col(ROOT_KEY), self.buckets))
-
-    def _clustered(self, rows: DataFrame) -> DataFrame:
+    def bucket_count(self, *tables: str) -> int:
+        """Number of buckets of the given tables, which must agree."""
+        counts = set()
+        for table in tables:
+            row = self.spark.sql(f"SHOW TBLPROPERTIES {self.name(table)} ('{_COUNT}')").first()
+            counts.add(int(row["value"]))
+        if len(counts) != 1:
+            raise ValueError(f"tables differ in their number of buckets: {sorted(counts)}")
+        return counts.pop()
+
+    def _clustered(self, rows: DataFrame, table: str) -> DataFrame:
         """Rows gathered by bucket for writing; Spark splits a bucket that is too large."""
-        return self._bucketed(rows).hint("rebalance", BUCKET)
+        count = self.bucket_count(table)
+        bucketed = rows.withColumn(BUCKET, K.bucket(F.col(ROOT_KEY), count))
+        return bucketed.hint("rebalance", BUCKET)
 
     def _directory(self, table: str) -> str:
         return f"{self.location}/{self.database}/{table}/{uuid.uuid4().hex}"
