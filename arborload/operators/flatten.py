@@ -4,8 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 from arborload.functions import keys
@@ -16,40 +15,26 @@ _LINK = "__link"
 _ELEMENT = "__element"
 
 
-def _dig(base: Column | None, path: tuple[str, ...]) -> Column:
-    column = base
-    for part in path:
-        column = F.col(f"`{part}`") if column is None else column.getField(part)
-    assert column is not None
-    return column
+def _dig(path: tuple[str, ...], base: str | None = None) -> str:
+    parts = path if base is None else (base, *path)
+    return ".".join(f"`{p}`" for p in parts)
 
 
-def _links(node: Node, base: Column | None, row: Column) -> list[Column]:
-    out = []
-    for child in node.children:
-        filled = F.size(_dig(base, child.array)) > 0
-        out.append(F.when(filled, keys.link_key(child.table, row)).alias(link_column(child.table)))
-    return out
-
+def _links(node: Node, base: str | None, row: str) -> list[str]:
+    return [
+        f"CASE WHEN size({_dig(child.array, base)}) > 0 THEN {keys.link_key(child.table, row)} END"
+        f" AS `{link_column(child.table)}`"
+        for child in node.children
+    ]
 
-def _root_columns(tree: Tree) -> tuple[Column, Column]:
-    by_name = {f.name.lower(): f.path for f in tree.root.fields}
-    natural = _dig(None, by_name[tree.key.lower()])
-    version = [_dig(None, by_name[v.lower()]) for v in tree.version]
-    return (
-        keys.root_key(tree.root.table, natural),
-        keys.root_row_key(tree.root.table, natural, version),
-    )
 
-
-def _natural(tree: Tree) -> Column:
-    path = next(f.path for f in tree.root.fields if f.name.lower() == tree.key.lower())
-    return _dig(None, path)
+def _path_of(tree: Tree, name: str) -> str:
+    return _dig(next(f.path for f in tree.root.fields if f.name.lower() == name.lower()))
 
 
 def rejects(docs: DataFrame, tree: Tree) -> DataFrame:
     """Documents without a natural key; they cannot be linked and are not flattened."""
-    return docs.where(_natural(tree).isNull())
+    return docs.where(f"{_path_of(tree, tree.key)} IS NULL")
 
 
 def flatten(docs: DataFrame, tree: Tree, table: str, carry: tuple[str, ...] = ()) -> DataFrame:
@@ -64,41 +49,38 @@ def flatten(docs: DataFrame, tree: Tree, table: str, carry: tuple[str, ...] = ()
     hashes are computed once per parent row, below the explode.
     """
     line = tree.lineage(table)
-    root_key, row = _root_columns(tree)
-    frame = docs.where(_natural(tree).isNotNull())
+    natural = _path_of(tree, tree.key)
+    root_key = keys.root_key(tree.root.table, natural)
+    row = keys.root_row_key(tree.root.table, natural, [_path_of(tree, v) for v in tree.version])
+    frame = docs.where(f"{natural} IS NOT NULL")
 
     if len(line) == 1:
-        scalars = [_dig(None, f.path).alias(f.name) for f in tree.root.fields]
-        return frame.select(
-            *scalars, *[F.col(c) for c in carry], *_links(tree.root, None, row), root_key.alias(ROOT_KEY)
-        )
+        scalars = [f"{_dig(f.path)} AS `{f.name}`" for f in tree.root.fields]
+        links = _links(tree.root, None, row)
+        return frame.selectExpr(*scalars, *[f"`{c}`" for c in carry], *links, f"{root_key} AS {ROOT_KEY}")
 
-    base: Column | None = None
-    frame = frame.select(
-        root_key.alias(ROOT_KEY), row.alias(_ROW), _dig(base, line[1].array).alias(_ELEMENT)
+    frame = frame.selectExpr(
+        f"{root_key} AS {ROOT_KEY}", f"{row} AS {_ROW}", f"{_dig(line[1].array)} AS {_ELEMENT}"
     )
     for depth, node in enumerate(line[1:], start=1):
-        frame = frame.where(F.size(_ELEMENT) > 0).select(
+        frame = frame.where(f"size({_ELEMENT}) > 0").selectExpr(
             ROOT_KEY,
-            keys.link_key(node.table, F.col(_ROW)).alias(_LINK),
-            F.posexplode(_ELEMENT).alias(POSITION, _ELEMENT),
+            f"{keys.link_key(node.table, _ROW)} AS {_LINK}",
+            f"posexplode({_ELEMENT}) AS ({POSITION}, {_ELEMENT})",
         )
         if depth < len(line) - 1:
-            frame = frame.select(
+            frame = frame.selectExpr(
                 ROOT_KEY,
-                keys.row_key(F.col(_LINK), F.col(POSITION)).alias(_ROW),
-                _dig(F.col(_ELEMENT), line[depth + 1].array).alias(_ELEMENT),
+                f"{keys.row_key(_LINK, POSITION)} AS {_ROW}",
+                f"{_dig(line[depth + 1].array, _ELEMENT)} AS {_ELEMENT}",
             )
 
     node, parent = line[-1], line[-2]
-    element = F.col(_ELEMENT)
-    scalars = [(element if node.scalar else _dig(element, f.path)).alias(f.name) for f in node.fields]
-    own_row = keys.row_key(F.col(_LINK), F.col(POSITION))
-    return frame.select(
-        F.col(_LINK).alias(id_column(parent.table)),
+    return frame.selectExpr(
+        f"{_LINK} AS `{id_column(parent.table)}`",
         POSITION,
-        *scalars,
-        *_links(node, element, own_row),
+        *[f"{_dig(f.path, _ELEMENT)} AS `{f.name}`" for f in node.fields],
+        *_links(node, _ELEMENT, keys.row_key(_LINK, POSITION)),
         ROOT_KEY,
     )
 

@@ -89,8 +89,9 @@ def table_keys(links: Mapping[str, DataFrame], tree: Tree, table: str) -> tuple[
 
 def root_keys(keys: DataFrame, tree: Tree, natural: str | None = None) -> DataFrame:
     """Distinct tree keys for a frame of natural keys; NULLs are left out."""
-    column = F.col(natural or tree.key)
-    return keys.where(column.isNotNull()).select(K.root_key(tree.root.table, column).alias(ROOT_KEY)).distinct()
+    name = f"`{natural or tree.key}`"
+    present = keys.where(f"{name} IS NOT NULL")
+    return present.selectExpr(f"{K.root_key(tree.root.table, name)} AS {ROOT_KEY}").distinct()
 
 
 def _parent(tree: Tree, table: str) -> str:

@@ -8,7 +8,6 @@ from dataclasses import dataclass, field
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from arborload.functions import keys as K
@@ -207,7 +206,7 @@ def _apply(tables: Tables, tree: Tree, name, gone: DataFrame, stage, counts, rep
     last for upserts.
     """
     buckets = tables.bucket_count(*[name(t) for t in tree.tables])
-    bucketed = gone.withColumn(BUCKET, K.bucket(F.col(ROOT_KEY), buckets))
+    bucketed = gone.selectExpr("*", f"{K.bucket(ROOT_KEY, buckets)} AS {BUCKET}")
     saved, rows = materialise(bucketed, "root-keys")
     touched = sorted(r[0] for r in saved.select(BUCKET).distinct().collect())
     keys = sized(saved.select(ROOT_KEY), rows)

@@ -14,7 +14,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from arborload.functions import keys as K
-from arborload.functions.keys import digest
 from arborload.plans import nominal
 from arborload.sources.landing import PARTITIONS
 from arborload.sources.scratch import scratch_dir
@@ -131,10 +130,10 @@ NOMINAL_CUTS = {
     "caseheader": "\n",
     "operationalinformation": "\n",
     "oiconditions": ", ",
-    "offence": ", ",
-    "condition": ", ",
+    "offence": ". ",
+    "condition": "; ",
     "method": "! ",
-    "custody": ", ",
+    "custody": ". ",
     "bailconditions": ": ",
     "breachofbail": "; ",
     "disposal": " de ",
@@ -142,36 +141,33 @@ NOMINAL_CUTS = {
     "cooffender": " la ",
     "mokeywordlocation": ", ",
     "mokeywordvictim": " and ",
-    "periodininstitution": " of ",
-    "releasedetails": " ",
+    "periodininstitution": ", ",
+    "releasedetails": " of ",
 }
 
 
-def _nominal_struct(name: str, text: Column, key: Column | None = None) -> Column:
-    schema = nominal.table_schema(name)
-    columns = []
+def _nominal_struct(name: str, text: str, key: str | None = None) -> str:
+    """SQL for one row of a table: its text in the first column, its pieces in the arrays."""
+    parts = []
     first = True
-    for f in schema.fields:
+    for f in nominal.table_schema(name).fields:
+        child = f.name.lower()
         if isinstance(f.dataType, T.ArrayType):
-            child = f.name.lower()
-            value = _pieces(text, NOMINAL_CUTS[child], _row_of(child))
+            cut = NOMINAL_CUTS[child].replace(".", "[.]").replace("\n", "\\n")
+            value = f"transform(split({text}, '{cut}'), {child} -> {_nominal_struct(child, child)})"
         elif first:
-            value, first = (text if key is None else key), False
+            value, first = key or text, False
         else:
-            value = F.lit(None).cast(f.dataType)
-        columns.append(value.alias(f.name))
-    return F.struct(*columns)
-
-
-def _row_of(name: str):
-    return lambda part: _nominal_struct(name, part)
+            value = "CAST(NULL AS STRING)"
+        parts.append(f"'{f.name}', {value}")
+    return f"named_struct({', '.join(parts)})"
 
 
 def nominal_documents(spark: SparkSession, sf: str) -> DataFrame:
     """Texts as nominal records: every table cuts the text of its parent into pieces."""
     key = F.col("doc_id").cast("string")
     header = header_struct(key, F.col("source"), F.col("lang"), F.col("text"))
-    body = _nominal_struct(nominal.ROOT, F.col("text"), key)
+    body = F.expr(_nominal_struct(nominal.ROOT, "text", "CAST(doc_id AS STRING)"))
     return table(spark, sf, "documents").select(header.alias("header"), body.alias("body"))
 
 
@@ -191,26 +187,28 @@ STAR = Tree.of(
 
 
 def _customer_key(column: str) -> Column:
-    return K.root_key("customer", F.col(column))
+    return F.expr(K.root_key("customer", column))
+
+
+def _link(child: str, parent_row: str) -> Column:
+    return F.expr(K.link_key(child, parent_row))
 
 
-def _order_row(column: str) -> Column:
-    return digest("orders", F.col(column))
+def _order_row(column: str) -> str:
+    return K.digest("'orders'", column)
 
 
-def _item_row() -> Column:
-    parts = [F.col(c) for c in ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")]
-    return digest("lineitem", *parts)
+ITEM_ROW = K.digest("'lineitem'", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
 
 
 def link_customer(customer: DataFrame, orders: DataFrame, events: DataFrame) -> DataFrame:
     """Customers with links to their orders and events; NULL where there are none."""
     some_orders = orders.select(F.col("o_custkey").alias("c_custkey")).distinct()
     some_events = events.select(F.col("user_id").alias("c_custkey")).distinct()
-    root = _customer_key("c_custkey")
+    root = K.root_key("customer", "c_custkey")
 
     def link(child: str, flag: str) -> Column:
-        return F.when(F.col(flag), K.link_key(child, root)).alias(link_column(child))
+        return F.when(F.col(flag), _link(child, root)).alias(link_column(child))
 
     return (
         customer.join(some_orders.withColumn("has_orders", F.lit(True)), "c_custkey", "left")
@@ -219,29 +217,29 @@ def link_customer(customer: DataFrame, orders: DataFrame, events: DataFrame) ->
             *customer.columns,
             link("orders", "has_orders"),
             link("events", "has_events"),
-            root.alias(ROOT_KEY),
+            F.expr(root).alias(ROOT_KEY),
         )
     )
 
 
 def link_orders(orders: DataFrame, lineitem: DataFrame) -> DataFrame:
     filled = lineitem.select(F.col("l_orderkey").alias("o_orderkey")).distinct()
-    root = _customer_key("o_custkey")
-    child = F.when(F.col("has_items"), K.link_key("lineitem", _order_row("o_orderkey")))
+    root = K.root_key("customer", "o_custkey")
+    child = F.when(F.col("has_items"), _link("lineitem", _order_row("o_orderkey")))
     return orders.join(filled.withColumn("has_items", F.lit(True)), "o_orderkey", "left").select(
-        K.link_key("orders", root).alias(id_column("customer")),
+        _link("orders", root).alias(id_column("customer")),
         *orders.columns,
         child.alias(link_column("lineitem")),
-        root.alias(ROOT_KEY),
+        F.expr(root).alias(ROOT_KEY),
     )
 
 
 def link_lineitem(lineitem: DataFrame, orders: DataFrame | None) -> DataFrame:
     """Line items; the root key needs the order's customer, the links do not."""
     columns = [
-        K.link_key("lineitem", _order_row("l_orderkey")).alias(id_column("orders")),
+        _link("lineitem", _order_row("l_orderkey")).alias(id_column("orders")),
         *lineitem.columns,
-        K.link_key("part", _item_row()).alias(link_column("part")),
+        _link("part", ITEM_ROW).alias(link_column("part")),
     ]
     if orders is None:
         return lineitem.select(*columns)
@@ -253,25 +251,23 @@ def link_lineitem(lineitem: DataFrame, orders: DataFrame | None) -> DataFrame:
 
 def link_part(lineitem: DataFrame, part: DataFrame) -> DataFrame:
     """The part of every line item, as a child row of the item."""
-    item = _item_row()
     return lineitem.join(part, F.col("l_partkey") == F.col("p_partkey")).select(
-        K.link_key("part", item).alias(id_column("lineitem")),
+        _link("part", ITEM_ROW).alias(id_column("lineitem")),
         *part.columns,
-        K.link_key("supplier", item).alias(link_column("supplier")),
+        _link("supplier", ITEM_ROW).alias(link_column("supplier")),
     )
 
 
 def link_supplier(lineitem: DataFrame, supplier: DataFrame) -> DataFrame:
-    item = _item_row()
     return lineitem.join(supplier, F.col("l_suppkey") == F.col("s_suppkey")).select(
-        K.link_key("supplier", item).alias(id_column("part")), *supplier.columns
+        _link("supplier", ITEM_ROW).alias(id_column("part")), *supplier.columns
     )
 
 
 def link_events(events: DataFrame) -> DataFrame:
-    root = _customer_key("user_id")
+    root = K.root_key("customer", "user_id")
     return events.select(
-        K.link_key("events", root).alias(id_column("customer")), *events.columns, root.alias(ROOT_KEY)
+        _link("events", root).alias(id_column("customer")), *events.columns, F.expr(root).alias(ROOT_KEY)
     )
 
 
@@ -358,7 +354,7 @@ def delete_feed(spark: SparkSession, sf: str) -> DataFrame:
 # -- landing areas -----------------------------------------------------------
 
 
-_LANDED: dict[tuple[str, str], str] = {}
+_LANDED: dict[tuple[str, str, str], str] = {}
 
 
 def landed_at(ts: Column) -> Column:
@@ -375,7 +371,7 @@ def landed_at(ts: Column) -> Column:
 def landed_events(spark: SparkSession, sf: str) -> tuple[str, T.StructType]:
     """The events as a landing area, written once per application."""
     events = table(spark, sf, "events")
-    area = (spark.sparkContext.applicationId, sf)
+    area = (spark.sparkContext.applicationId, sf, "events")
     if area not in _LANDED:
         path = scratch_dir(spark, "events")
         land(events, landed_at(F.col("ts")), path, spread_by=["event_id"])
@@ -383,6 +379,16 @@ def landed_events(spark: SparkSession, sf: str) -> tuple[str, T.StructType]:
     return _LANDED[area], events.schema
 
 
+def landed_nominal(spark: SparkSession, sf: str) -> str:
+    """The nominal documents as a landing area, written once per application."""
+    area = (spark.sparkContext.applicationId, sf, "nominal")
+    if area not in _LANDED:
+        path = scratch_dir(spark, "nominal")
+        land(nominal_documents(spark, sf), F.lit(AS_OF), path)
+        _LANDED[area] = path
+    return _LANDED[area]
+
+
 def land(frame: DataFrame, at: Column, path: str, spread_by: Sequence[str] = ()) -> None:
     """Write rows into year=/month=/day=/hour=/minute= directories.
 

@@ -168,8 +168,7 @@ def _nominal_sql() -> str:
 @query("flatten_nominal", _nominal_sql())
 def flatten_nominal(spark: SparkSession, sf: str) -> DataFrame:
     """All 19 tables of the nominal feed, each from its own narrow scan of the landed files."""
-    path = scratch_dir(spark, "nominal")
-    X.land(X.nominal_documents(spark, sf), F.lit(X.AS_OF), path)
+    path = X.landed_nominal(spark, sf)
     tree, schema = nominal.tree(), nominal.document_schema()
     tables = flatten_from(lambda s, is_root: scan(spark, path, s), tree, schema)
     parts = []

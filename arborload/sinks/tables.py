@@ -160,7 +160,7 @@ class Tables:
     def _clustered(self, rows: DataFrame, table: str) -> DataFrame:
         """Rows gathered by bucket for writing; Spark splits a bucket that is too large."""
         count = self.bucket_count(table)
-        bucketed = rows.withColumn(BUCKET, K.bucket(F.col(ROOT_KEY), count))
+        bucketed = rows.selectExpr("*", f"{K.bucket(ROOT_KEY, count)} AS {BUCKET}")
         return bucketed.hint("rebalance", BUCKET)
 
     def _directory(self, table: str) -> str:

@@ -137,22 +137,17 @@ def test_one_root_holds_a_third_of_all_rows(spark):
     """A hot root among many, on both ways, with joins that really shuffle."""
     tree = Tree.of("a", "k", {"a": ["b"], "b": ["c"]})
     n = 3000
-    owner = F.when(F.col("id") % 3 == 0, F.lit(0)).otherwise(F.col("id"))
-
-    def row(col):
-        return K.digest("a", col)
-
-    root = spark.range(n).select(
-        F.col("id").alias("k"), K.link_key("b", row(F.col("id"))).alias("b_fk"), row(F.col("id")).alias("root_key")
-    )
-    b = spark.range(n).select(
-        K.link_key("b", row(owner)).alias("a_id"),
-        F.col("id").alias("v"),
-        K.link_key("c", F.col("id")).alias("c_fk"),
-        row(owner).alias("root_key"),
+    owner = "CASE WHEN id % 3 = 0 THEN 0 ELSE id END"
+    own, owned = K.digest("'a'", "id"), K.digest("'a'", owner)
+    root = spark.range(n).selectExpr("id AS k", f"{K.link_key('b', own)} AS b_fk", f"{own} AS root_key")
+    b = spark.range(n).selectExpr(
+        f"{K.link_key('b', owned)} AS a_id",
+        "id AS v",
+        f"{K.link_key('c', 'id')} AS c_fk",
+        f"{owned} AS root_key",
     )
-    c = spark.range(n).select(
-        K.link_key("c", owner).alias("b_id"), F.col("id").alias("w"), row(owner).alias("root_key")
+    c = spark.range(n).selectExpr(
+        f"{K.link_key('c', owner)} AS b_id", "id AS w", f"{owned} AS root_key"
     )
     targets = {"a": root, "b": b, "c": c}
     gone = spark.createDataFrame([(0,), (1,)], "k bigint")
