@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from datetime import datetime
+from datetime import datetime, timezone
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -32,11 +32,17 @@ def base64_line(value: Column) -> Column:
     return F.regexp_replace(F.base64(value), "[\r\n]", "")
 
 
+def _load_time(as_of: datetime | None) -> Column:
+    if as_of is None:
+        return F.current_timestamp()
+    return F.lit(as_of if as_of.tzinfo else as_of.replace(tzinfo=timezone.utc))
+
+
 def audit_header(flattened: bool, as_of: datetime | None = None, file: Column | None = None) -> list[Column]:
     """Header columns, read from ``header.*`` or from top-level columns if ``flattened``.
 
     An empty archive name is NULL only in the flattened form.  ``as_of`` fixes the
-    load time; without it the start of the query is used.  The input file is the
+    load time (UTC if it has no zone); without it the start of the query is used.  The input file is the
     path captured by the scan, which unlike ``input_file_name()`` survives
     explodes and shuffles.
     """
@@ -48,7 +54,6 @@ def audit_header(flattened: bool, as_of: datetime | None = None, file: Column |
         elif source == "sourceZipArchive" and flattened:
             value = F.nullif(value, F.lit(""))
         out.append(value.alias(name))
-    loaded = F.current_timestamp() if as_of is None else F.lit(as_of)
-    out.append(loaded.alias(LOAD_TIME))
+    out.append(_load_time(as_of).alias(LOAD_TIME))
     out.append((F.col(SOURCE_FILE) if file is None else file).alias(INPUT_FILE))
     return out

@@ -22,6 +22,12 @@ from arborload.tree import ROOT_KEY, Tree, id_column, link_column
 RUN_ID = "run-1"
 AS_OF = datetime(2024, 2, 1, 0, 10)
 
+
+def as_of() -> Column:
+    """``AS_OF`` as a column that no time zone moves."""
+    return F.lit(str(AS_OF)).cast("timestamp_ntz")
+
+
 # Segments of customers that a batch changes, adds copies of and deletes.
 CHANGED = "BUILDING"
 COPIED = "MACHINERY"
@@ -384,7 +390,7 @@ def landed_nominal(spark: SparkSession, sf: str) -> str:
     area = (spark.sparkContext.applicationId, sf, "nominal")
     if area not in _LANDED:
         path = scratch_dir(spark, "nominal")
-        land(nominal_documents(spark, sf), F.lit(AS_OF), path)
+        land(nominal_documents(spark, sf), as_of(), path)
         _LANDED[area] = path
     return _LANDED[area]
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from datetime import timezone
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -294,23 +295,23 @@ HEADER_SQL = """
            '2024-02-01' AS cdlz_header_collection_date, '2024-02-01T00:00:00Z' AS cdlz_header_ingest_date_time,
            'text' AS cdlz_header_data_format, source || '/' || doc_id AS cdlz_header_source_filename,
            {archive} AS cdlz_header_source_zip_archive,
-           '2024-02-01 00:10:00' AS glue_timestamp, true AS has_file, doc_id, 'run-1' AS job_run_id
+           true AS loaded_as_of, true AS has_file, doc_id, 'run-1' AS job_run_id
     FROM documents"""
 ARCHIVE_SQL = "CASE lang WHEN 'en' THEN '' WHEN 'fr' THEN source || '.zip' END"
 
 
 def _show_volatile(frame: DataFrame) -> DataFrame:
-    """Load time as text and the input file as a flag, since its name differs per run."""
+    """Flags for the load time and the input file, whose name differs per run."""
     return frame.select(
         *[c for c in frame.columns if c not in ("glue_timestamp", "input_filename")],
-        F.date_format("glue_timestamp", "yyyy-MM-dd HH:mm:ss").alias("glue_timestamp"),
+        (F.col("glue_timestamp") == F.lit(X.AS_OF.replace(tzinfo=timezone.utc))).alias("loaded_as_of"),
         F.col("input_filename").endswith(".parquet").alias("has_file"),
     )
 
 
 def _landed_documents(spark: SparkSession, sf: str) -> DataFrame:
     path = scratch_dir(spark, "documents")
-    X.land(X.documents(spark, sf), F.lit(X.AS_OF), path)
+    X.land(X.documents(spark, sf), X.as_of(), path)
     return scan(spark, path, X.DOCUMENT_SCHEMA, source_file=True)
 
 

@@ -123,7 +123,7 @@ def _feed(landing: str) -> Feed:
 
 def _batch(spark: SparkSession, docs: DataFrame, name: str) -> str:
     path = scratch_dir(spark, name)
-    X.land(docs, F.lit(X.AS_OF), path)
+    X.land(docs, X.as_of(), path)
     return path
 
 
