@@ -8,13 +8,18 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from arborload.functions import keys as K
+from arborload.operators.quality import distinct_rows
 from arborload.tree import ROOT_KEY, Tree, id_column, link_column
 
 
 def distinct_keys(frame: DataFrame, key: str, alias: str | None = None) -> DataFrame:
-    """Distinct non-NULL values of one column."""
+    """Distinct non-NULL values of one column.
+
+    They are grouped as whole rows so that a join with them shuffles them itself:
+    Spark divides a hot partition only if both sides come straight from a shuffle.
+    """
     name = alias or key
-    return frame.select(F.col(key).alias(name)).where(F.col(name).isNotNull()).distinct()
+    return distinct_rows(frame.select(F.col(key).alias(name)).where(F.col(name).isNotNull()))
 
 
 def matched(target: DataFrame, keys: DataFrame, key: str) -> DataFrame:
@@ -28,7 +33,7 @@ def unmatched_keys(keys: DataFrame, target: DataFrame, key: str) -> DataFrame:
     The target is first cut down to the wanted keys, so with a small key set it is
     scanned without a shuffle and a hot target key shrinks to one row.
     """
-    present = matched(target.select(key), distinct_keys(keys, key), key).distinct()
+    present = distinct_rows(matched(target.select(key), distinct_keys(keys, key), key))
     return keys.join(present, key, "left_anti").select(*keys.columns)
 
 
@@ -91,7 +96,7 @@ def root_keys(keys: DataFrame, tree: Tree, natural: str | None = None) -> DataFr
     """Distinct tree keys for a frame of natural keys; NULLs are left out."""
     name = f"`{natural or tree.key}`"
     present = keys.where(f"{name} IS NOT NULL")
-    return present.selectExpr(f"{K.root_key(tree.root.table, name)} AS {ROOT_KEY}").distinct()
+    return distinct_rows(present.selectExpr(f"{K.root_key(tree.root.table, name)} AS {ROOT_KEY}"))
 
 
 def _parent(tree: Tree, table: str) -> str:
@@ -103,4 +108,4 @@ def _parent(tree: Tree, table: str) -> str:
 
 def _links_of(rows: DataFrame, tree: Tree, table: str) -> DataFrame:
     found = rows.select(*tree.links(table))
-    return found if table in tree.keep_repeats else found.distinct()
+    return found if table in tree.keep_repeats else distinct_rows(found)

@@ -35,7 +35,7 @@ class Tables:
         self.database = database
         self.location = location.rstrip("/")
         self.buckets = buckets
-        spark.sql(f"CREATE DATABASE IF NOT EXISTS `{database}`")
+        spark.sql(f"CREATE DATABASE IF NOT EXISTS `{database}` LOCATION '{self.location}/{database}/managed'")
 
     def name(self, table: str) -> str:
         return f"`{self.database}`.`{table}`"
@@ -74,11 +74,14 @@ class Tables:
         rows.write.insertInto(self.name(table))
 
     def stage(self, frame: DataFrame, table: str, drop: Collection[str] = ()) -> str:
-        """Make ``stage_<table>`` anew, with the target's columns, and fill it."""
+        """Make ``stage_<table>`` anew, with the target's columns, and fill it.
+
+        Unlike the targets it is a managed table: dropping it removes its files.
+        """
         staged = f"stage_{table}"
         self.drop(staged)
         rows = align(frame, self.schema(table), drop)
-        rows.write.format("parquet").option("path", self._directory(staged)).saveAsTable(self.name(staged))
+        rows.write.format("parquet").saveAsTable(self.name(staged))
         return staged
 
     def drop(self, table: str) -> None:
