@@ -45,9 +45,9 @@ def test_projections_are_lazy_and_aliased():
         called.append(run_id)
         return ["a"]
 
-    registry = Projections({"pnc_offence": offence, "pnc_other": ["b"]}, aliases={"pncnew_": "pnc_"})
-    assert "pncnew_offence" in registry and not called
-    assert registry.select_list("pncnew_offence", "r9") == ["a"]
+    registry = Projections({"old_offence": offence, "old_other": ["b"]}, aliases={"new_": "old_"})
+    assert "new_offence" in registry and not called
+    assert registry.select_list("new_offence", "r9") == ["a"]
     assert called == ["r9"]
     with pytest.raises(KeyError):
         registry.select_list("nothing", "r")
