@@ -6,7 +6,7 @@ one document.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -385,12 +385,23 @@ def landed_events(spark: SparkSession, sf: str) -> tuple[str, T.StructType]:
     return _LANDED[area], events.schema
 
 
+def landed_documents(spark: SparkSession, sf: str) -> str:
+    """The nested texts as a landing area, written once per application."""
+    return _landed_once(spark, sf, "documents", documents)
+
+
 def landed_nominal(spark: SparkSession, sf: str) -> str:
     """The nominal documents as a landing area, written once per application."""
-    area = (spark.sparkContext.applicationId, sf, "nominal")
+    return _landed_once(spark, sf, "nominal", nominal_documents)
+
+
+def _landed_once(
+    spark: SparkSession, sf: str, name: str, build: Callable[[SparkSession, str], DataFrame]
+) -> str:
+    area = (spark.sparkContext.applicationId, sf, name)
     if area not in _LANDED:
-        path = scratch_dir(spark, "nominal")
-        land(nominal_documents(spark, sf), as_of(), path)
+        path = scratch_dir(spark, name)
+        land(build(spark, sf), as_of(), path)
         _LANDED[area] = path
     return _LANDED[area]
 

@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 
 from arborload.functions.header import SOURCE_FILE, audit_header
 from arborload.operators import columns, quality
-from arborload.operators.flatten import flatten, flatten_all, flatten_from, rejects
+from arborload.operators.flatten import flatten, flatten_from, rejects
 from arborload.operators.project import Projections, project, project_tree, project_view
 from arborload.plans import nominal
 from arborload.queries import fixtures as X
@@ -63,9 +63,16 @@ DOC_SQL = """
     )"""
 
 
+def _flat(spark: SparkSession, sf: str, table: str) -> DataFrame:
+    """One table of the document tree, from a narrow scan of the landed documents."""
+    tree = X.document_tree()
+    docs = scan(spark, X.landed_documents(spark, sf), tree.read_schema(table, X.DOCUMENT_SCHEMA))
+    return flatten(docs, tree, table)
+
+
 @query("flatten_root", DOC_SQL + "SELECT * REPLACE (to_base64(recordHash) AS recordHash) FROM roots")
 def flatten_root(spark: SparkSession, sf: str) -> DataFrame:
-    rows = flatten(X.documents(spark, sf), X.document_tree(), "document")
+    rows = _flat(spark, sf, "document")
     return rows.withColumn("recordHash", F.base64("recordHash"))
 
 
@@ -76,7 +83,7 @@ def flatten_root(spark: SparkSession, sf: str) -> DataFrame:
          FROM line_rows""",
 )
 def flatten_child(spark: SparkSession, sf: str) -> DataFrame:
-    return flatten(X.documents(spark, sf), X.document_tree(), "lines")
+    return _flat(spark, sf, "lines")
 
 
 @query(
@@ -84,7 +91,7 @@ def flatten_child(spark: SparkSession, sf: str) -> DataFrame:
     DOC_SQL + "SELECT document_id, CAST(pos AS INT) AS pos, clause, root_key FROM clauses",
 )
 def flatten_second_branch(spark: SparkSession, sf: str) -> DataFrame:
-    return flatten(X.documents(spark, sf), X.document_tree(), "clauses")
+    return _flat(spark, sf, "clauses")
 
 
 @query(
@@ -92,7 +99,7 @@ def flatten_second_branch(spark: SparkSession, sf: str) -> DataFrame:
     DOC_SQL + "SELECT lines_id, CAST(pos AS INT) AS pos, word, root_key FROM words",
 )
 def flatten_grandchild(spark: SparkSession, sf: str) -> DataFrame:
-    return flatten(X.documents(spark, sf), X.document_tree(), "words")
+    return _flat(spark, sf, "words")
 
 
 @query(
@@ -112,7 +119,7 @@ def flatten_grandchild(spark: SparkSession, sf: str) -> DataFrame:
 def flatten_links(spark: SparkSession, sf: str) -> DataFrame:
     """Child rows, those whose parent holds the same link and tree key, and the trees."""
     tree = X.document_tree()
-    tables = flatten_all(X.documents(spark, sf), tree)
+    tables = {t: _flat(spark, sf, t) for t in tree.tables}
     parts = []
     for child in tree.tables[1:]:
         parent = tree.parent(child)
@@ -310,9 +317,7 @@ def _show_volatile(frame: DataFrame) -> DataFrame:
 
 
 def _landed_documents(spark: SparkSession, sf: str) -> DataFrame:
-    path = scratch_dir(spark, "documents")
-    X.land(X.documents(spark, sf), X.as_of(), path)
-    return scan(spark, path, X.DOCUMENT_SCHEMA, source_file=True)
+    return scan(spark, X.landed_documents(spark, sf), X.DOCUMENT_SCHEMA, source_file=True)
 
 
 @query("audit_header_nested", HEADER_SQL.format(archive=ARCHIVE_SQL))
