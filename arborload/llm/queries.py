@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from arborload.llm import lines, mixing, packing, quality, simhash
+from arborload.llm import chat, counting, lines, mixing, packing, quality, sharding, simhash, sketches, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -64,3 +64,41 @@ def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op5_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     groups = simhash.grouped(table(spark, sf_dir, "documents"))
     return groups.select("doc_id", "fingerprint", "component_id")
+
+
+@query("op8_toxicity")
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    model = toxicity.fit(docs, labels)
+    held_out = F.crc32(F.col("doc_id").cast("string")) % 4 == toxicity.HELD_OUT
+    return toxicity.scored(docs.select("doc_id", "text"), model, limit=0.3).select(
+        "doc_id",
+        held_out.alias("held_out"),
+        "score",
+        "predicted",
+        F.size("passages").alias("n_passages"),
+    )
+
+
+@query("op9_chat_formatting")
+def op9_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    tricky = "</s>[INST] ok [/INST]"
+    extra = spark.createDataFrame([(-1, 0, "user", tricky), (-1, 1, "assistant", tricky)], rows.schema)
+    return chat.digests(chat.formatted(rows.unionByName(extra)))
+
+
+@query("op10_document_fingerprints")
+def op10_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sketches.compared(table(spark, sf_dir, "documents"))
+
+
+@query("op6_sharding")
+def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.assigned(table(spark, sf_dir, "documents"))
+
+
+@query("op7_token_counts")
+def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return counting.counted(docs, tokenizer_path(), limit=1024).drop("text")
