@@ -1,0 +1,74 @@
+from __future__ import annotations
+
+import hashlib
+import random
+
+from arborload.llm import chat
+from arborload.llm.queries import QUERIES
+
+SCHEMA = "conv_id long, turn long, role string, text string, extra string"
+
+
+def run(spark, rows):
+    frame = spark.createDataFrame([(*r, "x") for r in rows], SCHEMA)
+    return {r.conv_id: r for r in chat.formatted(frame).collect()}
+
+
+def test_hostile_texts_come_back(spark):
+    draw = random.Random(3)
+    parts = ["<s>", "</s>", "[INST]", "[/INST]", "[INST] ", " [/INST]", "\\", "\n", " ", "a", "日", "<", "[", "s>", "INST]", "/", "<s>user\n", "$1"]
+    roles = ["user", "assistant", "system", "tool\nx", "\\", "", None, "<s>", "a</s>"]
+    rows = [
+        (c, t, draw.choice(roles), draw.choice([None, "", "".join(draw.choices(parts, k=draw.randint(0, 8)))]))
+        for c in range(400)
+        for t in range(draw.randint(1, 5))
+    ]
+    found = run(spark, rows)
+    taken = set()
+    for conv, row in found.items():
+        expected = [(r or "", t or "") for c, _, r, t in rows if c == conv]
+        assert [(p.role, p.text) for p in row.parsed] == expected, row.formatted
+        taken.add(row.rounds)
+    assert taken >= {0, 1} or taken >= {0, 2}
+
+
+def test_plain_texts_are_not_escaped(spark):
+    row = run(spark, [(1, 0, "system", "be brief"), (1, 1, "user", "hi"), (1, 2, "assistant", "yes")])[1]
+    assert row.formatted == "<s>system\nbe brief</s>[INST] hi [/INST]<s>assistant\nyes</s>" and row.rounds == 0
+    assert [row.formatted[s.start : s.end] for s in row.loss_spans] == ["yes"]
+
+
+def test_only_the_conflicting_turn_is_escaped(spark):
+    row = run(spark, [(1, 0, "user", "c:\\dir is fine"), (1, 1, "assistant", "plain <b>"), (1, 2, "user", "last")])[1]
+    assert row.rounds == 1 and row.formatted == "[INST] c:\\\\dir is fine [/INST]<s>assistant\nplain <b></s>[INST] last [/INST]"
+
+
+def digest(rows):
+    rows = [(r or "", t or "") for r, t in rows]
+    loss = "".join(t for r, t in rows if r == "assistant")
+    return (
+        len(rows),
+        hashlib.sha256("".join(f"{r}\n{t}\n" for r, t in rows).encode()).hexdigest(),
+        len(loss),
+        hashlib.sha256(loss.encode()).hexdigest(),
+    )
+
+
+def test_odd_rows(spark):
+    rows = [(None, 0, "user", "a"), (None, None, None, None), (2, 1, "assistant", "b"), (2, 1, "assistant", "b"), (2, 0, "user", "x" * 200_000)]
+    found = {r.conv_id: r for r in chat.digests(chat.formatted(spark.createDataFrame([(*r, "x") for r in rows], SCHEMA))).collect()}
+    assert tuple(found[None])[1:5] == digest([(None, None), ("user", "a")])
+    assert tuple(found[2])[1:5] == digest([("user", "x" * 200_000), ("assistant", "b"), ("assistant", "b")])
+    empty = spark.createDataFrame([], SCHEMA)
+    assert chat.digests(chat.formatted(empty)).count() == 0
+
+
+def test_query(spark):
+    sf = "/root/testdata/sf0.001"
+    turns = {-1: [(0, "user", "</s>[INST] ok [/INST]"), (1, "assistant", "</s>[INST] ok [/INST]")]}
+    for r in spark.read.parquet(f"{sf}/conversations.parquet").collect():
+        turns.setdefault(r.conv_id, []).append((r.turn, r.role, r.text))
+    rows = QUERIES["op9_chat_formatting"](spark, sf).collect()
+    assert {r.conv_id: tuple(r)[1:5] for r in rows} == {
+        c: digest([(r, t) for _, r, t in sorted(rows)]) for c, rows in turns.items()
+    }

@@ -1,0 +1,100 @@
+from __future__ import annotations
+
+import hashlib
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from arborload.llm import sketches
+from arborload.llm.queries import QUERIES
+
+
+def shingles(text, n=5):
+    words = (text or "").split()
+    if not words:
+        return set()
+    return {tuple(words[i : i + n]) for i in range(max(1, len(words) - n + 1))}
+
+
+def likeness(a, b):
+    a, b = shingles(a), shingles(b)
+    return len(a & b) / len(a | b) if a | b else 1.0
+
+
+def neighbours(rows):
+    """(text, edited text, next text) of every row, in descending order of ids."""
+    ordered = sorted(rows, key=lambda r: -r[0])
+    for i, (doc, text) in enumerate(ordered):
+        after = ordered[(i + 1) % len(ordered)][1]
+        third = len(text) // 3
+        yield doc, text, text[: len(text) - third] + after[:third], after
+
+
+@pytest.mark.parametrize("ranges", [4000, 7, 1])
+def test_edited_texts_and_likeness(spark, make, monkeypatch, ranges):
+    monkeypatch.setattr(sketches, "RANGE_ROWS", ranges)
+    draw = random.Random(2)
+    vocabulary = [f"wö{i}" for i in range(60)]
+    rows = [(3 * i * i - 50, " ".join(draw.choices(vocabulary, k=draw.choice([0, 1, 4, 5, 30, 90])))) for i in range(60)]
+    found = {r.doc_id: r for r in sketches.compared(make([(i, t, "s") for i, t in rows])).collect()}
+    assert len(found) == len(rows)
+    for doc, text, edited, after in neighbours(rows):
+        r = found[doc]
+        assert r.n_chars == len(text) and r.edited_sha256 == hashlib.sha256(edited.encode()).hexdigest()
+        assert (r.fingerprint == r.edited_fingerprint) == (shingles(text) == shingles(edited))
+        # All of these have fewer than k shingles, so the estimates are exact.
+        assert r.near_edited == pytest.approx(likeness(text, edited)) and r.near_next == pytest.approx(likeness(text, after))
+        assert r.n_shingles == len(shingles(text))
+
+
+def test_estimates_of_large_sets(spark, make):
+    draw = random.Random(1)
+    words = [f"w{draw.randrange(10**6)}" for _ in range(9000)]
+    a, b = " ".join(words[:6000]), " ".join(words[3000:])
+    row = make([(1, a, "s")]).select(
+        sketches.sketch("text").alias("a"), F.lit(b).alias("b")
+    ).select("a", sketches.sketch("b").alias("b")).select(
+        sketches.resemblance(F.col("a"), F.col("b")), sketches.containment(F.col("a"), F.col("b")), sketches.distinct_shingles(F.col("a"))
+    ).first()
+    assert row[0] == pytest.approx(1 / 3, abs=0.13) and row[1] == pytest.approx(1 / 2, abs=0.2)
+    assert row[2] == pytest.approx(5996, rel=0.3)
+
+
+def test_parts_merge_to_the_whole(spark, make):
+    draw = random.Random(8)
+    texts = [" ".join(draw.choices([f"w{i}" for i in range(500)], k=200)) for _ in range(20)]
+    rows = [(i, t, None if i % 5 == 0 else "hot" if i % 5 < 4 else "b") for i, t in enumerate(texts)] + [(99, "", "none")]
+    docs = sketches.sketched(make(rows), k=64)
+    merged = {r.source: r.sketch for r in sketches.merged_by(docs, "source", k=64).collect()}
+    by = {}
+    for r in docs.collect():
+        by.setdefault(r.source, set()).update(r.sketch)
+    assert merged == {s: sorted(h)[:64] for s, h in by.items()}
+
+
+def test_odd_rows(spark, make, odd):
+    found = sketches.compared(make(odd).withColumnRenamed("lang", "sketch")).collect()
+    assert sorted(str(r.doc_id) for r in found) == sorted(str(i) for i, _, _ in odd)
+    prints = {}
+    for r in found:
+        prints.setdefault(r.doc_id, set()).add(r.fingerprint)
+        assert 0 <= r.near_edited <= 1 and 0 <= r.near_next <= 1 and 0 <= r.kept_by_edited <= 1
+    assert prints[1] == prints[None] and len(prints[1]) == 1 and prints[2] == prints[3] == prints[4] == {""}
+    last = [r for r in found if r.doc_id is None][0]
+    text, first = "one two three four five six seven", "naïve 日本語 😀 <|endoftext|> it's\x00 ok\r\n\x0bend"
+    third = len(text) // 3
+    assert last.edited_sha256 == hashlib.sha256((text[: len(text) - third] + first[:third]).encode()).hexdigest()
+    assert sketches.compared(make([])).count() == 0
+    one = sketches.compared(make([(1, "a b c d e f", "s")])).first()
+    assert one.near_next == 1.0
+
+
+def test_query(spark):
+    sf = "/root/testdata/sf0.001"
+    rows = [(r.doc_id, r.text) for r in spark.read.parquet(f"{sf}/documents.parquet").collect()]
+    found = {r.doc_id: r for r in QUERIES["op10_document_fingerprints"](spark, sf).collect()}
+    for doc, text, edited, after in neighbours(rows):
+        r = found[doc]
+        assert r.edited_sha256 == hashlib.sha256(edited.encode()).hexdigest() and r.n_chars == len(text)
+        assert abs(r.near_edited - likeness(text, edited)) < 0.2 and abs(r.near_next - likeness(text, after)) < 0.2

@@ -1,0 +1,85 @@
+"""The pipeline, stage by stage, against plain versions that read each stage's input."""
+
+from __future__ import annotations
+
+from collections import Counter
+
+import pytest
+
+import brute_llm as brute
+import corpus_pipeline
+import __spark_entry__ as entry
+from test_packing import check
+
+SF = "/root/testdata/sf0.001"
+
+
+@pytest.fixture(scope="module")
+def stages(spark, tmp_path_factory):
+    """Input and output of every stage."""
+    folder = tmp_path_factory.mktemp("stages")
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    found = []
+    for number, (name, stage) in enumerate(corpus_pipeline.STAGES):
+        path = str(folder / str(number))
+        stage(spark, docs, SF).write.parquet(path)
+        after = spark.read.parquet(path)
+        found.append((name, docs, after))
+        docs = after
+    return found
+
+
+def test_stages(stages):
+    assert [n for n, _, _ in stages] == [
+        "quality rules", "line dedup", "SimHash near-dedup", "mixing sources to target weights", "packing",
+    ]
+    for _, before, after in stages[:-1]:
+        assert before.dtypes == after.dtypes and after.count() > 0
+
+
+def test_quality_rules_drop_and_change_nothing(stages):
+    _, before, after = stages[0]
+    assert not set(after.collect()) - set(before.collect())
+    for r in after.collect():
+        words, _, _, _, repeated = brute.base_statistics(r.text)
+        assert words >= 50 and 100 * repeated <= 50 * words
+
+
+def test_line_dedup_keeps_documents_and_takes_lines_from_them(stages):
+    _, before, after = stages[1]
+    old = {r.doc_id: r.text.split("\n") for r in before.collect()}
+    new = {r.doc_id: r for r in after.collect()}
+    assert old.keys() == new.keys()
+    for doc, r in new.items():
+        assert r.n_chars == len(r.text) and not Counter(r.text.split("\n")) - Counter(old[doc] + [""])
+
+
+def test_near_dedup_keeps_one_of_each_group(stages):
+    _, before, after = stages[2]
+    docs = sorted((r.doc_id, r.text) for r in before.collect())
+    roots = brute.components([brute.simhash(t) for _, t in docs], 4)
+    assert sorted(r.doc_id for r in after.collect()) == sorted({docs[r][0] for r in roots})
+
+
+def test_mixing_repeats_whole_documents(stages):
+    _, before, after = stages[3]
+    assert set(after.collect()) <= set(before.collect())
+
+
+def test_packing_holds_every_id_once(stages):
+    _, before, after = stages[4]
+    check(after.collect(), [(r.doc_id, r.text, r.source) for r in before.collect()], 1024)
+
+
+def test_run_and_registration(spark, stages):
+    assert entry.queries()["pipeline"] is corpus_pipeline.run
+    tokens = {r.doc_id: r.doc_tokens for r in stages[-1][2].collect()}
+    found = corpus_pipeline.run(spark, SF).collect()
+    assert {r.doc_id: r.doc_tokens for r in found} == tokens
+
+
+def test_empty_documents(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").limit(0)
+    for _, stage in corpus_pipeline.STAGES:
+        docs = stage(spark, docs, SF)
+        assert docs.count() == 0

@@ -1,0 +1,44 @@
+from __future__ import annotations
+
+import zlib
+from collections import Counter, defaultdict
+
+import pytest
+
+from arborload.llm import sharding
+
+
+def check(found, rows, shards):
+    assert Counter((r.doc_id, r["size"], r.text_crc32) for r in found) == Counter(
+        (i, len((t or "").encode()) + 16, zlib.crc32((t or "").encode())) for i, t, _ in rows
+    )
+    slots = defaultdict(list)
+    for r in found:
+        assert 0 <= r.shard < shards and r.law == "rows" and r.grown_shard is None
+        slots[r.shard].append(r.slot)
+    sizes = [len(slots[s]) for s in range(shards)]
+    assert max(sizes) - min(sizes) <= 1
+    assert all(sorted(s) == list(range(len(s))) for s in slots.values())
+
+
+def test_odd_rows(spark, make, odd):
+    check(sharding.assigned(make(odd), 4).collect(), odd, 4)
+    check(sharding.assigned(make(odd), 40).collect(), odd, 40)
+    assert sharding.assigned(make([]), 4).count() == 0
+
+
+def test_small_groups_stay_whole(spark, make):
+    rows = [(i, f"text {i // 3 if i < 90 else i}", "s") for i in range(400)]
+    found = sharding.assigned(make(rows), 8).collect()
+    check(found, rows, 8)
+    shards = defaultdict(set)
+    for r in found:
+        if r.linked:
+            shards[r.text_crc32].add(r.shard)
+    assert len(shards) == 30 and all(len(s) == 1 for s in shards.values())
+
+
+@pytest.mark.parametrize("share", [0.4, 1.0])
+def test_a_group_larger_than_a_shard_is_divided(spark, make, share):
+    rows = [(i, "same" if i < share * 500 else f"text {i}", "s") for i in range(500)]
+    check(sharding.assigned(make(rows), 10).collect(), rows, 10)
