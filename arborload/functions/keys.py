@@ -55,5 +55,5 @@ def row_key(link: str, pos: str) -> str:
 
 
 def bucket(key: str, buckets: int) -> str:
-    """Stable bucket number of a key, used to lay tables out on disk."""
-    return f"CAST(pmod(crc32(CAST({key} AS STRING)), {int(buckets)}) AS INT)"
+    """Stable bucket number of a key, used to lay tables out on disk; NULL has one too."""
+    return f"CAST(pmod(crc32(coalesce(CAST({key} AS STRING), '')), {int(buckets)}) AS INT)"

@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 from arborload.functions import keys
-from arborload.tree import POSITION, ROOT_KEY, Node, Tree, id_column, link_column
+from arborload.tree import BATCH_ID, POSITION, ROOT_KEY, Node, Tree, id_column, link_column
 
 _ROW = "__row"
 _LINK = "__link"
@@ -32,18 +32,37 @@ def _path_of(tree: Tree, name: str) -> str:
     return _dig(next(f.path for f in tree.root.fields if f.name.lower() == name.lower()))
 
 
+def version_values(tree: Tree) -> list[str]:
+    """SQL for the values that tell versions of a root apart; binary ones as hexadecimal text."""
+    values = []
+    for name in tree.version:
+        field = next(f for f in tree.root.fields if f.name.lower() == name.lower())
+        binary = isinstance(field.data_type, T.BinaryType)
+        values.append(f"hex({_dig(field.path)})" if binary else _dig(field.path))
+    return values
+
+
 def rejects(docs: DataFrame, tree: Tree) -> DataFrame:
     """Documents without a natural key; they cannot be linked and are not flattened."""
     return docs.where(f"{_path_of(tree, tree.key)} IS NULL")
 
 
-def flatten(docs: DataFrame, tree: Tree, table: str, carry: tuple[str, ...] = ()) -> DataFrame:
+def flatten(
+    docs: DataFrame,
+    tree: Tree,
+    table: str,
+    carry: tuple[str, ...] = (),
+    batch: str | None = None,
+    version: Sequence[str] | None = None,
+) -> DataFrame:
     """Rows of one table of the tree.
 
     Root rows keep their scalar columns; child rows get ``<parent>_id`` and ``pos``.
     Every row has a ``<child>_fk`` per child table (NULL when it has no children)
     and the ``root_key`` of its document.  ``carry`` names extra top-level columns,
-    such as the source file, that stay on the root rows.
+    such as the source file, that stay on the root rows.  ``batch`` is put on every
+    row as ``batch_id``.  ``version`` gives SQL for the values that tell versions of a
+    root apart, in place of the tree's version columns.
 
     Only ``posexplode`` and hashing are involved: there is no shuffle, and key
     hashes are computed once per parent row, below the explode.
@@ -51,13 +70,15 @@ def flatten(docs: DataFrame, tree: Tree, table: str, carry: tuple[str, ...] = ()
     line = tree.lineage(table)
     natural = _path_of(tree, tree.key)
     root_key = keys.root_key(tree.root.table, natural)
-    row = keys.root_row_key(tree.root.table, natural, [_path_of(tree, v) for v in tree.version])
+    row = keys.root_row_key(tree.root.table, natural, version_values(tree) if version is None else version)
+    tags = [ROOT_KEY] if batch is None else [ROOT_KEY, f"{keys.quoted(batch)} AS {BATCH_ID}"]
     frame = docs.where(f"{natural} IS NOT NULL")
 
     if len(line) == 1:
         scalars = [f"{_dig(f.path)} AS `{f.name}`" for f in tree.root.fields]
         links = _links(tree.root, None, row)
-        return frame.selectExpr(*scalars, *[f"`{c}`" for c in carry], *links, f"{root_key} AS {ROOT_KEY}")
+        tags[0] = f"{root_key} AS {ROOT_KEY}"
+        return frame.selectExpr(*scalars, *[f"`{c}`" for c in carry], *links, *tags)
 
     frame = frame.selectExpr(
         f"{root_key} AS {ROOT_KEY}", f"{row} AS {_ROW}", f"{_dig(line[1].array)} AS {_ELEMENT}"
@@ -81,7 +102,7 @@ def flatten(docs: DataFrame, tree: Tree, table: str, carry: tuple[str, ...] = ()
         POSITION,
         *[f"{_dig(f.path, _ELEMENT)} AS `{f.name}`" for f in node.fields],
         *_links(node, _ELEMENT, keys.row_key(_LINK, POSITION)),
-        ROOT_KEY,
+        *tags,
     )
 
 
@@ -95,6 +116,8 @@ def flatten_from(
     tree: Tree,
     schema: T.StructType,
     carry: tuple[str, ...] = (),
+    batch: str | None = None,
+    version: Sequence[str] | None = None,
 ) -> dict[str, DataFrame]:
     """Every table of the tree, each from its own narrow scan.
 
@@ -107,5 +130,5 @@ def flatten_from(
     for t in tree.tables:
         is_root = t == tree.root.table
         docs = read(tree.read_schema(t, schema), is_root)
-        out[t] = flatten(docs, tree, t, carry if is_root else ())
+        out[t] = flatten(docs, tree, t, carry if is_root else (), batch, version)
     return out

@@ -8,8 +8,8 @@ from datetime import datetime
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from arborload.functions.header import audit_header
-from arborload.tree import ROOT_KEY, Tree, id_column
+from arborload.functions.header import HEADER_FIELDS, SOURCE_FILE, audit_header
+from arborload.tree import BATCH_ID, ROOT_KEY, Tree, id_column
 
 # A projection is a list of select expressions, a function run_id -> such a list,
 # or a function (frame, run_id) -> frame for what a select list cannot say.
@@ -79,22 +79,29 @@ def project_tree(
     entity: str,
     run_id: str,
     as_of: datetime | None = None,
+    header: bool = True,
 ) -> dict[str, DataFrame]:
     """Project every flattened table under ``<entity>_<table>``.
 
-    The header goes on the root only.  Link columns, the parent id and the root
-    key stay on every table, since upserts and deletes need them.
+    The header goes on the root only, and only if ``header`` is set.  Link columns,
+    the parent id, the root key and the batch id stay on every table, since upserts
+    and deletes need them.  A table without a projection keeps its columns; of a root
+    with a header those are the ones the header does not hold already.
     """
     out = {}
     for table, frame in tables.items():
-        is_root = table == tree.root.table
+        with_header = header and table == tree.root.table
         parent = tree.parent(table)
         keep = [*tree.links(table), ROOT_KEY] + ([id_column(parent)] if parent else [])
-        out[table] = project(
-            frame,
-            projections.select_list(f"{entity}_{table}", run_id),
-            header="flattened" if is_root else None,
-            as_of=as_of,
-            keep=keep,
-        )
+        keep += [BATCH_ID] if BATCH_ID in frame.columns else []
+        name = f"{entity}_{table}"
+        if name in projections:
+            select = projections.select_list(name, run_id)
+        elif with_header:
+            held = {c.lower() for c in (*HEADER_FIELDS.values(), SOURCE_FILE)}
+            select = [f"`{c}`" for c in frame.columns if c.lower() not in held]
+        else:
+            out[table] = frame
+            continue
+        out[table] = project(frame, select, "flattened" if with_header else None, as_of, keep)
     return out

@@ -21,6 +21,13 @@ class Mode(str, Enum):
     DELETE = "delete"
 
 
+class Versions(str, Enum):
+    """What a run does with several documents of one root in a batch."""
+
+    KEEP_ALL = "keep_all"
+    LATEST = "latest"
+
+
 @dataclass(frozen=True)
 class Feed:
     """One feed of one source.
@@ -30,6 +37,12 @@ class Feed:
     ``<source>_<name>`` or ``<source>_<name>_<table>``; tables without one keep
     their columns.  ``where`` filters documents at the scan, ``transform`` changes
     them before anything else.  ``delete_path`` is the key inside a delete feed.
+
+    ``on_duplicate_root`` says what becomes of documents that share a natural key.
+    ``keep_all`` keeps each with its own subtree; exact copies count as one.  They are
+    told apart by the tree's version columns, else by ``recordHash``, else by a digest
+    of the whole document.  ``latest`` keeps the one that is largest by the paths in
+    ``latest_by`` (those that the schema has), then by its digest.
     """
 
     source: str
@@ -43,6 +56,8 @@ class Feed:
     where: str | None = None
     transform: Callable[[DataFrame], DataFrame] | None = None
     delete_path: str | None = None
+    on_duplicate_root: Versions | str = Versions.KEEP_ALL
+    latest_by: tuple[str, ...] = ("header.ingestDateTime", "header.collectionDate")
 
     def __post_init__(self) -> None:
         for name in ("source", "name", "landing"):
@@ -50,6 +65,7 @@ class Feed:
                 raise ValueError(f"missing {name}")
         if not self.schema.fields:
             raise ValueError("missing schema")
+        Versions(self.on_duplicate_root)
 
     @property
     def entity(self) -> str:

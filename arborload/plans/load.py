@@ -2,30 +2,39 @@
 
 from __future__ import annotations
 
+import re
+import uuid
 from collections.abc import Callable, Iterable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
-from dataclasses import dataclass, field
-from datetime import datetime
+from dataclasses import dataclass, field, replace
+from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from arborload.functions import keys as K
 from arborload.functions.header import SOURCE_FILE, VOLATILE
-from arborload.operators import changes, links, quality, reports
+from arborload.operators import links, quality, reports
 from arborload.operators.columns import align
 from arborload.operators.flatten import flatten_from, rejects
 from arborload.operators.metrics import Metrics
 from arborload.operators.project import project, project_tree
-from arborload.plans.config import Feed, Mode
+from arborload.plans.config import Feed, Mode, Versions
 from arborload.sinks.reports import report_path, write_rows, write_summary
 from arborload.sinks.tables import BUCKET, Tables
 from arborload.sources.csv import CsvTransform, csv_to_parquet
-from arborload.sources.landing import Granularity, delete_keys, scan
-from arborload.sources.scratch import BROADCAST_ROWS, materialise, sized
-from arborload.tree import ROOT_KEY, Tree
+from arborload.sources.landing import Granularity, delete_keys, list_files, scan
+from arborload.sources.scratch import materialise, remove
+from arborload.streaming.incremental import load_file_names
+from arborload.tree import ROOT_KEY, Tree, with_paths
 
 PARALLEL_WRITES = 4
+RECORD_HASH = "recordHash"
+_DIGEST = "__document_digest"
+_ORDER = "__order"
+
+Read = Callable[[T.StructType, bool], DataFrame]
 
 
 @dataclass
@@ -48,6 +57,7 @@ def run(
     granularity: Granularity | str = Granularity.ALL,
     as_of: datetime | None = None,
     reports_to: str | None = None,
+    state: str | None = None,
 ) -> Outcome:
     """Run one batch of a feed.
 
@@ -55,22 +65,34 @@ def run(
     subtree, ``delete`` reads the batch as a delete feed and inserts nothing.  An
     unknown mode raises ``ValueError``.  Repeating an upsert or a delete with the
     same batch changes nothing.
+
+    The clock is read once and the files are listed once, so all tables load the same
+    files whatever happens in the landing area meanwhile.  With the granularity
+    ``new`` the files are those that no earlier run with the same ``state`` folder has
+    seen, in batches; a batch that failed is repeated, so only ``upsert`` and
+    ``delete`` are allowed.
     """
-    mode = Mode(mode)
+    mode, granularity = Mode(mode), Granularity(granularity)
+    as_of = as_of or datetime.now(timezone.utc)
     outcome = Outcome(Metrics(run_id))
+    if granularity is Granularity.NEW:
+        if state is None or mode is Mode.BULK:
+            raise ValueError("new files need a state folder, and upsert or delete")
+
+        def batch(files: list[str], number: int) -> None:
+            _run_files(spark, feed, mode, tables, files, outcome, as_of, reports_to)
+
+        load_file_names(spark, feed.landing, feed.schema, state, batch)
+    else:
+        files = list_files(spark, feed.landing, granularity, as_of, outcome.metrics, feed.entity)
+        _run_files(spark, feed, mode, tables, files, outcome, as_of, reports_to)
+    outcome.tables = list(dict.fromkeys(outcome.tables))
+    return outcome
 
+
+def _run_files(spark, feed: Feed, mode: Mode, tables: Tables, files, outcome: Outcome, as_of, reports_to) -> None:
     def read(schema: T.StructType, file: bool) -> DataFrame:
-        docs = scan(
-            spark,
-            feed.landing,
-            schema,
-            granularity,
-            as_of,
-            source_file=file,
-            metrics=outcome.metrics if file else None,
-            entity=feed.entity,
-        )
-        return docs
+        return scan(spark, feed.landing, schema, source_file=file, files=files)
 
     if mode is Mode.DELETE:
         _delete(feed, tables, read, outcome, reports_to, as_of)
@@ -78,28 +100,105 @@ def run(
         _load_flat(feed, mode, tables, read, outcome, as_of)
     else:
         _load_tree(feed, feed.tree, mode, tables, read, outcome, reports_to, as_of)
-    return outcome
 
 
-def _documents(feed: Feed, read: Callable[[T.StructType, bool], DataFrame]):
-    """Reader that applies the feed's filter and transform.
+# -- documents ---------------------------------------------------------------
+
+
+def _changed(feed: Feed, docs: DataFrame) -> DataFrame:
+    """Documents after the feed's filter and transform."""
+    if feed.where is not None:
+        docs = docs.where(feed.where)
+    return docs.transform(feed.transform) if feed.transform is not None else docs
+
+
+def _paths_in(condition: str, schema: T.StructType) -> list[tuple[str, ...]]:
+    """Columns of the schema that a condition may name; naming too many does no harm."""
+    bare = re.sub(r"'(?:[^'\\]|\\.)*'", " ", condition)
+    found = []
+    for words in re.findall(r"(?:`[^`]+`|\w+)(?:\s*\.\s*(?:`[^`]+`|\w+))*", bare):
+        path, inside = [], schema
+        for word in re.findall(r"`[^`]+`|\w+", words):
+            if not isinstance(inside, T.StructType):
+                break
+            here = next((f for f in inside.fields if f.name.lower() == word.strip("`").lower()), None)
+            if here is None:
+                break
+            path.append(here.name)
+            inside = here.dataType.elementType if isinstance(here.dataType, T.ArrayType) else here.dataType
+        if path:
+            found.append(tuple(path))
+    return found
+
+
+def _digest(schema: T.StructType) -> str:
+    columns = ", ".join(f"`{f.name}`" for f in schema.fields)
+    return f"md5(to_json(struct({columns}), map('ignoreNullFields', 'false')))"
+
+
+def _latest(feed: Feed, tree: Tree, docs: DataFrame) -> DataFrame:
+    """The newest document of every natural key; documents without a key all stay."""
+    key = ".".join(f"`{p}`" for p in next(f.path for f in tree.root.fields if f.name.lower() == tree.key.lower()))
+    known = [p for p in feed.latest_by if _paths_in(p, feed.schema) == [tuple(p.split("."))]]
+    order = [f"{p} AS {_ORDER}{i}" for i, p in enumerate(known)]
+    ordered = docs.selectExpr("*", f"{key} AS {_ORDER}key", *order, f"{_digest(feed.schema)} AS {_ORDER}last")
+    names = [f"{_ORDER}{i}" for i in range(len(known))] + [f"{_ORDER}last"]
+    newest = quality.latest_per_key(ordered.where(f"{_ORDER}key IS NOT NULL"), [f"{_ORDER}key"], names)
+    return newest.unionByName(ordered.where(f"{_ORDER}key IS NULL")).drop(f"{_ORDER}key", *names)
+
+
+@dataclass
+class _Documents:
+    """How a run reads its documents: with which schema, and what tells versions apart."""
+
+    read: Read
+    tree: Tree
+    version: list[str] | None = None
+    written: str | None = None
 
-    Both may use any column, so a feed that has them is read with its whole schema
-    and Spark prunes what it can; other feeds get the narrow schemas.
+
+def _documents(feed: Feed, tree: Tree, tables: Tables, read: Read) -> _Documents:
+    """Reader that applies the feed's filter, transform and choice of versions.
+
+    A table reads only the columns it needs, and those the filter names.  A transform,
+    the choice of the latest version, and telling versions apart without a record hash
+    need whole documents: these are then written once and read from there.
     """
+    latest = Versions(feed.on_duplicate_root) is Versions.LATEST
+    digest = False
+    if not tree.version:
+        if any(f.name.lower() == RECORD_HASH.lower() for f in tree.root.fields):
+            tree = replace(tree, version=(RECORD_HASH,))
+        else:
+            digest = not latest
+    if feed.transform is None and not latest and not digest:
+        named = _paths_in(feed.where, feed.schema) if feed.where is not None else []
+
+        def narrow(schema: T.StructType, file: bool) -> DataFrame:
+            return _changed(feed, read(with_paths(schema, feed.schema, named), file))
+
+        return _Documents(narrow, tree)
 
-    def documents(schema: T.StructType, file: bool) -> DataFrame:
-        whole = feed.where is not None or feed.transform is not None
-        docs = read(feed.schema if whole else schema, file)
-        if feed.where is not None:
-            docs = docs.where(feed.where)
-        return docs.transform(feed.transform) if feed.transform is not None else docs
+    docs = _changed(feed, read(feed.schema, True))
+    if latest:
+        docs = _latest(feed, tree, docs)
+    if digest:
+        docs = docs.withColumn(_DIGEST, F.expr(_digest(feed.schema)))
+    whole, path = materialise(docs, tables.work, "documents")
+    extra = {f.name: f for f in whole.schema.fields if f.name not in feed.schema.fieldNames()}
 
-    return documents
+    def written(schema: T.StructType, file: bool) -> DataFrame:
+        fields = schema.fields + [f for n, f in extra.items() if file or n != SOURCE_FILE]
+        return whole.sparkSession.read.schema(T.StructType(fields)).parquet(path)
+
+    return _Documents(written, tree, [_DIGEST] if digest else None, path)
+
+
+# -- loads -------------------------------------------------------------------
 
 
 def _load_flat(feed, mode, tables: Tables, read, outcome: Outcome, as_of) -> None:
-    docs = _documents(feed, read)(feed.schema, True)
+    docs = _changed(feed, read(feed.schema, True))
     run_id = outcome.metrics.run_id
     if feed.entity in feed.projections:
         docs = project(
@@ -109,29 +208,38 @@ def _load_flat(feed, mode, tables: Tables, read, outcome: Outcome, as_of) -> Non
             as_of=as_of,
         )
     counted = outcome.metrics.rows(docs, feed.entity)
-    if mode is Mode.BULK or not tables.exists(feed.entity):
-        tables.append(counted, feed.entity)
-    else:
-        merged = changes.merge_by_key(tables.read(feed.entity), counted, feed.natural_key)
-        tables.replace(feed.entity, merged)
     outcome.tables.append(feed.entity)
+    if mode is Mode.BULK or not tables.exists(feed.entity):
+        tables.append(counted, feed.entity, key=feed.key)
+        return
+    staged = tables.read(tables.stage(counted, feed.entity))
+    keys = staged.select(feed.natural_key).where(f"`{feed.natural_key}` IS NOT NULL").distinct()
+    _change_flat(feed, tables, keys, staged)
+    tables.drop(f"stage_{feed.entity}")
+
+
+def _change_flat(feed: Feed, tables: Tables, keys: DataFrame, fresh: DataFrame | None) -> None:
+    key, buckets = feed.natural_key, tables.bucket_count(feed.entity)
+    bucketed = quality.distinct_rows(keys.selectExpr(f"`{key}`", f"{K.bucket(f'`{key}`', buckets)} AS {BUCKET}"))
+    saved, path = materialise(bucketed, tables.work, "keys")
+    tables.publish(tables.rewrite(feed.entity, saved, _buckets_of(saved), fresh))
+    remove(tables.spark, path)
+
+
+def _buckets_of(keys: DataFrame) -> list[int]:
+    """The buckets of a key set: no more than the table has."""
+    return sorted(r[0] for r in keys.select(BUCKET).distinct().collect())
 
 
 def _load_tree(
     feed: Feed, tree: Tree, mode, tables: Tables, read, outcome: Outcome, reports_to, as_of
 ) -> None:
     metrics = outcome.metrics
-    documents = _documents(feed, read)
+    documents = _documents(feed, tree, tables, read)
+    tree = documents.tree
     carry = (SOURCE_FILE,) if feed.header else ()
-    flat = flatten_from(documents, tree, feed.schema, carry)
-    known = {t for t in tree.tables if feed.table(t) in feed.projections}
-    shaped = dict(flat)
-    if known:
-        shaped.update(
-            project_tree(
-                {t: flat[t] for t in known}, tree, feed.projections, feed.entity, metrics.run_id, as_of
-            )
-        )
+    flat = flatten_from(documents.read, tree, feed.schema, carry, metrics.run_id, documents.version)
+    shaped = project_tree(flat, tree, feed.projections, feed.entity, metrics.run_id, as_of, feed.header)
     volatile = (*VOLATILE, SOURCE_FILE)
 
     def load(table: str) -> None:
@@ -149,12 +257,16 @@ def _load_tree(
 
     _each(tree.leaf_first(), load)
     outcome.tables += [feed.table(t) for t in tree.tables]
+    lost = metrics.rows(rejects(documents.read(feed.schema, True), tree), feed.entity, "rejected_rows")
     if reports_to:
         outcome.rejected = report_path(reports_to, "rejects", feed.entity, as_of)
-        lost = rejects(documents(feed.schema, True), tree)
-        lost.write.mode("overwrite").parquet(outcome.rejected)
+    else:
+        outcome.rejected = f"{tables.location}/{tables.database}/_rejects/{feed.entity}/{uuid.uuid4().hex}"
+    lost.write.mode("overwrite").parquet(outcome.rejected)
+    if documents.written:
+        remove(tables.spark, documents.written)
     if mode is Mode.UPSERT:
-        apply_upserts(tables, tree, feed.table, outcome, reports_to, as_of)
+        apply_upserts(tables, tree, feed.table, outcome, reports_to, as_of, distinct=False)
 
 
 def apply_upserts(
@@ -164,13 +276,19 @@ def apply_upserts(
     outcome: Outcome,
     reports_to: str | None = None,
     as_of: datetime | None = None,
+    distinct: bool = True,
 ) -> None:
-    """Replace the subtrees of all staged roots, then drop the stage tables."""
+    """Replace the subtrees of all staged roots, then drop the stage tables.
+
+    ``distinct`` removes repeated stage rows; stages that a run has made have none.
+    """
     stage = {t: tables.read(f"stage_{name(t)}") for t in tree.tables}
     gone = stage[tree.root.table].select(ROOT_KEY).distinct()
     report = None
     if reports_to:
         report = report_path(reports_to, "updates", name(tree.root.table), as_of)
+    if distinct:
+        stage = {t: quality.distinct_rows(align(rows, tables.schema(name(t)))) for t, rows in stage.items()}
     _apply(tables, tree, name, gone, stage, reports.update_counts, report)
     outcome.report = report
     for t in tree.tables:
@@ -200,33 +318,27 @@ def apply_deletes(
 def _apply(tables: Tables, tree: Tree, name, gone: DataFrame, stage, counts, report) -> None:
     """Write every table's touched buckets anew, then make them visible.
 
-    The key set is written once: it is used by each table, and its counted size
-    decides whether it may be broadcast.  All new files exist before the first
-    table changes; children are published before parents for deletes, and roots
-    last for upserts.
+    The key set is written once, as it is used by each table.  All rewritten buckets
+    exist before the first table changes; then children are published before their
+    parents.  A run that dies in between leaves some tables old and others new; since
+    a root that is still there is found again by its key, repeating the run from the
+    same batch gives the wanted tables.
     """
     buckets = tables.bucket_count(*[name(t) for t in tree.tables])
     bucketed = gone.selectExpr("*", f"{K.bucket(ROOT_KEY, buckets)} AS {BUCKET}")
-    saved, rows = materialise(bucketed, "root-keys")
-    touched = sorted(r[0] for r in saved.select(BUCKET).distinct().collect())
-    keys = sized(saved.select(ROOT_KEY), rows)
-    scattered = rows > BROADCAST_ROWS
-    old = {t: tables.in_buckets(name(t), touched) for t in tree.tables}
+    keys, path = materialise(bucketed, tables.work, "root-keys")
+    touched = _buckets_of(keys)
 
     if report is not None:
+        old = {t: tables.in_buckets(name(t), touched) for t in tree.tables}
         write_summary(counts(links.links_by_root(old, keys, tree), tree), report)
 
-    def rewrite(table: str) -> tuple[str, str]:
-        schema = tables.schema(name(table))
-        kept = old[table].join(keys, ROOT_KEY, "left_anti")
-        fresh = None
-        if stage is not None:
-            fresh = quality.distinct_rows(align(stage[table], schema))
-        return table, tables.write_buckets(name(table), kept, fresh, scattered)
+    def rewrite(table: str):
+        return tables.rewrite(name(table), keys, touched, None if stage is None else stage[table])
 
-    written = dict(_each(tree.leaf_first(), rewrite))
-    for table in tree.leaf_first():
-        tables.publish_buckets(name(table), written[table], touched)
+    for change in _each(tree.leaf_first(), rewrite):
+        tables.publish(change)
+    remove(tables.spark, path)
 
 
 def _delete(feed: Feed, tables: Tables, read, outcome: Outcome, reports_to, as_of) -> None:
@@ -234,8 +346,7 @@ def _delete(feed: Feed, tables: Tables, read, outcome: Outcome, reports_to, as_o
         raise ValueError(f"{feed.entity} has no delete_path")
     keys = delete_keys(read(feed.schema, True), feed.delete_path, feed.natural_key)
     if feed.tree is None:
-        rows = changes.delete_by_key(tables.read(feed.entity), keys, feed.key)
-        tables.replace(feed.entity, rows)
+        _change_flat(feed, tables, links.distinct_keys(keys, feed.natural_key), None)
         outcome.tables.append(feed.entity)
         return
     apply_deletes(tables, feed.tree, feed.table, keys, outcome, reports_to, as_of)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import types as T
 
+from arborload.functions.header import HEADER_FIELDS
 from arborload.tree import Tree
 
 ROOT = "nominal"
@@ -71,20 +72,7 @@ COLUMNS = {
 }
 
 HEADER = T.StructType(
-    [T.StructField("recordHash", T.BinaryType())]
-    + [
-        T.StructField(name, T.StringType())
-        for name in (
-            "dataFeedId",
-            "collectDataFeedTaskId",
-            "ingestDataFeedTaskId",
-            "collectionDate",
-            "ingestDateTime",
-            "dataFormat",
-            "sourceFilename",
-            "sourceZipArchive",
-        )
-    ]
+    [T.StructField(f, T.BinaryType() if f == "recordHash" else T.StringType()) for f in HEADER_FIELDS.values()]
 )
 
 

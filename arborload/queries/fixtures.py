@@ -6,6 +6,8 @@ one document.
 
 from __future__ import annotations
 
+import tempfile
+import uuid
 from collections.abc import Callable, Sequence
 from datetime import datetime
 
@@ -16,7 +18,6 @@ from pyspark.sql import types as T
 from arborload.functions import keys as K
 from arborload.plans import nominal
 from arborload.sources.landing import PARTITIONS
-from arborload.sources.scratch import scratch_dir
 from arborload.tree import ROOT_KEY, Tree, id_column, link_column
 
 RUN_ID = "run-1"
@@ -36,6 +37,20 @@ NEW_CUSTOMER = 1_000_000_000
 NEW_ORDER = 1_000_000_000_000
 
 
+def scratch_dir(spark: SparkSession, name: str) -> str:
+    """A new directory name under ``spark.checkpoint.dir``, for the inputs that queries derive.
+
+    Where the setting is absent, a local session uses a temporary folder; a cluster has
+    no folder all executors can see, so there it is an error.
+    """
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if not base:
+        if not spark.conf.get("spark.master", "").startswith("local["):
+            raise ValueError("spark.checkpoint.dir must name a folder all executors share")
+        base = tempfile.mkdtemp(prefix="arborload-")
+    return f"{base.rstrip('/')}/arborload/{name}-{uuid.uuid4().hex}"
+
+
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
@@ -56,22 +71,38 @@ def header_struct(key: Column, feed: Column, lang: Column, content: Column) -> C
         F.concat(F.lit("collect-"), lang).alias("collectDataFeedTaskId"),
         F.concat(F.lit("ingest-"), lang).alias("ingestDataFeedTaskId"),
         F.lit("2024-02-01").alias("collectionDate"),
-        F.lit("2024-02-01T00:00:00Z").alias("ingestDateTime"),
+        F.lit(INGESTED).alias("ingestDateTime"),
         F.lit("text").alias("dataFormat"),
         F.concat_ws("/", feed, key.cast("string")).alias("sourceFilename"),
         archive.alias("sourceZipArchive"),
     )
 
 
+# Edge rows next to the texts: documents without lines (NULL) and with an empty list of clauses.
+NO_LINES, NO_CLAUSES = "none", "empty"
+EDGE_DOCUMENT = -1_000_000_000
+INGESTED = "2024-02-01T00:00:00Z"
+
+
+def texts(spark: SparkSession, sf: str) -> DataFrame:
+    """All texts, and the edge rows, one per region."""
+    columns = ["doc_id", "text", "lang", "source", "n_chars"]
+    edges = table(spark, sf, "region").select(
+        (F.lit(EDGE_DOCUMENT) - F.col("r_regionkey")).cast("bigint").alias("doc_id"),
+        F.col("r_name").alias("text"),
+        F.when(F.col("r_regionkey") % 2 == 0, NO_LINES).otherwise(NO_CLAUSES).alias("lang"),
+        F.lit("edge").alias("source"),
+        F.length("r_name").cast("bigint").alias("n_chars"),
+    )
+    return table(spark, sf, "documents").select(columns).unionByName(edges)
+
+
 def documents(spark: SparkSession, sf: str) -> DataFrame:
-    return documents_of(table(spark, sf, "documents"))
+    return documents_of(texts(spark, sf))
 
 
 def documents_of(texts: DataFrame) -> DataFrame:
-    """One nested document per text: lines that hold words, and clauses.
-
-    German texts have no lines (NULL) and Spanish ones an empty list of clauses.
-    """
+    """One nested document per text: lines that hold words, and clauses."""
     lines = _pieces(
         F.col("text"),
         "\n",
@@ -87,8 +118,8 @@ def documents_of(texts: DataFrame) -> DataFrame:
         "lang",
         "source",
         "n_chars",
-        F.when(F.col("lang") != "de", lines).alias("lines"),
-        F.when(F.col("lang") == "es", F.slice(clauses, 1, 0)).otherwise(clauses).alias("clauses"),
+        F.when(F.col("lang") != NO_LINES, lines).alias("lines"),
+        F.when(F.col("lang") == NO_CLAUSES, F.slice(clauses, 1, 0)).otherwise(clauses).alias("clauses"),
     )
     header = header_struct(F.col("doc_id"), F.col("source"), F.col("lang"), F.col("text"))
     return texts.select(header.alias("header"), body.alias("body"))
@@ -153,10 +184,13 @@ NOMINAL_CUTS = {
 
 
 def _nominal_struct(name: str, text: str, key: str | None = None) -> str:
-    """SQL for one row of a table: its text in the first column, its pieces in the arrays."""
+    """SQL for one row of a table: its text in the first column, its pieces in the arrays.
+
+    The other columns hold their number and the length of the text.
+    """
     parts = []
     first = True
-    for f in nominal.table_schema(name).fields:
+    for i, f in enumerate(nominal.table_schema(name).fields):
         child = f.name.lower()
         if isinstance(f.dataType, T.ArrayType):
             cut = NOMINAL_CUTS[child].replace(".", "[.]").replace("\n", "\\n")
@@ -164,7 +198,7 @@ def _nominal_struct(name: str, text: str, key: str | None = None) -> str:
         elif first:
             value, first = key or text, False
         else:
-            value = "CAST(NULL AS STRING)"
+            value = f"concat('{i}:', length({text}))"
         parts.append(f"'{f.name}', {value}")
     return f"named_struct({', '.join(parts)})"
 
@@ -426,4 +460,4 @@ def land(frame: DataFrame, at: Column, path: str, spread_by: Sequence[str] = ())
     rows = frame.select("*", *stamps)
     if spread_by:
         rows = rows.repartitionByRange(*PARTITIONS, *spread_by)
-    rows.write.partitionBy(*PARTITIONS).parquet(path)
+    rows.write.mode("append").partitionBy(*PARTITIONS).parquet(path)

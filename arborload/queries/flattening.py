@@ -17,20 +17,31 @@ from arborload.plans import nominal
 from arborload.queries import fixtures as X
 from arborload.queries.registry import query
 from arborload.sources.landing import scan
-from arborload.sources.scratch import scratch_dir
-from arborload.tree import ROOT_KEY
-
-# The document tree in SQL: lines, words and clauses with their links.
-DOC_SQL = """
-    WITH docs AS (
-        SELECT *, md5(concat_ws('|', 'document', doc_id)) AS root_key FROM documents
+from arborload.tree import BATCH_ID, ROOT_KEY
+
+TEXTS_SQL = f"""
+        SELECT doc_id, text, lang, source, n_chars, '{X.INGESTED}' AS ingested FROM documents
+        UNION ALL
+        SELECT {X.EDGE_DOCUMENT} - r_regionkey, r_name,
+               CASE WHEN r_regionkey % 2 = 0 THEN '{X.NO_LINES}' ELSE '{X.NO_CLAUSES}' END, 'edge',
+               length(r_name), '{X.INGESTED}' FROM region"""
+ONE_VERSION = "md5(concat_ws('|', 'document', doc_id))"
+BY_HASH = f"md5(concat_ws('|', {ONE_VERSION}, md5(upper(sha256(text)))))"
+
+
+def doc_sql(texts: str = TEXTS_SQL, row_key: str = ONE_VERSION) -> str:
+    """The document tree in SQL: roots, lines, words and clauses with their links."""
+    return f"""
+    WITH texts AS ({texts}),
+    docs AS (
+        SELECT *, {ONE_VERSION} AS root_key, {row_key} AS row_key FROM texts
     ),
     lines AS (
-        SELECT root_key, md5(concat_ws('|', 'lines', root_key)) AS document_id, pos - 1 AS pos, line
+        SELECT root_key, md5(concat_ws('|', 'lines', row_key)) AS document_id, pos - 1 AS pos, line
         FROM (
-            SELECT root_key, unnest(string_split(text, chr(10))) AS line,
+            SELECT root_key, row_key, unnest(string_split(text, chr(10))) AS line,
                    generate_subscripts(string_split(text, chr(10)), 1) AS pos
-            FROM docs WHERE lang <> 'de')
+            FROM docs WHERE lang <> '{X.NO_LINES}')
     ),
     line_rows AS (
         SELECT *, md5(concat_ws('|', 'words', md5(concat_ws('|', document_id, pos)))) AS words_fk FROM lines
@@ -43,31 +54,53 @@ DOC_SQL = """
             FROM line_rows)
     ),
     clauses AS (
-        SELECT root_key, md5(concat_ws('|', 'clauses', root_key)) AS document_id, pos - 1 AS pos, clause
+        SELECT root_key, md5(concat_ws('|', 'clauses', row_key)) AS document_id, pos - 1 AS pos, clause
         FROM (
-            SELECT root_key, unnest(string_split(text, ', ')) AS clause,
+            SELECT root_key, row_key, unnest(string_split(text, ', ')) AS clause,
                    generate_subscripts(string_split(text, ', '), 1) AS pos
-            FROM docs WHERE lang <> 'es')
+            FROM docs WHERE lang <> '{X.NO_CLAUSES}')
     ),
     roots AS (
         SELECT unhex(sha256(text)) AS recordHash, source AS dataFeedId,
                'collect-' || lang AS collectDataFeedTaskId, 'ingest-' || lang AS ingestDataFeedTaskId,
-               '2024-02-01' AS collectionDate, '2024-02-01T00:00:00Z' AS ingestDateTime,
+               '2024-02-01' AS collectionDate, ingested AS ingestDateTime,
                'text' AS dataFormat, source || '/' || doc_id AS sourceFilename,
                CASE lang WHEN 'en' THEN '' WHEN 'fr' THEN source || '.zip' END AS sourceZipArchive,
                doc_id, lang, source, n_chars,
-               CASE WHEN lang <> 'de' THEN md5(concat_ws('|', 'lines', root_key)) END AS lines_fk,
-               CASE WHEN lang <> 'es' THEN md5(concat_ws('|', 'clauses', root_key)) END AS clauses_fk,
+               CASE WHEN lang <> '{X.NO_LINES}' THEN md5(concat_ws('|', 'lines', row_key)) END AS lines_fk,
+               CASE WHEN lang <> '{X.NO_CLAUSES}' THEN md5(concat_ws('|', 'clauses', row_key)) END AS clauses_fk,
                root_key
         FROM docs
     )"""
 
 
-def _flat(spark: SparkSession, sf: str, table: str) -> DataFrame:
+DOC_SQL = doc_sql()
+
+# Columns of the audit header with the SQL that gives them from the roots.
+HEADER_COLUMNS = {
+    "cdlz_header_record_hash_b64": "to_base64(recordHash)",
+    "cdlz_header_data_feed_id": "dataFeedId",
+    "cdlz_header_collect_data_feed_task_id": "collectDataFeedTaskId",
+    "cdlz_header_ingest_data_feed_task_id": "ingestDataFeedTaskId",
+    "cdlz_header_collection_date": "collectionDate",
+    "cdlz_header_ingest_date_time": "ingestDateTime",
+    "cdlz_header_data_format": "dataFormat",
+    "cdlz_header_source_filename": "sourceFilename",
+    "cdlz_header_source_zip_archive": "nullif(sourceZipArchive, '')",
+}
+
+
+def row_digest(columns) -> str:
+    """md5 over the columns, NULLs marked; the same text in Spark and in the checking SQL."""
+    shown = ", ".join(f"coalesce(CAST({c} AS {{text}}), '~')" for c in columns)
+    return f"md5(concat_ws('|', {shown}))"
+
+
+def _flat(spark: SparkSession, sf: str, table: str, batch: str | None = None) -> DataFrame:
     """One table of the document tree, from a narrow scan of the landed documents."""
     tree = X.document_tree()
     docs = scan(spark, X.landed_documents(spark, sf), tree.read_schema(table, X.DOCUMENT_SCHEMA))
-    return flatten(docs, tree, table)
+    return flatten(docs, tree, table, batch=batch)
 
 
 @query("flatten_root", DOC_SQL + "SELECT * REPLACE (to_base64(recordHash) AS recordHash) FROM roots")
@@ -108,35 +141,40 @@ def flatten_grandchild(spark: SparkSession, sf: str) -> DataFrame:
     + """
     SELECT 'lines' AS child, (SELECT count(*) FROM lines) AS child_rows,
            (SELECT count(*) FROM lines) AS linked_rows,
-           (SELECT count(DISTINCT root_key) FROM lines) AS trees
+           (SELECT count(DISTINCT root_key) FROM lines) AS trees, 'run-1' AS batch
     UNION ALL
     SELECT 'words', (SELECT count(*) FROM words), (SELECT count(*) FROM words),
-           (SELECT count(DISTINCT root_key) FROM words)
+           (SELECT count(DISTINCT root_key) FROM words), 'run-1'
     UNION ALL
     SELECT 'clauses', (SELECT count(*) FROM clauses), (SELECT count(*) FROM clauses),
-           (SELECT count(DISTINCT root_key) FROM clauses)""",
+           (SELECT count(DISTINCT root_key) FROM clauses), 'run-1'""",
 )
 def flatten_links(spark: SparkSession, sf: str) -> DataFrame:
-    """Child rows, those whose parent holds the same link and tree key, and the trees."""
+    """Child rows, those whose parent holds the same link, tree key and batch, and the trees."""
     tree = X.document_tree()
-    tables = {t: _flat(spark, sf, t) for t in tree.tables}
+    tables = {t: _flat(spark, sf, t, X.RUN_ID) for t in tree.tables}
     parts = []
     for child in tree.tables[1:]:
         parent = tree.parent(child)
         links = tables[parent].select(
-            F.col(f"{child}_fk").alias(f"{parent}_id"), F.col(ROOT_KEY).alias("parent_root")
+            F.col(f"{child}_fk").alias(f"{parent}_id"),
+            F.col(ROOT_KEY).alias("parent_root"),
+            F.col(BATCH_ID).alias("parent_batch"),
         )
         joined = tables[child].join(links, f"{parent}_id", "left")
-        linked = F.col("parent_root") == F.col(ROOT_KEY)
+        linked = (F.col("parent_root") == F.col(ROOT_KEY)) & (F.col("parent_batch") == F.col(BATCH_ID))
         # Partial counts per tree keep a large document from gathering in one task.
         per_tree = joined.groupBy(ROOT_KEY).agg(
-            F.count(F.lit(1)).alias("n"), F.count(F.when(linked, 1)).alias("linked")
+            F.count(F.lit(1)).alias("n"),
+            F.count(F.when(linked, 1)).alias("linked"),
+            F.max(BATCH_ID).alias("batch"),
         )
         parts.append(
             per_tree.agg(
                 F.sum("n").alias("child_rows"),
                 F.sum("linked").alias("linked_rows"),
                 F.count(F.lit(1)).alias("trees"),
+                F.max("batch").alias("batch"),
             ).select(F.lit(child).alias("child"), "*")
         )
     return reduce(DataFrame.unionByName, parts)
@@ -152,8 +190,22 @@ def flatten_rejects(spark: SparkSession, sf: str) -> DataFrame:
     return lost.groupBy(F.col("body.source").alias("source")).agg(F.count(F.lit(1)).alias("rejected"))
 
 
+def _nominal_digest(name: str, expected: bool) -> str:
+    """md5 of all scalar columns of a row: as read, or as the text it was cut from gives them."""
+    parts, first = [], True
+    for i, f in enumerate(nominal.table_schema(name).fields):
+        if isinstance(f.dataType, T.ArrayType):
+            continue
+        value = f"'{i}:' || length(x)"
+        if first:
+            value = "CAST(doc_id AS VARCHAR)" if name == nominal.ROOT else "x"
+        parts.append(value if expected else f"`{f.name}`")
+        first = False
+    return f"md5(concat_ws('|', {', '.join(parts)}))"
+
+
 def _nominal_sql() -> str:
-    """Row counts of the 19 tables, each cut from the text of its parent."""
+    """Row counts and checksums of the 19 tables, each cut from the text of its parent."""
     tree = nominal.tree()
     ctes, selects = [], []
     for name in tree.tables:
@@ -167,8 +219,7 @@ def _nominal_sql() -> str:
         selects.append(
             f"SELECT '{name}' AS table_name, count(*) AS row_count, count(DISTINCT doc_id) AS trees, "
             f"count(*) * {len(tree.children(name))} AS links, "
-            f"CAST(sum({'length(CAST(doc_id AS VARCHAR))' if name == nominal.ROOT else 'length(x)'}) AS BIGINT) "
-            f"AS chars FROM {name}_t"
+            f"CAST(sum(('0x' || substr({_nominal_digest(name, True)}, 1, 8))::BIGINT) AS BIGINT) AS checksum FROM {name}_t"
         )
     return f"WITH {', '.join(ctes)} {' UNION ALL '.join(selects)}"
 
@@ -182,19 +233,19 @@ def flatten_nominal(spark: SparkSession, sf: str) -> DataFrame:
     parts = []
     for name in tree.tables:
         rows = tables[name]
-        text = tree.node(name).fields[0].name if name != nominal.ROOT else nominal.KEY
+        checksum = F.conv(F.substring(F.expr(_nominal_digest(name, False)), 1, 8), 16, 10).cast("bigint")
         links = [F.count(c) for c in tree.links(name)]
         counted = rows.groupBy(ROOT_KEY).agg(
             F.count(F.lit(1)).alias("n"),
             (reduce(lambda a, b: a + b, links) if links else F.lit(0).cast("bigint")).alias("k"),
-            F.sum(F.length(text)).cast("bigint").alias("c"),
+            F.sum(checksum).alias("c"),
         )
         parts.append(
             counted.agg(
                 F.sum("n").alias("row_count"),
                 F.count(F.lit(1)).alias("trees"),
                 F.sum("k").alias("links"),
-                F.sum("c").alias("chars"),
+                F.sum("c").cast("bigint").alias("checksum"),
             ).select(F.lit(name).alias("table_name"), "*")
         )
     return reduce(DataFrame.unionByName, parts)
@@ -264,35 +315,43 @@ def _projections() -> Projections:
     )
 
 
-@query(
-    "project_flattened",
-    DOC_SQL
-    + """
-    SELECT to_base64(recordHash) AS cdlz_header_record_hash_b64, dataFeedId AS cdlz_header_data_feed_id,
-           nullif(sourceZipArchive, '') AS cdlz_header_source_zip_archive,
-           r.doc_id, upper(lang) AS language, 'run-1' AS job_run_id,
-           CAST(coalesce(l.pos, -1) AS INT) AS line_no, l.line, l.words_fk
-    FROM roots r LEFT JOIN line_rows l ON r.lines_fk = l.document_id""",
-)
+PROJECTED = {
+    "document": [*HEADER_COLUMNS, "doc_id", "language", "n_chars", "job_run_id", "lines_fk", "clauses_fk"],
+    "lines": ["document_id", "line_no", "line", "line_chars", "words_fk"],
+    "words": ["lines_id", "word_no", "word"],
+    "clauses": ["document_id", "clause_no", "clause"],
+}
+
+
+def _projected_sql() -> str:
+    """Every projected table in SQL, a digest per row."""
+    known = {**HEADER_COLUMNS, "language": "upper(lang)", "job_run_id": "'run-1'", "word": "lower(word)"}
+    known |= {"line_no": "pos", "word_no": "pos", "clause_no": "pos", "line_chars": "length(line)"}
+    sources = {"document": "roots", "lines": "line_rows", "words": "words", "clauses": "clauses"}
+    parts = [
+        f"SELECT '{t}' AS table_name, root_key, {row_digest([known.get(c, c) for c in PROJECTED[t]])} AS content FROM {source}"
+        for t, source in sources.items()
+    ]
+    return " UNION ALL ".join(parts).replace("{text}", "VARCHAR")
+
+
+@query("project_flattened", DOC_SQL + _projected_sql())
 def project_flattened(spark: SparkSession, sf: str) -> DataFrame:
-    """The header is on the root only; its rows are shown with those of a child table."""
+    """Every projected table; the header is on the root only."""
     tree = X.document_tree()
     docs = X.documents(spark, sf).withColumn(SOURCE_FILE, F.lit("landed"))
     tables = {t: flatten(docs, tree, t, (SOURCE_FILE,) if t == "document" else ()) for t in tree.tables}
     shaped = project_tree(tables, tree, _projections(), "text_feed", X.RUN_ID, X.AS_OF)
     assert not [c for t in tree.tables[1:] for c in shaped[t].columns if c.startswith("cdlz_")]
-    root = shaped["document"].select(
-        "cdlz_header_record_hash_b64",
-        "cdlz_header_data_feed_id",
-        "cdlz_header_source_zip_archive",
-        "doc_id",
-        "language",
-        "job_run_id",
-        F.col("lines_fk").alias("document_id"),
-    )
-    lines = shaped["lines"].select("document_id", "line_no", "line", "words_fk")
-    rows = root.join(lines, "document_id", "left").drop("document_id")
-    return rows.withColumn("line_no", F.coalesce("line_no", F.lit(-1)))
+    parts = [
+        shaped[t].select(
+            F.lit(t).alias("table_name"),
+            ROOT_KEY,
+            F.expr(row_digest(columns).replace("{text}", "STRING")).alias("content"),
+        )
+        for t, columns in PROJECTED.items()
+    ]
+    return reduce(DataFrame.unionByName, parts)
 
 
 HEADER_SQL = """
@@ -303,11 +362,11 @@ HEADER_SQL = """
            'text' AS cdlz_header_data_format, source || '/' || doc_id AS cdlz_header_source_filename,
            {archive} AS cdlz_header_source_zip_archive,
            true AS loaded_as_of, true AS has_file, doc_id, 'run-1' AS job_run_id
-    FROM documents"""
+    FROM (""" + TEXTS_SQL + ")"
 ARCHIVE_SQL = "CASE lang WHEN 'en' THEN '' WHEN 'fr' THEN source || '.zip' END"
 
 
-def _show_volatile(frame: DataFrame) -> DataFrame:
+def show_volatile(frame: DataFrame) -> DataFrame:
     """Flags for the load time and the input file, whose name differs per run."""
     return frame.select(
         *[c for c in frame.columns if c not in ("glue_timestamp", "input_filename")],
@@ -320,18 +379,18 @@ def _landed_documents(spark: SparkSession, sf: str) -> DataFrame:
     return scan(spark, X.landed_documents(spark, sf), X.DOCUMENT_SCHEMA, source_file=True)
 
 
-@query("audit_header_nested", HEADER_SQL.format(archive=ARCHIVE_SQL))
+@query("audit_header_nested", HEADER_SQL.replace("{archive}", ARCHIVE_SQL))
 def audit_header_nested(spark: SparkSession, sf: str) -> DataFrame:
     docs = _landed_documents(spark, sf)
     select = ["body.doc_id AS doc_id", f"'{X.RUN_ID}' AS job_run_id"]
-    return _show_volatile(project(docs, select, header="nested", as_of=X.AS_OF))
+    return show_volatile(project(docs, select, header="nested", as_of=X.AS_OF))
 
 
-@query("audit_header_flat", HEADER_SQL.format(archive=f"nullif({ARCHIVE_SQL}, '')"))
+@query("audit_header_flat", HEADER_SQL.replace("{archive}", f"nullif({ARCHIVE_SQL}, '')"))
 def audit_header_flat(spark: SparkSession, sf: str) -> DataFrame:
     docs = flatten(_landed_documents(spark, sf), X.document_tree(), "document", (SOURCE_FILE,))
     rows = docs.select(*audit_header(True, X.AS_OF), "doc_id", F.lit(X.RUN_ID).alias("job_run_id"))
-    return _show_volatile(rows)
+    return show_volatile(rows)
 
 
 BUSINESS_SQL = "text, lang, source, n_chars"

@@ -15,25 +15,24 @@ from arborload.operators.project import Projections
 from arborload.plans.config import Feed, Mode
 from arborload.plans.load import Outcome, load_csv, run
 from arborload.queries import fixtures as X
-from arborload.queries.flattening import DOC_SQL
+from arborload.queries.flattening import BY_HASH, HEADER_COLUMNS, TEXTS_SQL, doc_sql, row_digest, show_volatile
 from arborload.queries.registry import query
-from arborload.sinks.tables import Tables
+from arborload.sinks.tables import BUCKET, Tables
 from arborload.sources.landing import Granularity
-from arborload.sources.scratch import scratch_dir
 
 BUCKETS = 8
 
 
 def _tables(spark: SparkSession) -> Tables:
     name = f"arborload_{uuid.uuid4().hex[:12]}"
-    return Tables(spark, name, scratch_dir(spark, "tables"), BUCKETS)
+    return Tables(spark, name, X.scratch_dir(spark, "tables"), BUCKETS)
 
 
-@query("table_read", "SELECT * FROM orders WHERE o_orderstatus = 'F'")
+@query("table_read", "SELECT * FROM orders")
 def table_read(spark: SparkSession, sf: str) -> DataFrame:
     tables = _tables(spark)
     tables.append(X.table(spark, sf, "orders"), "orders")
-    return tables.read("orders").where("o_orderstatus = 'F'")
+    return tables.read("orders")
 
 
 @query("table_append", "SELECT * FROM orders UNION ALL SELECT * FROM orders")
@@ -50,7 +49,7 @@ def table_append(spark: SparkSession, sf: str) -> DataFrame:
     "SELECT o_orderkey, o_custkey, o_totalprice, CAST(NULL AS VARCHAR) AS o_orderstatus, false AS old FROM orders",
 )
 def stage_like_target(spark: SparkSession, sf: str) -> DataFrame:
-    """The stage is recreated with the target's columns and filled by name."""
+    """The stage is recreated with the target's columns, filled by name, and dropped."""
     tables, orders = _tables(spark), X.table(spark, sf, "orders")
     target = T.StructType(
         [orders.schema[c] for c in ("o_orderkey", "o_custkey", "o_totalprice", "o_orderstatus")]
@@ -59,8 +58,9 @@ def stage_like_target(spark: SparkSession, sf: str) -> DataFrame:
     tables.stage(orders.select("o_orderkey"), "orders")
     staged = tables.stage(orders.select("o_totalprice", "o_custkey", "o_orderkey"), "orders")
     rows = tables.read(staged)
-    old = tables.exists("stage_stage_orders")
-    return rows.withColumn("old", F.lit(old))
+    tables.append(rows, "shown")
+    tables.drop(staged)
+    return tables.read("shown").withColumn("old", F.lit(tables.exists(staged)))
 
 
 @query("table_replace", "SELECT * FROM customer WHERE c_acctbal >= 0")
@@ -98,8 +98,8 @@ def batch_metrics(spark: SparkSession, sf: str) -> DataFrame:
 # -- whole loads -------------------------------------------------------------
 
 
-def _feed(landing: str) -> Feed:
-    return Feed(
+def _feed(landing: str, **changes) -> Feed:
+    settings = dict(
         source="text",
         name="feed",
         landing=landing,
@@ -119,53 +119,54 @@ def _feed(landing: str) -> Feed:
         ),
         delete_path="body.doc_id",
     )
+    return Feed(**{**settings, **changes})
 
 
 def _batch(spark: SparkSession, docs: DataFrame, name: str) -> str:
-    path = scratch_dir(spark, name)
+    path = X.scratch_dir(spark, name)
     X.land(docs, X.as_of(), path)
     return path
 
 
-def _run(spark: SparkSession, docs: DataFrame, mode: Mode, tables: Tables) -> Outcome:
-    feed = _feed(_batch(spark, docs, f"batch-{mode.value}"))
-    reports = scratch_dir(spark, "reports")
+def _run(spark: SparkSession, docs: DataFrame, mode: Mode, tables: Tables, **changes) -> Outcome:
+    feed = _feed(_batch(spark, docs, f"batch-{mode.value}"), **changes)
+    reports = X.scratch_dir(spark, "reports")
     return run(spark, feed, mode, tables, X.RUN_ID, Granularity.TODAY, X.AS_OF, reports)
 
 
 SHOWN = {
-    "document": "concat_ws('|', doc_id, lang, source, n_chars, lines_fk, clauses_fk, job_run_id)",
-    "lines": "concat_ws('|', document_id, pos, line, words_fk)",
-    "words": "concat_ws('|', lines_id, pos, word)",
-    "clauses": "concat_ws('|', document_id, pos, clause)",
+    "document": [*HEADER_COLUMNS, "doc_id", "lang", "source", "n_chars", "lines_fk", "clauses_fk", "job_run_id"],
+    "lines": ["document_id", "pos", "line", "line_chars", "words_fk"],
+    "words": ["lines_id", "pos", "word"],
+    "clauses": ["document_id", "pos", "clause"],
 }
 
 
 def _content(tables: Tables) -> DataFrame:
-    """Rows of the loaded tables, each as a table name, its tree and a digest of its columns."""
+    """Rows of the loaded tables: table name, tree, batch and a digest of all other columns."""
     parts = []
-    for table, text in SHOWN.items():
+    for table, columns in SHOWN.items():
         rows = tables.read(f"text_feed_{table}")
-        parts.append(
-            rows.select(F.lit(table).alias("table_name"), "root_key", F.expr(f"md5({text})").alias("content"))
-        )
+        digest = F.expr(row_digest(columns).replace("{text}", "STRING")).alias("content")
+        parts.append(rows.select(F.lit(table).alias("table_name"), "root_key", "batch_id", digest))
     return reduce(DataFrame.unionByName, parts)
 
 
-def _content_sql(roots: str = "true") -> str:
-    """The same rows in SQL for the documents that satisfy ``roots``."""
+def _content_sql(texts: str = TEXTS_SQL, roots: str = "true") -> str:
+    """The same rows in SQL for the documents that satisfy ``roots``; versions differ by their hash."""
     sources = {"document": "roots", "lines": "line_rows", "words": "words", "clauses": "clauses"}
+    known = {**HEADER_COLUMNS, "job_run_id": "'run-1'", "line_chars": "length(line)"}
     parts = []
     for table, source in sources.items():
-        text = SHOWN[table].replace("job_run_id", "'run-1'")
+        digest = row_digest([known.get(c, c) for c in SHOWN[table]]).replace("{text}", "VARCHAR")
         parts.append(
-            f"SELECT '{table}' AS table_name, root_key, md5({text}) AS content FROM {source} "
+            f"SELECT '{table}' AS table_name, root_key, 'run-1' AS batch_id, {digest} AS content FROM {source} "
             f"WHERE root_key IN (SELECT root_key FROM docs WHERE {roots})"
         )
-    return " UNION ALL ".join(parts)
+    return doc_sql(texts, BY_HASH) + " UNION ALL ".join(parts)
 
 
-@query("load_bulk", DOC_SQL + _content_sql())
+@query("load_bulk", _content_sql())
 def load_bulk(spark: SparkSession, sf: str) -> DataFrame:
     """Every document landed twice in one batch: the copies are removed."""
     tables, docs = _tables(spark), X.documents(spark, sf)
@@ -173,36 +174,101 @@ def load_bulk(spark: SparkSession, sf: str) -> DataFrame:
     return _content(tables)
 
 
-UPSERT_DOC_SQL = DOC_SQL.replace(
-    "SELECT *, md5(concat_ws('|', 'document', doc_id)) AS root_key FROM documents",
-    """SELECT * REPLACE (CASE WHEN lang = 'fr' THEN upper(text) ELSE text END AS text),
-               md5(concat_ws('|', 'document', doc_id)) AS root_key
-       FROM (SELECT * FROM documents
-             UNION ALL
-             SELECT * REPLACE (doc_id + 1000000000 AS doc_id) FROM documents WHERE lang = 'es')""",
+FRENCH_UPPER = f"SELECT * REPLACE (upper(text) AS text) FROM ({TEXTS_SQL}) WHERE lang = 'fr'"
+NOT_FRENCH = f"SELECT * FROM ({TEXTS_SQL}) WHERE lang <> 'fr'"
+ALL_WITH_FRENCH_UPPER = f"SELECT * FROM ({TEXTS_SQL}) UNION {FRENCH_UPPER}"
+
+
+def _french_upper(spark: SparkSession, sf: str) -> DataFrame:
+    return X.documents_of(X.texts(spark, sf).where("lang = 'fr'").withColumn("text", F.upper("text")))
+
+
+@query("load_versions", _content_sql(ALL_WITH_FRENCH_UPPER))
+def load_versions(spark: SparkSession, sf: str) -> DataFrame:
+    """Two differing documents per French root in one batch: each keeps its own subtree."""
+    tables = _tables(spark)
+    _run(spark, X.documents(spark, sf).unionByName(_french_upper(spark, sf)), Mode.BULK, tables)
+    return _content(tables)
+
+
+LATER = "2024-02-02T00:00:00Z"
+
+
+@query(
+    "load_latest",
+    _content_sql(f"{NOT_FRENCH} UNION ALL SELECT * REPLACE ('{LATER}' AS ingested) FROM ({FRENCH_UPPER})"),
 )
+def load_latest(spark: SparkSession, sf: str) -> DataFrame:
+    """Of two documents per French root the later one is loaded."""
+    tables = _tables(spark)
+    later = _french_upper(spark, sf).withColumn("header", F.col("header").withField("ingestDateTime", F.lit(LATER)))
+    _run(spark, later.unionByName(X.documents(spark, sf)), Mode.BULK, tables, on_duplicate_root="latest")
+    return _content(tables)
+
 
+@query(
+    "load_rejects",
+    """
+    SELECT source, count(*) AS rejected, (SELECT count(*) FROM documents WHERE lang = 'fr') AS metric
+    FROM documents WHERE lang = 'fr' GROUP BY source""",
+)
+def load_rejects(spark: SparkSession, sf: str) -> DataFrame:
+    """Documents without a key are written and counted, also without a reports folder."""
+    tables = _tables(spark)
+    key = F.when(F.col("body.lang") != "fr", F.col("body.doc_id"))
+    docs = X.documents(spark, sf).withColumn("body", F.col("body").withField("doc_id", key))
+    feed = _feed(_batch(spark, docs, "rejects"))
+    done = run(spark, feed, Mode.BULK, tables, X.RUN_ID, Granularity.TODAY, X.AS_OF)
+    metric = next(v for m, _, _, v, _ in done.metrics.records() if m == "rejected_rows")
+    lost = spark.read.parquet(done.rejected).groupBy(F.col("body.source").alias("source"))
+    return lost.agg(F.count(F.lit(1)).alias("rejected")).withColumn("metric", F.lit(metric).cast("bigint"))
+
+
+@query("load_filtered", _content_sql(f"SELECT * FROM ({TEXTS_SQL}) WHERE n_chars > 500 AND lang <> 'de'"))
+def load_filtered(spark: SparkSession, sf: str) -> DataFrame:
+    """A filter over the tree; every table reads its own columns and those of the filter."""
+    tables = _tables(spark)
+    where = "body.n_chars > 500 AND body.lang <> 'de'"
+    _run(spark, X.documents(spark, sf), Mode.BULK, tables, where=where)
+    return _content(tables)
 
-@query("load_upsert", UPSERT_DOC_SQL + _content_sql())
+
+UPSERTED = f"""{NOT_FRENCH} UNION ALL {FRENCH_UPPER}
+    UNION ALL SELECT * REPLACE (doc_id + 1000000000 AS doc_id) FROM ({TEXTS_SQL}) WHERE lang = 'es'"""
+
+
+@query("load_upsert", _content_sql(UPSERTED))
 def load_upsert(spark: SparkSession, sf: str) -> DataFrame:
     """French texts change, Spanish ones are added under new keys; applied twice."""
     tables = _tables(spark)
     _run(spark, X.documents(spark, sf), Mode.BULK, tables)
-    changed = X.documents_of(
-        X.table(spark, sf, "documents").where("lang = 'fr'").withColumn("text", F.upper("text"))
-    )
     added = X.documents_of(
-        X.table(spark, sf, "documents")
-        .where("lang = 'es'")
-        .withColumn("doc_id", F.col("doc_id") + 1_000_000_000)
+        X.texts(spark, sf).where("lang = 'es'").withColumn("doc_id", F.col("doc_id") + 1_000_000_000)
     )
-    batch = changed.unionByName(added)
+    batch = _french_upper(spark, sf).unionByName(added)
     for _ in range(2):
         _run(spark, batch, Mode.UPSERT, tables)
     return _content(tables)
 
 
-@query("load_delete", DOC_SQL + _content_sql("lang <> 'en'"))
+@query("load_incremental", _content_sql(f"{NOT_FRENCH} UNION ALL {FRENCH_UPPER}"))
+def load_incremental(spark: SparkSession, sf: str) -> DataFrame:
+    """New files are upserted, batch by batch; a run without new files changes nothing."""
+    tables = _tables(spark)
+    landing = _batch(spark, X.documents(spark, sf), "incremental")
+    state = X.scratch_dir(spark, "incremental-state")
+
+    def load() -> Outcome:
+        return run(spark, _feed(landing), Mode.UPSERT, tables, X.RUN_ID, Granularity.NEW, X.AS_OF, state=state)
+
+    load()
+    X.land(_french_upper(spark, sf), X.as_of(), landing)
+    load()
+    assert not load().metrics.records()
+    return _content(tables)
+
+
+@query("load_delete", _content_sql(roots="lang <> 'en'"))
 def load_delete(spark: SparkSession, sf: str) -> DataFrame:
     """English texts are deleted with everything below them, unknown keys are not found."""
     tables = _tables(spark)
@@ -218,7 +284,7 @@ def load_delete(spark: SparkSession, sf: str) -> DataFrame:
 
 @query(
     "load_delete_report",
-    DOC_SQL
+    doc_sql(row_key=BY_HASH)
     + """
     SELECT 'document' AS table, count(*) AS delete_count FROM roots WHERE lang = 'en'
     UNION ALL SELECT 'lines', count(*) FROM roots WHERE lang = 'en'
@@ -246,36 +312,79 @@ def load_delete_report(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-@query(
-    "load_flat",
-    """
-    SELECT to_base64(unhex(sha256(text))) AS cdlz_header_record_hash_b64, doc_id, upper(lang) AS language,
-           'run-1' AS job_run_id
-    FROM documents WHERE n_chars > 100""",
-)
-def load_flat(spark: SparkSession, sf: str) -> DataFrame:
-    """A feed that is not flattened: filter, projection with header, append."""
-    tables = _tables(spark)
-    feed = Feed(
+def _flat_feed(landing: str, **changes) -> Feed:
+    return Feed(
         source="text",
         name="flat",
-        landing=_batch(spark, X.documents(spark, sf), "flat"),
+        landing=landing,
         schema=X.DOCUMENT_SCHEMA,
-        where="body.n_chars > 100",
+        key="doc_id",
         projections=Projections(
             {
                 "text_flat": lambda run_id: [
                     "body.doc_id AS doc_id",
                     "upper(body.lang) AS language",
+                    "body.source AS source",
+                    "body.n_chars AS n_chars",
+                    "size(body.lines) AS n_lines",
                     f"'{run_id}' AS job_run_id",
                 ]
             }
         ),
+        delete_path="body.doc_id",
+        **changes,
     )
-    run(spark, feed, Mode.BULK, tables, X.RUN_ID, Granularity.TODAY, X.AS_OF)
-    return tables.read("text_flat").select(
-        "cdlz_header_record_hash_b64", "doc_id", "language", "job_run_id"
+
+
+def _flat_sql(texts: str) -> str:
+    header = ", ".join(
+        f"{'sourceZipArchive' if 'nullif' in sql else sql} AS {name}" for name, sql in HEADER_COLUMNS.items()
     )
+    return f"""{doc_sql(texts)}
+    SELECT {header}, true AS loaded_as_of, true AS has_file, roots.doc_id, upper(roots.lang) AS language,
+           roots.source, roots.n_chars,
+           CASE WHEN roots.lang <> '{X.NO_LINES}' THEN len(string_split(text, chr(10)))::INT END AS n_lines,
+           'run-1' AS job_run_id
+    FROM roots JOIN texts ON roots.doc_id = texts.doc_id"""
+
+
+@query("load_flat", _flat_sql(TEXTS_SQL))
+def load_flat(spark: SparkSession, sf: str) -> DataFrame:
+    """A feed that is not flattened: projection with header, append."""
+    tables = _tables(spark)
+    feed = _flat_feed(_batch(spark, X.documents(spark, sf), "flat"))
+    run(spark, feed, Mode.BULK, tables, X.RUN_ID, Granularity.TODAY, X.AS_OF)
+    return show_volatile(tables.read("text_flat").drop(BUCKET))
+
+
+@query("load_flat_filtered", _flat_sql(f"SELECT * FROM ({TEXTS_SQL}) WHERE n_chars > 100"))
+def load_flat_filtered(spark: SparkSession, sf: str) -> DataFrame:
+    """The same with a filter, which reaches the scan."""
+    tables = _tables(spark)
+    feed = _flat_feed(_batch(spark, X.documents(spark, sf), "flat"), where="body.n_chars > 100")
+    run(spark, feed, Mode.BULK, tables, X.RUN_ID, Granularity.TODAY, X.AS_OF)
+    return show_volatile(tables.read("text_flat").drop(BUCKET))
+
+
+@query(
+    "load_flat_upsert",
+    _flat_sql(f"SELECT * FROM ({UPSERTED.replace('upper(text)', 'upper(text) || chr(10)')}) WHERE lang <> 'de'"),
+)
+def load_flat_upsert(spark: SparkSession, sf: str) -> DataFrame:
+    """Rows of a flat feed are replaced by key, added and deleted; only their buckets change."""
+    tables = _tables(spark)
+    changed = X.texts(spark, sf).where("lang = 'fr'").withColumn("text", F.concat(F.upper("text"), F.lit("\n")))
+    added = X.texts(spark, sf).where("lang = 'es'").withColumn("doc_id", F.col("doc_id") + 1_000_000_000)
+    gone = X.documents(spark, sf).where("body.lang = 'de'")
+    batches = [
+        (X.documents(spark, sf), Mode.BULK),
+        (X.documents_of(changed.unionByName(added)), Mode.UPSERT),
+        (gone, Mode.DELETE),
+    ]
+    for docs, mode in batches:
+        feed = _flat_feed(_batch(spark, docs, "flat"))
+        run(spark, feed, mode, tables, X.RUN_ID, Granularity.TODAY, X.AS_OF)
+    return show_volatile(tables.read("text_flat").drop(BUCKET))
 
 
 @query(
@@ -287,7 +396,7 @@ def load_flat(spark: SparkSession, sf: str) -> DataFrame:
 def csv_load(spark: SparkSession, sf: str) -> DataFrame:
     """A CSV feed is converted, landed and appended."""
     rows = X.table(spark, sf, "orders").select("o_orderkey", "o_orderstatus", "o_orderpriority")
-    source = scratch_dir(spark, "csv")
+    source = X.scratch_dir(spark, "csv")
     rows.write.option("header", True).csv(source)
 
     def order(frame: DataFrame, run_id: str) -> DataFrame:
@@ -296,7 +405,7 @@ def csv_load(spark: SparkSession, sf: str) -> DataFrame:
         )
 
     tables = _tables(spark)
-    landing = scratch_dir(spark, "csv-landing")
+    landing = X.scratch_dir(spark, "csv-landing")
     load_csv(
         spark, source, landing, "order", "shop_order", tables, X.RUN_ID, {"order": order}, rows.columns
     )

@@ -13,7 +13,6 @@ from arborload.queries import fixtures as X
 from arborload.queries.registry import query
 from arborload.sources.csv import csv_to_parquet
 from arborload.sources.landing import Granularity, delete_keys, scan
-from arborload.sources.scratch import scratch_dir
 from arborload.streaming.incremental import append_batches, load_new_files
 
 EVENT_COLUMNS = "event_id, ts, user_id, event_type, value, props"
@@ -99,7 +98,7 @@ DELETE_KEYS_SQL = f"""
 @query("delete_feed", f"SELECT CAST(pncid AS VARCHAR) AS pncid FROM ({DELETE_KEYS_SQL})")
 def delete_feed(spark: SparkSession, sf: str) -> DataFrame:
     docs = X.delete_feed(spark, sf)
-    path = scratch_dir(spark, "deletes")
+    path = X.scratch_dir(spark, "deletes")
     X.land(docs, X.as_of(), path)
     feed = scan(spark, path, docs.schema, Granularity.TODAY, X.AS_OF)
     return delete_keys(feed, "body.PNCID", "pncid").select(F.col("pncid").cast("string"))
@@ -116,7 +115,7 @@ def delete_feed(spark: SparkSession, sf: str) -> DataFrame:
 def csv_feed(spark: SparkSession, sf: str) -> DataFrame:
     """A feed without a transform passes through; a named one is changed."""
     rows = X.table(spark, sf, "customer").select("c_custkey", "c_name", "c_mktsegment")
-    source = scratch_dir(spark, "csv")
+    source = X.scratch_dir(spark, "csv")
     rows.write.option("header", True).csv(source)
 
     def person(frame: DataFrame, run_id: str) -> DataFrame:
@@ -124,7 +123,7 @@ def csv_feed(spark: SparkSession, sf: str) -> DataFrame:
 
     out = []
     for feed in ("lookup", "person"):
-        target = scratch_dir(spark, f"csv-{feed}")
+        target = X.scratch_dir(spark, f"csv-{feed}")
         done = csv_to_parquet(
             spark, source, target, feed, X.RUN_ID, {"person": person}, columns=rows.columns
         )
@@ -140,8 +139,8 @@ def csv_feed(spark: SparkSession, sf: str) -> DataFrame:
 def incremental_batch(spark: SparkSession, sf: str) -> DataFrame:
     """Three runs over one landing area: the second finds nothing, the third the new files."""
     events = X.table(spark, sf, "events")
-    landing, state = scratch_dir(spark, "stream-in"), scratch_dir(spark, "stream-state")
-    target = scratch_dir(spark, "stream-out")
+    landing, state = X.scratch_dir(spark, "stream-in"), X.scratch_dir(spark, "stream-state")
+    target = X.scratch_dir(spark, "stream-out")
 
     def run(number: int) -> None:
         load_new_files(

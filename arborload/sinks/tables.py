@@ -1,16 +1,18 @@
-"""Catalog tables: read, append, stage, replace and drop.
+"""Catalog tables: read, append, stage, replace, change and drop.
 
-Plain Parquet tables have no row-level delete.  A table of a document tree is
-therefore partitioned by a bucket of its root key, and a change rewrites only the
-buckets it touches: new files go to a new directory, then the partitions are
-pointed there.  Readers see the old or the new files of a bucket, never a mix,
-and a failed write leaves the table as it was.
+Plain Parquet tables have no row-level delete.  A table with a key is therefore
+partitioned by a bucket of it, and a change rewrites only the buckets that hold a row
+it removes: new files go to a new directory, then the partitions are pointed there.
+Readers see the old or the new files of a bucket, never a mix, and a failed write
+leaves the table as it was.  Other rows are appended.
 """
 
 from __future__ import annotations
 
+import time
 import uuid
 from collections.abc import Collection, Iterable
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,10 +20,22 @@ from pyspark.sql import types as T
 
 from arborload.functions import keys as K
 from arborload.operators.columns import align
+from arborload.sources.scratch import directories, remove
 from arborload.tree import ROOT_KEY
 
 BUCKET = "root_bucket"
 _COUNT = "arborload.buckets"
+_KEY = "arborload.bucketed_by"
+
+
+@dataclass
+class Rewrite:
+    """A prepared change of one table: buckets written anew, and rows to append."""
+
+    table: str
+    directory: str | None
+    buckets: set[int]
+    added: DataFrame | None
 
 
 class Tables:
@@ -37,6 +51,11 @@ class Tables:
         self.buckets = buckets
         spark.sql(f"CREATE DATABASE IF NOT EXISTS `{database}` LOCATION '{self.location}/{database}/managed'")
 
+    @property
+    def work(self) -> str:
+        """Folder for intermediate results of a run."""
+        return f"{self.location}/{self.database}/_work"
+
     def name(self, table: str) -> str:
         return f"`{self.database}`.`{table}`"
 
@@ -51,25 +70,27 @@ class Tables:
         """Columns without the bucket."""
         return T.StructType([f for f in self.read(table).schema.fields if f.name != BUCKET])
 
-    def create(self, table: str, schema: T.StructType) -> None:
-        """Create an empty table; with a root key it is partitioned by its bucket."""
+    def create(self, table: str, schema: T.StructType, key: str | None = None) -> None:
+        """Create an empty table; one with a root key, or a given ``key``, is partitioned by its bucket."""
         columns = [f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields]
+        by = ROOT_KEY if ROOT_KEY in schema.fieldNames() else key
         layout = ""
-        if self._has_root(schema):
+        if by:
             columns.append(f"`{BUCKET}` int")
-            layout = f"PARTITIONED BY (`{BUCKET}`) TBLPROPERTIES ('{_COUNT}' = '{self.buckets}')"
+            layout = (
+                f"PARTITIONED BY (`{BUCKET}`) TBLPROPERTIES ('{_COUNT}' = '{self.buckets}', '{_KEY}' = '{by}')"
+            )
         self.spark.sql(
             f"CREATE TABLE IF NOT EXISTS {self.name(table)} ({', '.join(columns)}) "
             f"USING parquet LOCATION '{self._directory(table)}' {layout}"
         )
 
-    def append(self, frame: DataFrame, table: str, drop: Collection[str] = ()) -> None:
+    def append(self, frame: DataFrame, table: str, drop: Collection[str] = (), key: str | None = None) -> None:
         """Add rows, matched to the table's columns by name; a new table is created."""
         if not self.exists(table):
-            self.create(table, T.StructType([f for f in frame.schema.fields if f.name not in drop]))
-        schema = self.schema(table)
-        rows = align(frame, schema, drop)
-        if self._has_root(schema):
+            self.create(table, T.StructType([f for f in frame.schema.fields if f.name not in drop]), key)
+        rows = align(frame, self.schema(table), drop)
+        if self.bucketed_by(table):
             rows = self._clustered(rows, table)
         rows.write.insertInto(self.name(table))
 
@@ -100,71 +121,91 @@ class Tables:
         """The table's rows in the given buckets; other buckets are not read."""
         return self.read(table).where(F.col(BUCKET).isin([int(b) for b in touched]))
 
-    def write_buckets(
-        self, table: str, kept: DataFrame, fresh: DataFrame | None = None, scattered: bool = False
-    ) -> str:
-        """Write the new content of some buckets to a new directory, not yet visible.
+    def rewrite(self, table: str, keys: DataFrame, touched: Iterable[int], fresh: DataFrame | None = None) -> Rewrite:
+        """Prepare the removal of the rows of ``keys`` and the addition of ``fresh`` rows.
 
-        ``kept`` are rows of the table itself and still carry their bucket.  Unless a
-        shuffled join has ``scattered`` them they leave their tasks bucket by bucket,
-        as they were read, so only the fresh rows are gathered.
+        ``keys`` holds the column the table is bucketed by and its bucket, ``touched``
+        all their buckets.  Only buckets in which a key has a row are written anew,
+        with their fresh rows; a table without such a row is not written at all.
+        Nothing is visible before ``publish``.
         """
-        schema = self.schema(table)
-        full = T.StructType([*schema.fields, T.StructField(BUCKET, T.IntegerType())])
-        rows = align(kept, full)
-        if scattered:
-            rows = rows.hint("rebalance", BUCKET)
+        key = self.bucketed_by(table)
+        old = self.in_buckets(table, touched)
+        wanted = keys.select(key, BUCKET)
+        found = old.select(key, BUCKET).join(wanted, [key, BUCKET], "left_semi").select(BUCKET).distinct()
+        buckets = {r[0] for r in found.collect()}
+        added = None
         if fresh is not None:
-            rows = rows.unionByName(self._clustered(align(fresh, schema), table))
+            added = self._bucketed(align(fresh, self.schema(table)), table)
+        if not buckets:
+            return Rewrite(table, None, set(), added)
+        rows = self.in_buckets(table, buckets).join(wanted.select(key), key, "left_anti")
+        within = F.col(BUCKET).isin(sorted(buckets))
+        if added is not None:
+            rows = rows.select(*added.columns).unionByName(added.where(within))
+            added = added.where(~within)
         directory = self._directory(table)
-        rows.write.partitionBy(BUCKET).parquet(directory)
-        return directory
+        rows.hint("rebalance", BUCKET).write.partitionBy(BUCKET).parquet(directory)
+        return Rewrite(table, directory, buckets, added)
 
-    def publish_buckets(self, table: str, directory: str, touched: Iterable[int]) -> None:
-        """Point the touched buckets at the new directory; buckets left empty go.
+    def publish(self, change: Rewrite) -> None:
+        """Point the rewritten buckets at their new files, then append the other rows.
 
-        Only partition metadata changes.  Publishing the same directory again gives
-        the same table.
+        A bucket left empty points at a directory that does not exist yet: were its
+        partition dropped, rows added later would land among its old files.  If this is broken off, repeating the change from ``rewrite`` on gives the
+        wanted table: appended rows are then found by their keys and replaced.
         """
-        name = self.name(table)
-        filled = self._buckets_in(directory)
-        had = {int(r[0].split("=")[1]) for r in self.spark.sql(f"SHOW PARTITIONS {name}").collect()}
-        wanted = {int(b) for b in touched}
-        for b in sorted(wanted & filled & had):
+        name = self.name(change.table)
+        for b in sorted(change.buckets):
             self.spark.sql(
-                f"ALTER TABLE {name} PARTITION ({BUCKET}={b}) SET LOCATION '{directory}/{BUCKET}={b}'"
+                f"ALTER TABLE {name} PARTITION ({BUCKET}={b}) SET LOCATION '{change.directory}/{BUCKET}={b}'"
             )
-        new = [f"PARTITION ({BUCKET}={b}) LOCATION '{directory}/{BUCKET}={b}'" for b in wanted & filled - had]
-        if new:
-            self.spark.sql(f"ALTER TABLE {name} ADD {' '.join(sorted(new))}")
-        emptied = [f"PARTITION ({BUCKET}={b})" for b in wanted & had - filled]
-        if emptied:
-            self.spark.sql(f"ALTER TABLE {name} DROP {', '.join(sorted(emptied))}")
         self.spark.catalog.refreshTable(name)
+        if change.added is not None:
+            change.added.hint("rebalance", BUCKET).write.insertInto(name)
 
-    def _buckets_in(self, directory: str) -> set[int]:
-        schema = T.StructType([T.StructField(BUCKET, T.IntegerType())])
-        found = self.spark.read.schema(schema).parquet(directory).select(BUCKET).distinct()
-        return {r[0] for r in found.collect()}
+    def clean(self, table: str, older_than_hours: float = 24.0) -> list[str]:
+        """Remove directories that earlier changes have left unreferenced; returns them.
 
-    def _has_root(self, schema: T.StructType) -> bool:
-        return ROOT_KEY in schema.fieldNames()
+        Call it when no reader can still be using what was replaced that long ago.
+        Listing the table's files happens on the driver.
+        """
+        described = self.spark.sql(f"DESCRIBE TABLE EXTENDED {self.name(table)}").collect()
+        base = next(r["data_type"] for r in described if r["col_name"] == "Location").rstrip("/")
+        used = {base} | {self._version_of(f, table) for f in self.read(table).inputFiles()}
+        used = {u.rsplit("/", 1)[-1] for u in used}
+        limit = (time.time() - 3600 * older_than_hours) * 1000
+        found = directories(self.spark, f"{self.location}/{self.database}/{table}")
+        gone = [d for d, changed in sorted(found.items()) if d.rsplit("/", 1)[-1] not in used and changed <= limit]
+        for directory in gone:
+            remove(self.spark, directory)
+        return gone
+
+    def _version_of(self, file: str, table: str) -> str:
+        return file.split(f"/{self.database}/{table}/", 1)[1].split("/", 1)[0]
+
+    def bucketed_by(self, table: str) -> str | None:
+        """Column whose bucket the table is partitioned by, if any."""
+        return self._property(table, _KEY)
 
     def bucket_count(self, *tables: str) -> int:
         """Number of buckets of the given tables, which must agree."""
-        counts = set()
-        for table in tables:
-            row = self.spark.sql(f"SHOW TBLPROPERTIES {self.name(table)} ('{_COUNT}')").first()
-            counts.add(int(row["value"]))
+        counts = {int(self._property(t, _COUNT)) for t in tables}
         if len(counts) != 1:
             raise ValueError(f"tables differ in their number of buckets: {sorted(counts)}")
         return counts.pop()
 
+    def _property(self, table: str, name: str) -> str | None:
+        rows = self.spark.sql(f"SHOW TBLPROPERTIES {self.name(table)}").collect()
+        return next((r["value"] for r in rows if r["key"] == name), None)
+
+    def _bucketed(self, rows: DataFrame, table: str) -> DataFrame:
+        count = self.bucket_count(table)
+        return rows.selectExpr("*", f"{K.bucket(f'`{self.bucketed_by(table)}`', count)} AS {BUCKET}")
+
     def _clustered(self, rows: DataFrame, table: str) -> DataFrame:
         """Rows gathered by bucket for writing; Spark splits a bucket that is too large."""
-        count = self.bucket_count(table)
-        bucketed = rows.selectExpr("*", f"{K.bucket(ROOT_KEY, count)} AS {BUCKET}")
-        return bucketed.hint("rebalance", BUCKET)
+        return self._bucketed(rows, table).hint("rebalance", BUCKET)
 
     def _directory(self, table: str) -> str:
         return f"{self.location}/{self.database}/{table}/{uuid.uuid4().hex}"

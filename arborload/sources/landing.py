@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from datetime import datetime, timedelta, timezone
 from enum import Enum
+from urllib.parse import unquote
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -23,16 +25,18 @@ class Granularity(str, Enum):
     TODAY = "today"
     HOUR = "hour"
     ALL = "all"
+    NEW = "new"
 
 
 def slice_of(granularity: Granularity | str, as_of: datetime | None = None) -> dict[str, int]:
     """Partition values that bound the slice; ``hour`` is the hour before ``as_of``.
 
-    Times are UTC.  An unknown granularity raises ``ValueError``.
+    Times are UTC.  ``new`` has no bounds: a run finds its files by what earlier runs
+    have seen.  An unknown granularity raises ``ValueError``.
     """
     granularity = Granularity(granularity)
     now = as_of or datetime.now(timezone.utc)
-    if granularity is Granularity.ALL:
+    if granularity in (Granularity.ALL, Granularity.NEW):
         return {}
     if granularity is Granularity.HOUR:
         then = now - timedelta(hours=1)
@@ -65,6 +69,7 @@ def scan(
     source_file: bool = False,
     metrics: Metrics | None = None,
     entity: str = "",
+    files: Sequence[str] | None = None,
 ) -> DataFrame:
     """Documents of one slice, with all partition columns whatever the granularity.
 
@@ -72,25 +77,24 @@ def scan(
     the age of the landing area; the partition predicate is kept on top.  The
     schema is declared: columns and arrays that files lack are NULL.  A slice
     that does not exist gives no rows, and two metrics if a ``Metrics`` is passed;
-    any other failure is raised.
+    any other failure is raised.  ``files`` are read in place of the slice, so that
+    several scans can share one listing (see ``list_files``).
     """
-    bounds = slice_of(granularity, as_of)
+    bounds = slice_of(granularity, as_of) if files is None else {}
     names = {f.name.lower() for f in schema.fields}
     full = T.StructType(
         schema.fields + [T.StructField(p, T.IntegerType()) for p in PARTITIONS if p not in names]
     )
+    reader = spark.read.schema(full).option("basePath", root)
     try:
-        frame = (
-            spark.read.schema(full)
-            .option("basePath", root)
-            .parquet(slice_path(root, bounds))
-        )
+        frame = None if files == [] else reader.parquet(*(files or [slice_path(root, bounds)]))
     except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
+        if files is not None or error.getCondition() != "PATH_NOT_FOUND":
             raise
-        if metrics is not None:
-            metrics.put("read_count", entity, 0)
-            metrics.put("nop_read_error", entity, 1)
+        frame = None
+    if frame is None:
+        if files is None and metrics is not None:
+            _missing(metrics, entity)
         frame = spark.createDataFrame([], full)
         return frame.withColumn(SOURCE_FILE, F.lit(None).cast("string")) if source_file else frame
     if source_file:
@@ -103,6 +107,32 @@ def scan(
     return frame
 
 
+def _missing(metrics: Metrics, entity: str) -> None:
+    metrics.put("read_count", entity, 0)
+    metrics.put("nop_read_error", entity, 1)
+
+
+def list_files(
+    spark: SparkSession,
+    root: str,
+    granularity: Granularity | str = Granularity.ALL,
+    as_of: datetime | None = None,
+    metrics: Metrics | None = None,
+    entity: str = "",
+) -> list[str]:
+    """The files of a slice, listed once; a missing slice has none and gives the metrics of ``scan``."""
+    path = slice_path(root, slice_of(granularity, as_of))
+    try:
+        found = spark.read.schema("year int").option("basePath", root).parquet(path).inputFiles()
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        if metrics is not None:
+            _missing(metrics, entity)
+        return []
+    return sorted(unquote(f) for f in found)
+
+
 def delete_keys(docs: DataFrame, path: str, alias: str) -> DataFrame:
     """Natural keys of a delete feed, as they came: NULLs and copies included."""
     return docs.select(F.col(path).alias(alias))

@@ -1,44 +1,33 @@
-"""Intermediate results in the shared folder of the cluster."""
+"""Intermediate results of a run, kept next to the tables it loads."""
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, Observation, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 
-CHECKPOINT_DIR = "spark.checkpoint.dir"
-BROADCAST_ROWS = 1_000_000
 
+def materialise(frame: DataFrame, folder: str, name: str) -> tuple[DataFrame, str]:
+    """Write a frame that is used several times; returns it as read back, and its path.
 
-def scratch_dir(spark: SparkSession, name: str) -> str:
-    """A new directory name under ``spark.checkpoint.dir``.
-
-    Where the setting is absent, a local session uses a temporary folder; a
-    cluster has no folder all executors can see, so there it is an error.
+    Reading it back cuts the lineage, survives lost executors and gives Spark a real
+    size to choose joins by.  ``folder`` must be one that all executors see.
     """
-    base = spark.conf.get(CHECKPOINT_DIR, None)
-    if not base:
-        if not spark.conf.get("spark.master", "").startswith("local"):
-            raise ValueError(f"{CHECKPOINT_DIR} must name a folder all executors share")
-        base = tempfile.mkdtemp(prefix="arborload-")
-    return f"{base.rstrip('/')}/arborload/{name}-{uuid.uuid4().hex}"
-
+    path = f"{folder.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    frame.write.parquet(path)
+    return frame.sparkSession.read.schema(frame.schema).parquet(path), path
 
-def materialise(frame: DataFrame, name: str) -> tuple[DataFrame, int]:
-    """Write a frame that is used several times and return it with its row count.
 
-    Reading it back cuts the lineage, survives lost executors and gives Spark a
-    real size to choose joins by.
-    """
-    spark = frame.sparkSession
-    path = scratch_dir(spark, name)
-    counted = Observation()
-    frame.observe(counted, F.count(F.lit(1)).alias("rows")).write.parquet(path)
-    return spark.read.schema(frame.schema).parquet(path), int(counted.get["rows"] or 0)
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a directory with the file system of its path."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
 
 
-def sized(keys: DataFrame, rows: int, limit: int = BROADCAST_ROWS) -> DataFrame:
-    """Mark a narrow key set for broadcast if its counted rows are within the limit."""
-    return F.broadcast(keys) if rows <= limit else keys
+def directories(spark: SparkSession, path: str) -> dict[str, int]:
+    """Directories below a path, with the time of their last change in milliseconds."""
+    parent = spark._jvm.org.apache.hadoop.fs.Path(path)
+    system = parent.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not system.exists(parent):
+        return {}
+    return {s.getPath().toString(): s.getModificationTime() for s in system.listStatus(parent) if s.isDirectory()}

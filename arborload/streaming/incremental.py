@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from arborload.operators.flatten import flatten_all
@@ -24,20 +25,57 @@ def load_new_files(
     """Hand all files that earlier runs have not seen to ``apply``; returns the rows seen.
 
     The checkpoint remembers the files.  A batch that failed half-way is repeated
-    with the same id, so ``apply`` has to replace what it wrote for that id.
+    with the same id, so ``apply`` has to replace what it wrote for that id.  The rows
+    are counted batch by batch from the footers of the files.
     """
+    counts: dict[int, int] = {}
+
+    def counted(batch: DataFrame, batch_id: int) -> None:
+        apply(batch, batch_id)
+        counts[batch_id] = batch.count()
+
     reader = spark.readStream.schema(schema)
     if files_per_batch is not None:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
     query = (
         reader.parquet(landing)
-        .writeStream.foreachBatch(apply)
+        .writeStream.foreachBatch(counted)
+        .option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True)
+        .start()
+    )
+    query.awaitTermination()
+    return sum(counts.values())
+
+
+def load_file_names(
+    spark: SparkSession,
+    landing: str,
+    schema: T.StructType,
+    checkpoint: str,
+    apply: Callable[[list[str], int], None],
+    files_per_batch: int = 1000,
+) -> None:
+    """Hand the names of all files that earlier runs have not seen to ``apply``, batch by batch.
+
+    At most ``files_per_batch`` names reach the driver at once, and no column of the
+    files is read.  A batch that failed is repeated with the same files and id.
+    """
+
+    def named(batch: DataFrame, batch_id: int) -> None:
+        apply(sorted(r["name"] for r in batch.select("name").distinct().collect()), batch_id)
+
+    query = (
+        spark.readStream.schema(schema)
+        .option("maxFilesPerTrigger", files_per_batch)
+        .parquet(landing)
+        .select(F.col("_metadata.file_path").alias("name"))
+        .writeStream.foreachBatch(named)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
     )
     query.awaitTermination()
-    return sum(p["numInputRows"] for p in query.recentProgress)
 
 
 def append_batches(target: str) -> Apply:

@@ -14,6 +14,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import types as T
 
 ROOT_KEY = "root_key"
+BATCH_ID = "batch_id"
 POSITION = "pos"
 VALUE = "val"
 
@@ -174,7 +175,7 @@ class Tree:
 def _check_columns(node: Node, parent: Node | None) -> None:
     generated = [link_column(c.table) for c in node.children]
     if node.fields:
-        generated.append(ROOT_KEY)
+        generated += [ROOT_KEY, BATCH_ID]
     if parent is not None:
         generated += [id_column(parent.table), POSITION]
     seen: set[str] = set()
@@ -229,6 +230,20 @@ def _narrowest(node: Node) -> tuple[str, ...]:
     return child.array + _narrowest(child)
 
 
+def with_paths(narrow: T.StructType, schema: T.StructType, paths: Sequence[tuple[str, ...]]) -> T.StructType:
+    """A narrow schema with more columns of the whole one, given by their paths."""
+    return _prune(schema, [*_leaves(narrow), *paths])
+
+
+def _leaves(schema: T.StructType) -> list[tuple[str, ...]]:
+    found: list[tuple[str, ...]] = []
+    for f in schema.fields:
+        inner = f.dataType.elementType if isinstance(f.dataType, T.ArrayType) else f.dataType
+        below = _leaves(inner) if isinstance(inner, T.StructType) else [()]
+        found += [(f.name, *p) for p in below]
+    return found
+
+
 def _prune(schema: T.StructType, wanted: Sequence[tuple[str, ...]]) -> T.StructType:
     kept = []
     for f in schema.fields:

@@ -17,8 +17,8 @@ def _get(value, path):
     return value
 
 
-def flatten(docs: list[dict], tree: Tree) -> dict[str, list[dict]]:
-    """All tables of all documents, row by row."""
+def flatten(docs: list[dict], tree: Tree, by_hash: bool = False, batch: str | None = None) -> dict[str, list[dict]]:
+    """All tables of all documents, row by row; ``by_hash`` keeps versions of a root apart."""
     out: dict[str, list[dict]] = {t: [] for t in tree.tables}
     key_path = next(f.path for f in tree.root.fields if f.name.lower() == tree.key.lower())
 
@@ -33,6 +33,8 @@ def flatten(docs: list[dict], tree: Tree) -> dict[str, list[dict]]:
                 below = {f"{node.table}_id": link, "pos": pos}
                 emit(child, item, below, md5(link, pos), root)
         row["root_key"] = root
+        if batch is not None:
+            row["batch_id"] = batch
         out[node.table].append(row)
 
     for doc in docs:
@@ -40,7 +42,8 @@ def flatten(docs: list[dict], tree: Tree) -> dict[str, list[dict]]:
         if natural is None:
             continue
         root = md5(tree.root.table, natural)
-        emit(tree.root, doc, {}, root, root)
+        own = md5(root, md5(doc["header"]["recordHash"].hex().upper())) if by_hash else root
+        emit(tree.root, doc, {}, own, root)
     return out
 
 

@@ -1,17 +1,23 @@
 from __future__ import annotations
 
+import re
 import uuid
 from datetime import datetime
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 import brute
 import data
+from arborload.operators.flatten import flatten
 from arborload.operators.project import Projections
+from arborload.plans import nominal
 from arborload.plans.config import Feed, Mode
-from arborload.plans.load import load_csv, run
+from arborload.plans.load import _documents, load_csv, run
 from arborload.sinks.tables import BUCKET, Tables
+from arborload.sources.landing import scan
+from arborload.tree import Tree
 
 SCHEMA = data.small_schema()
 TREE = data.small_tree()
@@ -41,7 +47,15 @@ def content(tables):
 
 
 def wanted(docs):
-    return {t: brute.canon(rows) for t, rows in brute.flatten(docs, TREE).items()}
+    return {t: brute.canon(rows) for t, rows in brute.flatten(docs, TREE, by_hash=True, batch="r1").items()}
+
+
+def files(tables):
+    return {t: set(tables.read(f"s_f_{t}").inputFiles()) for t in TREE.tables}
+
+
+def metrics(outcome):
+    return [(m, e, v) for m, e, _, v, _ in outcome.metrics.records()]
 
 
 def go(spark, tables, landing, mode, scratch, **changes):
@@ -54,7 +68,7 @@ def test_bulk_upsert_delete(spark, tables, scratch):
     assert content(tables) == wanted(old)
     counts = {(m, e): v for m, e, _, v, _ in done.metrics.records()}
     assert counts[("read_count", "person")] == 4 and counts[("repeated_rows", "person")] == 4
-    assert spark.read.parquet(done.rejected).count() == 2
+    assert spark.read.parquet(done.rejected).count() == 2 and counts[("rejected_rows", "s_f")] == 2
 
     new = data.documents(["b", "d", "x"], 2, SCHEMA)
     batch = land(spark, f"{scratch}/2", new)
@@ -80,8 +94,9 @@ def test_a_missing_slice_changes_nothing(spark, tables, scratch):
     landing = land(spark, f"{scratch}/1", docs)
     go(spark, tables, landing, Mode.BULK, scratch)
     for mode in Mode:
-        late = run(spark, feed(landing), mode, tables, "r2", "today", datetime(2030, 1, 1))
-        assert ("nop_read_error", "s_f") in {r[:2] for r in late.metrics.records()} or mode is Mode.DELETE
+        late = run(spark, feed(landing), mode, tables, "r2", "today", datetime(2030, 1, 1), f"{scratch}/reports")
+        missing = [r[:2] for r in late.metrics.records() if r[1] == "s_f" and r[0] != "rejected_rows"]
+        assert sorted(missing) == [("nop_read_error", "s_f"), ("read_count", "s_f")], "once, also with reports"
         assert content(tables) == wanted(docs)
 
 
@@ -103,6 +118,152 @@ def test_filter_and_transform(spark, tables, scratch):
     assert sorted(r["PNCID"] for r in tables.read("s_f_person").collect()) == ["A", "C"]
 
 
+def test_versions_of_a_root_stay_apart(spark, tables, scratch):
+    docs = data.documents(["a", "a", "b"], 5, SCHEMA)
+    go(spark, tables, land(spark, f"{scratch}/1", docs + docs[:1]), "bulk", scratch)
+    assert content(tables) == wanted(docs)
+
+
+def without_hash(schema):
+    return T.StructType([f if f.name != "header" else T.StructField("header", T.StructType(f.dataType.fields[1:])) for f in schema])
+
+
+def test_versions_without_a_record_hash_are_told_apart_by_their_content(spark, tables, scratch):
+    docs = data.documents(["a", "a"], 6, SCHEMA)
+    docs[0]["body"]["Offence"] = [{"Plea": "p", "Disposal": [{"DisposalType": "d"}]}]
+    docs[1]["body"]["Offence"] = [{"Plea": "q", "Disposal": [{"DisposalType": "e"}]}]
+    schema = without_hash(SCHEMA)
+    tree = Tree.from_schema("person", data.KEY, schema)
+    go(spark, tables, land(spark, f"{scratch}/1", docs + docs), "bulk", scratch, schema=schema, tree=tree)
+    parent, child = tables.read("s_f_offence"), tables.read("s_f_disposal")
+    joined = parent.join(child, parent["disposal_fk"] == child["offence_id"])
+    assert sorted((r["Plea"], r["DisposalType"]) for r in joined.collect()) == [("p", "d"), ("q", "e")]
+    assert not tables.spark.catalog.tableExists("x") and "_digest" not in " ".join(parent.columns)
+
+
+def test_the_latest_version_wins(spark, tables, scratch):
+    docs = data.documents(["a", "a", "a", None, None], 7, SCHEMA)
+    for doc, at in zip(docs, ("2024-01-02", "2024-01-03", None, "x", "y")):
+        doc["header"]["ingestDateTime"] = at
+    batch = land(spark, f"{scratch}/1", docs)
+    done = run(spark, feed(batch, on_duplicate_root="latest"), "bulk", tables, "r1", "today", NOW)
+    assert content(tables) == wanted(docs[1:2])
+    assert spark.read.parquet(done.rejected).count() == 2 and ("rejected_rows", "s_f", 2) in metrics(done)
+    with pytest.raises(ValueError):
+        feed("x", on_duplicate_root="first")
+
+
+def test_a_header_only_where_it_is_wanted(spark, tables, scratch):
+    docs = data.documents(["a"], 1, SCHEMA)
+    batch = land(spark, f"{scratch}/1", docs)
+    shape = Projections({"s_f_person": ["PNCID", "Sex"]})
+    go(spark, tables, batch, "bulk", scratch, projections=shape, header=False)
+    assert not [c for c in tables.read("s_f_person").columns if c.startswith(("cdlz_", "input_"))]
+    other = Tables(spark, f"l_{uuid.uuid4().hex[:8]}", f"{scratch}/other", buckets=2)
+    go(spark, other, batch, "bulk", scratch, header=True)
+    columns = other.read("s_f_person").columns
+    assert "cdlz_header_record_hash_b64" in columns and "PNCID" in columns and "recordHash" not in columns
+
+
+def test_changes_rewrite_only_what_they_touch(spark, tables, scratch):
+    docs = data.documents([f"k{i}" for i in range(12)], 3, SCHEMA)
+    docs[0]["body"].update(Offence=[{"Plea": "p", "Disposal": None}], Note=None)
+    go(spark, tables, land(spark, f"{scratch}/1", docs), "bulk", scratch)
+    before = files(tables)
+    unknown = land(spark, f"{scratch}/2", data.documents(["x", "y", "z"], 3, SCHEMA))
+    go(spark, tables, unknown, "delete", scratch)
+    assert files(tables) == before, "unknown keys write nothing"
+
+    go(spark, tables, unknown, "upsert", scratch)
+    added = files(tables)
+    assert all(before[t] <= added[t] for t in TREE.tables), "new roots leave the old files in place"
+
+    one = land(spark, f"{scratch}/3", docs[:1])
+    go(spark, tables, one, "delete", scratch)
+    after = files(tables)
+    assert after["note"] == added["note"] and after["condition"] == added["condition"], "no row of theirs is gone"
+    assert after["person"] != added["person"]
+    go(spark, tables, one, "delete", scratch)
+    assert files(tables) == after, "a repeated delete writes nothing"
+
+
+def test_one_slice_per_run(spark, tables, scratch, monkeypatch):
+    docs = data.documents(["a", "b", "c"], 3, SCHEMA)
+    landing = land(spark, f"{scratch}/1", docs[:2])
+    clock = iter([datetime(2024, 2, 1, 23, 59), datetime(2024, 2, 2, 0, 0)])
+
+    class Moving(datetime):
+        @classmethod
+        def now(cls, tz=None):
+            return next(clock)
+
+    monkeypatch.setattr("arborload.plans.load.datetime", Moving)
+    monkeypatch.setattr("arborload.sources.landing.datetime", Moving)
+    late = []
+
+    def landed_meanwhile(run_id):
+        if not late:
+            late.append(land(spark, f"{scratch}/1", docs[2:]))
+        return ["pos", "Plea"]
+
+    shape = Projections({"s_f_offence": landed_meanwhile})
+    run(spark, feed(landing, projections=shape), "bulk", tables, "r1", "today")
+    assert late
+    expected = wanted(docs[:2])
+    found = content(tables)
+    assert {t: found[t] for t in ("person", "disposal", "note")} == {t: expected[t] for t in ("person", "disposal", "note")}
+
+
+def test_a_filter_keeps_the_scans_narrow(spark, tables, scratch):
+    schema, tree = nominal.document_schema(), nominal.tree()
+    landing = f"{scratch}/1"
+    data.frame(spark, data.documents(["a"], 1), 1).write.parquet(f"{landing}/year=2024/month=02/day=01/hour=02/minute=00")
+    wide = Feed("s", "n", landing, schema, tree, header=False, where="body.Sex IS NOT NULL AND header.dataFormat <> 'Sex'")
+
+    def read(narrow, file):
+        return scan(spark, landing, narrow)
+
+    documents = _documents(wide, tree, tables, read)
+    rows = flatten(documents.read(documents.tree.read_schema("releasedetails", schema), False), documents.tree, "releasedetails")
+    text = rows._jdf.queryExecution().optimizedPlan().toString()
+    names = set(re.findall(r"\w+", " ".join(f.simpleString() for f in documents.read(documents.tree.read_schema("releasedetails", schema), False).schema)))
+    assert {"Sex", "dataFormat", "ReleaseDate"} <= names and not names & {"Offence", "CRONo", "Occupation"} and text
+
+
+def test_a_transform_reads_the_documents_once(spark, tables, scratch):
+    reads = []
+
+    def read(narrow, file):
+        reads.append(narrow)
+        return scan(spark, landing, narrow, source_file=file)
+
+    landing = land(spark, f"{scratch}/1", data.documents(["a", "b"], 1, SCHEMA))
+    changed = feed(landing, transform=lambda frame: frame.where("body.PNCID = 'a'"))
+    documents = _documents(changed, TREE, tables, read)
+    for table in TREE.tables:
+        documents.read(TREE.read_schema(table, SCHEMA), table == "person").count()
+    assert len(reads) == 1 and documents.written
+
+
+def test_new_files_are_upserted_once(spark, tables, scratch):
+    docs = data.documents(["a", "b", "c"], 1, SCHEMA)
+    again = data.documents(["b"], 9, SCHEMA)
+    landing = land(spark, f"{scratch}/1", docs)
+
+    def load(mode="upsert"):
+        return run(spark, feed(landing), mode, tables, "r1", "new", NOW, state=f"{scratch}/state")
+
+    assert ("read_count", "person", 3) in metrics(load())
+    land(spark, landing, again, day="02")
+    load()
+    assert content(tables) == wanted([docs[0], docs[2], again[0]])
+    assert "year" in spark.read.parquet(run(spark, feed(landing), "bulk", tables, "r1", "all", NOW).rejected).columns
+    state = content(tables)
+    assert load().metrics.records() == [] and content(tables) == state
+    with pytest.raises(ValueError):
+        load("bulk")
+
+
 def test_flat_feeds(spark, tables, scratch):
     docs = data.documents(["a", "b"], 1, SCHEMA)
     flat = dict(
@@ -113,7 +274,7 @@ def test_flat_feeds(spark, tables, scratch):
     )
     landing = land(spark, f"{scratch}/1", docs)
     done = go(spark, tables, landing, "bulk", scratch, **flat)
-    assert [r[:2] + r[3:4] for r in done.metrics.records()] == [("read_count", "s_f", 2)]
+    assert metrics(done) == [("read_count", "s_f", 2)]
     go(spark, tables, landing, "bulk", scratch, **flat)
     assert tables.read("s_f").count() == 4
     go(spark, tables, landing, "upsert", scratch, **flat)

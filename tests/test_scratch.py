@@ -1,32 +1,26 @@
 from __future__ import annotations
 
 from arborload.sinks.reports import report_path
-from arborload.sources.scratch import materialise, scratch_dir, sized
+from arborload.queries.fixtures import scratch_dir
+from arborload.sources.scratch import directories, materialise, remove
 
 
-def test_scratch_is_below_the_configured_folder(spark):
+def test_derived_inputs_are_below_the_configured_folder(spark):
     base = spark.conf.get("spark.checkpoint.dir")
     one, two = scratch_dir(spark, "x"), scratch_dir(spark, "x")
     assert one != two and one.startswith(base)
 
 
-def test_materialised_rows_are_counted_and_lose_their_lineage(spark):
-    rows, n = materialise(spark.range(100).where("id % 3 = 0"), "t")
-    assert n == rows.count() == 34
+def test_materialised_rows_lose_their_lineage_and_can_be_removed(spark, scratch):
+    rows, path = materialise(spark.range(100).where("id % 3 = 0"), scratch, "t")
+    assert rows.count() == 34 and path.startswith(scratch)
     assert "Range" not in rows._jdf.queryExecution().executedPlan().toString()
-    empty, n = materialise(spark.range(0), "t")
-    assert n == empty.count() == 0
-
-
-def test_broadcast_depends_on_the_counted_rows(spark):
-    keys = spark.range(5)
-    target = spark.range(100)
-
-    def plan(frame):
-        return target.join(frame, "id", "left_anti")._jdf.queryExecution().optimizedPlan().toString()
-
-    assert "broadcast" in plan(sized(keys, 5, limit=5))
-    assert "broadcast" not in plan(sized(keys, 6, limit=5))
+    empty, other = materialise(spark.range(0), scratch, "t")
+    assert empty.count() == 0
+    assert {d.rsplit("/", 1)[-1] for d in directories(spark, scratch)} >= {p.rsplit("/", 1)[-1] for p in (path, other)}
+    remove(spark, path)
+    assert path.rsplit("/", 1)[-1] not in {d.rsplit("/", 1)[-1] for d in directories(spark, scratch)}
+    assert directories(spark, f"{scratch}/absent") == {}
 
 
 def test_report_path():

@@ -27,6 +27,20 @@ def test_new_files_only(spark, scratch):
     assert seen == [0, 1]
 
 
+def test_the_count_is_whole_beyond_the_kept_progress(spark, scratch):
+    kept = spark.conf.get("spark.sql.streaming.numRecentProgressUpdates", "100")
+    spark.conf.set("spark.sql.streaming.numRecentProgressUpdates", "2")
+    try:
+        for i in range(5):
+            spark.range(i, i + 2).coalesce(1).write.mode("append").parquet(f"{scratch}/in")
+        seen = load_new_files(
+            spark, f"{scratch}/in", spark.range(1).schema, f"{scratch}/state", append_batches(f"{scratch}/out"), 1
+        )
+    finally:
+        spark.conf.set("spark.sql.streaming.numRecentProgressUpdates", kept)
+    assert seen == 10 == spark.read.parquet(f"{scratch}/out").count()
+
+
 def test_a_repeated_batch_replaces_itself(spark, scratch):
     apply = append_batches(f"{scratch}/out")
     apply(spark.range(3), 0)

@@ -60,38 +60,85 @@ def test_tree_tables_are_partitioned_by_bucket(spark, tables):
     assert "PartitionFilters: [isnotnull(root_bucket" in plan
 
 
-def test_only_touched_buckets_change(spark, tables):
+def keys_of(spark, values):
+    rows = tree_rows(spark, values).select("root_key")
+    return rows.selectExpr("root_key", f"{K.bucket('root_key', 4)} AS {BUCKET}")
+
+
+def change(tables, spark, gone, fresh=None):
+    keys = keys_of(spark, gone)
+    done = tables.rewrite("t", keys, [r[0] for r in keys.select(BUCKET).distinct().collect()], fresh)
+    return done
+
+
+def test_only_buckets_with_a_row_to_remove_change(spark, tables):
     tables.append(tree_rows(spark, range(100)), "t")
     files = set(tables.read("t").inputFiles())
-    touched = [1, 3]
-    old = tables.in_buckets("t", touched)
-    fresh = tree_rows(spark, [1000 + i for i in range(50)])
-    fresh = fresh.where(F.expr(K.bucket("root_key", 4)).isin(touched))
-    added = ks(fresh)
-    kept = ks(old.where("k % 2 = 0"))
-    rest = ks(tables.read("t").where(~F.col(BUCKET).isin(touched)))
-    directory = tables.write_buckets("t", old.where("k % 2 = 0"), fresh)
+    home = {r["k"]: r[BUCKET] for r in tables.read("t").collect()}
+    gone = [k for k in range(100) if home[k] in (1, 3)][:7]
+    fresh = tree_rows(spark, [*gone[:2], *range(1000, 1020)])
+    done = change(tables, spark, [*gone, 5000, 5001], fresh)
     assert ks(tables.read("t")) == list(range(100)), "not visible before it is published"
-    for _ in range(2):
-        tables.publish_buckets("t", directory, touched)
-        assert ks(tables.read("t")) == sorted(rest + kept + added)
-    same = [f for f in tables.read("t").inputFiles() if f in files]
-    assert same and all("root_bucket=0" in f or "root_bucket=2" in f for f in same)
+    assert done.buckets == {home[k] for k in gone}
+    tables.publish(done)
+    wanted = sorted(set(range(100)) - set(gone) | set(gone[:2]) | set(range(1000, 1020)))
+    assert ks(tables.read("t")) == wanted
+    same = {f for f in tables.read("t").inputFiles() if f in files}
+    assert same == {f for f in files if not any(f"root_bucket={b}/" in f for b in done.buckets)}
+
+
+def test_unknown_keys_write_nothing_and_new_rows_are_appended(spark, tables):
+    tables.append(tree_rows(spark, range(40)), "t")
+    files = set(tables.read("t").inputFiles())
+    done = change(tables, spark, range(500, 520))
+    assert done.directory is None and not done.buckets
+    tables.publish(done)
+    assert set(tables.read("t").inputFiles()) == files
+    tables.publish(change(tables, spark, range(500, 520), tree_rows(spark, range(500, 520))))
+    assert files < set(tables.read("t").inputFiles())
+    assert ks(tables.read("t")) == [*range(40), *range(500, 520)]
 
 
-def test_a_bucket_that_becomes_empty_goes_and_can_come_back(spark, tables):
+def test_a_bucket_that_becomes_empty_can_be_filled_again(spark, tables):
     tables.append(tree_rows(spark, range(40)), "t")
     gone = ks(tables.in_buckets("t", [2]))
     assert gone
-    directory = tables.write_buckets("t", tables.in_buckets("t", [2]).where("false"))
-    tables.publish_buckets("t", directory, [2])
-    assert ks(tables.read("t")) == [k for k in range(40) if k not in gone]
-    rows = tree_rows(spark, gone)
-    directory = tables.write_buckets("t", tables.in_buckets("t", [2]), rows, scattered=True)
-    tables.publish_buckets("t", directory, [2])
+    done = change(tables, spark, gone)
+    assert done.buckets == {2}
+    for _ in range(2):
+        tables.publish(done)
+        assert ks(tables.read("t")) == [k for k in range(40) if k not in gone]
+    tables.publish(change(tables, spark, gone, tree_rows(spark, gone)))
     assert ks(tables.read("t")) == list(range(40))
 
 
+def test_a_repeated_change_ends_alike_wherever_it_broke_off(spark, tables):
+    tables.append(tree_rows(spark, range(40)), "t")
+    fresh = tree_rows(spark, [3, 4, 900, 901])
+    broken = change(tables, spark, [3, 4, 900, 901], fresh)
+    broken.added.write.insertInto(tables.name("t"))
+    tables.publish(change(tables, spark, [3, 4, 900, 901], fresh))
+    assert ks(tables.read("t")) == [*range(40), 900, 901]
+
+
+def test_unreferenced_directories_are_removed_on_request(spark, tables):
+    tables.append(tree_rows(spark, range(40)), "t")
+    for _ in range(3):
+        tables.publish(change(tables, spark, [1, 2], tree_rows(spark, [1, 2])))
+    assert tables.clean("t") == [], "too young"
+    assert len(tables.clean("t", older_than_hours=0)) == 2
+    assert ks(tables.read("t")) == list(range(40)) and tables.clean("t", older_than_hours=0) == []
+
+
+def test_tables_with_a_key_of_their_own_are_bucketed_by_it(spark, tables):
+    rows = spark.createDataFrame([(1, "a"), (None, "b"), (2, "c")], "k int, v string")
+    tables.append(rows, "t", key="k")
+    assert tables.bucketed_by("t") == "k" and tables.read("t").count() == 3
+    keys = spark.createDataFrame([(1,), (None,)], "k int").selectExpr("k", f"{K.bucket('k', 4)} AS {BUCKET}")
+    tables.publish(tables.rewrite("t", keys, range(4)))
+    assert sorted(r["v"] for r in tables.read("t").collect()) == ["b", "c"], "a NULL key removes nothing"
+
+
 def test_tables_keep_their_number_of_buckets(spark, scratch):
     database = f"t_{uuid.uuid4().hex[:8]}"
     few = Tables(spark, database, f"{scratch}/tables", buckets=2)
