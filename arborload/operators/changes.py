@@ -35,13 +35,17 @@ def merge_by_key(
 
 
 def delete_tree(
-    targets: Mapping[str, DataFrame], keys: DataFrame, tree: Tree, by: str = "root_key"
+    targets: Mapping[str, DataFrame],
+    keys: DataFrame,
+    tree: Tree,
+    by: str = "root_key",
+    keep: L.Keep | None = None,
 ) -> dict[str, DataFrame]:
     """Rows that remain in every table once the given roots are gone.
 
     ``by="root_key"`` uses the tree key that flattening puts on every row: one join
     per table, however deep it sits.  ``by="links"`` follows the parent/child links
-    for tables that lack it.  Both read only the old tables, so the order in which
+    for tables that lack it; ``keep`` writes each level once (see ``links.propagate``).  Both read only the old tables, so the order in which
     the results are written does not matter.
     """
     out = {}
@@ -52,7 +56,7 @@ def delete_tree(
         return out
     if by != "links":
         raise ValueError(f"by must be root_key or links, not {by}")
-    links = L.propagate(targets, keys, tree)
+    links = L.propagate(targets, keys, tree, keep)
     for table in tree.tables:
         gone, key = L.table_keys(links, tree, table)
         out[table] = delete_by_key(targets[table], gone, key)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -50,18 +50,27 @@ def child_links(target: DataFrame, parent_links: DataFrame, tree: Tree, table: s
     return _links_of(matched(target, wanted, back), tree, table)
 
 
-def propagate(targets: Mapping[str, DataFrame], keys: DataFrame, tree: Tree) -> dict[str, DataFrame]:
+Keep = Callable[[DataFrame, str], DataFrame]
+
+
+def propagate(
+    targets: Mapping[str, DataFrame], keys: DataFrame, tree: Tree, keep: Keep | None = None
+) -> dict[str, DataFrame]:
     """Link rows of every table that has children, found by walking down the links.
 
     The frame of a table holds one column per child table; the root's also holds
-    the natural key.
+    the natural key.  ``keep(frame, table)`` may write a level and return it as read
+    back: without it every use of a deep level walks down from the root again.
     """
     out: dict[str, DataFrame] = {}
     for table in tree.tables:
         if table == tree.root.table:
-            out[table] = root_links(targets[table], keys, tree)
+            found = root_links(targets[table], keys, tree)
         elif tree.children(table):
-            out[table] = child_links(targets[table], out[_parent(tree, table)], tree, table)
+            found = child_links(targets[table], out[_parent(tree, table)], tree, table)
+        else:
+            continue
+        out[table] = found if keep is None else keep(found, table)
     return out
 
 

@@ -9,6 +9,7 @@ from arborload.operators import changes, links, reports
 from arborload.queries import fixtures as X
 from arborload.queries.registry import query
 from arborload.queries.scans import DELETE_KEYS_SQL
+from arborload.sources.scratch import materialise
 
 # The linked star tables in SQL, as a template over the names of the base tables.
 LINKED_SQL = """
@@ -119,8 +120,15 @@ def keys_root_delete(spark: SparkSession, sf: str) -> DataFrame:
     return links.root_links(targets["customer"], _delete_keys(spark, sf), X.STAR)
 
 
+def _keep(spark: SparkSession) -> links.Keep:
+    """Write every level of links once."""
+    folder = X.scratch_dir(spark, "links")
+    return lambda frame, table: materialise(frame, folder, table)[0]
+
+
 def _propagated(spark: SparkSession, sf: str, table: str) -> DataFrame:
-    return links.propagate(X.star_targets(spark, sf, rooted=False), _delete_keys(spark, sf), X.STAR)[table]
+    targets = X.star_targets(spark, sf, rooted=False)
+    return links.propagate(targets, _delete_keys(spark, sf), X.STAR, _keep(spark))[table]
 
 
 @query(
@@ -253,7 +261,8 @@ def upsert_tree_events(spark: SparkSession, sf: str) -> DataFrame:
 
 def _deleted(spark: SparkSession, sf: str, table: str, by: str) -> DataFrame:
     targets = X.star_targets(spark, sf)
-    return changes.delete_tree(targets, _delete_keys(spark, sf), X.ROOTED, by)[table]
+    keep = _keep(spark) if by == "links" else None
+    return changes.delete_tree(targets, _delete_keys(spark, sf), X.ROOTED, by, keep)[table]
 
 
 def _delete_sql(table: str) -> str:
@@ -293,7 +302,7 @@ def delete_links_lineitem(spark: SparkSession, sf: str) -> DataFrame:
 def delete_links_deep(spark: SparkSession, sf: str) -> DataFrame:
     """Fifth level: the supplier rows below the line items of deleted customers."""
     targets = X.star_targets(spark, sf, rooted=False)
-    return changes.delete_tree(targets, _delete_keys(spark, sf), X.STAR, "links")["supplier"]
+    return changes.delete_tree(targets, _delete_keys(spark, sf), X.STAR, "links", _keep(spark))["supplier"]
 
 
 # -- reports -----------------------------------------------------------------
@@ -320,7 +329,7 @@ def _report_sql(keys: str) -> str:
 )
 def report_updates(spark: SparkSession, sf: str) -> DataFrame:
     targets, stage = X.star_targets(spark, sf, rooted=False), X.star_stage(spark, sf)
-    return reports.update_counts(links.propagate(targets, stage["customer"], X.STAR), X.STAR)
+    return reports.update_counts(links.propagate(targets, stage["customer"], X.STAR, _keep(spark)), X.STAR)
 
 
 @query(
@@ -335,4 +344,4 @@ def report_updates(spark: SparkSession, sf: str) -> DataFrame:
 )
 def report_deletes(spark: SparkSession, sf: str) -> DataFrame:
     targets = X.star_targets(spark, sf, rooted=False)
-    return reports.delete_counts(links.propagate(targets, _delete_keys(spark, sf), X.STAR), X.STAR)
+    return reports.delete_counts(links.propagate(targets, _delete_keys(spark, sf), X.STAR, _keep(spark)), X.STAR)

@@ -62,3 +62,11 @@ def test_a_hot_key_is_split_between_tasks(spark, scratch):
     finally:
         for k, v in before.items():
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+@pytest.mark.parametrize("name", ["report_updates", "report_deletes", "delete_links_deep", "keys_deep"])
+def test_a_level_of_links_is_walked_once(spark, name):
+    text = plan(QUERIES[name](spark, SF))
+    for table in ("customer", "orders", "lineitem"):
+        if not (name == "delete_links_deep" and table == "lineitem"):
+            assert text.count(f"{table}.parquet") == 0, "only the written levels are read"
