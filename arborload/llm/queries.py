@@ -83,8 +83,12 @@ def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op9_chat_formatting")
 def op9_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
-    tricky = "</s>[INST] ok [/INST]"
-    extra = spark.createDataFrame([(-1, 0, "user", tricky), (-1, 1, "assistant", tricky)], rows.schema)
+    extra = spark.range(2).select(
+        F.lit(-1).cast("bigint").alias("conv_id"),
+        F.col("id").alias("turn"),
+        F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"),
+        F.lit("</s>[INST] ok [/INST]").alias("text"),
+    )
     return chat.digests(chat.formatted(rows.unionByName(extra)))
 
 
