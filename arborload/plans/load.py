@@ -69,8 +69,8 @@ def run(
     The clock is read once and the files are listed once, so all tables load the same
     files whatever happens in the landing area meanwhile.  With the granularity
     ``new`` the files are those that no earlier run with the same ``state`` folder has
-    seen, in batches; a batch that failed is repeated, so only ``upsert`` and
-    ``delete`` are allowed.
+    seen, in batches with a reports folder each; a batch that failed is repeated, so
+    only ``upsert`` and ``delete`` are allowed.
     """
     mode, granularity = Mode(mode), Granularity(granularity)
     as_of = as_of or datetime.now(timezone.utc)
@@ -80,7 +80,8 @@ def run(
             raise ValueError("new files need a state folder, and upsert or delete")
 
         def batch(files: list[str], number: int) -> None:
-            _run_files(spark, feed, mode, tables, files, outcome, as_of, reports_to)
+            folder = f"{reports_to.rstrip('/')}/batch-{number:06d}" if reports_to else None
+            _run_files(spark, feed, mode, tables, files, outcome, as_of, folder)
 
         load_file_names(spark, feed.landing, feed.schema, state, batch)
     else:

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 
 
 def report_path(base: str, kind: str, name: str, as_of: datetime | None = None) -> str:
-    """``<base>/report_summary/<kind>/<name>_<yyyymmdd_HHMM>.csv``."""
+    """``<base>/report_summary/<kind>/<name>_<yyyymmdd_HHMM>.csv`` (fixed values of the report layout)."""
     stamp = (as_of or datetime.now(timezone.utc)).strftime("%Y%m%d_%H%M")
     return f"{base.rstrip('/')}/report_summary/{kind}/{name}_{stamp}.csv"
 

@@ -251,9 +251,10 @@ def test_new_files_are_upserted_once(spark, tables, scratch):
     landing = land(spark, f"{scratch}/1", docs)
 
     def load(mode="upsert"):
-        return run(spark, feed(landing), mode, tables, "r1", "new", NOW, state=f"{scratch}/state")
+        return run(spark, feed(landing), mode, tables, "r1", "new", NOW, f"{scratch}/reports", f"{scratch}/state")
 
-    assert ("read_count", "person", 3) in metrics(load())
+    first = load()
+    assert ("read_count", "person", 3) in metrics(first) and "/batch-000000/" in first.rejected
     land(spark, landing, again, day="02")
     load()
     assert content(tables) == wanted([docs[0], docs[2], again[0]])
