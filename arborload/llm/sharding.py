@@ -4,13 +4,13 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from arborload.llm.shared import numbered, require, settle, text_key
 
 SHARDS = 40
-ROUNDS = 6
+ROUNDS = 3
 BUCKET_ROWS = 100_000
 
 
@@ -24,46 +24,70 @@ def _by_shard(values: list) -> Column:
     return F.element_at(F.array(*[F.lit(v) for v in values]), F.col("shard") + 1)
 
 
-def propagate(linked: DataFrame, shards: int, capacity: int, rounds: int = ROUNDS) -> DataFrame:
-    """Move linked documents towards the shards of their neighbours.
+def _drawn(*parts) -> Column:
+    """A number in [0, 1) hashed from the parts."""
+    return F.pmod(F.xxhash64(*parts), F.lit(1 << 32)) / F.lit(float(1 << 32))
+
+
+def _moves(state: DataFrame, room: list[int]) -> DataFrame:
+    """Which groups want to leave which shards, and where to.
+
+    A group wants to be in the shards that hold most of its documents: as few of them
+    as have room for all.  A group and shard are one row, so a group's rows are at most
+    as many as there are shards, however many documents it has.
+    """
+    votes = state.groupBy("key", "shard").agg(F.count(F.lit(1)).alias("n"))
+    votes = votes.withColumn("room", _by_shard(room))
+    strongest = Window.partitionBy("key").orderBy(F.desc("n"), F.xxhash64("key", "shard"), "shard")
+    before = F.coalesce(F.sum(F.col("n") + F.col("room")).over(strongest.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    total = F.sum("n").over(Window.partitionBy("key"))
+    ranked = votes.withColumn("stays", before < total)
+    wanted = F.when(F.col("stays") & (F.col("room") > 0), F.struct("shard", "room"))
+    targets = F.array_sort(F.collect_list(wanted).over(Window.partitionBy("key")))
+    moving = ranked.withColumn("targets", targets).where(~F.col("stays") & (F.size("targets") > 0))
+    return moving.select(F.col("key").alias("__key"), F.col("shard").alias("__from"), "n", "targets")
+
+
+def propagate(linked: DataFrame, shards: int, capacity: int, rounds: int = ROUNDS) -> tuple[DataFrame, dict[int, int]]:
+    """Move linked documents towards the shards of their neighbours; also returns the loads.
 
     ``linked`` has ``doc_id``, ``key`` (equal for neighbours) and ``shard``.  In every
-    round each group names the shard that most of its documents are in, among those
-    that are not full, and documents in a shard with fewer of them ask to move there.
-    A shard lets in as many as it has room for: if more ask, each is let in with the
-    probability that fills the room, drawn from its hash.  Rounds end early when
-    nobody asks.
+    round each group names the shards that hold most of its documents, and those in
+    other shards ask to move there, spread by the room that is left.  A shard lets in
+    as many as it has room for: if more ask, each is let in with the probability that
+    fills the room, drawn from its hash.  Rounds end early when nobody asks.
     """
     state = settle(linked)
     loads = _shard_counts(state)
     for number in range(rounds):
         room = [max(0, capacity - loads.get(s, 0)) for s in range(shards)]
-        votes = state.groupBy("key", "shard").agg(F.count(F.lit(1)).alias("n"))
-        strength = F.struct(F.col("n"), F.xxhash64("key", "shard").alias("tie"))
-        ranked = votes.withColumn("strength", strength)
-        open_ones = ranked.where(_by_shard(room) > 0)
-        best = open_ones.groupBy("key").agg(
-            F.max("strength").alias("wanted"), F.max_by("shard", "strength").alias("target")
-        )
-        moves = (
-            ranked.join(best, "key")
-            .where((F.col("target") != F.col("shard")) & (F.col("wanted") > F.col("strength")))
-            .select(F.col("key").alias("__key"), F.col("shard").alias("__from"), "target", "n")
-        )
-        moves = settle(moves)
-        asked = {r["target"]: r["n"] for r in moves.groupBy("target").agg(F.sum("n").alias("n")).collect()}
+        moves = settle(_moves(state, room))
+        spread = F.aggregate("targets", F.lit(0).cast("long"), lambda a, t: a + t["room"])
+        shares = moves.withColumn("all_room", spread).withColumn("t", F.explode("targets"))
+        asking = shares.groupBy("t.shard").agg(F.sum(F.col("n") * F.col("t.room") / F.col("all_room")).alias("n"))
+        asked = {r["shard"]: r["n"] for r in asking.collect()}
         if not asked:
             break
         chance = [min(1.0, room[s] / asked[s]) if asked.get(s) else 0.0 for s in range(shards)]
-        drawn = F.pmod(F.xxhash64(F.lit(number), "key", "doc_id", "size"), F.lit(1 << 32)) / F.lit(float(1 << 32))
         joined = state.join(moves, (F.col("key") == F.col("__key")) & (F.col("shard") == F.col("__from")), "left")
-        let_in = drawn < F.element_at(F.array(*[F.lit(c) for c in chance]), F.col("target") + 1)
+        place = _drawn(F.lit(number), F.lit("place"), "key", "doc_id", "size") * spread
+        passed = F.aggregate(
+            "targets",
+            F.struct(F.lit(0).cast("long").alias("upto"), F.lit(-1).alias("shard")),
+            lambda a, t: F.struct(
+                (a["upto"] + t["room"]).alias("upto"),
+                F.when((a["shard"] < 0) & (place < a["upto"] + t["room"]), t["shard"]).otherwise(a["shard"]).alias("shard"),
+            ),
+        )["shard"]
+        target = F.col("__target")
+        lot = _drawn(F.lit(number), F.lit("lot"), "key", "doc_id", "size")
+        let_in = (target >= 0) & (lot < F.element_at(F.array(*[F.lit(c) for c in chance]), F.greatest(target, F.lit(0)) + 1))
+        moved = joined.withColumn("__target", F.coalesce(passed, F.lit(-1)))
         state = settle(
-            joined.withColumn("shard", F.when(F.col("target").isNotNull() & let_in, F.col("target")).otherwise(F.col("shard")))
-            .select(*linked.columns)
+            moved.withColumn("shard", F.when(let_in, target).otherwise(F.col("shard"))).select(*linked.columns)
         )
         loads = _shard_counts(state)
-    return state
+    return state, loads
 
 
 def assigned(docs: DataFrame, shards: int = SHARDS, rounds: int = ROUNDS) -> DataFrame:
@@ -93,27 +117,28 @@ def assigned(docs: DataFrame, shards: int = SHARDS, rounds: int = ROUNDS) -> Dat
     )
     count = rows.count()
     targets = [count // shards + (s < count % shards) for s in range(shards)]
-    groups = rows.groupBy("key").count().where("count > 1").select("key")
+    # Settled, so that the joins below have a shuffle on both sides and Spark can split a hot text.
+    groups = settle(rows.groupBy("key").count().where("count > 1").select("key"))
     order = ["key", "doc_id", "size", "text_crc32"]
     begin = F.pmod(F.xxhash64(F.lit(-1), "doc_id", "key"), F.lit(shards)).cast("int")
     linked = rows.join(groups, "key", "left_semi").withColumn("shard", begin)
-    placed = propagate(linked.select("doc_id", "size", "text_crc32", "key", "shard"), shards, count // shards, rounds)
+    placed, loads = propagate(linked.select("doc_id", "size", "text_crc32", "key", "shard"), shards, count // shards, rounds)
     in_shard = max(1, math.ceil(count / shards / BUCKET_ROWS))
-    ranked = settle(numbered(placed, ["shard"], order, in_shard, "slot"))
+    ranked = numbered(placed, ["shard"], order, in_shard, "slot")
     kept = ranked.where(F.col("slot") < _by_shard(targets))
-    loads = _shard_counts(kept)
+    loads = {s: min(loads.get(s, 0), targets[s]) for s in range(shards)}
     released = ranked.where(F.col("slot") >= _by_shard(targets)).select(*order, F.lit(True).alias("linked"))
     single = rows.join(groups, "key", "left_anti").select(*order, F.lit(False).alias("linked"))
     free = released.unionByName(single)
     starts, total = [], 0
     for s in range(shards):
         starts.append(total)
-        total += targets[s] - loads.get(s, 0)
+        total += targets[s] - loads[s]
     dealt = numbered(free, [], order + ["linked"], max(64, math.ceil(count / BUCKET_ROWS)), "__at")
     # A shard that needs no more begins where the next one does, so the last start that is not after counts.
     shard = F.size(F.filter(F.array(*[F.lit(x).cast("long") for x in starts]), lambda x: x <= F.col("__at"))) - 1
     filled = dealt.withColumn("shard", shard).withColumn(
-        "slot", F.col("__at") - _by_shard(starts) + _by_shard([loads.get(s, 0) for s in range(shards)])
+        "slot", F.col("__at") - _by_shard(starts) + _by_shard([loads[s] for s in range(shards)])
     )
     columns = ["doc_id", "size", "text_crc32", "shard", "slot", "linked"]
     both = kept.withColumn("linked", F.lit(True)).select(*columns).unionByName(filled.select(*columns))
