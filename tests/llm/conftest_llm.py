@@ -1,6 +1,5 @@
 from __future__ import annotations
 
-import tempfile
 
 import pytest
 from pyspark.sql import types as T
