@@ -4,13 +4,19 @@ from __future__ import annotations
 
 import math
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from arborload.llm.shared import numbered, require, settle, text_key
+from arborload.llm.shared import numbered, require, settle, shared_table, text_key
 
 SHARDS = 40
-ROUNDS = 3
+# Askers of a round over the fewest of a round before, above which it counts as idle.
+LEAST_PROGRESS = 0.95
+# A round that moves less than one of so many linked rows is idle too.
+LEAST_MOVED = 1000
+# A group moves as a whole if a shard holds so many of its size.
+SMALL = 8
 BUCKET_ROWS = 100_000
 
 
@@ -29,68 +35,107 @@ def _drawn(*parts) -> Column:
     return F.pmod(F.xxhash64(*parts), F.lit(1 << 32)) / F.lit(float(1 << 32))
 
 
-def _moves(state: DataFrame, room: list[int]) -> DataFrame:
+def _small(capacity: int) -> Column:
+    """Whether a group is small beside a shard, so that it moves as a whole."""
+    return F.col("total") * SMALL <= capacity
+
+
+def _moves(state: DataFrame, slack: list[int], capacity: int, number: int) -> DataFrame:
     """Which groups want to leave which shards, and where to.
 
-    A group wants to be in the shards that hold most of its documents: as few of them
-    as have room for all.  A group and shard are one row, so a group's rows are at most
-    as many as there are shards, however many documents it has.
+    A group wants to be in the shards that could hold most of its documents, with
+    ``slack`` rows that may come in: a small group in one, a larger one in as few as
+    hold all.  Ties are drawn anew in every round.  A group and shard are one row, so a group's rows are at most as many as there are shards,
+    however many documents it has.
     """
     votes = state.groupBy("key", "shard").agg(F.count(F.lit(1)).alias("n"))
-    votes = votes.withColumn("room", _by_shard(room))
-    strongest = Window.partitionBy("key").orderBy(F.desc("n"), F.xxhash64("key", "shard"), "shard")
-    before = F.coalesce(F.sum(F.col("n") + F.col("room")).over(strongest.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     total = F.sum("n").over(Window.partitionBy("key"))
-    ranked = votes.withColumn("stays", before < total)
-    wanted = F.when(F.col("stays") & (F.col("room") > 0), F.struct("shard", "room"))
+    votes = votes.withColumn("slack", _by_shard(slack)).withColumn("total", total)
+    holds = F.col("n") + F.least(F.col("slack"), F.col("total") - F.col("n"))
+    strongest = Window.partitionBy("key").orderBy(holds.desc(), F.desc("n"), F.xxhash64(F.lit(number), "key", "shard"), "shard")
+    before = F.coalesce(F.sum(F.col("n") + F.col("slack")).over(strongest.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    first = F.row_number().over(strongest) == 1
+    ranked = votes.withColumn("stays", F.when(_small(capacity), first).otherwise(before < F.col("total")))
+    wanted = F.when(F.col("stays") & (F.col("slack") > 0), F.struct("shard", "slack"))
     targets = F.array_sort(F.collect_list(wanted).over(Window.partitionBy("key")))
     moving = ranked.withColumn("targets", targets).where(~F.col("stays") & (F.size("targets") > 0))
-    return moving.select(F.col("key").alias("__key"), F.col("shard").alias("__from"), "n", "targets")
+    return moving.select(F.col("key").alias("__key"), F.col("shard").alias("__from"), "n", "total", "targets")
+
+
+def _chances(asked: np.ndarray, room: np.ndarray) -> np.ndarray:
+    """The share of its askers that each shard lets in, as many as it can in balance.
+
+    ``asked`` holds the rows that want to go from a shard (row) to another (column).
+    What a shard lets in is at most its room and what leaves it, so that full shards
+    exchange rows; an overfull one has negative room.  The largest such shares are what
+    is left when all begin at 1 and each is lowered to what the others allow.
+    """
+    into = np.maximum(asked.sum(axis=0), 1e-9)
+    chance = np.ones(len(room))
+    while True:
+        lower = np.clip((room + asked @ chance) / into, 0.0, chance)
+        if np.max(chance - lower) < 1e-3:
+            return lower
+        chance = lower
 
 
-def propagate(linked: DataFrame, shards: int, capacity: int, rounds: int = ROUNDS) -> tuple[DataFrame, dict[int, int]]:
+def propagate(linked: DataFrame, shards: int, capacity: int) -> tuple[DataFrame, dict[int, int]]:
     """Move linked documents towards the shards of their neighbours; also returns the loads.
 
     ``linked`` has ``doc_id``, ``key`` (equal for neighbours) and ``shard``.  In every
-    round each group names the shards that hold most of its documents, and those in
-    other shards ask to move there, spread by the room that is left.  A shard lets in
-    as many as it has room for: if more ask, each is let in with the probability that
-    fills the room, drawn from its hash.  Rounds end early when nobody asks.
+    round each group names the shards that could hold most of its documents, and those
+    in other shards ask to move there.  A shard lets in as many as it has room for and
+    as leave it in the same round, so shards without room exchange rows; if more ask,
+    each is let in with the probability that keeps the balance, drawn from its hash: a
+    small group is let in or not as a whole, a larger one row by row.  Rounds end when
+    nobody asks, or after two idle ones in a row: the askers have hardly become fewer,
+    or almost nothing moves.
     """
     state = settle(linked)
     loads = _shard_counts(state)
-    for number in range(rounds):
-        room = [max(0, capacity - loads.get(s, 0)) for s in range(shards)]
-        moves = settle(_moves(state, room))
-        spread = F.aggregate("targets", F.lit(0).cast("long"), lambda a, t: a + t["room"])
-        shares = moves.withColumn("all_room", spread).withColumn("t", F.explode("targets"))
-        asking = shares.groupBy("t.shard").agg(F.sum(F.col("n") * F.col("t.room") / F.col("all_room")).alias("n"))
-        asked = {r["shard"]: r["n"] for r in asking.collect()}
-        if not asked:
-            break
-        chance = [min(1.0, room[s] / asked[s]) if asked.get(s) else 0.0 for s in range(shards)]
+    leaving = [capacity] * shards
+    fewest, idle, number = math.inf, 0, 0
+    while True:
+        room = [capacity - loads.get(s, 0) for s in range(shards)]
+        moves = settle(_moves(state, [max(0, room[s]) + leaving[s] for s in range(shards)], capacity, number))
+        spread = F.aggregate("targets", F.lit(0).cast("long"), lambda a, t: a + t["slack"])
+        shares = moves.withColumn("all_slack", spread).withColumn("t", F.explode("targets"))
+        asking = shares.groupBy("__from", "t.shard").agg(F.sum(F.col("n") * F.col("t.slack") / F.col("all_slack")).alias("n"))
+        asked = np.zeros((shards, shards))
+        for r in asking.collect():
+            asked[r["__from"], r["shard"]] = r["n"]
+        chance = _chances(asked, np.array(room, dtype=float))
+        little = (asked @ chance).sum() * LEAST_MOVED < sum(loads.values())
+        idle = idle + 1 if little or asked.sum() > LEAST_PROGRESS * fewest else 0
+        if not asked.any() or idle == 2:
+            return state, loads
+        fewest, number = min(fewest, asked.sum()), number + 1
+        leaving = [int(n) for n in np.ceil(asked @ chance)]
         joined = state.join(moves, (F.col("key") == F.col("__key")) & (F.col("shard") == F.col("__from")), "left")
         place = _drawn(F.lit(number), F.lit("place"), "key", "doc_id", "size") * spread
         passed = F.aggregate(
             "targets",
             F.struct(F.lit(0).cast("long").alias("upto"), F.lit(-1).alias("shard")),
             lambda a, t: F.struct(
-                (a["upto"] + t["room"]).alias("upto"),
-                F.when((a["shard"] < 0) & (place < a["upto"] + t["room"]), t["shard"]).otherwise(a["shard"]).alias("shard"),
+                (a["upto"] + t["slack"]).alias("upto"),
+                F.when((a["shard"] < 0) & (place < a["upto"] + t["slack"]), t["shard"]).otherwise(a["shard"]).alias("shard"),
             ),
         )["shard"]
         target = F.col("__target")
-        lot = _drawn(F.lit(number), F.lit("lot"), "key", "doc_id", "size")
-        let_in = (target >= 0) & (lot < F.element_at(F.array(*[F.lit(c) for c in chance]), F.greatest(target, F.lit(0)) + 1))
+        alone = _drawn(F.lit(number), F.lit("lot"), "key", "doc_id", "size")
+        together = _drawn(F.lit(number), F.lit("lot"), "key")
+        lot = F.when(_small(capacity), together).otherwise(alone)
+        share = F.element_at(F.array(*[F.lit(float(c)) for c in chance]), F.greatest(target, F.lit(0)) + 1)
+        let_in = (target >= 0) & (lot < share)
         moved = joined.withColumn("__target", F.coalesce(passed, F.lit(-1)))
-        state = settle(
-            moved.withColumn("shard", F.when(let_in, target).otherwise(F.col("shard"))).select(*linked.columns)
+        # A file and no checkpoint, which would hand on constraints that double with every round.
+        state = shared_table(
+            moved.withColumn("shard", F.when(let_in, target).otherwise(F.col("shard"))).select(*linked.columns), "linked"
         )
         loads = _shard_counts(state)
-    return state, loads
 
 
-def assigned(docs: DataFrame, shards: int = SHARDS, rounds: int = ROUNDS) -> DataFrame:
+def assigned(docs: DataFrame, shards: int = SHARDS) -> DataFrame:
     """A shard and a slot for every document, shard sizes at most one row apart.
 
     Documents with equal texts are neighbours.  They begin in hash-drawn shards and
@@ -122,7 +167,7 @@ def assigned(docs: DataFrame, shards: int = SHARDS, rounds: int = ROUNDS) -> Dat
     order = ["key", "doc_id", "size", "text_crc32"]
     begin = F.pmod(F.xxhash64(F.lit(-1), "doc_id", "key"), F.lit(shards)).cast("int")
     linked = rows.join(groups, "key", "left_semi").withColumn("shard", begin)
-    placed, loads = propagate(linked.select("doc_id", "size", "text_crc32", "key", "shard"), shards, count // shards, rounds)
+    placed, loads = propagate(linked.select("doc_id", "size", "text_crc32", "key", "shard"), shards, count // shards)
     in_shard = max(1, math.ceil(count / shards / BUCKET_ROWS))
     ranked = numbered(placed, ["shard"], order, in_shard, "slot")
     kept = ranked.where(F.col("slot") < _by_shard(targets))

@@ -42,3 +42,16 @@ def test_small_groups_stay_whole(spark, make):
 def test_a_group_larger_than_a_shard_is_divided(spark, make, share):
     rows = [(i, "same" if i < share * 500 else f"text {i}", "s") for i in range(500)]
     check(sharding.assigned(make(rows), 10).collect(), rows, 10)
+
+
+@pytest.mark.parametrize("share", [0.9, 1.0])
+def test_small_groups_are_gathered_when_shards_have_little_room(spark, make, share):
+    rows = [(i, f"text {i // 5 if i < share * 4000 else -i}", "s") for i in range(4000)]
+    found = sharding.assigned(make(rows), 8).collect()
+    check(found, rows, 8)
+    shards = defaultdict(Counter)
+    for r in found:
+        if r.linked:
+            shards[r.text_crc32][r.shard] += 1
+    outside = sum(sum(c.values()) - max(c.values()) for c in shards.values())
+    assert sum(sum(c.values()) for c in shards.values()) == share * 4000 and outside < 0.02 * share * 4000
