@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from arborload.llm import chat, counting, lines, mixing, packing, quality, sharding, simhash, sketches, toxicity
+from arborload.llm import chat, codes, counting, lines, mixing, packing
+from arborload.llm import quality, sharding, simhash, sketches, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -107,3 +108,8 @@ def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return counting.counted(docs, tokenizer_path(), limit=1024).drop("text")
+
+
+@query("op13_vector_code_compression", codes.ORACLE)
+def op13_vector_code_compression(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return codes.compressed(table(spark, sf_dir, "embeddings"))

@@ -1,0 +1,103 @@
+from __future__ import annotations
+
+import hashlib
+import math
+import random
+
+import numpy as np
+import pytest
+from pyspark.sql import types as T
+
+from arborload.llm import codes
+
+SCHEMA = T.StructType(
+    [
+        T.StructField("vec_id", T.LongType()),
+        T.StructField("embedding", T.ArrayType(T.DoubleType())),
+        T.StructField("label", T.IntegerType()),
+    ]
+)
+
+
+def plain(rows):
+    """The whole operator over lists; every distance is computed."""
+    kept = [r for r in rows if r[1] is not None and all(x is not None and math.isfinite(x) for x in r[1])]
+    if not kept:
+        return {}, None
+    width = 4 * -(-max(1, max(len(r[1]) for r in kept)) // 4)
+    limit = 2**31 // width
+    ints = [[max(-limit, min(limit, math.floor(1024 * x))) for x in r[1]] + [0] * (width - len(r[1])) for r in kept]
+    order = sorted(range(len(kept)), key=lambda i: (kept[i][0] is None, kept[i][0] or 0, ints[i]))
+    size = width // 4
+    cut = [[v[p * size : (p + 1) * size] for p in range(4)] for v in ints]
+    books = [[cut[i][p] for i in order[:256]] for p in range(4)]
+
+    def nearest(part, book):
+        return min((sum((a - b) ** 2 for a, b in zip(part, e)), k) for k, e in enumerate(book))
+
+    for _ in range(4):
+        for p in range(4):
+            member = {}
+            for c in cut:
+                member.setdefault(nearest(c[p], books[p])[1], []).append(c[p])
+            for k, own in member.items():
+                books[p][k] = [sum(x) // len(own) for x in zip(*own)]
+    out, by_label = [], {}
+    for r, c in zip(kept, cut):
+        found = [nearest(c[p], books[p]) for p in range(4)]
+        error = sum(d for d, _ in found)
+        out.append((r[0], "".join(f"{k:02x}" for _, k in found), error, r[2]))
+        by_label[r[2]] = by_label.get(r[2], 0) + error
+    text = ",".join(str(x) for book in books for entry in book for x in entry)
+    return sorted(((*o[:3], by_label[o[3]]) for o in out), key=str), hashlib.sha256(text.encode()).hexdigest()
+
+
+def check(spark, rows):
+    found = codes.compressed(spark.createDataFrame(rows, SCHEMA).repartition(3)).collect()
+    expected, checksum = plain(rows)
+    assert sorted(((r.vec_id, r.code, r.error, r.label_error) for r in found), key=str) == expected
+    assert {r.codebooks_sha256 for r in found} == {checksum}
+
+
+@pytest.mark.parametrize("kind", [np.float64, np.int64])
+def test_search_equals_all_distances(kind):
+    draw = np.random.default_rng(5)
+    for scale in (3, 1000, 40_000_000 if kind is np.int64 else 5000):
+        parts = draw.integers(-scale, scale + 1, (300, 8))
+        book = draw.integers(-scale, scale + 1, (50, 8))
+        book[7] = book[3]
+        index, distance = codes.nearest(parts, book)
+        whole = ((parts[:, None, :] - book[None]) ** 2).sum(axis=2)
+        assert (index == whole.argmin(axis=1)).all() and (distance == whole.min(axis=1)).all()
+
+
+def test_more_rows_than_entries(spark):
+    draw = random.Random(2)
+    rows = [(i, [draw.gauss(0, 0.3) for _ in range(8)], draw.choice([1, 2, None])) for i in range(600)]
+    check(spark, rows)
+
+
+def test_odd_rows(spark):
+    rows = [
+        (1, [0.5, -0.5, 0.25, 1.0], 1),
+        (1, [0.5, -0.5, 0.25, 1.0], 1),
+        (1, [0.5, -0.5, 0.25, 0.9], None),
+        (None, [0.1] * 4, None),
+        (2, None, 1),
+        (3, [0.1, None, 0.2, 0.3], 1),
+        (4, [0.1, math.nan, 0.2, 0.3], 1),
+        (5, [0.1, math.inf, 0.2, 0.3], 1),
+        (6, [], 2),
+        (7, [0.1, 0.2, 0.3, 0.4, 0.5], 2),
+        (8, [1e30, -1e30, 1e-30, -1e-30], 3),
+    ]
+    check(spark, rows)
+
+
+def test_clashing_columns_and_empty_tables(spark):
+    frame = spark.createDataFrame([(1, [0.5] * 4, 1)], SCHEMA).selectExpr("*", "1 AS Error", "2 AS code")
+    assert codes.compressed(frame).columns == ["vec_id", "code", "error", "label_error", "codebooks_sha256"]
+    assert codes.compressed(frame).count() == 1
+    for rows in ([], [(1, None, 1)]):
+        empty = codes.compressed(spark.createDataFrame(rows, SCHEMA))
+        assert empty.columns[0] == "vec_id" and empty.count() == 0
