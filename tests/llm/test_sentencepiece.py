@@ -1,0 +1,93 @@
+from __future__ import annotations
+
+import hashlib
+import random
+import sys
+
+import numpy as np
+import pytest
+from sentencepiece import SentencePieceProcessor
+
+from arborload.llm import pieces
+from arborload.llm.queries import QUERIES, tokenizer_path
+
+PATH = tokenizer_path("piece_bpe_32k.model")
+LIBRARY = SentencePieceProcessor(model_file=PATH)
+
+
+@pytest.fixture(scope="module")
+def model():
+    return pieces.model(PATH)
+
+
+def check(model, texts):
+    found = model.encode(texts)
+    expected = LIBRARY.encode(texts, num_threads=1)
+    assert [f.tolist() for f in found] == expected
+    assert [model.decode(f) for f in found] == [LIBRARY.decode(e) for e in expected]
+
+
+def test_random_texts(model):
+    draw = random.Random(3)
+    words = "the and atio ▁ th he in of ing ▁the 日本 é bcbc ss xx 1 \n \t \x00 😀 </s> <s> <0x41> <unk> nt te de".split(" ")
+    check(model, ["".join(draw.choices([*words, " ", "  ", "     "], k=draw.randint(0, 30))) for _ in range(20_000)])
+    check(model, ["".join(draw.choices("thenaioufrd ▁", k=draw.randint(0, 60))) for _ in range(20_000)])
+
+
+def test_characters_of_every_plane(model):
+    draw = random.Random(4)
+    codes = [c for c in range(1, sys.maxunicode) if not 0xD800 <= c < 0xE000]
+    check(model, ["".join(map(chr, draw.choices(codes, k=30))) for _ in range(2000)])
+
+
+def test_long_texts(model):
+    draw = random.Random(5)
+    letters = "".join(draw.choices("abcdefghijklmnopqrstuvwxyz", k=50_000))
+    check(model, ["the" * 20_000, " " * 100_000 + "x", "x" * 100_000, letters, "ation" * 3000, "é" * 40_000, "word " * 300_000])
+
+
+def test_words_finished_one_merge_at_a_time(model, monkeypatch):
+    monkeypatch.setattr(pieces, "ROUNDS", 1)
+    draw = random.Random(6)
+    check(model, ["".join(draw.choices("thenaioufrd  ", k=draw.randint(0, 60))) for _ in range(3000)])
+
+
+def test_any_ids_decode_as_in_the_library(model):
+    draw = random.Random(7)
+    ids = [*range(0, 300), *draw.sample(range(300, 32_000), 300)]
+    for _ in range(5000):
+        chosen = draw.choices(ids, k=draw.randint(0, 12))
+        assert model.decode(np.array(chosen, dtype=np.int64)) == LIBRARY.decode(chosen)
+
+
+def test_other_models_are_refused(tmp_path):
+    from sentencepiece.sentencepiece_model_pb2 import ModelProto
+
+    spec = ModelProto()
+    spec.ParseFromString(open(PATH, "rb").read())
+    spec.normalizer_spec.add_dummy_prefix = False
+    path = tmp_path / "other.model"
+    path.write_bytes(spec.SerializeToString())
+    with pytest.raises(ValueError):
+        pieces.PieceModel(str(path))
+
+
+def test_odd_rows(spark, make, odd):
+    docs = make(odd).withColumnRenamed("n_chars", "Decoded").withColumnRenamed("lang", "IDS")
+    rows = pieces.encoded(docs, PATH).collect()
+    assert len(rows) == len(odd)
+    for r in rows:
+        ids = LIBRARY.encode(r.text or "", add_eos=True)
+        assert (r.ids, r.decoded) == (ids, LIBRARY.decode(ids))
+    assert pieces.encoded(make([]), PATH).count() == 0
+
+
+def test_query(spark):
+    sf = "/root/testdata/sf0.001"
+    texts = {r.doc_id: r.text for r in spark.read.parquet(f"{sf}/documents.parquet").collect()}
+    rows = QUERIES["op12_sentencepiece"](spark, sf).collect()
+    assert len(rows) == len(texts)
+    for r in rows:
+        ids = LIBRARY.encode(texts[r.doc_id] or "", add_eos=True)
+        digests = [hashlib.sha256(t.encode()).hexdigest() for t in (" ".join(map(str, ids)), LIBRARY.decode(ids))]
+        assert (r.n_tokens, r.ids_sha256, r.decoded_sha256) == (len(ids), *digests)
