@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from arborload.llm import chat, codes, counting, lines, mixing, packing, pieces
+from arborload.llm import audit, chat, codes, counting, lines, mixing, packing, pieces
 from arborload.llm import quality, sharding, simhash, sketches, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -110,6 +110,11 @@ def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counting.counted(docs, tokenizer_path(), limit=1024).drop("text")
 
 
+@query("op11_filter_interaction_audit", audit.ORACLE)
+def op11_filter_interaction_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return audit.audited(spark, f"{sf_dir}/documents.parquet", table(spark, sf_dir, "labels"))
+
+
 @query("op12_sentencepiece")
 def op12_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
