@@ -80,13 +80,15 @@ def project_tree(
     run_id: str,
     as_of: datetime | None = None,
     header: bool = True,
+    carry: Sequence[str] = (),
 ) -> dict[str, DataFrame]:
     """Project every flattened table under ``<entity>_<table>``.
 
     The header goes on the root only, and only if ``header`` is set.  Link columns,
     the parent id, the root key and the batch id stay on every table, since upserts
     and deletes need them.  A table without a projection keeps its columns; of a root
-    with a header those are the ones the header does not hold already.
+    with a header those are the ones the header does not hold already.  ``carry`` names
+    further columns that stay on the root.
     """
     out = {}
     for table, frame in tables.items():
@@ -94,6 +96,7 @@ def project_tree(
         parent = tree.parent(table)
         keep = [*tree.links(table), ROOT_KEY] + ([id_column(parent)] if parent else [])
         keep += [BATCH_ID] if BATCH_ID in frame.columns else []
+        keep += carry if parent is None else []
         name = f"{entity}_{table}"
         if name in projections:
             select = projections.select_list(name, run_id)

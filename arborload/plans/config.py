@@ -22,10 +22,11 @@ class Mode(str, Enum):
 
 
 class Versions(str, Enum):
-    """What a run does with several documents of one root in a batch."""
+    """What a run does with several documents of one root."""
 
     KEEP_ALL = "keep_all"
     LATEST = "latest"
+    NEWEST = "newest"
 
 
 @dataclass(frozen=True)
@@ -40,9 +41,13 @@ class Feed:
 
     ``on_duplicate_root`` says what becomes of documents that share a natural key.
     ``keep_all`` keeps each with its own subtree; exact copies count as one.  They are
-    told apart by the tree's version columns, else by ``recordHash``, else by a digest
-    of the whole document.  ``latest`` keeps the one that is largest by the paths in
-    ``latest_by`` (those that the schema has), then by its digest.
+    told apart by the tree's version columns, else by ``recordHash``, or by a digest of
+    the whole document where that is NULL, absent or shared by differing documents.
+    ``latest`` keeps the one of a batch that is largest by the paths in ``latest_by``
+    (those that the schema has), then by its digest.  ``newest`` does so across batches
+    too: the root table keeps the order of its documents in ``root_version``, and an
+    upsert passes by roots that are older than what is loaded, so batches may arrive in
+    any order.
     """
 
     source: str
@@ -65,7 +70,8 @@ class Feed:
                 raise ValueError(f"missing {name}")
         if not self.schema.fields:
             raise ValueError("missing schema")
-        Versions(self.on_duplicate_root)
+        if Versions(self.on_duplicate_root) is Versions.NEWEST and self.tree is None:
+            raise ValueError("newest needs a tree")
 
     @property
     def entity(self) -> str:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+import time
 import uuid
 from collections.abc import Callable, Iterable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
@@ -21,18 +22,20 @@ from arborload.operators.flatten import flatten_from, rejects
 from arborload.operators.metrics import Metrics
 from arborload.operators.project import project, project_tree
 from arborload.plans.config import Feed, Mode, Versions
+from arborload.sinks.ledger import Ledger
 from arborload.sinks.reports import report_path, write_rows, write_summary
 from arborload.sinks.tables import BUCKET, Tables
 from arborload.sources.csv import CsvTransform, csv_to_parquet
-from arborload.sources.landing import Granularity, delete_keys, list_files, scan
-from arborload.sources.scratch import materialise, remove
-from arborload.streaming.incremental import load_file_names
-from arborload.tree import ROOT_KEY, Tree, with_paths
+from arborload.sources.landing import Granularity, delete_keys, missing, scan, slice_of, slice_path, with_partitions
+from arborload.sources.scratch import exists, materialise, remove
+from arborload.streaming.incremental import load_batches
+from arborload.tree import BATCH_ID, ROOT_KEY, Tree, with_paths
 
 PARALLEL_WRITES = 4
 RECORD_HASH = "recordHash"
 _DIGEST = "__document_digest"
 _ORDER = "__order"
+ROOT_VERSION = "root_version"
 
 Read = Callable[[T.StructType, bool], DataFrame]
 
@@ -66,41 +69,80 @@ def run(
     unknown mode raises ``ValueError``.  Repeating an upsert or a delete with the
     same batch changes nothing.
 
-    The clock is read once and the files are listed once, so all tables load the same
-    files whatever happens in the landing area meanwhile.  With the granularity
-    ``new`` the files are those that no earlier run with the same ``state`` folder has
-    seen, in batches with a reports folder each; a batch that failed is repeated, so
-    only ``upsert`` and ``delete`` are allowed.
+    The clock is read once, and files modified since then are left out, so all tables
+    load the same files whatever lands meanwhile.  With the granularity ``new`` the files
+    are those that no earlier run with the same ``state`` folder has seen, in batches
+    with a reports folder each.  A batch that failed is repeated; a ``bulk`` load first
+    removes the rows that the failed attempt has left, so every row is there once.  A
+    slice or an area that does not exist has no rows and gives two metrics.
     """
     mode, granularity = Mode(mode), Granularity(granularity)
     as_of = as_of or datetime.now(timezone.utc)
     outcome = Outcome(Metrics(run_id))
+    tables.recover()
     if granularity is Granularity.NEW:
-        if state is None or mode is Mode.BULK:
-            raise ValueError("new files need a state folder, and upsert or delete")
+        if state is None:
+            raise ValueError("new files need a state folder")
+        _run_new(spark, feed, mode, tables, outcome, as_of, reports_to, state)
+    else:
+        until = time.time()
+        if not exists(spark, slice_path(feed.landing, slice_of(granularity, as_of))):
+            missing(outcome.metrics, feed.entity)
 
-        def batch(files: list[str], number: int) -> None:
-            folder = f"{reports_to.rstrip('/')}/batch-{number:06d}" if reports_to else None
-            _run_files(spark, feed, mode, tables, files, outcome, as_of, folder)
+        def read(schema: T.StructType, file: bool) -> DataFrame:
+            return scan(spark, feed.landing, schema, granularity, as_of, source_file=file, until=until)
 
-        load_file_names(spark, feed.landing, feed.schema, state, batch)
-    else:
-        files = list_files(spark, feed.landing, granularity, as_of, outcome.metrics, feed.entity)
-        _run_files(spark, feed, mode, tables, files, outcome, as_of, reports_to)
+        _run_batch(feed, mode, tables, read, outcome, as_of, reports_to)
     outcome.tables = list(dict.fromkeys(outcome.tables))
     return outcome
 
 
-def _run_files(spark, feed: Feed, mode: Mode, tables: Tables, files, outcome: Outcome, as_of, reports_to) -> None:
-    def read(schema: T.StructType, file: bool) -> DataFrame:
-        return scan(spark, feed.landing, schema, source_file=file, files=files)
+def _run_new(spark, feed: Feed, mode: Mode, tables: Tables, outcome: Outcome, as_of, reports_to, state: str) -> None:
+    ledger = Ledger(spark, f"{tables.location}/{tables.database}/_ledger/{uuid.uuid5(uuid.NAMESPACE_URL, state).hex}")
+    schema = with_partitions(feed.schema)
 
+    def batch(rows: DataFrame, number: int) -> None:
+        tag = None
+        if mode is Mode.BULK:
+            if ledger.is_done(number):
+                return
+            tag = f"{outcome.metrics.run_id}/{number}"
+            before = ledger.begun(number)
+            if before is not None:
+                _purge(feed, tables, before)
+            ledger.begin(number, tag)
+        path = f"{tables.work}/batch-{uuid.uuid4().hex}"
+        rows.write.parquet(path)
+
+        def read(narrow: T.StructType, file: bool) -> DataFrame:
+            fields = with_partitions(narrow).fields + [T.StructField(SOURCE_FILE, T.StringType())] * file
+            return spark.read.schema(T.StructType(fields)).parquet(path)
+
+        folder = f"{reports_to.rstrip('/')}/batch-{number:06d}" if reports_to else None
+        _run_batch(feed, mode, tables, read, outcome, as_of, folder, tag)
+        remove(spark, path)
+        if tag is not None:
+            ledger.done(number, tag)
+
+    if not load_batches(spark, feed.landing, schema, state, batch):
+        missing(outcome.metrics, feed.entity)
+
+
+def _purge(feed: Feed, tables: Tables, tag: str) -> None:
+    """Remove what a broken-off batch has appended."""
+    names = [feed.entity] if feed.tree is None else [feed.table(t) for t in feed.tree.leaf_first()]
+    tables.purge([n for n in names if tables.exists(n)], f"{BATCH_ID} = {K.quoted(tag)}")
+
+
+def _run_batch(
+    feed: Feed, mode: Mode, tables: Tables, read: Read, outcome: Outcome, as_of, reports_to, tag: str | None = None
+) -> None:
     if mode is Mode.DELETE:
         _delete(feed, tables, read, outcome, reports_to, as_of)
     elif feed.tree is None:
-        _load_flat(feed, mode, tables, read, outcome, as_of)
+        _load_flat(feed, mode, tables, read, outcome, reports_to, as_of, tag)
     else:
-        _load_tree(feed, feed.tree, mode, tables, read, outcome, reports_to, as_of)
+        _load_tree(feed, feed.tree, mode, tables, read, outcome, reports_to, as_of, tag)
 
 
 # -- documents ---------------------------------------------------------------
@@ -137,15 +179,30 @@ def _digest(schema: T.StructType) -> str:
     return f"md5(to_json(struct({columns}), map('ignoreNullFields', 'false')))"
 
 
+def _ordered(feed: Feed) -> list[str]:
+    """What orders the versions of a root: the known paths of ``latest_by``, then the digest."""
+    known = [p for p in feed.latest_by if _paths_in(p, feed.schema) == [tuple(p.split("."))]]
+    return [*known, _digest(feed.schema)]
+
+
+def _root_path(tree: Tree, name: str) -> str | None:
+    """SQL path of a root column in the documents."""
+    found = next((f.path for f in tree.root.fields if f.name.lower() == name.lower()), None)
+    return None if found is None else ".".join(f"`{p}`" for p in found)
+
+
 def _latest(feed: Feed, tree: Tree, docs: DataFrame) -> DataFrame:
     """The newest document of every natural key; documents without a key all stay."""
-    key = ".".join(f"`{p}`" for p in next(f.path for f in tree.root.fields if f.name.lower() == tree.key.lower()))
-    known = [p for p in feed.latest_by if _paths_in(p, feed.schema) == [tuple(p.split("."))]]
-    order = [f"{p} AS {_ORDER}{i}" for i, p in enumerate(known)]
-    ordered = docs.selectExpr("*", f"{key} AS {_ORDER}key", *order, f"{_digest(feed.schema)} AS {_ORDER}last")
-    names = [f"{_ORDER}{i}" for i in range(len(known))] + [f"{_ORDER}last"]
+    key = _root_path(tree, tree.key)
+    order = [f"{p} AS {_ORDER}{i}" for i, p in enumerate(_ordered(feed))]
+    names = [f"{_ORDER}{i}" for i in range(len(order))]
+    ordered = docs.selectExpr("*", f"{key} AS {_ORDER}key", *order)
     newest = quality.latest_per_key(ordered.where(f"{_ORDER}key IS NOT NULL"), [f"{_ORDER}key"], names)
-    return newest.unionByName(ordered.where(f"{_ORDER}key IS NULL")).drop(f"{_ORDER}key", *names)
+    whole = newest.unionByName(ordered.where(f"{_ORDER}key IS NULL"))
+    if Versions(feed.on_duplicate_root) is Versions.NEWEST:
+        parts = ", ".join(f"'v{i}', {n}" for i, n in enumerate(names))
+        whole = whole.withColumn(ROOT_VERSION, F.expr(f"named_struct({parts})"))
+    return whole.drop(f"{_ORDER}key", *names)
 
 
 @dataclass
@@ -162,68 +219,142 @@ def _documents(feed: Feed, tree: Tree, tables: Tables, read: Read) -> _Documents
     """Reader that applies the feed's filter, transform and choice of versions.
 
     A table reads only the columns it needs, and those the filter names.  A transform,
-    the choice of the latest version, and telling versions apart without a record hash
-    need whole documents: these are then written once and read from there.
+    the choice of the latest version, and telling versions apart by their content need
+    whole documents: these are then written once and read from there.
     """
-    latest = Versions(feed.on_duplicate_root) is Versions.LATEST
-    digest = False
-    if not tree.version:
-        if any(f.name.lower() == RECORD_HASH.lower() for f in tree.root.fields):
-            tree = replace(tree, version=(RECORD_HASH,))
-        else:
-            digest = not latest
-    if feed.transform is None and not latest and not digest:
-        named = _paths_in(feed.where, feed.schema) if feed.where is not None else []
-
-        def narrow(schema: T.StructType, file: bool) -> DataFrame:
-            return _changed(feed, read(with_paths(schema, feed.schema, named), file))
-
-        return _Documents(narrow, tree)
-
-    docs = _changed(feed, read(feed.schema, True))
-    if latest:
-        docs = _latest(feed, tree, docs)
+    latest = Versions(feed.on_duplicate_root) is not Versions.KEEP_ALL
+    by_hash = not tree.version and _root_path(tree, RECORD_HASH) is not None
+    digest = not tree.version and not latest and not by_hash
+    named = _paths_in(feed.where, feed.schema) if feed.where is not None else []
+    source, written = None, None
+
+    def narrow(schema: T.StructType, file: bool) -> DataFrame:
+        return _changed(feed, read(with_paths(schema, feed.schema, named), file))
+
+    def keep(docs: DataFrame) -> tuple[Read, str]:
+        whole, path = materialise(docs, tables.work, "documents")
+        extra = {f.name: f for f in whole.schema.fields if f.name not in feed.schema.fieldNames()}
+
+        def kept(schema: T.StructType, file: bool) -> DataFrame:
+            fields = schema.fields + [f for n, f in extra.items() if file or n != SOURCE_FILE]
+            return tables.spark.read.schema(T.StructType(fields)).parquet(path)
+
+        return kept, path
+
+    if feed.transform is not None or latest or digest:
+        docs = _changed(feed, read(feed.schema, True))
+        if latest:
+            docs = _latest(feed, tree, docs)
+        if digest:
+            docs = docs.withColumn(_DIGEST, F.expr(_digest(feed.schema)))
+        source, written = keep(docs)
+    if by_hash:
+        tree = replace(tree, version=(RECORD_HASH,))
+    if by_hash and not latest:
+        digest, clashing = _same_hash(feed, tree, tables, source or narrow)
+        before = written
+        if digest:
+            docs = (source or narrow)(feed.schema, True)
+            source, written = keep(_digest_where_needed(feed, tree, docs, clashing))
+        for path in (clashing, before if digest else None):
+            if path is not None:
+                remove(tables.spark, path)
+    version = None
     if digest:
-        docs = docs.withColumn(_DIGEST, F.expr(_digest(feed.schema)))
-    whole, path = materialise(docs, tables.work, "documents")
-    extra = {f.name: f for f in whole.schema.fields if f.name not in feed.schema.fieldNames()}
+        version = [f"coalesce({_DIGEST}, hex({_root_path(tree, RECORD_HASH)}))" if by_hash else _DIGEST]
+    return _Documents(source or narrow, tree, version, written)
 
-    def written(schema: T.StructType, file: bool) -> DataFrame:
-        fields = schema.fields + [f for n, f in extra.items() if file or n != SOURCE_FILE]
-        return whole.sparkSession.read.schema(T.StructType(fields)).parquet(path)
 
-    return _Documents(written, tree, [_DIGEST] if digest else None, path)
+def _same_hash(feed: Feed, tree: Tree, tables: Tables, read: Read) -> tuple[bool, str | None]:
+    """Whether a record hash fails to tell documents apart, and where the keys are written that share one.
+
+    A pass over keys and hashes finds out whether a hash is NULL or repeated under its key;
+    only then are whole documents digested, and only hashes that stand for differing
+    documents are written.
+    """
+    key, value = _root_path(tree, tree.key), _root_path(tree, RECORD_HASH)
+    paths = [f.path for f in tree.root.fields if f.name.lower() in (tree.key.lower(), RECORD_HASH.lower())]
+    ids = read(with_paths(T.StructType([]), feed.schema, paths), False)
+    pairs = ids.where(f"{key} IS NOT NULL").selectExpr(f"{key} AS k", f"{value} AS h")
+    counts = pairs.groupBy("k", "h").agg(F.count(F.lit(1)).alias("n")).where("n > 1 OR h IS NULL")
+    found = counts.agg(F.bool_or(F.col("h").isNull()), F.bool_or(F.col("h").isNotNull())).first()
+    if not found[1]:
+        return bool(found[0]), None
+    docs = read(feed.schema, False).where(f"{value} IS NOT NULL")
+    digests = docs.selectExpr(f"{key} AS k", f"{value} AS h", f"{_digest(feed.schema)} AS d")
+    differ = digests.groupBy("k", "h").agg(F.min("d").alias("d0"), F.max("d").alias("d1")).where("d0 <> d1")
+    saved, path = materialise(differ.select("k", "h"), tables.work, "same-hash")
+    if saved.isEmpty():
+        remove(tables.spark, path)
+        return bool(found[0]), None
+    return True, path
+
+
+def _digest_where_needed(feed: Feed, tree: Tree, docs: DataFrame, clashing: str | None) -> DataFrame:
+    """Documents with a digest wherever their record hash does not tell them apart."""
+    key, value = _root_path(tree, tree.key), _root_path(tree, RECORD_HASH)
+    needed = f"{value} IS NULL"
+    if clashing is not None:
+        pairs = docs.sparkSession.read.parquet(clashing).selectExpr("k AS __k", "h AS __h", "true AS __clash")
+        docs = docs.join(pairs, F.expr(f"{key} = __k AND {value} = __h"), "left")
+        needed += " OR __clash"
+    marked = docs.withColumn(_DIGEST, F.expr(f"CASE WHEN {needed} THEN {_digest(feed.schema)} END"))
+    return marked.drop("__k", "__h", "__clash")
 
 
 # -- loads -------------------------------------------------------------------
 
 
-def _load_flat(feed, mode, tables: Tables, read, outcome: Outcome, as_of) -> None:
+def _load_flat(feed, mode, tables: Tables, read, outcome: Outcome, reports_to, as_of, tag: str | None) -> None:
     docs = _changed(feed, read(feed.schema, True))
     run_id = outcome.metrics.run_id
+    latest = Versions(feed.on_duplicate_root) is Versions.LATEST
+    order = [f"{p} AS {_ORDER}{i}" for i, p in enumerate(_ordered(feed))] if latest else []
     if feed.entity in feed.projections:
         docs = project(
             docs,
-            feed.projections.select_list(feed.entity, run_id),
+            [*feed.projections.select_list(feed.entity, run_id), *order],
             header="nested" if feed.header else None,
             as_of=as_of,
         )
-    counted = outcome.metrics.rows(docs, feed.entity)
+    elif order:
+        docs = docs.selectExpr("*", *order)
+    keyless = f"`{feed.natural_key}` IS NULL" if latest or mode is Mode.UPSERT else "false"
+    if latest:
+        names = [f"{_ORDER}{i}" for i in range(len(order))]
+        newest = quality.latest_per_key(docs.where(f"NOT {keyless}"), [feed.natural_key], names)
+        docs = newest.unionByName(docs.where(keyless)).drop(*names)
+    if tag is not None:
+        docs = docs.withColumn(BATCH_ID, F.lit(tag))
     outcome.tables.append(feed.entity)
-    if mode is Mode.BULK or not tables.exists(feed.entity):
-        tables.append(counted, feed.entity, key=feed.key)
+    if mode is Mode.BULK:
+        tables.append(outcome.metrics.rows(docs, feed.entity), feed.entity, key=feed.key)
+        return
+    _write_rejects(feed, tables, docs.where(keyless), outcome, reports_to, as_of)
+    counted = outcome.metrics.rows(docs.where(f"NOT {keyless}"), feed.entity)
+    if not tables.exists(feed.entity):
+        tables.append(quality.distinct_rows(counted), feed.entity, key=feed.key)
         return
     staged = tables.read(tables.stage(counted, feed.entity))
-    keys = staged.select(feed.natural_key).where(f"`{feed.natural_key}` IS NOT NULL").distinct()
-    _change_flat(feed, tables, keys, staged)
+    _change_flat(feed, tables, staged.select(feed.natural_key).distinct(), quality.distinct_rows(staged))
     tables.drop(f"stage_{feed.entity}")
 
 
+def _write_rejects(feed: Feed, tables: Tables, rows: DataFrame, outcome: Outcome, reports_to, as_of) -> None:
+    """Rows without a key, which no table can take; written and counted."""
+    if reports_to:
+        outcome.rejected = report_path(reports_to, "rejects", feed.entity, as_of)
+    else:
+        outcome.rejected = f"{tables.location}/{tables.database}/_rejects/{feed.entity}/{uuid.uuid4().hex}"
+    outcome.metrics.rows(rows, feed.entity, "rejected_rows").write.mode("overwrite").parquet(outcome.rejected)
+
+
 def _change_flat(feed: Feed, tables: Tables, keys: DataFrame, fresh: DataFrame | None) -> None:
     key, buckets = feed.natural_key, tables.bucket_count(feed.entity)
     bucketed = quality.distinct_rows(keys.selectExpr(f"`{key}`", f"{K.bucket(f'`{key}`', buckets)} AS {BUCKET}"))
     saved, path = materialise(bucketed, tables.work, "keys")
-    tables.publish(tables.rewrite(feed.entity, saved, _buckets_of(saved), fresh))
+    with tables.changing() as folder:
+        tables.apply(folder, [tables.prepare(folder, feed.entity, saved, _buckets_of(saved), fresh)])
     remove(tables.spark, path)
 
 
@@ -233,14 +364,15 @@ def _buckets_of(keys: DataFrame) -> list[int]:
 
 
 def _load_tree(
-    feed: Feed, tree: Tree, mode, tables: Tables, read, outcome: Outcome, reports_to, as_of
+    feed: Feed, tree: Tree, mode, tables: Tables, read, outcome: Outcome, reports_to, as_of, tag: str | None
 ) -> None:
     metrics = outcome.metrics
     documents = _documents(feed, tree, tables, read)
     tree = documents.tree
-    carry = (SOURCE_FILE,) if feed.header else ()
-    flat = flatten_from(documents.read, tree, feed.schema, carry, metrics.run_id, documents.version)
-    shaped = project_tree(flat, tree, feed.projections, feed.entity, metrics.run_id, as_of, feed.header)
+    newest = (ROOT_VERSION,) if Versions(feed.on_duplicate_root) is Versions.NEWEST else ()
+    carry = ((SOURCE_FILE,) if feed.header else ()) + newest
+    flat = flatten_from(documents.read, tree, feed.schema, carry, tag or metrics.run_id, documents.version)
+    shaped = project_tree(flat, tree, feed.projections, feed.entity, metrics.run_id, as_of, feed.header, newest)
     volatile = (*VOLATILE, SOURCE_FILE)
 
     def load(table: str) -> None:
@@ -258,16 +390,11 @@ def _load_tree(
 
     _each(tree.leaf_first(), load)
     outcome.tables += [feed.table(t) for t in tree.tables]
-    lost = metrics.rows(rejects(documents.read(feed.schema, True), tree), feed.entity, "rejected_rows")
-    if reports_to:
-        outcome.rejected = report_path(reports_to, "rejects", feed.entity, as_of)
-    else:
-        outcome.rejected = f"{tables.location}/{tables.database}/_rejects/{feed.entity}/{uuid.uuid4().hex}"
-    lost.write.mode("overwrite").parquet(outcome.rejected)
+    _write_rejects(feed, tables, rejects(documents.read(feed.schema, True), tree), outcome, reports_to, as_of)
     if documents.written:
         remove(tables.spark, documents.written)
     if mode is Mode.UPSERT:
-        apply_upserts(tables, tree, feed.table, outcome, reports_to, as_of, distinct=False)
+        apply_upserts(tables, tree, feed.table, outcome, reports_to, as_of, distinct=False, newest=bool(newest))
 
 
 def apply_upserts(
@@ -278,24 +405,51 @@ def apply_upserts(
     reports_to: str | None = None,
     as_of: datetime | None = None,
     distinct: bool = True,
+    newest: bool = False,
 ) -> None:
     """Replace the subtrees of all staged roots, then drop the stage tables.
 
     ``distinct`` removes repeated stage rows; stages that a run has made have none.
+    ``newest`` passes by staged roots whose ``root_version`` is below that of the table;
+    they are counted as ``skipped_roots``.
     """
     stage = {t: tables.read(f"stage_{name(t)}") for t in tree.tables}
+    root = name(tree.root.table)
     gone = stage[tree.root.table].select(ROOT_KEY).distinct()
     report = None
     if reports_to:
-        report = report_path(reports_to, "updates", name(tree.root.table), as_of)
+        report = report_path(reports_to, "updates", root, as_of)
     if distinct:
         stage = {t: quality.distinct_rows(align(rows, tables.schema(name(t)))) for t, rows in stage.items()}
+    older = None
+    if newest:
+        found, older = _older_roots(tables, root, stage[tree.root.table])
+        outcome.metrics.put("skipped_roots", root, found.count())
+        stage = {t: rows.join(found, ROOT_KEY, "left_anti") for t, rows in stage.items()}
+        gone = stage[tree.root.table].select(ROOT_KEY).distinct()
     _apply(tables, tree, name, gone, stage, reports.update_counts, report)
+    if older is not None:
+        remove(tables.spark, older)
     outcome.report = report
     for t in tree.tables:
         tables.drop(f"stage_{name(t)}")
 
 
+def _older_roots(tables: Tables, root: str, stage: DataFrame) -> tuple[DataFrame, str]:
+    """Keys of staged roots that are older than the table's, written once, and where.
+
+    Only the buckets of staged roots are read, and of these only keys and versions; the
+    largest version of a key counts, should a bulk load have left several.
+    """
+    buckets = tables.bucket_count(root)
+    keyed = stage.selectExpr(ROOT_KEY, ROOT_VERSION, f"{K.bucket(ROOT_KEY, buckets)} AS {BUCKET}")
+    held = tables.in_buckets(root, _buckets_of(keyed)).select(ROOT_KEY, F.col(ROOT_VERSION).alias("__held"))
+    held = held.join(keyed.select(ROOT_KEY).distinct(), ROOT_KEY, "left_semi")
+    held = held.groupBy(ROOT_KEY).agg(F.max("__held").alias("__held"))
+    older = keyed.join(held, ROOT_KEY).where(f"{ROOT_VERSION} < __held").select(ROOT_KEY)
+    return materialise(older, tables.work, "older-roots")
+
+
 def apply_deletes(
     tables: Tables,
     tree: Tree,
@@ -317,13 +471,12 @@ def apply_deletes(
 
 
 def _apply(tables: Tables, tree: Tree, name, gone: DataFrame, stage, counts, report) -> None:
-    """Write every table's touched buckets anew, then make them visible.
+    """Write the new rows of every table's touched buckets aside, then make them visible.
 
-    The key set is written once, as it is used by each table.  All rewritten buckets
-    exist before the first table changes; then children are published before their
-    parents.  A run that dies in between leaves some tables old and others new; since
-    a root that is still there is found again by its key, repeating the run from the
-    same batch gives the wanted tables.
+    The key set is written once, as it is used by each table.  All new rows exist
+    before the first table changes; then children change before their parents.  A run
+    that dies in between is finished by the next run of these tables, and repeating it
+    from the same batch gives the wanted tables.
     """
     buckets = tables.bucket_count(*[name(t) for t in tree.tables])
     bucketed = gone.selectExpr("*", f"{K.bucket(ROOT_KEY, buckets)} AS {BUCKET}")
@@ -334,11 +487,12 @@ def _apply(tables: Tables, tree: Tree, name, gone: DataFrame, stage, counts, rep
         old = {t: tables.in_buckets(name(t), touched) for t in tree.tables}
         write_summary(counts(links.links_by_root(old, keys, tree), tree), report)
 
-    def rewrite(table: str):
-        return tables.rewrite(name(table), keys, touched, None if stage is None else stage[table])
+    with tables.changing() as folder:
+
+        def prepare(table: str):
+            return tables.prepare(folder, name(table), keys, touched, None if stage is None else stage[table])
 
-    for change in _each(tree.leaf_first(), rewrite):
-        tables.publish(change)
+        tables.apply(folder, _each(tree.leaf_first(), prepare))
     remove(tables.spark, path)
 
 

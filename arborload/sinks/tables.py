@@ -1,17 +1,16 @@
 """Catalog tables: read, append, stage, replace, change and drop.
 
 Plain Parquet tables have no row-level delete.  A table with a key is therefore
-partitioned by a bucket of it, and a change rewrites only the buckets that hold a row
-it removes: new files go to a new directory, then the partitions are pointed there.
-Readers see the old or the new files of a bucket, never a mix, and a failed write
-leaves the table as it was.  Other rows are appended.
+partitioned by a bucket of it, and a change overwrites only the buckets that hold a row
+it removes, with Spark's dynamic partition overwrite.  The new rows of these buckets are
+written aside first; other rows are appended.
 """
 
 from __future__ import annotations
 
-import time
 import uuid
-from collections.abc import Collection, Iterable
+from collections.abc import Collection, Iterable, Iterator, Sequence
+from contextlib import contextmanager
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -20,7 +19,7 @@ from pyspark.sql import types as T
 
 from arborload.functions import keys as K
 from arborload.operators.columns import align
-from arborload.sources.scratch import directories, remove
+from arborload.sources.scratch import directories, exists, remove
 from arborload.tree import ROOT_KEY
 
 BUCKET = "root_bucket"
@@ -28,20 +27,26 @@ _COUNT = "arborload.buckets"
 _KEY = "arborload.bucketed_by"
 
 
+_OVERWRITE = "spark.sql.sources.partitionOverwriteMode"
+_READY = "ready"
+_MANIFEST = "table string, bucket int, filled boolean"
+
+
 @dataclass
-class Rewrite:
-    """A prepared change of one table: buckets written anew, and rows to append."""
+class Change:
+    """A prepared change of one table: new rows of some buckets, and rows to append."""
 
     table: str
-    directory: str | None
-    buckets: set[int]
-    added: DataFrame | None
+    folder: str
+    buckets: list[int]
+    added: DataFrame | None = None
 
 
 class Tables:
     """Tables of one database, kept below one location.
 
-    ``buckets`` is the number of buckets of new tables; existing ones keep theirs.
+    ``buckets`` is the number of buckets of new tables; existing ones keep theirs.  All
+    tables are managed: dropping a table or a partition removes its files.
     """
 
     def __init__(self, spark: SparkSession, database: str, location: str, buckets: int = 256) -> None:
@@ -82,7 +87,7 @@ class Tables:
             )
         self.spark.sql(
             f"CREATE TABLE IF NOT EXISTS {self.name(table)} ({', '.join(columns)}) "
-            f"USING parquet LOCATION '{self._directory(table)}' {layout}"
+            f"USING parquet {layout}"
         )
 
     def append(self, frame: DataFrame, table: str, drop: Collection[str] = (), key: str | None = None) -> None:
@@ -95,10 +100,7 @@ class Tables:
         rows.write.insertInto(self.name(table))
 
     def stage(self, frame: DataFrame, table: str, drop: Collection[str] = ()) -> str:
-        """Make ``stage_<table>`` anew, with the target's columns, and fill it.
-
-        Unlike the targets it is a managed table: dropping it removes its files.
-        """
+        """Make ``stage_<table>`` anew, with the target's columns, and fill it."""
         staged = f"stage_{table}"
         self.drop(staged)
         rows = align(frame, self.schema(table), drop)
@@ -109,11 +111,10 @@ class Tables:
         self.spark.sql(f"DROP TABLE IF EXISTS {self.name(table)}")
 
     def replace(self, table: str, rows: DataFrame) -> None:
-        """Swap the whole content of a table without a bucket for new rows."""
-        directory = self._directory(table)
-        align(rows, self.schema(table)).write.parquet(directory)
-        self.spark.sql(f"ALTER TABLE {self.name(table)} SET LOCATION '{directory}'")
-        self.spark.catalog.refreshTable(self.name(table))
+        """Swap the whole content of a table without a bucket for new rows, which may come from itself."""
+        with self.changing() as folder:
+            align(rows, self.schema(table)).write.parquet(f"{folder}/{table}")
+            self.apply(folder, [Change(table, folder, [])])
 
     # -- bucketed change --------------------------------------------------
 
@@ -121,68 +122,118 @@ class Tables:
         """The table's rows in the given buckets; other buckets are not read."""
         return self.read(table).where(F.col(BUCKET).isin([int(b) for b in touched]))
 
-    def rewrite(self, table: str, keys: DataFrame, touched: Iterable[int], fresh: DataFrame | None = None) -> Rewrite:
-        """Prepare the removal of the rows of ``keys`` and the addition of ``fresh`` rows.
+    @contextmanager
+    def changing(self) -> Iterator[str]:
+        """Folder for the prepared rows of one change; it goes when the change is done.
+
+        If the change fails its folder stays, and ``recover`` finishes or forgets it.
+        """
+        folder = f"{self._changes}/{uuid.uuid4().hex}"
+        yield folder
+        remove(self.spark, folder)
+
+    def prepare(
+        self, folder: str, table: str, keys: DataFrame, touched: Iterable[int], fresh: DataFrame | None = None
+    ) -> Change:
+        """Write the rows that replace those of ``keys``; the table itself is not changed yet.
 
         ``keys`` holds the column the table is bucketed by and its bucket, ``touched``
-        all their buckets.  Only buckets in which a key has a row are written anew,
-        with their fresh rows; a table without such a row is not written at all.
-        Nothing is visible before ``publish``.
+        all their buckets.  Only buckets in which a key has a row are written, with
+        their ``fresh`` rows; the other fresh rows are left to be appended.
         """
         key = self.bucketed_by(table)
         old = self.in_buckets(table, touched)
         wanted = keys.select(key, BUCKET)
         found = old.select(key, BUCKET).join(wanted, [key, BUCKET], "left_semi").select(BUCKET).distinct()
-        buckets = {r[0] for r in found.collect()}
+        buckets = sorted(r[0] for r in found.collect())
         added = None
         if fresh is not None:
             added = self._bucketed(align(fresh, self.schema(table)), table)
-        if not buckets:
-            return Rewrite(table, None, set(), added)
-        rows = self.in_buckets(table, buckets).join(wanted.select(key), key, "left_anti")
-        within = F.col(BUCKET).isin(sorted(buckets))
-        if added is not None:
-            rows = rows.select(*added.columns).unionByName(added.where(within))
-            added = added.where(~within)
-        directory = self._directory(table)
-        rows.hint("rebalance", BUCKET).write.partitionBy(BUCKET).parquet(directory)
-        return Rewrite(table, directory, buckets, added)
-
-    def publish(self, change: Rewrite) -> None:
-        """Point the rewritten buckets at their new files, then append the other rows.
-
-        A bucket left empty points at a directory that does not exist yet: were its
-        partition dropped, rows added later would land among its old files.  If this is broken off, repeating the change from ``rewrite`` on gives the
-        wanted table: appended rows are then found by their keys and replaced.
+        if buckets:
+            rows = self.in_buckets(table, buckets).join(wanted.select(key), key, "left_anti")
+            within = F.col(BUCKET).isin(buckets)
+            if added is not None:
+                rows = rows.select(*added.columns).unionByName(added.where(within))
+                added = added.where(~within)
+            rows.hint("rebalance", BUCKET).write.parquet(f"{folder}/{table}")
+        return Change(table, folder, buckets, added)
+
+    def apply(self, folder: str, changes: Sequence[Change]) -> None:
+        """Make prepared changes visible, in their order.
+
+        A manifest says that all rows are prepared and which buckets become empty.  A
+        run that dies after it has been written is finished by ``recover``: overwriting
+        a bucket twice with the same rows does no harm.  Rows are appended last; they
+        are found by their keys, and replaced, when the same batch is run again.
         """
-        name = self.name(change.table)
-        for b in sorted(change.buckets):
-            self.spark.sql(
-                f"ALTER TABLE {name} PARTITION ({BUCKET}={b}) SET LOCATION '{change.directory}/{BUCKET}={b}'"
-            )
-        self.spark.catalog.refreshTable(name)
-        if change.added is not None:
-            change.added.hint("rebalance", BUCKET).write.insertInto(name)
-
-    def clean(self, table: str, older_than_hours: float = 24.0) -> list[str]:
-        """Remove directories that earlier changes have left unreferenced; returns them.
-
-        Call it when no reader can still be using what was replaced that long ago.
-        Listing the table's files happens on the driver.
+        self._manifest(changes).coalesce(1).write.parquet(f"{folder}/{_READY}")
+        self._overwrite(folder)
+        for change in changes:
+            if change.added is not None:
+                change.added.hint("rebalance", BUCKET).write.insertInto(self.name(change.table))
+
+    def purge(self, tables: Iterable[str], condition: str) -> None:
+        """Remove the rows that satisfy a condition; only buckets that hold one are written anew."""
+        left = f"NOT coalesce({condition}, false)"
+        with self.changing() as folder:
+            changes = []
+            for table in tables:
+                rows, buckets = self.read(table), []
+                if self.bucketed_by(table):
+                    buckets = sorted(r[0] for r in rows.where(condition).select(BUCKET).distinct().collect())
+                    if not buckets:
+                        continue
+                    rows = self.in_buckets(table, buckets)
+                rows.where(left).write.parquet(f"{folder}/{table}")
+                changes.append(Change(table, folder, buckets))
+            self.apply(folder, changes)
+
+    def recover(self) -> list[str]:
+        """Finish changes that were broken off while they were being made visible; returns their folders.
+
+        Changes whose rows were not all prepared have changed nothing and are forgotten.
         """
-        described = self.spark.sql(f"DESCRIBE TABLE EXTENDED {self.name(table)}").collect()
-        base = next(r["data_type"] for r in described if r["col_name"] == "Location").rstrip("/")
-        used = {base} | {self._version_of(f, table) for f in self.read(table).inputFiles()}
-        used = {u.rsplit("/", 1)[-1] for u in used}
-        limit = (time.time() - 3600 * older_than_hours) * 1000
-        found = directories(self.spark, f"{self.location}/{self.database}/{table}")
-        gone = [d for d, changed in sorted(found.items()) if d.rsplit("/", 1)[-1] not in used and changed <= limit]
-        for directory in gone:
-            remove(self.spark, directory)
-        return gone
-
-    def _version_of(self, file: str, table: str) -> str:
-        return file.split(f"/{self.database}/{table}/", 1)[1].split("/", 1)[0]
+        found = sorted(directories(self.spark, self._changes))
+        for folder in found:
+            if exists(self.spark, f"{folder}/{_READY}/_SUCCESS"):
+                self._overwrite(folder)
+            remove(self.spark, folder)
+        return found
+
+    def _manifest(self, changes: Sequence[Change]) -> DataFrame:
+        """A row per table and bucket that changes; a table without buckets has one row."""
+        rows = []
+        for change in changes:
+            if change.buckets:
+                written = self.spark.read.parquet(f"{change.folder}/{change.table}").select(BUCKET).distinct()
+                filled = {r[0] for r in written.collect()}
+                rows += [(change.table, b, b in filled) for b in change.buckets]
+            elif change.added is None and exists(self.spark, f"{change.folder}/{change.table}"):
+                rows.append((change.table, None, True))
+        return self.spark.createDataFrame(rows, _MANIFEST)
+
+    def _overwrite(self, folder: str) -> None:
+        by_table: dict[str, list[tuple[int | None, bool]]] = {}
+        for table, bucket, filled in self.spark.read.schema(_MANIFEST).parquet(f"{folder}/{_READY}").collect():
+            by_table.setdefault(table, []).append((bucket, filled))
+        before = self.spark.conf.get(_OVERWRITE)
+        self.spark.conf.set(_OVERWRITE, "dynamic")
+        try:
+            for table, buckets in by_table.items():
+                if any(filled for _, filled in buckets):
+                    rows = self.spark.read.schema(self.read(table).schema).parquet(f"{folder}/{table}")
+                    rows.write.insertInto(self.name(table), overwrite=True)
+                # Dynamic overwrite leaves a partition alone that the new rows don't have.
+                empty = [f"PARTITION ({BUCKET}={b})" for b, filled in buckets if not filled]
+                if empty:
+                    self.spark.sql(f"ALTER TABLE {self.name(table)} DROP IF EXISTS {', '.join(empty)}")
+                self.spark.catalog.refreshTable(self.name(table))
+        finally:
+            self.spark.conf.set(_OVERWRITE, before)
+
+    @property
+    def _changes(self) -> str:
+        return f"{self.work}/changes"
 
     def bucketed_by(self, table: str) -> str | None:
         """Column whose bucket the table is partitioned by, if any."""
@@ -206,6 +257,3 @@ class Tables:
     def _clustered(self, rows: DataFrame, table: str) -> DataFrame:
         """Rows gathered by bucket for writing; Spark splits a bucket that is too large."""
         return self._bucketed(rows, table).hint("rebalance", BUCKET)
-
-    def _directory(self, table: str) -> str:
-        return f"{self.location}/{self.database}/{table}/{uuid.uuid4().hex}"

@@ -2,10 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
 from datetime import datetime, timedelta, timezone
 from enum import Enum
-from urllib.parse import unquote
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -69,7 +67,7 @@ def scan(
     source_file: bool = False,
     metrics: Metrics | None = None,
     entity: str = "",
-    files: Sequence[str] | None = None,
+    until: float | None = None,
 ) -> DataFrame:
     """Documents of one slice, with all partition columns whatever the granularity.
 
@@ -77,24 +75,23 @@ def scan(
     the age of the landing area; the partition predicate is kept on top.  The
     schema is declared: columns and arrays that files lack are NULL.  A slice
     that does not exist gives no rows, and two metrics if a ``Metrics`` is passed;
-    any other failure is raised.  ``files`` are read in place of the slice, so that
-    several scans can share one listing (see ``list_files``).
+    any other failure is raised.  ``until`` (seconds since 1970) leaves out files that
+    were modified at that moment or later: scans with the same ``until`` read the same
+    files, whatever lands between them, and no file name reaches the driver's program.
     """
-    bounds = slice_of(granularity, as_of) if files is None else {}
-    names = {f.name.lower() for f in schema.fields}
-    full = T.StructType(
-        schema.fields + [T.StructField(p, T.IntegerType()) for p in PARTITIONS if p not in names]
-    )
+    bounds = slice_of(granularity, as_of)
+    full = with_partitions(schema)
     reader = spark.read.schema(full).option("basePath", root)
+    if until is not None:
+        moment = datetime.fromtimestamp(until, timezone.utc).strftime("%Y-%m-%dT%H:%M:%S.%f")
+        reader = reader.option("modifiedBefore", moment).option("timeZone", "UTC")
     try:
-        frame = None if files == [] else reader.parquet(*(files or [slice_path(root, bounds)]))
+        frame = reader.parquet(slice_path(root, bounds))
     except AnalysisException as error:
-        if files is not None or error.getCondition() != "PATH_NOT_FOUND":
+        if error.getCondition() != "PATH_NOT_FOUND":
             raise
-        frame = None
-    if frame is None:
-        if files is None and metrics is not None:
-            _missing(metrics, entity)
+        if metrics is not None:
+            missing(metrics, entity)
         frame = spark.createDataFrame([], full)
         return frame.withColumn(SOURCE_FILE, F.lit(None).cast("string")) if source_file else frame
     if source_file:
@@ -107,30 +104,16 @@ def scan(
     return frame
 
 
-def _missing(metrics: Metrics, entity: str) -> None:
-    metrics.put("read_count", entity, 0)
-    metrics.put("nop_read_error", entity, 1)
+def with_partitions(schema: T.StructType) -> T.StructType:
+    """A schema with the partition columns of the landing area."""
+    names = {f.name.lower() for f in schema.fields}
+    return T.StructType(schema.fields + [T.StructField(p, T.IntegerType()) for p in PARTITIONS if p not in names])
 
 
-def list_files(
-    spark: SparkSession,
-    root: str,
-    granularity: Granularity | str = Granularity.ALL,
-    as_of: datetime | None = None,
-    metrics: Metrics | None = None,
-    entity: str = "",
-) -> list[str]:
-    """The files of a slice, listed once; a missing slice has none and gives the metrics of ``scan``."""
-    path = slice_path(root, slice_of(granularity, as_of))
-    try:
-        found = spark.read.schema("year int").option("basePath", root).parquet(path).inputFiles()
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
-        if metrics is not None:
-            _missing(metrics, entity)
-        return []
-    return sorted(unquote(f) for f in found)
+def missing(metrics: Metrics, entity: str) -> None:
+    """The metrics of a slice or an area that is not there."""
+    metrics.put("read_count", entity, 0)
+    metrics.put("nop_read_error", entity, 1)
 
 
 def delete_keys(docs: DataFrame, path: str, alias: str) -> DataFrame:

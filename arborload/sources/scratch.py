@@ -24,6 +24,12 @@ def remove(spark: SparkSession, path: str) -> None:
     target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    """Whether a file or directory is there."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
+
+
 def directories(spark: SparkSession, path: str) -> dict[str, int]:
     """Directories below a path, with the time of their last change in milliseconds."""
     parent = spark._jvm.org.apache.hadoop.fs.Path(path)

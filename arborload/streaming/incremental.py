@@ -8,7 +8,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from arborload.functions.header import SOURCE_FILE
 from arborload.operators.flatten import flatten_all
+from arborload.sources.scratch import exists
 from arborload.tree import Tree
 
 Apply = Callable[[DataFrame, int], None]
@@ -48,34 +50,34 @@ def load_new_files(
     return sum(counts.values())
 
 
-def load_file_names(
+def load_batches(
     spark: SparkSession,
     landing: str,
     schema: T.StructType,
     checkpoint: str,
-    apply: Callable[[list[str], int], None],
+    apply: Apply,
     files_per_batch: int = 1000,
-) -> None:
-    """Hand the names of all files that earlier runs have not seen to ``apply``, batch by batch.
+) -> bool:
+    """Hand the rows of all files that earlier runs have not seen to ``apply``, batch by batch.
 
-    At most ``files_per_batch`` names reach the driver at once, and no column of the
-    files is read.  A batch that failed is repeated with the same files and id.
+    The rows carry the name of their file in ``source_file``; no list of names reaches the
+    program.  A batch that failed is repeated with the same files and number.  Returns
+    whether the landing area exists.
     """
-
-    def named(batch: DataFrame, batch_id: int) -> None:
-        apply(sorted(r["name"] for r in batch.select("name").distinct().collect()), batch_id)
-
+    if not exists(spark, landing):
+        return False
     query = (
         spark.readStream.schema(schema)
         .option("maxFilesPerTrigger", files_per_batch)
         .parquet(landing)
-        .select(F.col("_metadata.file_path").alias("name"))
-        .writeStream.foreachBatch(named)
+        .select("*", F.col("_metadata.file_path").alias(SOURCE_FILE))
+        .writeStream.foreachBatch(apply)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
     )
     query.awaitTermination()
+    return True
 
 
 def append_batches(target: str) -> Apply:

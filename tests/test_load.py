@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+import itertools
+import pathlib
 import re
 import uuid
 from datetime import datetime
@@ -15,8 +17,10 @@ from arborload.operators.project import Projections
 from arborload.plans import nominal
 from arborload.plans.config import Feed, Mode
 from arborload.plans.load import _documents, load_csv, run
+from arborload.sinks.ledger import Ledger
 from arborload.sinks.tables import BUCKET, Tables
 from arborload.sources.landing import scan
+from arborload.sources.scratch import directories
 from arborload.tree import Tree
 
 SCHEMA = data.small_schema()
@@ -261,8 +265,169 @@ def test_new_files_are_upserted_once(spark, tables, scratch):
     assert "year" in spark.read.parquet(run(spark, feed(landing), "bulk", tables, "r1", "all", NOW).rejected).columns
     state = content(tables)
     assert load().metrics.records() == [] and content(tables) == state
-    with pytest.raises(ValueError):
-        load("bulk")
+    with pytest.raises(ValueError, match="state"):
+        run(spark, feed(landing), "upsert", tables, "r1", "new", NOW)
+
+
+def test_versions_with_a_null_or_shared_record_hash(spark, tables, scratch):
+    """Two documents of one key whose hash is NULL, or equal: their subtrees stay apart."""
+    for number, value in enumerate((None, b"same")):
+        docs = data.documents(["a", "a", "b"], 6, SCHEMA)
+        for doc, plea in zip(docs, "pqr"):
+            doc["header"]["recordHash"] = value
+            doc["body"]["Offence"] = [{"Plea": plea, "Disposal": [{"DisposalType": plea.upper()}]}]
+        other = Tables(spark, f"l_{uuid.uuid4().hex[:8]}", f"{scratch}/tables{number}", buckets=3)
+        batch = land(spark, f"{scratch}/in{number}", docs + docs[:1])
+        for mode in ("bulk", "upsert"):
+            go(spark, other, batch, mode, scratch)
+            parent, child = other.read("s_f_offence"), other.read("s_f_disposal")
+            joined = parent.join(child, parent["disposal_fk"] == child["offence_id"])
+            assert sorted((r["Plea"], r["DisposalType"]) for r in joined.collect()) == [("p", "P"), ("q", "Q"), ("r", "R")]
+            assert other.read("s_f_person").count() == 3
+        assert not directories(spark, f"{other.work}/changes")
+
+
+def test_new_files_are_appended_once(spark, tables, scratch):
+    """A batch that breaks off after some tables have their rows is repeated without repeating rows."""
+    docs = data.documents(["a", "b", "c", "d", "e"], 1, SCHEMA)
+    landing = land(spark, f"{scratch}/1", docs[:2])
+
+    class Failing(Tables):
+        def append(self, frame, table, *args, **kwargs):
+            if table == "s_f_person":
+                raise OSError("no space left")
+            super().append(frame, table, *args, **kwargs)
+
+    def load(target, run_id):
+        return run(spark, feed(landing), "bulk", target, run_id, "new", NOW, state=f"{scratch}/state")
+
+    def rows():
+        found = {t: tables.read(f"s_f_{t}").drop(BUCKET, "batch_id") for t in TREE.tables}
+        return {t: brute.rows(f) for t, f in found.items()}
+
+    def expected(docs):
+        flat = brute.flatten(docs, TREE, by_hash=True, batch="x")
+        return {t: brute.canon([{k: v for k, v in r.items() if k != "batch_id"} for r in own]) for t, own in flat.items()}
+
+    load(tables, "r1")
+    land(spark, landing, docs[2:], day="02")
+    for attempt in ("r2", "r3"):
+        with pytest.raises(Exception, match="no space left"):
+            load(Failing(spark, tables.database, tables.location), attempt)
+    assert rows() != expected(docs[:2]), "the failed attempt has left rows"
+    load(tables, "r4")
+    assert rows() == expected(docs)
+    load(tables, "r5")
+    assert rows() == expected(docs)
+
+
+def test_a_done_batch_is_not_repeated(spark, tables, scratch, monkeypatch):
+    """The program dies after the batch is done, before the stream has noted it."""
+    landing = land(spark, f"{scratch}/1", data.documents(["a", "b"], 1, SCHEMA))
+    real = Ledger.done
+
+    def dying(self, number, tag):
+        real(self, number, tag)
+        raise OSError("killed")
+
+    def load():
+        return run(spark, feed(landing), "bulk", tables, "r1", "new", NOW, state=f"{scratch}/state")
+
+    monkeypatch.setattr(Ledger, "done", dying)
+    with pytest.raises(Exception, match="killed"):
+        load()
+    monkeypatch.setattr(Ledger, "done", real)
+    before = files(tables)
+    load()
+    assert files(tables) == before and tables.read("s_f_person").count() == 2
+
+
+def test_new_files_of_an_absent_area(spark, tables, scratch):
+    def load(mode):
+        return run(spark, feed(f"{scratch}/later"), mode, tables, "r1", "new", NOW, state=f"{scratch}/state")
+
+    for mode in Mode:
+        assert metrics(load(mode)) == [("read_count", "s_f", 0), ("nop_read_error", "s_f", 1)]
+    land(spark, f"{scratch}/later", data.documents(["a"], 1, SCHEMA))
+    load("upsert")
+    assert tables.read("s_f_person").count() == 1
+
+
+@pytest.mark.parametrize("name", ["a[1].parquet", "b{2}.parquet", "c*?.parquet", "d e%20.parquet"])
+def test_file_names_of_any_kind(spark, tables, scratch, name):
+    docs = data.documents(["a"], 1, SCHEMA)
+    path = land(spark, f"{scratch}/1", docs)
+    folder = pathlib.Path(f"{path}/year=2024/month=02/day=01/hour=02/minute=00")
+    (part,) = folder.glob("part-*.parquet")
+    part.rename(folder / name)
+    go(spark, tables, path, "bulk", scratch)
+    run(spark, feed(path), "upsert", tables, "r1", "new", NOW, state=f"{scratch}/state")
+    assert content(tables) == wanted(docs)
+
+
+def test_older_documents_pass_by(spark, tables, scratch):
+    """Batches in any order end alike; a late, older one changes nothing and is counted."""
+    versions = []
+    for number, at in enumerate(("2024-01-01", "2024-01-02", "2024-01-03")):
+        docs = data.documents(["a", "b", None] if number else ["a", "b", "c"], 20 + number, SCHEMA)
+        for doc in docs:
+            doc["header"]["ingestDateTime"] = at
+        versions.append(land(spark, f"{scratch}/v{number}", docs))
+    ends = []
+    for order in itertools.permutations(range(3)):
+        target = Tables(spark, f"l_{uuid.uuid4().hex[:8]}", f"{scratch}/{order}", buckets=2)
+        skipped, newest = [], -1
+        for number in order:
+            done = go(spark, target, versions[number], "upsert", scratch, on_duplicate_root="newest")
+            skipped.append({m: v for m, _, v in metrics(done)}["skipped_roots"])
+            late = number < newest
+            assert skipped[-1] == (2 if late else 0)
+            newest = max(newest, number)
+        ends.append(content(target))
+        before = files_of(target)
+        go(spark, target, versions[order[-1]], "upsert", scratch, on_duplicate_root="newest")
+        if order[-1] == 1:
+            assert files_of(target) == before, "nothing older is written"
+    assert all(e == ends[0] for e in ends)
+    assert {r["PNCID"] for r in target.read("s_f_person").collect()} == {"a", "b", "c"}
+    with pytest.raises(ValueError, match="newest"):
+        feed("x", tree=None, key="k", on_duplicate_root="newest")
+
+
+def files_of(tables):
+    return {t: set(tables.read(f"s_f_{t}").inputFiles()) for t in TREE.tables}
+
+
+FLAT = dict(
+    tree=None,
+    key="pncid",
+    header=False,
+    projections=Projections({"s_f": ["body.PNCID AS pncid", "body.Sex AS sex", "header.ingestDateTime AS at"]}),
+)
+
+
+def test_flat_rows_without_a_key_are_rejected(spark, tables, scratch):
+    docs = data.documents(["a", None], 1, SCHEMA)
+    landing = land(spark, f"{scratch}/1", docs)
+    go(spark, tables, landing, "bulk", scratch, **FLAT)
+    for _ in range(2):
+        done = go(spark, tables, landing, "upsert", scratch, **FLAT)
+        assert tables.read("s_f").count() == 2, "repeating an upsert adds nothing"
+        assert ("rejected_rows", "s_f", 1) in metrics(done) and ("read_count", "s_f", 1) in metrics(done)
+        assert [r["pncid"] for r in spark.read.parquet(done.rejected).collect()] == [None]
+
+
+@pytest.mark.parametrize("mode", ["bulk", "upsert"])
+def test_the_latest_row_of_a_flat_feed(spark, tables, scratch, mode):
+    docs = data.documents(["a", "a", "a", "b", None, None], 7, SCHEMA)
+    for doc, at in zip(docs, ("2024-01-02", "2024-01-03", None, None, "x", "y")):
+        doc["header"]["ingestDateTime"] = at
+    batch = land(spark, f"{scratch}/1", docs)
+    for _ in range(2 if mode == "upsert" else 1):
+        go(spark, tables, batch, mode, scratch, on_duplicate_root="latest", **FLAT)
+    found = [(r["pncid"], r["at"]) for r in tables.read("s_f").where("pncid IS NOT NULL").collect()]
+    assert sorted(found, key=str) == [("a", "2024-01-03"), ("b", None)]
+    assert tables.read("s_f").where("pncid IS NULL").count() == (2 if mode == "bulk" else 0)
 
 
 def test_flat_feeds(spark, tables, scratch):

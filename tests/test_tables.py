@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from arborload.functions import keys as K
 from arborload.sinks.tables import BUCKET, Tables
+from arborload.sources.scratch import directories
 
 
 @pytest.fixture()
@@ -65,10 +66,18 @@ def keys_of(spark, values):
     return rows.selectExpr("root_key", f"{K.bucket('root_key', 4)} AS {BUCKET}")
 
 
+def touched(keys):
+    return [r[0] for r in keys.select(BUCKET).distinct().collect()]
+
+
 def change(tables, spark, gone, fresh=None):
+    """Prepare and apply; returns the buckets that were written anew."""
     keys = keys_of(spark, gone)
-    done = tables.rewrite("t", keys, [r[0] for r in keys.select(BUCKET).distinct().collect()], fresh)
-    return done
+    with tables.changing() as folder:
+        done = tables.prepare(folder, "t", keys, touched(keys), fresh)
+        before = ks(tables.read("t"))
+        tables.apply(folder, [done])
+    return done.buckets, before
 
 
 def test_only_buckets_with_a_row_to_remove_change(spark, tables):
@@ -77,24 +86,22 @@ def test_only_buckets_with_a_row_to_remove_change(spark, tables):
     home = {r["k"]: r[BUCKET] for r in tables.read("t").collect()}
     gone = [k for k in range(100) if home[k] in (1, 3)][:7]
     fresh = tree_rows(spark, [*gone[:2], *range(1000, 1020)])
-    done = change(tables, spark, [*gone, 5000, 5001], fresh)
-    assert ks(tables.read("t")) == list(range(100)), "not visible before it is published"
-    assert done.buckets == {home[k] for k in gone}
-    tables.publish(done)
+    buckets, before = change(tables, spark, [*gone, 5000, 5001], fresh)
+    assert before == list(range(100)), "not visible before it is applied"
+    assert set(buckets) == {home[k] for k in gone}
     wanted = sorted(set(range(100)) - set(gone) | set(gone[:2]) | set(range(1000, 1020)))
     assert ks(tables.read("t")) == wanted
     same = {f for f in tables.read("t").inputFiles() if f in files}
-    assert same == {f for f in files if not any(f"root_bucket={b}/" in f for b in done.buckets)}
+    assert same == {f for f in files if not any(f"root_bucket={b}/" in f for b in buckets)}
+    assert directories(spark, f"{tables.work}/changes") == {}
 
 
 def test_unknown_keys_write_nothing_and_new_rows_are_appended(spark, tables):
     tables.append(tree_rows(spark, range(40)), "t")
     files = set(tables.read("t").inputFiles())
-    done = change(tables, spark, range(500, 520))
-    assert done.directory is None and not done.buckets
-    tables.publish(done)
+    assert change(tables, spark, range(500, 520))[0] == []
     assert set(tables.read("t").inputFiles()) == files
-    tables.publish(change(tables, spark, range(500, 520), tree_rows(spark, range(500, 520))))
+    change(tables, spark, range(500, 520), tree_rows(spark, range(500, 520)))
     assert files < set(tables.read("t").inputFiles())
     assert ks(tables.read("t")) == [*range(40), *range(500, 520)]
 
@@ -103,31 +110,59 @@ def test_a_bucket_that_becomes_empty_can_be_filled_again(spark, tables):
     tables.append(tree_rows(spark, range(40)), "t")
     gone = ks(tables.in_buckets("t", [2]))
     assert gone
-    done = change(tables, spark, gone)
-    assert done.buckets == {2}
     for _ in range(2):
-        tables.publish(done)
+        change(tables, spark, gone)
         assert ks(tables.read("t")) == [k for k in range(40) if k not in gone]
-    tables.publish(change(tables, spark, gone, tree_rows(spark, gone)))
+    assert 2 not in {r[BUCKET] for r in tables.read("t").collect()}
+    change(tables, spark, gone, tree_rows(spark, gone))
     assert ks(tables.read("t")) == list(range(40))
 
 
-def test_a_repeated_change_ends_alike_wherever_it_broke_off(spark, tables):
+def test_only_some_buckets_become_empty(spark, tables):
     tables.append(tree_rows(spark, range(40)), "t")
-    fresh = tree_rows(spark, [3, 4, 900, 901])
-    broken = change(tables, spark, [3, 4, 900, 901], fresh)
-    broken.added.write.insertInto(tables.name("t"))
-    tables.publish(change(tables, spark, [3, 4, 900, 901], fresh))
-    assert ks(tables.read("t")) == [*range(40), 900, 901]
+    gone = ks(tables.in_buckets("t", [2])) + ks(tables.in_buckets("t", [0]))[:1]
+    change(tables, spark, gone)
+    assert ks(tables.read("t")) == [k for k in range(40) if k not in gone]
 
 
-def test_unreferenced_directories_are_removed_on_request(spark, tables):
+@pytest.mark.parametrize("at", ["before", "while", "after"])
+def test_a_change_that_dies_is_finished_or_forgotten(spark, tables, monkeypatch, at):
+    """Killed before, while and after the buckets are overwritten, one of which becomes empty."""
     tables.append(tree_rows(spark, range(40)), "t")
-    for _ in range(3):
-        tables.publish(change(tables, spark, [1, 2], tree_rows(spark, [1, 2])))
-    assert tables.clean("t") == [], "too young"
-    assert len(tables.clean("t", older_than_hours=0)) == 2
-    assert ks(tables.read("t")) == list(range(40)) and tables.clean("t", older_than_hours=0) == []
+    gone = ks(tables.in_buckets("t", [2])) + [k for k in ks(tables.in_buckets("t", [0]))][:2]
+    fresh = tree_rows(spark, [gone[0], 900, 901])
+    real = Tables._overwrite
+
+    def dying(self, folder):
+        if at == "while":
+            name = self.name("t")
+            self.spark.sql(f"ALTER TABLE {name} DROP PARTITION ({BUCKET}=0)")
+        if at == "after":
+            real(self, folder)
+        raise KeyboardInterrupt
+
+    if at == "before":
+        monkeypatch.setattr(Tables, "_manifest", dying)
+    monkeypatch.setattr(Tables, "_overwrite", dying)
+    with pytest.raises(KeyboardInterrupt):
+        change(tables, spark, [*gone, 900, 901], fresh)
+    monkeypatch.undo()
+    assert len(tables.recover()) == 1 and tables.recover() == []
+    rest = [k for k in range(40) if k not in gone]
+    if at == "before":
+        assert ks(tables.read("t")) == list(range(40))
+    else:
+        assert set(rest) <= set(ks(tables.read("t"))), "no row of another root is lost"
+    change(tables, spark, [*gone, 900, 901], fresh)
+    assert ks(tables.read("t")) == sorted([*rest, gone[0], 900, 901])
+
+
+def test_rows_of_a_batch_are_purged(spark, tables):
+    tables.append(tree_rows(spark, range(40)).selectExpr("*", "if(k < 5, 'x', if(k > 30, NULL, 'y')) AS batch_id"), "t")
+    tables.append(spark.range(4).selectExpr("id AS k", "if(id = 1, 'x', 'y') AS batch_id"), "u")
+    for _ in range(2):
+        tables.purge(["t", "u"], "batch_id = 'x'")
+        assert ks(tables.read("t")) == list(range(5, 40)) and ks(tables.read("u")) == [0, 2, 3]
 
 
 def test_tables_with_a_key_of_their_own_are_bucketed_by_it(spark, tables):
@@ -135,7 +170,8 @@ def test_tables_with_a_key_of_their_own_are_bucketed_by_it(spark, tables):
     tables.append(rows, "t", key="k")
     assert tables.bucketed_by("t") == "k" and tables.read("t").count() == 3
     keys = spark.createDataFrame([(1,), (None,)], "k int").selectExpr("k", f"{K.bucket('k', 4)} AS {BUCKET}")
-    tables.publish(tables.rewrite("t", keys, range(4)))
+    with tables.changing() as folder:
+        tables.apply(folder, [tables.prepare(folder, "t", keys, range(4))])
     assert sorted(r["v"] for r in tables.read("t").collect()) == ["b", "c"], "a NULL key removes nothing"
 
 
