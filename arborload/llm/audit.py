@@ -50,6 +50,7 @@ STATE = {
     "spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage": "true",
     "spark.sql.streaming.stateStore.rocksdb.maxMemoryUsageMB": "64",
     "spark.sql.streaming.stateStore.rocksdb.writeBufferSizeMB": "1",
+    "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false",
 }
 
 
