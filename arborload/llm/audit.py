@@ -51,6 +51,7 @@ STATE = {
     "spark.sql.streaming.stateStore.rocksdb.maxMemoryUsageMB": "64",
     "spark.sql.streaming.stateStore.rocksdb.writeBufferSizeMB": "1",
     "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false",
+    "spark.sql.streaming.stateStore.unloadOnCommit": "true",
 }
 
 
@@ -82,7 +83,11 @@ def _judged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _gathered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Per text only the rows of the batch's smallest id keep it; the others are copies whatever comes."""
+    """Per text only the rows of the batch's smallest id keep it; the others are copies whatever comes.
+
+    Copies need no state.  They are counted together and get a key of their own, so they
+    don't meet in the bucket of their text.
+    """
     for batch in batches:
         rows = list(zip(*[c.to_pylist() for c in batch.columns]))
         least: dict = {}
@@ -91,8 +96,11 @@ def _gathered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 least[key] = doc
         out: Counter = Counter()
         for key, mask, doc, part, flags, n in rows:
-            copy = doc is not None and doc != least[key]
-            out[key, mask, None if copy else doc, part, flags, copy] += n
+            if doc is not None and doc != least[key]:
+                spread = hashlib.md5(f"{flags} {mask} {part}".encode("utf-8", "surrogatepass") + rows[0][0]).digest()
+                out[spread, mask, None, part, flags, True] += n
+            else:
+                out[key, mask, doc, part, flags, False] += n
         keys = list(out)
         arrays = [pa.array([k[i] for k in keys], batch.schema.field(i).type) for i in range(5)]
         arrays += [pa.array([k[5] for k in keys], pa.bool_()), pa.array(list(out.values()), pa.int64())]
