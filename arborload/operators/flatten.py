@@ -13,6 +13,10 @@ from arborload.tree import BATCH_ID, POSITION, ROOT_KEY, Node, Tree, id_column,
 _ROW = "__row"
 _LINK = "__link"
 _ELEMENT = "__element"
+# A map has no order of its own: its entries are numbered by their keys.
+_ENTRIES = (
+    f"array_sort(map_entries({_ELEMENT}), (a, b) -> CASE WHEN a.key < b.key THEN -1 WHEN a.key > b.key THEN 1 ELSE 0 END)"
+)
 
 
 def _dig(path: tuple[str, ...], base: str | None = None) -> str:
@@ -87,7 +91,7 @@ def flatten(
         frame = frame.where(f"size({_ELEMENT}) > 0").selectExpr(
             ROOT_KEY,
             f"{keys.link_key(node.table, _ROW)} AS {_LINK}",
-            f"posexplode({_ELEMENT}) AS ({POSITION}, {_ELEMENT})",
+            f"posexplode({_ENTRIES if node.entries else _ELEMENT}) AS ({POSITION}, {_ELEMENT})",
         )
         if depth < len(line) - 1:
             frame = frame.selectExpr(

@@ -47,7 +47,8 @@ class Feed:
     (those that the schema has), then by its digest.  ``newest`` does so across batches
     too: the root table keeps the order of its documents in ``root_version``, and an
     upsert passes by roots that are older than what is loaded, so batches may arrive in
-    any order.
+    any order.  ``digest_first`` removes repeated rows of a tree by
+    ``quality.dedupe_by_digest``, for feeds with wide rows and few copies.
     """
 
     source: str
@@ -62,6 +63,7 @@ class Feed:
     transform: Callable[[DataFrame], DataFrame] | None = None
     delete_path: str | None = None
     on_duplicate_root: Versions | str = Versions.KEEP_ALL
+    digest_first: bool = False
     latest_by: tuple[str, ...] = ("header.ingestDateTime", "header.collectionDate")
 
     def __post_init__(self) -> None:

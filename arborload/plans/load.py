@@ -26,7 +26,17 @@ from arborload.sinks.ledger import Ledger
 from arborload.sinks.reports import report_path, write_rows, write_summary
 from arborload.sinks.tables import BUCKET, Tables
 from arborload.sources.csv import CsvTransform, csv_to_parquet
-from arborload.sources.landing import Granularity, delete_keys, missing, scan, slice_of, slice_path, with_partitions
+from arborload.sources.landing import (
+    Granularity,
+    cover,
+    delete_keys,
+    missing,
+    scan,
+    scan_range,
+    slice_of,
+    slice_path,
+    with_partitions,
+)
 from arborload.sources.scratch import exists, materialise, remove
 from arborload.streaming.incremental import load_batches
 from arborload.tree import BATCH_ID, ROOT_KEY, Tree, with_paths
@@ -61,6 +71,7 @@ def run(
     as_of: datetime | None = None,
     reports_to: str | None = None,
     state: str | None = None,
+    between: tuple[datetime, datetime] | None = None,
 ) -> Outcome:
     """Run one batch of a feed.
 
@@ -74,7 +85,8 @@ def run(
     are those that no earlier run with the same ``state`` folder has seen, in batches
     with a reports folder each.  A batch that failed is repeated; a ``bulk`` load first
     removes the rows that the failed attempt has left, so every row is there once.  A
-    slice or an area that does not exist has no rows and gives two metrics.
+    slice or an area that does not exist has no rows and gives two metrics.  ``between``
+    is a range of landing times to load in place of a slice.
     """
     mode, granularity = Mode(mode), Granularity(granularity)
     as_of = as_of or datetime.now(timezone.utc)
@@ -86,10 +98,13 @@ def run(
         _run_new(spark, feed, mode, tables, outcome, as_of, reports_to, state)
     else:
         until = time.time()
-        if not exists(spark, slice_path(feed.landing, slice_of(granularity, as_of))):
+        bounds = cover(*between) if between else [slice_of(granularity, as_of)]
+        if not any(exists(spark, slice_path(feed.landing, b)) for b in bounds):
             missing(outcome.metrics, feed.entity)
 
         def read(schema: T.StructType, file: bool) -> DataFrame:
+            if between is not None:
+                return scan_range(spark, feed.landing, schema, *between, source_file=file, until=until)
             return scan(spark, feed.landing, schema, granularity, as_of, source_file=file, until=until)
 
         _run_batch(feed, mode, tables, read, outcome, as_of, reports_to)
@@ -378,15 +393,26 @@ def _load_tree(
     def load(table: str) -> None:
         names = {"rows_kept": "read_count", "rows_repeated": "repeated_rows"}
         observation = metrics.observation(table, names)
-        rows = quality.dedupe(
-            shaped[table], volatile if table == tree.root.table else (), observation
-        )
+        skip = volatile if table == tree.root.table else ()
+        written: list[str] = []
+        if feed.digest_first:
+
+            def keep(digests: DataFrame) -> DataFrame:
+                kept, path = materialise(digests, tables.work, "repeated")
+                written.append(path)
+                return kept
+
+            rows = quality.dedupe_by_digest(shaped[table], keep, skip, observation)
+        else:
+            rows = quality.dedupe(shaped[table], skip, observation)
         name = feed.table(table)
         tables.create(name, rows.schema)
         if mode is Mode.BULK:
             tables.append(rows, name)
         else:
             tables.stage(rows, name)
+        for path in written:
+            remove(tables.spark, path)
 
     _each(tree.leaf_first(), load)
     outcome.tables += [feed.table(t) for t in tree.tables]
@@ -528,8 +554,12 @@ def load_csv(
     """Convert a CSV feed to Parquet at ``landing`` and append its rows to a table.
 
     CSV feeds are not projected: their transform already gives the table's columns.
+    Damaged lines are written beside the landing folder (``Outcome.rejected``) and counted.
     """
     outcome = Outcome(Metrics(run_id), [table])
-    rows = csv_to_parquet(spark, source, landing, feed, run_id, transforms, columns)
+    rejects = f"{landing.rstrip('/')}-rejects/{uuid.uuid4().hex}"
+    rows = csv_to_parquet(spark, source, landing, feed, run_id, transforms, columns, outcome.metrics, rejects)
+    if exists(spark, rejects):
+        outcome.rejected = rejects
     tables.append(outcome.metrics.rows(rows, table), table)
     return outcome

@@ -17,7 +17,8 @@ from arborload.plans import nominal
 from arborload.queries import fixtures as X
 from arborload.queries.registry import query
 from arborload.sources.landing import scan
-from arborload.tree import BATCH_ID, ROOT_KEY
+from arborload.sources.scratch import materialise
+from arborload.tree import BATCH_ID, ROOT_KEY, Tree
 
 TEXTS_SQL = f"""
         SELECT doc_id, text, lang, source, n_chars, '{X.INGESTED}' AS ingested FROM documents
@@ -432,6 +433,76 @@ def duplicate_groups(spark: SparkSession, sf: str) -> DataFrame:
     return quality.duplicate_groups(X.table(spark, sf, "events").select("user_id", "event_type"))
 
 
+NESTED_SCHEMA = T.StructType(
+    [
+        T.StructField("doc_id", T.LongType()),
+        T.StructField("lang", T.StringType()),
+        T.StructField("lines", T.ArrayType(T.ArrayType(T.StringType()))),
+        T.StructField("clauses", T.MapType(T.StringType(), T.StructType([T.StructField("clause", T.StringType())]))),
+    ]
+)
+
+
+def _nested(spark: SparkSession, sf: str, table: str) -> DataFrame:
+    """A table of documents that hold words in lines (an array of arrays) and clauses by number (a map)."""
+    pieces = F.split("text", ", ")
+    numbers = F.transform(F.sequence(F.lit(1), F.size(pieces)), lambda i: F.lpad(i.cast("string"), 6, "0"))
+    docs = X.table(spark, sf, "documents").select(
+        "doc_id",
+        "lang",
+        F.transform(F.split("text", "\n"), lambda line: F.split(line, " ")).alias("lines"),
+        F.map_from_arrays(numbers, F.transform(pieces, lambda clause: F.struct(clause.alias("clause")))).alias("clauses"),
+    )
+    path = X.scratch_dir(spark, "nested")
+    docs.write.parquet(path)
+    tree = Tree.from_schema("document", "doc_id", NESTED_SCHEMA)
+    return flatten(spark.read.schema(tree.read_schema(table, NESTED_SCHEMA)).parquet(path), tree, table)
+
+
+def _nested_sql(select: str) -> str:
+    return f"""
+    WITH docs AS (SELECT *, md5(concat_ws('|', 'document', doc_id)) AS root_key FROM documents),
+    line_rows AS (
+        SELECT root_key, md5(concat_ws('|', 'lines', root_key)) AS document_id,
+               generate_subscripts(string_split(text, chr(10)), 1) - 1 AS pos, unnest(string_split(text, chr(10))) AS line
+        FROM docs),
+    lines AS (
+        SELECT *, md5(concat_ws('|', 'lines_val', md5(concat_ws('|', document_id, pos)))) AS lines_val_fk FROM line_rows)
+    {select}"""
+
+
+@query("flatten_inner_arrays", _nested_sql("""
+    SELECT lines_val_fk AS lines_id, CAST(generate_subscripts(string_split(line, ' '), 1) - 1 AS INT) AS pos,
+           unnest(string_split(line, ' ')) AS val, root_key FROM lines"""))
+def flatten_inner_arrays(spark: SparkSession, sf: str) -> DataFrame:
+    """Elements of arrays inside arrays, linked to the array that holds them."""
+    return _nested(spark, sf, "lines_val")
+
+
+@query("flatten_outer_arrays", _nested_sql("SELECT document_id, CAST(pos AS INT) AS pos, lines_val_fk, root_key FROM lines"))
+def flatten_outer_arrays(spark: SparkSession, sf: str) -> DataFrame:
+    """The arrays in between have a row each, and a link."""
+    return _nested(spark, sf, "lines")
+
+
+@query("flatten_map", _nested_sql("""
+    SELECT md5(concat_ws('|', 'clauses', root_key)) AS document_id,
+           CAST(generate_subscripts(string_split(text, ', '), 1) - 1 AS INT) AS pos,
+           lpad(CAST(generate_subscripts(string_split(text, ', '), 1) AS VARCHAR), 6, '0') AS key,
+           unnest(string_split(text, ', ')) AS clause, root_key
+    FROM docs"""))
+def flatten_map(spark: SparkSession, sf: str) -> DataFrame:
+    """The entries of a map as rows, numbered by their keys."""
+    return _nested(spark, sf, "clauses")
+
+
+@query("dedupe_digest_first", f"SELECT DISTINCT {BUSINESS_SQL} FROM documents")
+def dedupe_digest_first(spark: SparkSession, sf: str) -> DataFrame:
+    """Whole texts are shuffled only where a digest repeats."""
+    folder = X.scratch_dir(spark, "digests")
+    return quality.dedupe_by_digest(_texts(spark, sf), lambda digests: materialise(digests, folder, "repeated")[0])
+
+
 @query("dedupe_rows", f"SELECT DISTINCT {BUSINESS_SQL} FROM documents")
 def dedupe_rows(spark: SparkSession, sf: str) -> DataFrame:
     return quality.dedupe(_texts(spark, sf))

@@ -5,11 +5,13 @@ from __future__ import annotations
 import uuid
 from functools import reduce
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from arborload.operators import quality
+from arborload.operators.changes import delete_by_key
 from arborload.operators.metrics import Metrics
 from arborload.operators.project import Projections
 from arborload.plans.config import Feed, Mode
@@ -191,6 +193,35 @@ def load_versions(spark: SparkSession, sf: str) -> DataFrame:
     return _content(tables)
 
 
+SHARED_HASH = {"fr": None, "es": bytes(1)}
+
+
+@query(
+    "load_shared_hash",
+    f"""
+    WITH versions AS (
+        SELECT doc_id, n_chars, text, lang FROM ({TEXTS_SQL})
+        UNION SELECT doc_id, -n_chars, upper(text), lang FROM ({TEXTS_SQL}) WHERE lang IN ('fr', 'es'))
+    SELECT doc_id, n_chars, generate_subscripts(string_split(text, chr(10)), 1) - 1 AS pos,
+           unnest(string_split(text, chr(10))) AS line
+    FROM versions WHERE lang <> '{X.NO_LINES}'""",
+)
+def load_shared_hash(spark: SparkSession, sf: str) -> DataFrame:
+    """Versions whose record hash is NULL (French) or the same (Spanish) keep their own lines."""
+    tables = _tables(spark)
+    texts = X.texts(spark, sf)
+    second = texts.where("lang IN ('fr', 'es')").withColumn("text", F.upper("text")).withColumn("n_chars", -F.col("n_chars"))
+    docs = X.documents_of(texts.unionByName(second))
+    value = F.col("header.recordHash")
+    for lang, shared in SHARED_HASH.items():
+        value = F.when(F.col("body.lang") == lang, F.lit(shared).cast("binary")).otherwise(value)
+    docs = docs.withColumn("header", F.col("header").withField("recordHash", value))
+    _run(spark, docs, Mode.BULK, tables)
+    parent, child = tables.read("text_feed_document"), tables.read("text_feed_lines")
+    joined = parent.join(child, parent["lines_fk"] == child["document_id"])
+    return joined.select(parent["doc_id"], parent["n_chars"], child["pos"], child["line"])
+
+
 LATER = "2024-02-02T00:00:00Z"
 
 
@@ -206,6 +237,21 @@ def load_latest(spark: SparkSession, sf: str) -> DataFrame:
     return _content(tables)
 
 
+@query(
+    "load_newest",
+    _content_sql(f"{NOT_FRENCH} UNION ALL SELECT * REPLACE ('{LATER}' AS ingested) FROM ({FRENCH_UPPER})"),
+)
+def load_newest(spark: SparkSession, sf: str) -> DataFrame:
+    """The later batch comes first: of the earlier one its French roots pass by, and are counted."""
+    tables, docs = _tables(spark), X.documents(spark, sf)
+    later = _french_upper(spark, sf).withColumn("header", F.col("header").withField("ingestDateTime", F.lit(LATER)))
+    _run(spark, later, Mode.UPSERT, tables, on_duplicate_root="newest")
+    done = _run(spark, docs, Mode.UPSERT, tables, on_duplicate_root="newest")
+    skipped = next(v for m, _, _, v, _ in done.metrics.records() if m == "skipped_roots")
+    assert skipped == docs.where("body.lang = 'fr'").count()
+    return _content(tables)
+
+
 @query(
     "load_rejects",
     """
@@ -268,6 +314,45 @@ def load_incremental(spark: SparkSession, sf: str) -> DataFrame:
     return _content(tables)
 
 
+class _Breaking(Tables):
+    """Tables whose root can't be appended to."""
+
+    def append(self, frame: DataFrame, table: str, *args, **settings) -> None:
+        if table == "text_feed_document":
+            raise OSError("no space left")
+        super().append(frame, table, *args, **settings)
+
+
+@query("load_append_once", _content_sql())
+def load_append_once(spark: SparkSession, sf: str) -> DataFrame:
+    """Two waves of new files are appended; the second breaks off half-way and is repeated."""
+    tables = _tables(spark)
+    docs = X.documents(spark, sf)
+    landing = _batch(spark, docs.where("body.lang <> 'en'"), "append")
+    state = X.scratch_dir(spark, "append-state")
+
+    def load(target: Tables) -> Outcome:
+        return run(spark, _feed(landing), Mode.BULK, target, X.RUN_ID, Granularity.NEW, X.AS_OF, state=state)
+
+    load(tables)
+    X.land(docs.where("body.lang = 'en'"), X.as_of(), landing)
+    try:
+        load(_Breaking(spark, tables.database, tables.location))
+    except StreamingQueryException:
+        pass
+    for _ in range(2):
+        load(tables)
+    return _content(tables).withColumn("batch_id", F.split("batch_id", "/")[0])
+
+
+@query("load_digest_first", _content_sql())
+def load_digest_first(spark: SparkSession, sf: str) -> DataFrame:
+    """Documents landed twice; copies are found by their digests before any whole row is shuffled."""
+    tables, docs = _tables(spark), X.documents(spark, sf)
+    _run(spark, docs.unionByName(docs), Mode.BULK, tables, digest_first=True)
+    return _content(tables)
+
+
 @query("load_delete", _content_sql(roots="lang <> 'en'"))
 def load_delete(spark: SparkSession, sf: str) -> DataFrame:
     """English texts are deleted with everything below them, unknown keys are not found."""
@@ -387,6 +472,87 @@ def load_flat_upsert(spark: SparkSession, sf: str) -> DataFrame:
     return show_volatile(tables.read("text_flat").drop(BUCKET))
 
 
+@query(
+    "load_flat_rejects",
+    f"""SELECT *, (SELECT count(*) FROM documents WHERE lang = 'fr') AS rejected
+        FROM ({_flat_sql(NOT_FRENCH)})""",
+)
+def load_flat_rejects(spark: SparkSession, sf: str) -> DataFrame:
+    """Rows of a flat feed without a key are rejected; the same upsert twice changes nothing."""
+    tables = _tables(spark)
+    key = F.when(F.col("body.lang") != "fr", F.col("body.doc_id"))
+    docs = X.documents(spark, sf).withColumn("body", F.col("body").withField("doc_id", key))
+    feed = _flat_feed(_batch(spark, docs, "flat"))
+    for _ in range(2):
+        done = run(spark, feed, Mode.UPSERT, tables, X.RUN_ID, Granularity.TODAY, X.AS_OF)
+    rejected = next(v for m, _, _, v, _ in done.metrics.records() if m == "rejected_rows")
+    rows = show_volatile(tables.read("text_flat").drop(BUCKET))
+    return rows.withColumn("rejected", F.lit(rejected).cast("bigint"))
+
+
+@query(
+    "load_flat_latest",
+    _flat_sql(f"{NOT_FRENCH} UNION ALL SELECT * REPLACE ('{LATER}' AS ingested) FROM ({FRENCH_UPPER})"),
+)
+def load_flat_latest(spark: SparkSession, sf: str) -> DataFrame:
+    """Of two documents per French key of a flat feed the later one is loaded."""
+    tables = _tables(spark)
+    later = _french_upper(spark, sf).withColumn("header", F.col("header").withField("ingestDateTime", F.lit(LATER)))
+    batch = _batch(spark, later.unionByName(X.documents(spark, sf)), "flat")
+    feed = _flat_feed(batch, on_duplicate_root="latest")
+    run(spark, feed, Mode.UPSERT, tables, X.RUN_ID, Granularity.TODAY, X.AS_OF)
+    return show_volatile(tables.read("text_flat").drop(BUCKET))
+
+
+WANTED_ORDERS = "o_orderkey % 97 = 0"
+
+
+@query("lookup_orders", f"SELECT * FROM orders WHERE {WANTED_ORDERS}")
+def lookup_orders(spark: SparkSession, sf: str) -> DataFrame:
+    """Orders by key from a table that is sorted by it and carries Bloom filters."""
+    orders = X.table(spark, sf, "orders")
+    tables = Tables(spark, f"arborload_{uuid.uuid4().hex[:12]}", X.scratch_dir(spark, "tables"), BUCKETS, indexed=True)
+    tables.append(orders, "orders", key="o_orderkey")
+    return tables.lookup("orders", orders.where(WANTED_ORDERS).select("o_orderkey"))
+
+
+CLUSTERS = 8
+
+
+@query("delete_clustered", "SELECT * FROM lineitem WHERE l_orderkey NOT IN (SELECT o_orderkey FROM orders WHERE o_custkey % 7 = 0)")
+def delete_clustered(spark: SparkSession, sf: str) -> DataFrame:
+    """Line items of some customers go; the table is clustered by order, so only keys are exchanged."""
+    tables = _tables(spark)
+    target = tables.cluster("lineitem", X.table(spark, sf, "lineitem"), "l_orderkey", CLUSTERS)
+    gone = X.table(spark, sf, "orders").where("o_custkey % 7 = 0").select(F.col("o_orderkey").alias("l_orderkey"))
+    return delete_by_key(target, gone, "l_orderkey")
+
+
+@query(
+    "load_csv_damaged",
+    """
+    SELECT CAST(o_orderkey AS VARCHAR) AS o_orderkey, o_orderstatus, o_orderpriority,
+           (SELECT count(*) FROM orders WHERE o_orderkey % 3 < 2) AS rejected
+    FROM orders WHERE o_orderkey % 3 = 2""",
+)
+def load_csv_damaged(spark: SparkSession, sf: str) -> DataFrame:
+    """Lines with a field too many or too few are set apart and counted; the others are loaded."""
+    rows = X.table(spark, sf, "orders")
+    columns = ["o_orderkey", "o_orderstatus", "o_orderpriority"]
+    line = F.concat_ws(",", *columns)
+    kind = F.col("o_orderkey") % 3
+    line = F.when(kind == 0, F.concat(line, F.lit(",more"))).when(kind == 1, F.col("o_orderkey").cast("string")).otherwise(line)
+    source = X.scratch_dir(spark, "csv")
+    # Every file begins with the header.
+    first = F.monotonically_increasing_id().bitwiseAND((1 << 33) - 1) == 0
+    header = F.lit(",".join(columns) + "\n")
+    rows.select(F.when(first, F.concat(header, line)).otherwise(line).alias("value")).write.text(source)
+    tables = _tables(spark)
+    done = load_csv(spark, source, X.scratch_dir(spark, "csv-landing"), "order", "shop_order", tables, X.RUN_ID, columns=columns)
+    rejected = next(v for m, _, _, v, _ in done.metrics.records() if m == "rejected_rows")
+    return tables.read("shop_order").withColumn("rejected", F.lit(rejected).cast("bigint"))
+
+
 @query(
     "load_csv",
     """

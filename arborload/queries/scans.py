@@ -12,7 +12,7 @@ from arborload.operators.metrics import Metrics
 from arborload.queries import fixtures as X
 from arborload.queries.registry import query
 from arborload.sources.csv import csv_to_parquet
-from arborload.sources.landing import Granularity, delete_keys, scan
+from arborload.sources.landing import Granularity, delete_keys, scan, scan_range
 from arborload.streaming.incremental import append_batches, load_new_files
 
 EVENT_COLUMNS = "event_id, ts, user_id, event_type, value, props"
@@ -60,6 +60,20 @@ def scan_all(spark: SparkSession, sf: str) -> DataFrame:
     return _slice(spark, sf, Granularity.ALL)
 
 
+@query(
+    "scan_range",
+    _slice_sql(
+        "make_timestamp(year, month, day, hour, minute, 0) >= TIMESTAMP '2024-01-30 14:20:00' "
+        "AND make_timestamp(year, month, day, hour, minute, 0) < TIMESTAMP '2024-02-01 02:40:00'"
+    ),
+)
+def scan_range_query(spark: SparkSession, sf: str) -> DataFrame:
+    """Any range of landing times, here over the end of a month, from few directories."""
+    path, schema = X.landed_events(spark, sf)
+    rows = scan_range(spark, path, schema, datetime(2024, 1, 30, 14, 20), datetime(2024, 2, 1, 2, 40))
+    return rows.select("year", "month", "day", "hour", "minute", *schema.fieldNames())
+
+
 @query("scan_filter", _slice_sql("event_type = 'error'"))
 def scan_filter(spark: SparkSession, sf: str) -> DataFrame:
     return _slice(spark, sf, Granularity.ALL, "event_type = 'error'")

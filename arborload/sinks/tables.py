@@ -27,6 +27,9 @@ _COUNT = "arborload.buckets"
 _KEY = "arborload.bucketed_by"
 
 
+_SORTED = "arborload.sorted_by"
+#: A key set up to this size is given to the scan as values, so that it skips row groups.
+LOOKUP_KEYS = 1000
 _OVERWRITE = "spark.sql.sources.partitionOverwriteMode"
 _READY = "ready"
 _MANIFEST = "table string, bucket int, filled boolean"
@@ -46,14 +49,19 @@ class Tables:
     """Tables of one database, kept below one location.
 
     ``buckets`` is the number of buckets of new tables; existing ones keep theirs.  All
-    tables are managed: dropping a table or a partition removes its files.
+    tables are managed: dropping a table or a partition removes its files.  With
+    ``indexed`` the rows of a new bucketed table are sorted by its key inside their files,
+    which carry Bloom filters of it: looking up few keys then skips row groups.
     """
 
-    def __init__(self, spark: SparkSession, database: str, location: str, buckets: int = 256) -> None:
+    def __init__(
+        self, spark: SparkSession, database: str, location: str, buckets: int = 256, indexed: bool = False
+    ) -> None:
         self.spark = spark
         self.database = database
         self.location = location.rstrip("/")
         self.buckets = buckets
+        self.indexed = indexed
         spark.sql(f"CREATE DATABASE IF NOT EXISTS `{database}` LOCATION '{self.location}/{database}/managed'")
 
     @property
@@ -82,9 +90,12 @@ class Tables:
         layout = ""
         if by:
             columns.append(f"`{BUCKET}` int")
-            layout = (
-                f"PARTITIONED BY (`{BUCKET}`) TBLPROPERTIES ('{_COUNT}' = '{self.buckets}', '{_KEY}' = '{by}')"
-            )
+            properties = f"'{_COUNT}' = '{self.buckets}', '{_KEY}' = '{by}'"
+            if self.indexed:
+                properties += f", '{_SORTED}' = '{by}'"
+                bloom = {f"parquet.bloom.filter.enabled#{by}": "true", "parquet.bloom.filter.adaptive.enabled": "true"}
+                layout = f"OPTIONS ({', '.join(f"'{k}' = '{v}'" for k, v in bloom.items())}) "
+            layout += f"PARTITIONED BY (`{BUCKET}`) TBLPROPERTIES ({properties})"
         self.spark.sql(
             f"CREATE TABLE IF NOT EXISTS {self.name(table)} ({', '.join(columns)}) "
             f"USING parquet {layout}"
@@ -96,7 +107,7 @@ class Tables:
             self.create(table, T.StructType([f for f in frame.schema.fields if f.name not in drop]), key)
         rows = align(frame, self.schema(table), drop)
         if self.bucketed_by(table):
-            rows = self._clustered(rows, table)
+            rows = self._sorted(self._clustered(rows, table), table)
         rows.write.insertInto(self.name(table))
 
     def stage(self, frame: DataFrame, table: str, drop: Collection[str] = ()) -> str:
@@ -142,7 +153,7 @@ class Tables:
         their ``fresh`` rows; the other fresh rows are left to be appended.
         """
         key = self.bucketed_by(table)
-        old = self.in_buckets(table, touched)
+        old = self._with_keys(self.in_buckets(table, touched), keys, key)
         wanted = keys.select(key, BUCKET)
         found = old.select(key, BUCKET).join(wanted, [key, BUCKET], "left_semi").select(BUCKET).distinct()
         buckets = sorted(r[0] for r in found.collect())
@@ -170,7 +181,8 @@ class Tables:
         self._overwrite(folder)
         for change in changes:
             if change.added is not None:
-                change.added.hint("rebalance", BUCKET).write.insertInto(self.name(change.table))
+                added = self._sorted(change.added.hint("rebalance", BUCKET), change.table)
+                added.write.insertInto(self.name(change.table))
 
     def purge(self, tables: Iterable[str], condition: str) -> None:
         """Remove the rows that satisfy a condition; only buckets that hold one are written anew."""
@@ -222,6 +234,7 @@ class Tables:
             for table, buckets in by_table.items():
                 if any(filled for _, filled in buckets):
                     rows = self.spark.read.schema(self.read(table).schema).parquet(f"{folder}/{table}")
+                    rows = self._sorted(rows, table)
                     rows.write.insertInto(self.name(table), overwrite=True)
                 # Dynamic overwrite leaves a partition alone that the new rows don't have.
                 empty = [f"PARTITION ({BUCKET}={b})" for b, filled in buckets if not filled]
@@ -235,6 +248,42 @@ class Tables:
     def _changes(self) -> str:
         return f"{self.work}/changes"
 
+    # -- lookups and joins by key ------------------------------------------
+
+    def lookup(self, table: str, keys: DataFrame) -> DataFrame:
+        """The table's rows whose key is in ``keys``, which holds the column it is bucketed by.
+
+        Only the buckets of the keys are read, and of an indexed table only row groups
+        that may hold one.
+        """
+        key = self.bucketed_by(table)
+        columns = self.schema(table).fieldNames()
+        wanted = keys.select(key).where(f"`{key}` IS NOT NULL").distinct()
+        bucketed = wanted.selectExpr(f"{K.bucket(f'`{key}`', self.bucket_count(table))} AS {BUCKET}").distinct()
+        rows = self.in_buckets(table, [r[0] for r in bucketed.collect()])
+        return self._with_keys(rows, wanted, key).join(wanted, key, "left_semi").select(*columns)
+
+    def _with_keys(self, rows: DataFrame, keys: DataFrame, key: str) -> DataFrame:
+        """Rows that may have one of the keys: a small key set is pushed into the scan as values."""
+        few = [r[0] for r in keys.select(key).distinct().limit(LOOKUP_KEYS + 1).collect()]
+        return rows if len(few) > LOOKUP_KEYS else rows.where(F.col(f"`{key}`").isin(few))
+
+    def cluster(self, table: str, rows: DataFrame, key: str, count: int) -> DataFrame:
+        """Write a table hashed and sorted by ``key`` into ``count`` buckets, one file each; returns it.
+
+        Joins on the key then exchange only the other side.  All rows of a key lie in one
+        bucket, so the key has to be one that few rows share, such as the root key.
+        """
+        self.drop(table)
+        spread = rows.repartition(count, F.col(f"`{key}`"))
+        spread.write.format("parquet").bucketBy(count, key).sortBy(key).saveAsTable(self.name(table))
+        return self.read(table)
+
+    def _sorted(self, rows: DataFrame, table: str) -> DataFrame:
+        """Rows in the order in which an indexed table stores them."""
+        key = self._property(table, _SORTED)
+        return rows if key is None else rows.sortWithinPartitions(BUCKET, key)
+
     def bucketed_by(self, table: str) -> str | None:
         """Column whose bucket the table is partitioned by, if any."""
         return self._property(table, _KEY)

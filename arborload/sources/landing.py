@@ -12,6 +12,7 @@ from pyspark.sql import types as T
 
 from arborload.functions.header import SOURCE_FILE
 from arborload.operators.metrics import Metrics
+from arborload.sources.scratch import exists
 
 PARTITIONS = ("year", "month", "day", "hour", "minute")
 
@@ -57,6 +58,85 @@ def slice_filter(bounds: dict[str, int]) -> Column | None:
     return condition
 
 
+def cover(start: datetime, end: datetime) -> list[dict[str, int]]:
+    """The fewest year, month, day and hour directories that hold every minute from ``start`` up to ``end``."""
+    at = start.replace(minute=0, second=0, microsecond=0)
+    end = _next(end.replace(minute=0, second=0, microsecond=0), 3) if (end.minute, end.second, end.microsecond) != (0, 0, 0) else end
+    found = []
+    while at < end:
+        depth = next(d for d in range(4) if at == _floor(at, d) and (_next(at, d) <= end or d == 3))
+        found.append(dict(zip(PARTITIONS, (at.year, at.month, at.day, at.hour)[: depth + 1])))
+        at = _next(at, depth)
+    return found
+
+
+def _floor(at: datetime, depth: int) -> datetime:
+    """Beginning of the year, month, day or hour (depth 0 to 3) of a moment."""
+    values = (at.year, at.month, at.day, at.hour)[: depth + 1]
+    return datetime(*values, *(1,) * max(0, 3 - len(values)), tzinfo=at.tzinfo)
+
+
+def _next(at: datetime, depth: int) -> datetime:
+    if depth == 0:
+        return at.replace(year=at.year + 1)
+    if depth == 1:
+        return (at.replace(day=28) + timedelta(days=4)).replace(day=1)
+    return at + (timedelta(days=1) if depth == 2 else timedelta(hours=1))
+
+
+def scan_range(
+    spark: SparkSession,
+    root: str,
+    schema: T.StructType,
+    start: datetime,
+    end: datetime,
+    source_file: bool = False,
+    metrics: Metrics | None = None,
+    entity: str = "",
+    until: float | None = None,
+) -> DataFrame:
+    """Documents landed from ``start`` up to, but not at, ``end``; both in UTC, to the minute.
+
+    Only directories of :func:`cover` are listed, and the bounds stay as a predicate on
+    the partition columns, which prunes the minutes.  A range without any directory is
+    missing input, as in :func:`scan`.
+    """
+    start, end = (t.astimezone(timezone.utc).replace(tzinfo=None) if t.tzinfo else t for t in (start, end))
+    if end <= start:
+        raise ValueError(f"empty range: {start} to {end}")
+    wanted = [slice_path(root, bounds) for bounds in cover(start, end)]
+    paths = [p for p in wanted if exists(spark, p)]
+    frame = _read(spark, root, schema, paths, source_file, until)
+    if frame is None:
+        if metrics is not None:
+            missing(metrics, entity)
+        return _nothing(spark, schema, source_file)
+    landed = F.expr("make_timestamp_ntz(year, month, day, hour, minute, 0)")
+    return frame.where((landed >= F.lit(start).cast("timestamp_ntz")) & (landed < F.lit(end).cast("timestamp_ntz")))
+
+
+def _read(spark, root: str, schema: T.StructType, paths: list[str], source_file: bool, until: float | None) -> DataFrame | None:
+    """The files below some directories of the landing area; ``None`` if one is missing or there are none."""
+    reader = spark.read.schema(with_partitions(schema)).option("basePath", root)
+    if until is not None:
+        moment = datetime.fromtimestamp(until, timezone.utc).strftime("%Y-%m-%dT%H:%M:%S.%f")
+        reader = reader.option("modifiedBefore", moment).option("timeZone", "UTC")
+    try:
+        frame = reader.parquet(*paths) if paths else None
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        frame = None
+    if frame is not None and source_file:
+        frame = frame.select("*", F.col("_metadata.file_path").alias(SOURCE_FILE))
+    return frame
+
+
+def _nothing(spark: SparkSession, schema: T.StructType, source_file: bool) -> DataFrame:
+    frame = spark.createDataFrame([], with_partitions(schema))
+    return frame.withColumn(SOURCE_FILE, F.lit(None).cast("string")) if source_file else frame
+
+
 def scan(
     spark: SparkSession,
     root: str,
@@ -80,22 +160,11 @@ def scan(
     files, whatever lands between them, and no file name reaches the driver's program.
     """
     bounds = slice_of(granularity, as_of)
-    full = with_partitions(schema)
-    reader = spark.read.schema(full).option("basePath", root)
-    if until is not None:
-        moment = datetime.fromtimestamp(until, timezone.utc).strftime("%Y-%m-%dT%H:%M:%S.%f")
-        reader = reader.option("modifiedBefore", moment).option("timeZone", "UTC")
-    try:
-        frame = reader.parquet(slice_path(root, bounds))
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
+    frame = _read(spark, root, schema, [slice_path(root, bounds)], source_file, until)
+    if frame is None:
         if metrics is not None:
             missing(metrics, entity)
-        frame = spark.createDataFrame([], full)
-        return frame.withColumn(SOURCE_FILE, F.lit(None).cast("string")) if source_file else frame
-    if source_file:
-        frame = frame.select("*", F.col("_metadata.file_path").alias(SOURCE_FILE))
+        return _nothing(spark, schema, source_file)
     condition = slice_filter(bounds)
     if condition is not None:
         frame = frame.where(condition)

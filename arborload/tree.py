@@ -9,7 +9,7 @@ already relational are written down by name (:meth:`Tree.of`).
 from __future__ import annotations
 
 from collections.abc import Iterator, Mapping, Sequence
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 from pyspark.sql import types as T
 
@@ -40,13 +40,18 @@ class Field:
 
 @dataclass(frozen=True)
 class Node:
-    """One table: the array it comes from, its scalar columns, its child tables."""
+    """One table: the array or map it comes from, its scalar columns, its child tables.
+
+    An array directly inside an array has an empty path: it is the element itself.
+    ``entries`` marks a map, whose rows are its entries.
+    """
 
     table: str
     array: tuple[str, ...] = ()
     fields: tuple[Field, ...] = ()
     children: tuple[Node, ...] = ()
     scalar: bool = False
+    entries: bool = False
 
 
 @dataclass(frozen=True)
@@ -108,7 +113,9 @@ class Tree:
         """Derive the tables from a document schema.
 
         Column names keep the last part of their path and table names its lower
-        case.  Two columns of one table that end alike are an error unless
+        case.  An array in an array becomes a child table ``<name>_val`` of the outer
+        one's, a map a table of its entries with the columns ``key`` and ``val`` (those
+        of the value if it is a struct, a table ``<name>_val`` if it is nested).  Two columns of one table that end alike are an error unless
         ``qualify`` is set, which names the later one by its whole path.
         """
         node = _node(root.lower(), (), schema, qualify)
@@ -195,17 +202,8 @@ def _node(table: str, array: tuple[str, ...], schema: T.StructType, qualify: boo
             here = (*path, f.name)
             if isinstance(f.dataType, T.StructType):
                 visit(f.dataType, here)
-            elif isinstance(f.dataType, T.ArrayType):
-                element = f.dataType.elementType
-                if isinstance(element, T.StructType):
-                    children.append(_node(f.name.lower(), here, element, qualify))
-                elif isinstance(element, (T.ArrayType, T.MapType)):
-                    raise ValueError(f"array {'.'.join(here)} holds {element.simpleString()}")
-                else:
-                    value = Field(VALUE, (), element)
-                    children.append(Node(f.name.lower(), here, (value,), scalar=True))
-            elif isinstance(f.dataType, T.MapType):
-                raise ValueError(f"map column {'.'.join(here)}: convert it with to_json first")
+            elif isinstance(f.dataType, (T.ArrayType, T.MapType)):
+                children.append(_nested(f.name.lower(), here, f.dataType, qualify))
             else:
                 name = f.name
                 if qualify and name.lower() in taken:
@@ -217,6 +215,25 @@ def _node(table: str, array: tuple[str, ...], schema: T.StructType, qualify: boo
     return Node(table, array, tuple(fields), tuple(children))
 
 
+def _nested(table: str, path: tuple[str, ...], kind: T.DataType, qualify: bool) -> Node:
+    """The table of an array or a map."""
+    if isinstance(kind, T.MapType):
+        if isinstance(kind.valueType, (T.ArrayType, T.MapType)):
+            node = _node(table, path, T.StructType([T.StructField("key", kind.keyType)]), qualify)
+            return replace(node, children=(*node.children, _nested(f"{table}_{VALUE}", ("value",), kind.valueType, qualify)), entries=True)
+        entry = T.StructType([T.StructField("key", kind.keyType), T.StructField("value", kind.valueType)])
+        node = _node(table, path, entry, qualify)
+        fields = tuple(replace(f, name=VALUE) if f.path == ("value",) else f for f in node.fields)
+        return replace(node, fields=fields, entries=True)
+    assert isinstance(kind, T.ArrayType)
+    element = kind.elementType
+    if isinstance(element, T.StructType):
+        return _node(table, path, element, qualify)
+    if isinstance(element, (T.ArrayType, T.MapType)):
+        return Node(table, path, children=(_nested(f"{table}_{VALUE}", (), element, qualify),))
+    return Node(table, path, (Field(VALUE, (), element),), scalar=True)
+
+
 _WIDTH = {"boolean": 0, "tinyint": 1, "smallint": 2, "int": 3, "date": 4, "bigint": 5}
 
 
@@ -257,6 +274,8 @@ def _prune(schema: T.StructType, wanted: Sequence[tuple[str, ...]]) -> T.StructT
 def _prune_type(data_type: T.DataType, below: Sequence[tuple[str, ...]]) -> T.DataType:
     if any(not p for p in below):
         return data_type
+    if isinstance(data_type, T.MapType):
+        return data_type
     if isinstance(data_type, T.ArrayType):
         return T.ArrayType(_prune_type(data_type.elementType, below), data_type.containsNull)
     assert isinstance(data_type, T.StructType)

@@ -27,6 +27,8 @@ def flatten(docs: list[dict], tree: Tree, by_hash: bool = False, batch: str | No
             row[f.name] = element if node.scalar else _get(element, f.path)
         for child in node.children:
             items = _get(element, child.array)
+            if child.entries and items is not None:
+                items = [{"key": k, "value": v} for k, v in sorted(items.items())]
             link = md5(child.table, own_row)
             row[f"{child.table}_fk"] = link if items else None
             for pos, item in enumerate(items or []):

@@ -43,6 +43,27 @@ def test_narrow_scans_give_the_same_tables_and_read_less(spark, scratch):
     assert "DisposalType" not in read and "CourtName" not in read and "recordHash" not in read
 
 
+def test_nested_arrays_and_maps_match_brute_force(spark, scratch):
+    full = T._parse_datatype_string(
+        "id int, x array<array<int>>, y array<array<array<struct<v:string>>>>, m map<string,int>, "
+        "n map<int,struct<a:int,z:array<string>>>, o array<map<string,array<int>>>"
+    )
+    docs = [
+        dict(id=1, x=[[1, 2], [], None, [3, None]], y=[[[{"v": "a"}, {"v": None}], []], [[{"v": "b"}]]], m={"k": 1, "l": None},
+             n={7: {"a": 1, "z": ["p", "q"]}, 8: None, 9: {"a": None, "z": []}}, o=[{"s": [1, 2], "t": None}, {}, None]),
+        dict(id=2, x=[], y=None, m={}, n=None, o=[]),
+        dict(id=3, x=None, y=[None, [None, [None]]], m=None, n={}, o=[{"u": [5]}]),
+        dict(id=None, x=[[1]], y=[], m={"k": 1}, n=None, o=None),
+    ]
+    tree = Tree.from_schema("doc", "id", full)
+    spark.createDataFrame(docs, full).write.parquet(f"{scratch}/docs")
+    wanted = brute.flatten(docs, tree)
+    got = flatten_from(lambda s, root: spark.read.schema(s).parquet(f"{scratch}/docs"), tree, full)
+    for table in tree.tables:
+        assert wanted[table], table
+        assert brute.rows(got[table]) == brute.canon(wanted[table]), table
+
+
 def test_columns_and_arrays_absent_from_the_files(spark, scratch):
     full = T._parse_datatype_string(
         "body struct<id:bigint, name:string, x array<struct<v:string, n:int, y array<struct<z:int>>>>, w array<struct<q:string>>>"

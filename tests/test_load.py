@@ -488,3 +488,44 @@ def test_csv(spark, tables, scratch):
             {"empty": lambda frame, run_id: frame.where("false")},
         )
     assert spark.read.parquet(f"{scratch}/out").count() == 2, "the landed rows are still there"
+
+
+def test_damaged_csv_lines_are_set_apart(spark, tables, scratch):
+    folder = pathlib.Path(f"{scratch}/in")
+    folder.mkdir()
+    (folder / "a.csv").write_text('a,b\n1,2\n4,5,6\n3\n"x, y",\n,\n7,"8\n')
+    for number, columns in enumerate((None, ["a", "b"])):
+        done = load_csv(spark, str(folder), f"{scratch}/out{number}", "f", f"t{number}", tables, "r1", columns=columns)
+        found = sorted((tuple(r) for r in tables.read(f"t{number}").collect()), key=str)
+        assert ("1", "2") in found and ("x, y", None) in found and (None, None) in found
+        assert not any(r[0] in ("4", "3") for r in found)
+        counts = {m: v for m, _, _, v, _ in done.metrics.records()}
+        lost = spark.read.parquet(done.rejected).collect()
+        assert {"4,5,6", "3"} <= {r["damaged_line"] for r in lost} and counts["rejected_rows"] == len(lost)
+        assert counts["read_count"] == len(found) and all(r["source_file"].endswith("a.csv") for r in lost)
+    typed = T.StructType([T.StructField("a", T.IntegerType()), T.StructField("b", T.StringType())])
+    (folder / "a.csv").write_text("a,b\n1,2\nx,2\n")
+    done = load_csv(spark, str(folder), f"{scratch}/typed", "f", "typed", tables, "r1", columns=typed)
+    assert [tuple(r) for r in tables.read("typed").collect()] == [(1, "2")]
+    assert [r["damaged_line"] for r in spark.read.parquet(done.rejected).collect()] == ["x,2"]
+
+
+def test_a_range_of_landing_times(spark, tables, scratch):
+    docs = data.documents(["a", "b", "c"], 1, SCHEMA)
+    for day, doc in zip(("01", "02", "03"), docs):
+        land(spark, f"{scratch}/1", [doc], day)
+    span = (datetime(2024, 2, 1, 2, 0), datetime(2024, 2, 3, 2, 0))
+    run(spark, feed(f"{scratch}/1"), "bulk", tables, "r1", between=span)
+    assert content(tables) == wanted(docs[:2])
+    late = run(spark, feed(f"{scratch}/1"), "upsert", tables, "r1", between=(datetime(2030, 1, 1), datetime(2030, 1, 2)))
+    assert ("nop_read_error", "s_f", 1) in metrics(late) and content(tables) == wanted(docs[:2])
+
+
+def test_digest_first_loads_the_same_tables(spark, tables, scratch):
+    docs = data.documents(["a", "b", "c"], 1, SCHEMA)
+    batch = land(spark, f"{scratch}/1", docs + docs)
+    for mode in ("bulk", "upsert"):
+        done = go(spark, tables, batch, mode, scratch, digest_first=True)
+        assert content(tables) == wanted(docs)
+        assert ("repeated_rows", "person", 3) in metrics(done) and ("read_count", "person", 3) in metrics(done)
+    assert [d for d in directories(spark, tables.work) if "changes" not in d] == []

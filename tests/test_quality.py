@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+from collections import Counter
+
 import pytest
 from pyspark.sql import Observation
 from pyspark.sql import functions as F
@@ -65,3 +67,40 @@ def test_latest_per_key(spark):
     plan = latest._jdf.queryExecution().executedPlan().toString()
     assert plan.count("WindowGroupLimit") == 2
     assert sorted((r["k"] or 0, r["id"]) for r in latest.collect()) == [(0, "f"), (1, "c"), (2, "e")]
+
+
+def _kept(scratch):
+    from arborload.sources.scratch import materialise
+
+    return lambda frame: materialise(frame, scratch, "digests")[0]
+
+
+def _wide(spark, copies=300):
+    rows = [(i, f"v{i % 7}", None if i % 5 else 0.5, f"file{i}") for i in range(400)]
+    rows += [(i, f"v{i % 7}", None if i % 5 else 0.5, f"again{i}") for i in range(0, 400, 40)]
+    rows += [(3, "v3", None, f"hot{i}") for i in range(copies)] + [(None, "", -0.0, "a"), (None, "", 0.0, "b"), (None, None, 0.0, "c")]
+    return spark.createDataFrame(rows, "k int, v string, x double, File string").repartition(4)
+
+
+@pytest.mark.parametrize("collide", [False, True])
+def test_digest_first_equals_whole_rows(spark, scratch, collide):
+    """Also if all rows of a key modulo three share one digest."""
+    frame = _wide(spark)
+    forced = (lambda columns: (F.coalesce("k", F.lit(0)) % 3).cast("string").cast("binary")) if collide else None
+    for volatile in ((), ("file",)):
+        first, second = Observation(), Observation()
+        plain = quality.dedupe(frame, volatile, first)
+        quick = quality.dedupe_by_digest(frame, _kept(scratch), volatile, second, forced)
+        assert quick.columns == frame.columns
+        assert Counter(map(tuple, quick.collect())) == Counter(map(tuple, plain.collect()))
+        assert first.get == second.get
+
+
+def test_rows_without_a_copy_are_not_exchanged(spark, scratch):
+    frame = spark.createDataFrame([(i % 990, "x" * 50) for i in range(1000)], "k int, v string")
+    kept = quality.dedupe_by_digest(frame, _kept(scratch))
+    assert kept.count() == 990
+    plan = kept._jdf.queryExecution().executedPlan().toString()
+    single, several = plan.split("LeftAnti")[1].split("LeftSemi")
+    assert "BroadcastExchange" in single and "hashpartitioning" not in single.split("HashAggregate")[0]
+    assert plan.count("Exchange hashpartitioning") == 1, "only rows under a repeated digest"

@@ -47,10 +47,17 @@ def test_generated_names_are_reserved():
         Tree.from_schema("doc", "id", schema("id int, x array<struct<pos:int>>"))
 
 
-@pytest.mark.parametrize("text", ["id int, m map<string,int>", "id int, x array<array<int>>"])
-def test_unsupported_types_are_rejected(text):
-    with pytest.raises(ValueError):
-        Tree.from_schema("doc", "id", schema(text))
+def test_nested_arrays_and_maps_become_tables():
+    full = schema("id int, x array<array<int>>, y array<array<struct<v:int, big:string>>>, m map<string,int>, n map<int,struct<a:int,z:array<string>>>, o map<string,array<int>>")
+    tree = Tree.from_schema("doc", "id", full)
+    assert tree.tables == ["doc", "x", "x_val", "y", "y_val", "m", "n", "z", "o", "o_val"]
+    assert tree.links("x") == ["x_val_fk"] and not tree.node("x").fields and tree.node("x_val").scalar
+    assert tree.node("y_val").array == () and [f.name for f in tree.node("y_val").fields] == ["v", "big"]
+    assert [f.name for f in tree.node("m").fields] == ["key", "val"] and tree.node("m").entries
+    assert [f.name for f in tree.node("n").fields] == ["key", "a"] and tree.links("n") == ["z_fk"]
+    assert tree.parent("o_val") == "o" and [f.name for f in tree.node("o").fields] == ["key"]
+    assert tree.read_schema("y", full) == schema("id int, y array<array<struct<v:int>>>")
+    assert tree.read_schema("m", full) == schema("id int, m map<string,int>")
 
 
 def test_the_key_has_to_exist():
