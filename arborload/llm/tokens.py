@@ -11,6 +11,10 @@ import numpy as np
 #: The split of the byte-level pre-tokenizer (fixed value of the format).
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 
+#: A run of white space that is encoded by the file's own library.
+LONG_SPACE = 100_000
+_LONG_SPACE = re.compile(rf"\s{{{LONG_SPACE}}}")
+
 
 def byte_letters() -> dict[str, int]:
     """The printable letter that stands for each byte in the vocabulary.
@@ -43,7 +47,10 @@ class Encoder:
     def __init__(self, path: str) -> None:
         import tiktoken
 
+        from tokenizers import Tokenizer
+
         vocabulary, self.special = description(path)
+        self.whole = Tokenizer.from_file(path)
         self.plain = tiktoken.Encoding("file", pat_str=PATTERN, mergeable_ranks=vocabulary, special_tokens={})
         cut = sorted(self.special, key=len, reverse=True)
         self.cut = re.compile("(" + "|".join(map(re.escape, cut)) + ")") if cut else None
@@ -59,6 +66,9 @@ class Encoder:
         return np.concatenate(parts)
 
     def _ordinary(self, text: str) -> np.ndarray:
+        if len(text) > LONG_SPACE and _LONG_SPACE.search(text):
+            # The other library's pattern runs out of stack on such a run.
+            return np.array(self.whole.encode(text, add_special_tokens=False).ids, dtype=np.uint32)
         return self.plain.encode_to_numpy(text, allowed_special=set(), disallowed_special=())
 
 

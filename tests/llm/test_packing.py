@@ -26,25 +26,61 @@ def test_encoder_gives_the_library_ids():
         assert tokens.encoder(tokenizer_path()).ids(text).tolist() == expected_ids(text)[:-1]
 
 
-@pytest.mark.parametrize("seed", range(5))
-def test_rounds_in_closed_form_are_deficit_round_robin(seed):
+def test_long_runs_of_white_space():
+    for text in (" " * 2_000_000, "a" + "\n" * 1_100_000 + " b", "x " * 60_000 + "\t" * 200_000 + "end <|endoftext|>"):
+        assert tokens.encoder(tokenizer_path()).ids(text).tolist() == expected_ids(text)[:-1]
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_places_are_those_of_deficit_round_robin(spark, seed):
     draw = random.Random(seed)
-    sizes = [draw.randint(0, 4000) for _ in range(draw.randint(1, 6))]
-    quanta = [draw.randint(1, 60) + draw.randint(0, 65535) / 65536 for _ in sizes]
-    rounds = packing.Rounds(sizes, quanta)
-    left, deficit, place, k = list(sizes), [0.0] * len(sizes), 0, 0
-    while any(left):
-        for q in range(len(sizes)):
-            deficit[q] += quanta[q]
-            send = min(left[q], int(deficit[q]))
-            deficit[q] -= send
+    sizes = {f"s{i:02d}": draw.randint(1, 4000) for i in range(draw.randint(1, 6))}
+    weights = {s: draw.choice([0.0, 0.001, 1.0, 2.5]) for s in sizes}
+    rows = [(s, 0, n) for s, n in sizes.items()]
+    parts = spark.createDataFrame(rows, "source string, part long, n long")
+    queued = packing.queues(parts, 100, 0.7, weights if seed else None)
+    quanta = {r.source: (r.quantum, r.first_round) for r in queued.collect()}
+    found = {(r.window, r.source): (r.begin, r.size) for r in packing.slices(queued).collect()}
+    shift = {(r["__window"], r["__source"]): r["shift"] for r in packing.shifts(packing.slices(queued)).collect()}
+    left, deficit, place, k, seen = dict(sizes), dict.fromkeys(sizes, 0), 0, 0, 0
+    while any(left.values()):
+        for s in sorted(sizes):
+            quantum, first = quanta[s]
+            if k < first:
+                continue
+            deficit[s] += quantum
+            send = min(left[s], deficit[s] // 65536)
+            deficit[s] -= send * 65536
             if send:
-                first = sizes[q] - left[q]
-                assert rounds.slice(q, k) == (first, first + send, place)
-                assert rounds.round_of(q, first) == k == rounds.round_of(q, first + send - 1)
-            left[q] -= send
-            place += send
+                begin = sizes[s] - left[s]
+                assert found[k, s] == (begin, send) and shift[k, s] + begin == place
+                assert packing.round_of(begin, quantum) + first == k
+                left[s] -= send
+                place += send
+                seen += 1
         k += 1
+    assert seen == len(found) == len(shift)
+    if seed:
+        first = {s: quanta[s][1] for s in sizes}
+        assert all((first[s] > 0) == (weights[s] == 0) for s in sizes) or not any(weights.values())
+
+
+def test_many_sources_and_sources_without_weight(spark, make):
+    """All weight on one of 300 sources: it fills the windows, the others come after it."""
+    rows = [(i, "word " * 40, f"s{i % 300:03d}") for i in range(600)] + [(1000 + i, "word " * 500, "s007") for i in range(20)]
+    docs = make(rows).repartition(4)
+    pieces = packing.packed(docs, tokenizer_path(), 128, 2048, proportions={"s007": 1.0}).collect()
+    check(pieces, rows, 128)
+    by_window = defaultdict(lambda: defaultdict(int))
+    for p in pieces:
+        by_window[p.window_id][p.source] += p.length
+    alone = [w for w in by_window if "s007" in by_window[w]]
+    assert all(set(by_window[w]) == {"s007"} for w in alone) and by_window[0]["s007"] == 2048
+    assert max(alone) < min(w for w in by_window if w not in alone)
+    two = [(i, "word " * 60, "ab"[i % 2]) for i in range(100)]
+    pieces = packing.packed(make(two), tokenizer_path(), 128, 2048, proportions={"a": 1.0, "b": 0.0}).collect()
+    check(pieces, two, 128)
+    assert {p.source for p in pieces if p.window_id == 0} == {"a"}
 
 
 def check(pieces, docs, sequence):
