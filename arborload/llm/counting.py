@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from arborload.llm.shared import require, ship
+from arborload.llm.shared import require, ship, without
 from arborload.llm.tokens import byte_letters
 
 CHUNK = 64
@@ -355,7 +355,7 @@ def counted(docs: DataFrame, tokenizer: str, limit: int = 1024) -> DataFrame:
     require(docs, "text")
     ship(docs.sparkSession)
     added = ("n_bytes", "n_tokens", "over_limit")
-    columns = [c for c in docs.columns if c not in added]
+    columns = without(docs, added)
     chosen = docs.select(*[F.col(f"`{c}`") for c in columns])
     at = columns.index("text")
 

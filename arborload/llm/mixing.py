@@ -7,7 +7,7 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from arborload.llm.shared import require, shared_table
+from arborload.llm.shared import require, shared_table, without
 
 PART_MEAN = 8.0
 TERMS = 63
@@ -69,7 +69,7 @@ def replicate(
     NULL text and NULL source are kept.  An empty table gives an empty table.
     """
     require(docs, "doc_id", "text", "source")
-    kept = [c for c in docs.columns if c not in ADDED]
+    kept = without(docs, ADDED)
     rates = source_rates(docs, temperature, epochs, weights)
     steps = F.expr(
         f"aggregate(sequence(1, {TERMS}),"

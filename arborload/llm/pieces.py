@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from arborload.llm.shared import require, ship
+from arborload.llm.shared import require, ship, without
 
 SPACE = "▁"
 UNKNOWN = " ⁇ "
@@ -349,7 +349,7 @@ def encoded(docs: DataFrame, path: str, text: str = "text") -> DataFrame:
     """
     require(docs, text)
     ship(docs.sparkSession)
-    columns = [c for c in docs.columns if c.lower() not in ("ids", "decoded")]
+    columns = without(docs, ("ids", "decoded"))
     chosen = docs.select(*[F.col(f"`{c}`") for c in columns])
     at = columns.index(text)
 

@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from arborload.llm.shared import require, ship
+from arborload.llm.shared import require, ship, without
 from arborload.llm.words import WordHasher, mixed
 
 BUCKETS = 1 << 16
@@ -124,7 +124,7 @@ def scored(
     flagged = docs.select("doc_id", "text").join(trusted, F.col("doc_id") == F.col("__good"), "left")
     log_ratio = ratios(ngram_counts(flagged.withColumn("flag", F.col("__good").isNotNull()), "flag", buckets), buckets)
     added = "n_words word_chars n_symbols n_dup_lines n_repeat_words ratio base_failed kept".split()
-    columns = [c for c in docs.columns if c not in added]
+    columns = without(docs, added)
     at = columns.index("text")
 
     def measured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

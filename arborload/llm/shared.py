@@ -6,6 +6,7 @@ import os
 import tempfile
 import uuid
 import zipfile
+from collections.abc import Iterable
 from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -74,6 +75,12 @@ def require(frame: DataFrame, *columns: str) -> None:
         raise ValueError(f"missing columns: {', '.join(missing)}")
 
 
+def without(frame: DataFrame, added: Iterable[str]) -> list[str]:
+    """Columns of a frame that don't clash with added ones; Spark compares names without case."""
+    taken = {c.lower() for c in added}
+    return [c for c in frame.columns if c.lower() not in taken]
+
+
 def text_key(text: Column) -> Column:
     """128 bits that stand for a text; NULL counts as its own text."""
     return F.md5(F.coalesce(F.concat(F.lit("t"), text), F.lit("n")))

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -12,7 +10,8 @@ from arborload.llm.shared import SPACE, require, text_key
 K = 128
 WORDS = 5
 RANGE_ROWS = 4_000
-MOST_RANGES = 10_000
+#: Beyond so many ranges these get longer instead; their bounds are one value of the plan.
+MOST_BOUNDS = 1_000_000
 
 
 def sketch(text: str, k: int = K, words: int = WORDS) -> Column:
@@ -85,68 +84,52 @@ def merged_by(rows: DataFrame, by: str, k: int = K, name: str = "sketch") -> Dat
     return joined.select(by, F.coalesce(name, empty).alias(name))
 
 
-def _ranges(docs: DataFrame) -> list[int]:
-    """Ids that cut the documents into ranges of about as many rows."""
-    rows = docs.count()
-    ranges = min(MOST_RANGES, max(1, math.ceil(rows / RANGE_ROWS)))
-    if ranges == 1:
-        return []
-    shares = [i / ranges for i in range(1, ranges)]
-    found = docs.agg(F.percentile_approx("doc_id", shares, 10 * ranges)).first()[0] or []
-    return sorted(set(found))
-
-
-def _range_of(bounds: list[int]) -> Column:
-    """Number of the range of ``doc_id``, descending, by bisection; NULL comes last."""
-    if not bounds:
-        return F.when(F.col("doc_id").isNull(), F.lit(1)).otherwise(F.lit(0))
-    steps = math.ceil(math.log2(len(bounds) + 1)) + 1
-    listed = ", ".join(f"{b}L" for b in bounds)
-    found = F.expr(
-        f"aggregate(sequence(1, {steps}), named_struct('low', 0, 'high', {len(bounds)}, 'b', array({listed})),"
-        " (a, i) -> CASE WHEN a.low >= a.high THEN a"
-        " WHEN a.b[(a.low + a.high) div 2] < doc_id THEN named_struct('low', CAST((a.low + a.high) div 2 + 1 AS INT), 'high', a.high, 'b', a.b)"
-        " ELSE named_struct('low', a.low, 'high', CAST((a.low + a.high) div 2 AS INT), 'b', a.b) END, a -> a.low)"
+def _greater_or_equal(bounds: str) -> str:
+    """SQL for the number of bounds that are not below ``doc_id``, by bisection of the ascending bounds."""
+    middle = "CAST((a.low + a.high) div 2 AS INT)"
+    search = (
+        f"aggregate(sequence(1, 33), named_struct('low', 0, 'high', size({bounds})), (a, i) ->"
+        f" CASE WHEN a.low >= a.high THEN a WHEN {bounds}[{middle}] < doc_id"
+        f" THEN named_struct('low', {middle} + 1, 'high', a.high) ELSE named_struct('low', a.low, 'high', {middle}) END, a -> a.low)"
     )
-    return F.when(F.col("doc_id").isNull(), F.lit(len(bounds) + 1)).otherwise(F.lit(len(bounds)) - found)
+    return f"CASE WHEN doc_id IS NULL THEN size({bounds}) ELSE size({bounds}) - {search} END"
 
 
 def with_next(docs: DataFrame, k: int = K, words: int = WORDS) -> DataFrame:
     """Documents with sketch, and text and sketch of the next one, descending by ``doc_id``.
 
     After the last document comes the first.  Equal ids are ordered by their text's
-    digest, and NULL ids come last.  The documents are dealt once, by ranges of ids;
-    the last document of a range gets the first of the next range by a join with one
-    row per range.
-    """
-    bounds = _ranges(docs)
-    rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).withColumn("__range", _range_of(bounds))
-    order = [F.desc_nulls_last("doc_id"), F.asc("__key")]
-    keyed = rows.withColumn("__key", text_key(F.col("text"))).withColumn("sketch", sketch("text", k, words))
-    place = Window.partitionBy("__range").orderBy(*order)
-    ahead = keyed.withColumn("next", F.lead(F.struct("text", "sketch")).over(place)).drop("__key")
-    joined = ahead.join(_heads(rows), F.col("__range") == F.col("__own"), "left")
-    head = F.struct(F.col("__head").alias("text"), sketch("__head", k, words).alias("sketch"))
-    return joined.select("doc_id", "text", "sketch", F.when(F.col("next").isNull(), head).otherwise(F.col("next")).alias("next"))
-
+    digest, and NULL ids come last.  Ids may be of any type that has an order.
 
-def _heads(rows: DataFrame) -> DataFrame:
-    """For every range (``__own``), the text of the first document of the range after it.
-
-    There are at most 10,001 ranges, so only their numbers pass through one task.
+    The documents are dealt once, by ranges of ids.  Ids whose hash is a multiple of a
+    step cut the ranges, so ranges grow in number with the rows and the bounds are the
+    same whenever they are computed.  Such a document is the first of its range; a copy
+    of it closes the range before, so no range has to be joined with its neighbour.
     """
-    tops = rows.groupBy("__range").agg(F.max("doc_id").alias("__top"))
-    top = tops.select(F.col("__range").alias("__r"), "__top")
-    same = (F.col("__range") == F.col("__r")) & F.col("doc_id").eqNullSafe(F.col("__top"))
-    ties = Window.partitionBy("__range").orderBy(text_key(F.col("text")))
-    first = (
-        rows.join(F.broadcast(top), same)
-        .withColumn("__place", F.row_number().over(ties))
-        .where("__place = 1")
-        .select(F.col("__range").alias("__after"), F.col("text").alias("__head"))
+    step = max(RANGE_ROWS, -(-docs.count() // MOST_BOUNDS))
+    cuts = F.col("doc_id").isNotNull() & (F.pmod(F.xxhash64("doc_id"), F.lit(step)) == 0)
+    found = docs.agg(
+        F.sort_array(F.collect_set(F.when(cuts, F.col("doc_id")))).alias("bounds"), F.max("doc_id").alias("top")
+    )
+    rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    keyed = rows.select("*", text_key(F.col("text")).alias("__key"), sketch("text", k, words).alias("sketch"))
+    known = keyed.withColumn("__found", found.select(F.struct("bounds", "top").alias("found")).scalar())
+    own = known.withColumn("__own", F.expr(_greater_or_equal("__found.bounds")))
+    places = F.filter(
+        F.array(
+            F.struct(F.col("__own").alias("range"), F.lit(False).alias("copy")),
+            F.when(cuts, F.struct((F.col("__own") - 1).alias("range"), F.lit(True).alias("copy"))),
+            F.when(
+                F.col("doc_id").eqNullSafe(F.col("__found.top")),
+                F.struct(F.size("__found.bounds").alias("range"), F.lit(True).alias("copy")),
+            ),
+        ),
+        lambda p: p.isNotNull(),
     )
-    ring = F.coalesce(F.lead("__range").over(Window.orderBy("__range")), F.min("__range").over(Window.partitionBy()))
-    return tops.select(F.col("__range").alias("__own"), ring.alias("__after")).join(first, "__after").drop("__after")
+    dealt = own.select("doc_id", "text", "sketch", "__key", F.explode(places).alias("__place"))
+    order = [F.asc("__place.copy"), F.desc_nulls_last("doc_id"), F.asc("__key")]
+    after = F.lead(F.struct("text", "sketch")).over(Window.partitionBy("__place.range").orderBy(*order))
+    return dealt.withColumn("next", after).where("NOT __place.copy").select("doc_id", "text", "sketch", "next")
 
 
 def compared(docs: DataFrame, k: int = K, words: int = WORDS) -> DataFrame:

@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from arborload.llm.shared import require, ship
+from arborload.llm.shared import require, ship, without
 from arborload.llm.words import WordHasher, mixed
 
 BUCKETS = 1 << 18
@@ -270,7 +270,7 @@ def scored(docs: DataFrame, model: Model, limit: float = 0.3) -> DataFrame:
     ship(docs.sparkSession)
     buckets = len(model.scores)
     added = ("score", "predicted", "evidence", "passages")
-    columns = [c for c in docs.columns if c not in added]
+    columns = without(docs, added)
     at = columns.index("text")
     passage = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64()), ("sum", pa.float64())]))
 

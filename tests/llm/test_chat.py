@@ -2,6 +2,8 @@ from __future__ import annotations
 
 import hashlib
 import random
+import re
+import time
 
 from arborload.llm import chat
 from arborload.llm.queries import QUERIES
@@ -28,6 +30,9 @@ def test_hostile_texts_come_back(spark):
     for conv, row in found.items():
         expected = [(r or "", t or "") for c, _, r, t in rows if c == conv]
         assert [(p.role, p.text) for p in row.parsed] == expected, row.formatted
+        assert row.loss_texts == [t for r, t in expected if r == "assistant"]
+        under = [row.formatted[s.start : s.end] for s in row.loss_spans]
+        assert [re.sub(r"(?s)\\(.)", r"\1", u) if row.rounds == 2 else u for u in under] == row.loss_texts or row.rounds == 1
         taken.add(row.rounds)
     assert taken >= {0, 1} or taken >= {0, 2}
 
@@ -43,6 +48,17 @@ def test_only_the_conflicting_turn_is_escaped(spark):
     assert row.rounds == 1 and row.formatted == "[INST] c:\\\\dir is fine [/INST]<s>assistant\nplain <b></s>[INST] last [/INST]"
 
 
+def test_many_turns_in_one_conversation(spark):
+    """Work that grew with the square of the turns would take minutes here."""
+    rows = [(1, i, "assistant" if i % 2 else "user", f"text {i}" + "</s>" * (i % 97 == 1)) for i in range(32_000)]
+    began = time.time()
+    row = run(spark, rows)[1]
+    assert time.time() - began < 40
+    assert len(row.loss_spans) == 16_000 and row.rounds == 1
+    last = row.loss_spans[-1]
+    assert row.formatted[last.start : last.end] == row.loss_texts[-1] == "text 31999"
+
+
 def digest(rows):
     rows = [(r or "", t or "") for r, t in rows]
     loss = "".join(t for r, t in rows if r == "assistant")

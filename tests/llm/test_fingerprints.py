@@ -48,6 +48,29 @@ def test_edited_texts_and_likeness(spark, make, monkeypatch, ranges):
         assert r.n_shingles == len(shingles(text))
 
 
+def test_ids_of_other_types(spark, make, monkeypatch):
+    """Strings over several ranges, with ties and NULL."""
+    monkeypatch.setattr(sketches, "RANGE_ROWS", 5)
+    texts = [f"text number {i} of the table of texts" + " more" * (i % 9) for i in range(60)]
+    frame = spark.createDataFrame([(f"id{i * 7 % 60:02d}", t) for i, t in enumerate(texts)] + [(None, "last of all")], "doc_id string, text string")
+    found = {r.doc_id: r for r in sketches.compared(frame.repartition(3)).collect()}
+    by_id = {f"id{i * 7 % 60:02d}": t for i, t in enumerate(texts)}
+    ordered = [*sorted(by_id, reverse=True), None]
+    assert len(found) == 61
+    for i, doc in enumerate(ordered):
+        after = ordered[(i + 1) % 61]
+        text, other = (by_id[d] if d else "last of all" for d in (doc, after))
+        third = len(text) // 3
+        edited = text[: len(text) - third] + other[:third]
+        assert found[doc].edited_sha256 == hashlib.sha256(edited.encode()).hexdigest(), doc
+
+
+def test_documents_are_read_twice(spark, make):
+    plan = sketches.compared(make([(i, f"text {i}", "s") for i in range(9)]))._jdf.queryExecution().executedPlan().toString()
+    main, _, subqueries = plan.partition("Subquery")
+    assert plan.count("Scan ExistingRDD") <= 2 + plan.count("ReusedSubquery") and "Join" not in plan
+
+
 def test_estimates_of_large_sets(spark, make):
     draw = random.Random(1)
     words = [f"w{draw.randrange(10**6)}" for _ in range(9000)]
