@@ -262,7 +262,8 @@ def packed(
     cuts = placed.mapInArrow(
         cut, f"doc_id {kind}, source string, doc_tokens long, window_id long, place long, start long, length long, ids binary"
     )
-    laid = cuts.join(shifted, same & (F.col("window_id") == F.col("__window")), "inner").select(
+    # Always a shuffle: the table grows with the windows, and no key has more than a window's tokens.
+    laid = cuts.join(shifted.hint("merge"), same & (F.col("window_id") == F.col("__window")), "inner").select(
         "doc_id", "source", "doc_tokens", "window_id", (F.col("place") + F.col("shift")).alias("place"), "start", "length", "ids"
     )
     return laid.mapInArrow(
