@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections import Counter
 from collections.abc import Iterator
 
@@ -13,7 +14,8 @@ from pyspark.sql import functions as F
 from arborload.llm.shared import require, ship, without
 from arborload.llm.words import WordHasher, mixed
 
-BUCKETS = 1 << 16
+#: Smallest and largest number of buckets; the largest is a table of 16 MB in every worker.
+LEAST_BUCKETS, MOST_BUCKETS = 1 << 16, 1 << 22
 TARGET_DOCS = 20_000
 THRESHOLD = -0.12
 PRIOR = 10.0
@@ -24,7 +26,17 @@ SPACES = " \t\n\r\x0b\x0c"
 _PAIR = np.uint64(0xC2B2AE3D27D4EB4F)
 
 
-def ngram_buckets(words: np.ndarray, buckets: int = BUCKETS) -> np.ndarray:
+def bucket_count(rows: int) -> int:
+    """Buckets for a corpus of so many documents.
+
+    They grow with the square root of the documents, about as distinct n-grams do, so a
+    bucket holds as few of them in a large corpus as in a small one.
+    """
+    wanted = 512 * math.sqrt(max(1, rows))
+    return min(MOST_BUCKETS, max(LEAST_BUCKETS, 1 << math.ceil(math.log2(wanted))))
+
+
+def ngram_buckets(words: np.ndarray, buckets: int) -> np.ndarray:
     """Buckets of all words, given as hashes, and of all pairs of neighbouring words."""
     pairs = words[:-1] * _PAIR + words[1:]
     return (mixed(np.concatenate((words, pairs))) % np.uint64(buckets)).astype(np.int64)
@@ -52,7 +64,7 @@ def repeated_words(words: list[bytes]) -> int:
     return int(covered.sum())
 
 
-def ngram_counts(docs: DataFrame, flag: str, buckets: int = BUCKETS) -> DataFrame:
+def ngram_counts(docs: DataFrame, flag: str, buckets: int) -> DataFrame:
     """Counts per bucket over all documents (``raw``) and the flagged ones (``target``)."""
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -75,7 +87,7 @@ def ngram_counts(docs: DataFrame, flag: str, buckets: int = BUCKETS) -> DataFram
     return rows.groupBy("bucket").agg(F.sum("raw").alias("raw"), F.sum("target").alias("target"))
 
 
-def ratios(counts: DataFrame, buckets: int = BUCKETS, prior: float = PRIOR) -> np.ndarray:
+def ratios(counts: DataFrame, buckets: int, prior: float = PRIOR) -> np.ndarray:
     """Log of the target's over the raw probability of every bucket.
 
     The target multinomial has a prior of the raw one's shape, worth ``prior`` counts
@@ -83,11 +95,11 @@ def ratios(counts: DataFrame, buckets: int = BUCKETS, prior: float = PRIOR) -> n
     At most ``buckets`` rows reach the driver, whatever the size of the corpus.
     """
     raw, target = np.zeros(buckets), np.zeros(buckets)
-    for row in counts.collect():
-        raw[row["bucket"]] = row["raw"]
-        target[row["bucket"]] = row["target"]
+    found = counts.toArrow()
+    places = found.column("bucket").to_numpy()
+    raw[places], target[places] = found.column("raw").to_numpy(), found.column("target").to_numpy()
     expected = target.sum() * raw / max(raw.sum(), 1.0)
-    return np.log((target + prior) / (expected + prior))
+    return np.log((target + prior) / (expected + prior)).astype(np.float32)
 
 
 def trusted_sample(labels: DataFrame, limit: int = TARGET_DOCS) -> DataFrame:
@@ -99,7 +111,7 @@ def trusted_sample(labels: DataFrame, limit: int = TARGET_DOCS) -> DataFrame:
 def scored(
     docs: DataFrame,
     labels: DataFrame,
-    buckets: int = BUCKETS,
+    buckets: int | None = None,
     threshold: float = THRESHOLD,
     target_docs: int = TARGET_DOCS,
 ) -> DataFrame:
@@ -107,7 +119,8 @@ def scored(
 
     The target multinomial is counted over the documents labelled good, of which a
     bounded hash-chosen sample of ``target_docs`` is used; the raw one over all
-    documents.  Both count words and pairs of words hashed to ``buckets``.  ``ratio``
+    documents.  Both count words and pairs of words hashed to ``buckets``, a number that
+    grows with the documents unless it is given.  ``ratio``
     is the mean over a document's n-grams of the log of target over raw probability;
     a document is kept if its ratio is at least ``threshold`` and the base rules hold:
     at least 50 words, of which at most half lie in repeated 3-word windows.
@@ -121,6 +134,7 @@ def scored(
     require(docs, "doc_id", "text")
     ship(docs.sparkSession)
     trusted = F.broadcast(trusted_sample(labels, target_docs))
+    buckets = bucket_count(docs.count()) if buckets is None else buckets
     flagged = docs.select("doc_id", "text").join(trusted, F.col("doc_id") == F.col("__good"), "left")
     log_ratio = ratios(ngram_counts(flagged.withColumn("flag", F.col("__good").isNotNull()), "flag", buckets), buckets)
     added = "n_words word_chars n_symbols n_dup_lines n_repeat_words ratio base_failed kept".split()
@@ -135,7 +149,7 @@ def scored(
                 text = value.as_py() or ""
                 stats.append(statistics(text))
                 found = ngram_buckets(hasher.hashes(text.encode("utf-8", "surrogatepass")), buckets)
-                ratio.append(round(float(log_ratio[found].mean()), 9) if len(found) else 0.0)
+                ratio.append(round(float(log_ratio[found].mean(dtype=np.float64)), 9) if len(found) else 0.0)
             numbers = np.array(stats, dtype=np.int64).reshape(-1, 5)
             score = np.array(ratio, dtype=float)
             failed = (numbers[:, 0] < MIN_WORDS) | (100 * numbers[:, 4] > REPEAT_PERCENT * numbers[:, 0])

@@ -268,7 +268,8 @@ def grouped(docs: DataFrame, words: int = 4, distance: int = 4, segments: int =
     rooted = nodes.join(found.withColumnRenamed("node", "print"), "print", "left").withColumn(
         "root", F.coalesce("root", "print")
     )
-    smallest = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
+    # Settled, so that both sides of the join come from a shuffle and Spark can split a large group.
+    smallest = settle(rooted.groupBy("root").agg(F.min("least").alias("component_id")))
     named = rooted.join(smallest, "root").select("print", "root", "component_id")
     return rows.join(named, "print").select(
         "doc_id",

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import re
 from collections import Counter
 
@@ -58,3 +59,34 @@ def components(prints, distance):
                 a, b = root(i), root(j)
                 parent[max(a, b)] = min(a, b)
     return [root(i) for i in range(len(prints))]
+
+
+def ngram_hashes(text):
+    """Hashes of all words and pairs of a text, in Python's own integers."""
+    limit = (1 << 64) - 1
+    found = []
+    for word in words(text):
+        value, factor = 0, 1
+        for byte in word.encode("utf-8", "surrogatepass"):
+            value = (value + (byte + 1) * factor) & limit
+            factor = factor * 0x9E3779B97F4A7C15 & limit
+        found.append(value)
+    found += [(a * 0xC2B2AE3D27D4EB4F + b) & limit for a, b in zip(found, found[1:])]
+    out = []
+    for value in found:
+        value = (value ^ value >> 32) * 0xD6E8FEB86659FD93 & limit
+        out.append(value ^ value >> 32)
+    return out
+
+
+def log_ratios(texts, target, buckets, prior):
+    """Mean log ratio of target over raw probability of every text; ``target`` has the trusted places."""
+    grams = [[h % buckets for h in ngram_hashes(t)] for t in texts]
+    raw, own = Counter(), Counter()
+    for i, found in enumerate(grams):
+        raw.update(found)
+        if i in target:
+            own.update(found)
+    whole, chosen = sum(raw.values()) or 1, sum(own.values())
+    score = {b: math.log((own[b] + prior) / (chosen * n / whole + prior)) for b, n in raw.items()}
+    return [sum(score[b] for b in found) / len(found) if found else 0.0 for found in grams]
