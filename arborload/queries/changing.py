@@ -128,7 +128,7 @@ def _keep(spark: SparkSession) -> links.Keep:
 
 def _propagated(spark: SparkSession, sf: str, table: str) -> DataFrame:
     targets = X.star_targets(spark, sf, rooted=False)
-    return links.propagate(targets, _delete_keys(spark, sf), X.STAR, _keep(spark))[table]
+    return links.propagate(targets, _delete_keys(spark, sf), X.STAR)[table]  # one consumer: no level is written
 
 
 @query(
@@ -261,8 +261,8 @@ def upsert_tree_events(spark: SparkSession, sf: str) -> DataFrame:
 
 def _deleted(spark: SparkSession, sf: str, table: str, by: str) -> DataFrame:
     targets = X.star_targets(spark, sf)
-    keep = _keep(spark) if by == "links" else None
-    return changes.delete_tree(targets, _delete_keys(spark, sf), X.ROOTED, by, keep)[table]
+    # One table is asked for, so every level of links has one consumer and none is written.
+    return changes.delete_tree(targets, _delete_keys(spark, sf), X.ROOTED, by)[table]
 
 
 def _delete_sql(table: str) -> str:
@@ -302,7 +302,7 @@ def delete_links_lineitem(spark: SparkSession, sf: str) -> DataFrame:
 def delete_links_deep(spark: SparkSession, sf: str) -> DataFrame:
     """Fifth level: the supplier rows below the line items of deleted customers."""
     targets = X.star_targets(spark, sf, rooted=False)
-    return changes.delete_tree(targets, _delete_keys(spark, sf), X.STAR, "links", _keep(spark))["supplier"]
+    return changes.delete_tree(targets, _delete_keys(spark, sf), X.STAR, "links")["supplier"]
 
 
 # -- reports -----------------------------------------------------------------
