@@ -23,6 +23,7 @@ MIN_WORDS = 50
 REPEAT_PERCENT = 50
 SYMBOLS = "#*$%&|<>"
 SPACES = " \t\n\r\x0b\x0c"
+ADDED = tuple("n_words word_chars n_symbols n_dup_lines n_repeat_words ratio base_failed kept".split())
 _PAIR = np.uint64(0xC2B2AE3D27D4EB4F)
 
 
@@ -137,8 +138,7 @@ def scored(
     buckets = bucket_count(docs.count()) if buckets is None else buckets
     flagged = docs.select("doc_id", "text").join(trusted, F.col("doc_id") == F.col("__good"), "left")
     log_ratio = ratios(ngram_counts(flagged.withColumn("flag", F.col("__good").isNotNull()), "flag", buckets), buckets)
-    added = "n_words word_chars n_symbols n_dup_lines n_repeat_words ratio base_failed kept".split()
-    columns = without(docs, added)
+    columns = without(docs, ADDED)
     at = columns.index("text")
 
     def measured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -160,9 +160,9 @@ def scored(
                 pa.array(failed),
                 pa.array(~failed & (score >= threshold)),
             ]
-            yield pa.RecordBatch.from_arrays(arrays, [*columns, *added])
+            yield pa.RecordBatch.from_arrays(arrays, [*columns, *ADDED])
 
     chosen = docs.select(*[F.col(f"`{c}`") for c in columns])
     fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in chosen.schema.fields]
-    fields += [f"{c} long" for c in added[:5]] + ["ratio double", "base_failed boolean", "kept boolean"]
+    fields += [f"{c} long" for c in ADDED[:5]] + ["ratio double", "base_failed boolean", "kept boolean"]
     return chosen.mapInArrow(measured, ", ".join(fields))

@@ -83,3 +83,26 @@ def test_empty_documents(spark):
     for _, stage in corpus_pipeline.STAGES:
         docs = stage(spark, docs, SF)
         assert docs.count() == 0
+
+
+def test_own_columns_named_like_added_ones_stay(spark, make):
+    """Of any case, through every stage that keeps the columns of documents."""
+    words = [f"w{chr(97 + i // 26)}{chr(97 + i % 26)}" for i in range(70)]
+    rows = [(i, " ".join(words[i:] + words[:i]) + f" own{i}", "s") for i in range(6)]
+    docs = make(rows).selectExpr("*", "3 AS N_lines", "7.5D AS rate", "'mine' AS Kept", "doc_id * 2 AS copy")
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        after = stage(spark, docs, SF)
+        assert after.dtypes == docs.dtypes
+        found = {(r.N_lines, r.rate, r.Kept) for r in after.collect()}
+        assert found <= {(3, 7.5, "mine")} and all(r.copy == 2 * r.doc_id for r in after.collect())
+        docs = spark.createDataFrame(after.collect() or docs.collect(), docs.schema)
+
+
+def test_only_the_last_stage_is_left(spark):
+    from arborload.llm.shared import shared_dir
+    from arborload.sources.scratch import directories
+
+    before = set(directories(spark, f"{shared_dir(spark)}/corpus"))
+    corpus_pipeline.run(spark, SF).count()
+    (made,) = [d for d in directories(spark, f"{shared_dir(spark)}/corpus") if d not in before and "/pipeline-" in d]
+    assert [d.rsplit("/", 1)[-1] for d in directories(spark, made)] == ["4"]
