@@ -1,9 +1,14 @@
 from __future__ import annotations
 
+import math
+import random
+import struct
 import zlib
 from collections import Counter, defaultdict
 
+import numpy as np
 import pytest
+import xxhash
 
 from arborload.llm import sharding
 
@@ -55,3 +60,84 @@ def test_small_groups_are_gathered_when_shards_have_little_room(spark, make, sha
             shards[r.text_crc32][r.shard] += 1
     outside = sum(sum(c.values()) - max(c.values()) for c in shards.values())
     assert sum(sum(c.values()) for c in shards.values()) == share * 4000 and outside < 0.02 * share * 4000
+
+
+def drawn_hash(*parts):
+    """Spark's xxhash64 over ints, longs (as (value,)) and strings, signed."""
+    seed = 42
+    for part in parts:
+        data = part.encode() if isinstance(part, str) else struct.pack("<q", part[0]) if isinstance(part, tuple) else struct.pack("<i", part)
+        seed = xxhash.xxh64(data, seed=seed).intdigest()
+    return seed - (1 << 64) if seed >> 63 else seed
+
+
+def drawn(*parts):
+    return drawn_hash(*parts) % (1 << 32) / (1 << 32)
+
+
+def plain_propagation(rows, shards, capacity):
+    """The rounds over a list of [doc_id, key, shard, size], one group and one row at a time."""
+    rows = [list(r) for r in rows]
+    leaving, fewest, idle, number = [capacity] * shards, math.inf, 0, 0
+    while True:
+        loads = Counter(r[2] for r in rows)
+        room = [capacity - loads[s] for s in range(shards)]
+        slack = [max(0, room[s]) + leaving[s] for s in range(shards)]
+        groups = {}
+        for _, key, shard, _ in rows:
+            groups.setdefault(key, Counter())[shard] += 1
+        plans, asked = {}, np.zeros((shards, shards))
+        for key, votes in groups.items():
+            total = sum(votes.values())
+            order = sorted(votes, key=lambda s: (-(votes[s] + min(slack[s], total - votes[s])), -votes[s], drawn_hash(number, key, s), s))
+            stays, before = set(), 0
+            for place, s in enumerate(order):
+                if (place == 0) if total * 8 <= capacity else (before < total):
+                    stays.add(s)
+                before += votes[s] + slack[s]
+            targets = sorted((s, slack[s]) for s in stays if slack[s] > 0)
+            for s in votes:
+                if s not in stays and targets:
+                    plans[key, s] = (total, targets)
+                    for t, room_of in targets:
+                        asked[s, t] += votes[s] * room_of / sum(x for _, x in targets)
+        chance = np.ones(shards)
+        while True:
+            lower = np.clip((np.array(room) + asked @ chance) / np.maximum(asked.sum(axis=0), 1e-9), 0, chance)
+            if (chance - lower).max() < 1e-3:
+                chance = lower
+                break
+            chance = lower
+        idle = idle + 1 if (asked @ chance).sum() * 1000 < len(rows) or asked.sum() > 0.95 * fewest else 0
+        if not asked.any() or idle == 2:
+            return rows
+        fewest, number = min(fewest, asked.sum()), number + 1
+        leaving = [int(n) for n in np.ceil(asked @ chance)]
+        for row in rows:
+            doc, key, shard, size = row
+            if (key, shard) not in plans:
+                continue
+            total, targets = plans[key, shard]
+            place = drawn(number, "place", key, (doc,), (size,)) * sum(x for _, x in targets)
+            upto = 0
+            for target, room_of in targets:
+                upto += room_of
+                if place < upto:
+                    break
+            lot = drawn(number, "lot", key) if total * 8 <= capacity else drawn(number, "lot", key, (doc,), (size,))
+            if lot < chance[target]:
+                row[2] = target
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_moves_equal_a_plain_version(spark, seed):
+    draw = random.Random(seed)
+    sizes = [draw.randint(2, 6) for _ in range(30)] + [40, 90]
+    rows = [(100 * g + i, f"key{g}", draw.randrange(5), 16 + g) for g, n in enumerate(sizes) for i in range(n)]
+    capacity = (len(rows) + draw.choice([0, 40])) // 5
+    frame = spark.createDataFrame(rows, "doc_id long, key string, shard int, size long").selectExpr("doc_id", "size", "0L AS text_crc32", "key", "shard")
+    state, loads = sharding.propagate(frame.repartition(3), 5, capacity)
+    expected = {r[0]: r[2] for r in plain_propagation(rows, 5, capacity)}
+    assert {r.doc_id: r.shard for r in state.collect()} == expected
+    assert loads == dict(Counter(expected.values()))
+    assert expected != {r[0]: r[2] for r in rows}
