@@ -9,7 +9,8 @@ from arborload.llm.shared import SPACE, require, text_key
 
 K = 128
 WORDS = 5
-RANGE_ROWS = 4_000
+#: Rows between two bounds on average. Many short ranges fill tasks more evenly; a bound costs one copied row.
+RANGE_ROWS = 32
 #: Beyond so many ranges these get longer instead; their bounds are one value of the plan.
 MOST_BOUNDS = 1_000_000
 
