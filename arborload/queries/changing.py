@@ -126,9 +126,10 @@ def _keep(spark: SparkSession) -> links.Keep:
     return lambda frame, table: materialise(frame, folder, table)[0]
 
 
-def _propagated(spark: SparkSession, sf: str, table: str) -> DataFrame:
+def _propagated(spark: SparkSession, sf: str, table: str, keep: links.Keep | None = None) -> DataFrame:
+    """Links of one table: a short walk has one consumer per level, so no level need be written."""
     targets = X.star_targets(spark, sf, rooted=False)
-    return links.propagate(targets, _delete_keys(spark, sf), X.STAR)[table]  # one consumer: no level is written
+    return links.propagate(targets, _delete_keys(spark, sf), X.STAR, keep)[table]
 
 
 @query(
@@ -175,7 +176,7 @@ def keys_grandchild(spark: SparkSession, sf: str) -> DataFrame:
     WHERE {_owned("lineitem", "keys")}""",
 )
 def keys_deep(spark: SparkSession, sf: str) -> DataFrame:
-    return _propagated(spark, sf, "part")
+    return _propagated(spark, sf, "part", _keep(spark))
 
 
 @query(
@@ -302,7 +303,7 @@ def delete_links_lineitem(spark: SparkSession, sf: str) -> DataFrame:
 def delete_links_deep(spark: SparkSession, sf: str) -> DataFrame:
     """Fifth level: the supplier rows below the line items of deleted customers."""
     targets = X.star_targets(spark, sf, rooted=False)
-    return changes.delete_tree(targets, _delete_keys(spark, sf), X.STAR, "links")["supplier"]
+    return changes.delete_tree(targets, _delete_keys(spark, sf), X.STAR, "links", _keep(spark))["supplier"]
 
 
 # -- reports -----------------------------------------------------------------
