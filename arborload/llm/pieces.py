@@ -24,7 +24,7 @@ UNKNOWN = " ⁇ "
 #: Rounds after which the words that are left are finished one merge at a time.
 ROUNDS = 256
 BLOCK = 1 << 20
-_NONE = np.int64(1) << 40
+_NONE = np.int32(2**31 - 1)
 
 
 class PairTable:
@@ -34,20 +34,21 @@ class PairTable:
         bits = max(4, (4 * max(1, len(pairs))).bit_length())
         self._shift, self._mask = np.uint64(64 - bits), (1 << bits) - 1
         self._keys = np.full(1 << bits, -1, dtype=np.int64)
-        self.values = np.zeros((1 << bits, 2), dtype=np.int64)
+        self.ranks = np.full((1 << bits) + 1, _NONE, dtype=np.int32)  # the last place is that of no pair
+        self.merged = np.zeros((1 << bits) + 1, dtype=np.int32)
         for (left, right), value in pairs.items():
             key = left << 32 | right
             at = (key * 0x9E3779B97F4A7C15 & (1 << 64) - 1) >> (64 - bits)
             while self._keys[at] != -1:
                 at = (at + 1) & self._mask
-            self._keys[at], self.values[at] = key, value
+            self._keys[at], self.ranks[at], self.merged[at] = key, *value
 
     def find(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
-        """Places of the pairs in ``values``, -1 where there is none."""
-        key = left << 32 | right
+        """Places of the pairs, -1 where there is none."""
+        key = left.astype(np.int64) << 32 | right
         at = ((key.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> self._shift).astype(np.int64)
         seen = self._keys[at]
-        out = np.where(seen == key, at, -1)
+        out = np.where(seen == key, at, -1).astype(np.int32)
         left_over = np.flatnonzero((seen != key) & (seen != -1))
         while len(left_over):
             at[left_over] = (at[left_over] + 1) & self._mask
@@ -181,33 +182,37 @@ class PieceModel:
     def merge(self, symbols: np.ndarray, cut: np.ndarray) -> np.ndarray:
         """Symbols after all merges at the place of their first character, -1 elsewhere."""
         done = np.full(len(symbols), -1, dtype=np.int64)
-        place = np.arange(len(symbols))
+        symbols, place = symbols.astype(np.int32), np.arange(len(symbols), dtype=np.int32)
         pair = self._pairs(symbols, np.append(cut[1:], True))
         for _ in range(ROUNDS):
             # Words without a pair are done; the others move together.
             starts = np.flatnonzero(cut)
-            rank = np.where(pair >= 0, self.pairs.values[pair, 0], _NONE)
+            rank = self.pairs.ranks[pair]
             least = np.minimum.reduceat(rank, starts) if len(starts) else rank[:0]
             sizes = np.diff(np.append(starts, len(symbols)))
-            stays = np.repeat(least < _NONE, sizes)
-            done[place[~stays]] = symbols[~stays]
-            if not stays.any():
-                return done
-            symbols, place, cut, pair, rank = (a[stays] for a in (symbols, place, cut, pair, rank))
-            least, sizes = least[least < _NONE], sizes[least < _NONE]
+            open_words = least < _NONE
+            if not open_words.all():
+                stays = np.repeat(open_words, sizes)
+                ended = np.flatnonzero(~stays)
+                done[place[ended]] = symbols[ended]
+                kept = np.flatnonzero(stays)
+                if not len(kept):
+                    return done
+                symbols, place, cut, pair, rank = (a.take(kept) for a in (symbols, place, cut, pair, rank))
+                least, sizes = least[open_words], sizes[open_words]
             found = np.flatnonzero(rank == np.repeat(least, sizes))
             found = found[self._first(found, pair[found], cut)]
-            symbols[found] = self.pairs.values[pair[found], 1]
+            symbols[found] = self.pairs.merged[pair[found]]
             keep = np.ones(len(symbols), dtype=bool)
             keep[found + 1] = False
-            touched = np.zeros(len(symbols), dtype=bool)
-            touched[found] = True
-            symbols, place, cut, pair, touched = (a[keep] for a in (symbols, place, cut, pair, touched))
+            kept = np.flatnonzero(keep)
+            symbols, place, cut, pair = (a.take(kept) for a in (symbols, place, cut, pair))
+            # New pairs: each merged symbol with the next one, and the one before with it.
+            moved = found - np.arange(len(found))
             ends = np.append(cut[1:], True)
-            again = touched.copy()
-            again[:-1] |= touched[1:]
-            again = np.flatnonzero(again)
-            pair[again] = self._pairs_at(symbols, ends, again)
+            pair[moved] = self._pairs_at(symbols, ends, moved)
+            before = moved[moved > 0] - 1
+            pair[before] = self._pairs_at(symbols, ends, before)
         for start, end in self._bounds(cut):
             self._finish(symbols[start:end], place[start:end], done)
         return done
@@ -226,7 +231,7 @@ class PieceModel:
         run = np.arange(len(found)) - np.repeat(chain, np.diff(np.append(chain, len(found))))
         chosen = run % 2 == 0
         lead = new | (gap > 2 * self.longest + 2)
-        careful = self.unsafe[self.pairs.values[pair, 1]]
+        careful = self.unsafe[self.pairs.merged[pair]]
         clusters = np.flatnonzero(lead)
         if careful.any():
             whole = np.logical_or.reduceat(careful, clusters)
@@ -234,14 +239,14 @@ class PieceModel:
         return np.where(careful, lead, chosen)
 
     def _pairs(self, symbols: np.ndarray, last: np.ndarray) -> np.ndarray:
-        pair = np.full(len(symbols), -1, dtype=np.int64)
+        pair = np.full(len(symbols), -1, dtype=np.int32)
         pair[:-1] = self.pairs.find(symbols[:-1], symbols[1:])
         pair[last] = -1
         return pair
 
     def _pairs_at(self, symbols: np.ndarray, last: np.ndarray, at: np.ndarray) -> np.ndarray:
         inner = ~last[at]
-        out = np.full(len(at), -1, dtype=np.int64)
+        out = np.full(len(at), -1, dtype=np.int32)
         out[inner] = self.pairs.find(symbols[at[inner]], symbols[at[inner] + 1])
         return out
 
