@@ -1,4 +1,8 @@
-"""Connected components by alternating stars."""
+"""Connected components by alternating stars.
+
+The smallest neighbours are settled before they are joined: a join whose sides both come
+straight from a shuffle lets Spark split the edges of a large star's centre.
+"""
 
 from __future__ import annotations
 
@@ -10,12 +14,12 @@ from arborload.llm.shared import settle
 
 def _large_star(edges: DataFrame) -> DataFrame:
     both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-    least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
+    least = settle(both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")))
     return both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
 
 
 def _small_star(edges: DataFrame) -> DataFrame:
-    least = edges.groupBy("u").agg(F.min("v").alias("m"))
+    least = settle(edges.groupBy("u").agg(F.min("v").alias("m")))
     moved = edges.join(least, "u").where("v != m").select(F.col("v").alias("u"), F.col("m").alias("v"))
     return moved.unionByName(least.select("u", F.col("m").alias("v"))).distinct()
 
