@@ -30,6 +30,7 @@ from arborload.sources.landing import (
     Granularity,
     cover,
     delete_keys,
+    in_utc,
     missing,
     scan,
     scan_range,
@@ -98,7 +99,7 @@ def run(
         _run_new(spark, feed, mode, tables, outcome, as_of, reports_to, state)
     else:
         until = time.time()
-        bounds = cover(*between) if between else [slice_of(granularity, as_of)]
+        bounds = cover(*in_utc(*between)) if between else [slice_of(granularity, as_of)]
         if not any(exists(spark, slice_path(feed.landing, b)) for b in bounds):
             missing(outcome.metrics, feed.entity)
 
@@ -113,7 +114,7 @@ def run(
 
 
 def _run_new(spark, feed: Feed, mode: Mode, tables: Tables, outcome: Outcome, as_of, reports_to, state: str) -> None:
-    ledger = Ledger(spark, f"{tables.location}/{tables.database}/_ledger/{uuid.uuid5(uuid.NAMESPACE_URL, state).hex}")
+    ledger = Ledger(spark, f"{tables.location}/{tables.database}/_ledger/{uuid.uuid5(uuid.NAMESPACE_URL, state.rstrip("/")).hex}")
     schema = with_partitions(feed.schema)
 
     def batch(rows: DataFrame, number: int) -> None:

@@ -70,6 +70,11 @@ def cover(start: datetime, end: datetime) -> list[dict[str, int]]:
     return found
 
 
+def in_utc(*moments: datetime) -> tuple[datetime, ...]:
+    """Moments without a time zone, in UTC; those that have none are taken to be."""
+    return tuple(t.astimezone(timezone.utc).replace(tzinfo=None) if t.tzinfo else t for t in moments)
+
+
 def _floor(at: datetime, depth: int) -> datetime:
     """Beginning of the year, month, day or hour (depth 0 to 3) of a moment."""
     values = (at.year, at.month, at.day, at.hour)[: depth + 1]
@@ -101,7 +106,7 @@ def scan_range(
     the partition columns, which prunes the minutes.  A range without any directory is
     missing input, as in :func:`scan`.
     """
-    start, end = (t.astimezone(timezone.utc).replace(tzinfo=None) if t.tzinfo else t for t in (start, end))
+    start, end = in_utc(start, end)
     if end <= start:
         raise ValueError(f"empty range: {start} to {end}")
     wanted = [slice_path(root, bounds) for bounds in cover(start, end)]
