@@ -24,7 +24,7 @@ from arborload.operators.project import project, project_tree
 from arborload.plans.config import Feed, Mode, Versions
 from arborload.sinks.ledger import Ledger
 from arborload.sinks.reports import report_path, write_rows, write_summary
-from arborload.sinks.tables import BUCKET, Tables
+from arborload.sinks.tables import BUCKET, PARALLEL_WRITES, Tables
 from arborload.sources.csv import CsvTransform, csv_to_parquet
 from arborload.sources.landing import (
     Granularity,
@@ -42,7 +42,6 @@ from arborload.sources.scratch import exists, materialise, remove
 from arborload.streaming.incremental import load_batches
 from arborload.tree import BATCH_ID, ROOT_KEY, Tree, with_paths
 
-PARALLEL_WRITES = 4
 RECORD_HASH = "recordHash"
 _DIGEST = "__document_digest"
 _ORDER = "__order"
@@ -501,8 +500,8 @@ def _apply(tables: Tables, tree: Tree, name, gone: DataFrame, stage, counts, rep
     """Write the new rows of every table's touched buckets aside, then make them visible.
 
     The key set is written once, as it is used by each table.  All new rows exist
-    before the first table changes; then children change before their parents.  A run
-    that dies in between is finished by the next run of these tables, and repeating it
+    before the first table changes; then all tables change side by side.  A run that
+    dies in between is finished by the next run of these tables, and repeating it
     from the same batch gives the wanted tables.
     """
     buckets = tables.bucket_count(*[name(t) for t in tree.tables])

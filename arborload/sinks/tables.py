@@ -9,11 +9,12 @@ written aside first; other rows are appended.
 from __future__ import annotations
 
 import uuid
-from collections.abc import Collection, Iterable, Iterator, Sequence
+from collections.abc import Callable, Collection, Iterable, Iterator, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from contextlib import contextmanager
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -23,6 +24,7 @@ from arborload.sources.scratch import directories, exists, remove
 from arborload.tree import ROOT_KEY
 
 BUCKET = "root_bucket"
+PARALLEL_WRITES = 4
 _COUNT = "arborload.buckets"
 _KEY = "arborload.bucketed_by"
 
@@ -37,12 +39,16 @@ _MANIFEST = "table string, bucket int, filled boolean"
 
 @dataclass
 class Change:
-    """A prepared change of one table: new rows of some buckets, and rows to append."""
+    """A prepared change of one table: new rows of some buckets, and rows to append.
+
+    ``filled`` holds those of the ``buckets`` that have new rows, if that is known.
+    """
 
     table: str
     folder: str
     buckets: list[int]
     added: DataFrame | None = None
+    filled: set[int] | None = None
 
 
 class Tables:
@@ -166,11 +172,14 @@ class Tables:
             if added is not None:
                 rows = rows.select(*added.columns).unionByName(added.where(within))
                 added = added.where(~within)
-            rows.hint("rebalance", BUCKET).write.parquet(f"{folder}/{table}")
+            seen = Observation()
+            rows = rows.hint("rebalance", BUCKET).observe(seen, F.collect_set(BUCKET).alias("filled"))
+            rows.write.parquet(f"{folder}/{table}")
+            return Change(table, folder, buckets, added, set(seen.get["filled"]))
         return Change(table, folder, buckets, added)
 
     def apply(self, folder: str, changes: Sequence[Change]) -> None:
-        """Make prepared changes visible, in their order.
+        """Make prepared changes visible, several tables side by side.
 
         A manifest says that all rows are prepared and which buckets become empty.  A
         run that dies after it has been written is finished by ``recover``: overwriting
@@ -179,11 +188,14 @@ class Tables:
         """
         self._manifest(changes).coalesce(1).write.parquet(f"{folder}/{_READY}")
         self._overwrite(folder)
-        for change in changes:
+
+        def append(change: Change) -> None:
             if change.added is not None:
                 added = self._sorted(change.added.hint("rebalance", BUCKET), change.table)
                 added.write.insertInto(self.name(change.table))
 
+        _each(append, changes)
+
     def purge(self, tables: Iterable[str], condition: str) -> None:
         """Remove the rows that satisfy a condition; only buckets that hold one are written anew."""
         left = f"NOT coalesce({condition}, false)"
@@ -217,8 +229,10 @@ class Tables:
         rows = []
         for change in changes:
             if change.buckets:
-                written = self.spark.read.parquet(f"{change.folder}/{change.table}").select(BUCKET).distinct()
-                filled = {r[0] for r in written.collect()}
+                filled = change.filled
+                if filled is None:
+                    written = self.spark.read.parquet(f"{change.folder}/{change.table}").select(BUCKET).distinct()
+                    filled = {r[0] for r in written.collect()}
                 rows += [(change.table, b, b in filled) for b in change.buckets]
             elif change.added is None and exists(self.spark, f"{change.folder}/{change.table}"):
                 rows.append((change.table, None, True))
@@ -230,17 +244,20 @@ class Tables:
             by_table.setdefault(table, []).append((bucket, filled))
         before = self.spark.conf.get(_OVERWRITE)
         self.spark.conf.set(_OVERWRITE, "dynamic")
+
+        def overwrite(table: str) -> None:
+            buckets = by_table[table]
+            if any(filled for _, filled in buckets):
+                rows = self.spark.read.schema(self.read(table).schema).parquet(f"{folder}/{table}")
+                self._sorted(rows, table).write.insertInto(self.name(table), overwrite=True)
+            # Dynamic overwrite leaves a partition alone that the new rows don't have.
+            empty = [f"PARTITION ({BUCKET}={b})" for b, filled in buckets if not filled]
+            if empty:
+                self.spark.sql(f"ALTER TABLE {self.name(table)} DROP IF EXISTS {', '.join(empty)}")
+            self.spark.catalog.refreshTable(self.name(table))
+
         try:
-            for table, buckets in by_table.items():
-                if any(filled for _, filled in buckets):
-                    rows = self.spark.read.schema(self.read(table).schema).parquet(f"{folder}/{table}")
-                    rows = self._sorted(rows, table)
-                    rows.write.insertInto(self.name(table), overwrite=True)
-                # Dynamic overwrite leaves a partition alone that the new rows don't have.
-                empty = [f"PARTITION ({BUCKET}={b})" for b, filled in buckets if not filled]
-                if empty:
-                    self.spark.sql(f"ALTER TABLE {self.name(table)} DROP IF EXISTS {', '.join(empty)}")
-                self.spark.catalog.refreshTable(self.name(table))
+            _each(overwrite, by_table)
         finally:
             self.spark.conf.set(_OVERWRITE, before)
 
@@ -306,3 +323,9 @@ class Tables:
     def _clustered(self, rows: DataFrame, table: str) -> DataFrame:
         """Rows gathered by bucket for writing; Spark splits a bucket that is too large."""
         return self._bucketed(rows, table).hint("rebalance", BUCKET)
+
+
+def _each(work: Callable, items: Iterable) -> None:
+    """Run the independent writes of a change side by side."""
+    with ThreadPoolExecutor(PARALLEL_WRITES) as pool:
+        list(pool.map(work, items))
