@@ -91,7 +91,7 @@ def run(
     mode, granularity = Mode(mode), Granularity(granularity)
     as_of = as_of or datetime.now(timezone.utc)
     outcome = Outcome(Metrics(run_id))
-    tables.recover()
+    tables.recover(_scope(feed))
     if granularity is Granularity.NEW:
         if state is None:
             raise ValueError("new files need a state folder")
@@ -112,6 +112,11 @@ def run(
     return outcome
 
 
+def _scope(feed: Feed) -> str:
+    """Name of the feed's changes: its root table, or its only one."""
+    return feed.entity if feed.tree is None else feed.table(feed.tree.root.table)
+
+
 def _run_new(spark, feed: Feed, mode: Mode, tables: Tables, outcome: Outcome, as_of, reports_to, state: str) -> None:
     ledger = Ledger(spark, f"{tables.location}/{tables.database}/_ledger/{uuid.uuid5(uuid.NAMESPACE_URL, state.rstrip("/")).hex}")
     schema = with_partitions(feed.schema)
@@ -146,7 +151,7 @@ def _run_new(spark, feed: Feed, mode: Mode, tables: Tables, outcome: Outcome, as
 def _purge(feed: Feed, tables: Tables, tag: str) -> None:
     """Remove what a broken-off batch has appended."""
     names = [feed.entity] if feed.tree is None else [feed.table(t) for t in feed.tree.leaf_first()]
-    tables.purge([n for n in names if tables.exists(n)], f"{BATCH_ID} = {K.quoted(tag)}")
+    tables.purge(_scope(feed), [n for n in names if tables.exists(n)], f"{BATCH_ID} = {K.quoted(tag)}")
 
 
 def _run_batch(
@@ -368,7 +373,7 @@ def _change_flat(feed: Feed, tables: Tables, keys: DataFrame, fresh: DataFrame |
     key, buckets = feed.natural_key, tables.bucket_count(feed.entity)
     bucketed = quality.distinct_rows(keys.selectExpr(f"`{key}`", f"{K.bucket(f'`{key}`', buckets)} AS {BUCKET}"))
     saved, path = materialise(bucketed, tables.work, "keys")
-    with tables.changing() as folder:
+    with tables.changing(feed.entity) as folder:
         tables.apply(folder, [tables.prepare(folder, feed.entity, saved, _buckets_of(saved), fresh)])
     remove(tables.spark, path)
 
@@ -513,7 +518,7 @@ def _apply(tables: Tables, tree: Tree, name, gone: DataFrame, stage, counts, rep
         old = {t: tables.in_buckets(name(t), touched) for t in tree.tables}
         write_summary(counts(links.links_by_root(old, keys, tree), tree), report)
 
-    with tables.changing() as folder:
+    with tables.changing(name(tree.root.table)) as folder:
 
         def prepare(table: str):
             return tables.prepare(folder, name(table), keys, touched, None if stage is None else stage[table])

@@ -129,7 +129,7 @@ class Tables:
 
     def replace(self, table: str, rows: DataFrame) -> None:
         """Swap the whole content of a table without a bucket for new rows, which may come from itself."""
-        with self.changing() as folder:
+        with self.changing(table) as folder:
             align(rows, self.schema(table)).write.parquet(f"{folder}/{table}")
             self.apply(folder, [Change(table, folder, [])])
 
@@ -140,12 +140,13 @@ class Tables:
         return self.read(table).where(F.col(BUCKET).isin([int(b) for b in touched]))
 
     @contextmanager
-    def changing(self) -> Iterator[str]:
+    def changing(self, scope: str) -> Iterator[str]:
         """Folder for the prepared rows of one change; it goes when the change is done.
 
-        If the change fails its folder stays, and ``recover`` finishes or forgets it.
+        If the change fails its folder stays, and ``recover`` finishes or forgets it.  One
+        change of a ``scope``, the tables of a feed, may be under way at a time.
         """
-        folder = f"{self._changes}/{uuid.uuid4().hex}"
+        folder = f"{self._changes}/{scope}/{uuid.uuid4().hex}"
         yield folder
         remove(self.spark, folder)
 
@@ -196,10 +197,10 @@ class Tables:
 
         _each(append, changes)
 
-    def purge(self, tables: Iterable[str], condition: str) -> None:
+    def purge(self, scope: str, tables: Iterable[str], condition: str) -> None:
         """Remove the rows that satisfy a condition; only buckets that hold one are written anew."""
         left = f"NOT coalesce({condition}, false)"
-        with self.changing() as folder:
+        with self.changing(scope) as folder:
             changes = []
             for table in tables:
                 rows, buckets = self.read(table), []
@@ -212,12 +213,12 @@ class Tables:
                 changes.append(Change(table, folder, buckets))
             self.apply(folder, changes)
 
-    def recover(self) -> list[str]:
-        """Finish changes that were broken off while they were being made visible; returns their folders.
+    def recover(self, scope: str) -> list[str]:
+        """Finish changes of a scope that were broken off while they were being made visible; returns their folders.
 
         Changes whose rows were not all prepared have changed nothing and are forgotten.
         """
-        found = sorted(directories(self.spark, self._changes))
+        found = sorted(directories(self.spark, f"{self._changes}/{scope}"))
         for folder in found:
             if exists(self.spark, f"{folder}/{_READY}/_SUCCESS"):
                 self._overwrite(folder)

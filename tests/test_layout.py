@@ -73,7 +73,7 @@ def test_bloom_filters_are_written_and_survive_changes(spark, scratch, small_gro
     for wanted in ([5, 6], [30_000]):
         keys = keys_of(spark, wanted).selectExpr("root_key", f"{K.bucket('root_key', 2)} AS {module.BUCKET}")
         fresh = rows(spark, 30_001).where(F.col("id").isin(wanted)).withColumn("v", F.lit("new"))
-        with tables.changing() as folder:
+        with tables.changing("t") as folder:
             tables.apply(folder, [tables.prepare(folder, "t", keys, range(2), fresh)])
     found = tables.lookup("t", keys_of(spark, [5, 7, 30_000]))
     assert sorted((r["id"], r["v"] == "new") for r in found.collect()) == [(5, True), (7, False), (30_000, True)]

@@ -284,7 +284,7 @@ def test_versions_with_a_null_or_shared_record_hash(spark, tables, scratch):
             joined = parent.join(child, parent["disposal_fk"] == child["offence_id"])
             assert sorted((r["Plea"], r["DisposalType"]) for r in joined.collect()) == [("p", "P"), ("q", "Q"), ("r", "R")]
             assert other.read("s_f_person").count() == 3
-        assert not directories(spark, f"{other.work}/changes")
+        assert not directories(spark, f"{other.work}/changes/s_f_person")
 
 
 def test_new_files_are_appended_once(spark, tables, scratch):

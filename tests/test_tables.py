@@ -73,7 +73,7 @@ def touched(keys):
 def change(tables, spark, gone, fresh=None):
     """Prepare and apply; returns the buckets that were written anew."""
     keys = keys_of(spark, gone)
-    with tables.changing() as folder:
+    with tables.changing("t") as folder:
         done = tables.prepare(folder, "t", keys, touched(keys), fresh)
         before = ks(tables.read("t"))
         tables.apply(folder, [done])
@@ -93,7 +93,7 @@ def test_only_buckets_with_a_row_to_remove_change(spark, tables):
     assert ks(tables.read("t")) == wanted
     same = {f for f in tables.read("t").inputFiles() if f in files}
     assert same == {f for f in files if not any(f"root_bucket={b}/" in f for b in buckets)}
-    assert directories(spark, f"{tables.work}/changes") == {}
+    assert directories(spark, f"{tables.work}/changes/t") == {}
 
 
 def test_unknown_keys_write_nothing_and_new_rows_are_appended(spark, tables):
@@ -147,7 +147,8 @@ def test_a_change_that_dies_is_finished_or_forgotten(spark, tables, monkeypatch,
     with pytest.raises(KeyboardInterrupt):
         change(tables, spark, [*gone, 900, 901], fresh)
     monkeypatch.undo()
-    assert len(tables.recover()) == 1 and tables.recover() == []
+    assert tables.recover("u") == [], "changes of other tables are left alone"
+    assert len(tables.recover("t")) == 1 and tables.recover("t") == []
     rest = [k for k in range(40) if k not in gone]
     if at == "before":
         assert ks(tables.read("t")) == list(range(40))
@@ -161,7 +162,7 @@ def test_rows_of_a_batch_are_purged(spark, tables):
     tables.append(tree_rows(spark, range(40)).selectExpr("*", "if(k < 5, 'x', if(k > 30, NULL, 'y')) AS batch_id"), "t")
     tables.append(spark.range(4).selectExpr("id AS k", "if(id = 1, 'x', 'y') AS batch_id"), "u")
     for _ in range(2):
-        tables.purge(["t", "u"], "batch_id = 'x'")
+        tables.purge("t", ["t", "u"], "batch_id = 'x'")
         assert ks(tables.read("t")) == list(range(5, 40)) and ks(tables.read("u")) == [0, 2, 3]
 
 
@@ -170,7 +171,7 @@ def test_tables_with_a_key_of_their_own_are_bucketed_by_it(spark, tables):
     tables.append(rows, "t", key="k")
     assert tables.bucketed_by("t") == "k" and tables.read("t").count() == 3
     keys = spark.createDataFrame([(1,), (None,)], "k int").selectExpr("k", f"{K.bucket('k', 4)} AS {BUCKET}")
-    with tables.changing() as folder:
+    with tables.changing("t") as folder:
         tables.apply(folder, [tables.prepare(folder, "t", keys, range(4))])
     assert sorted(r["v"] for r in tables.read("t").collect()) == ["b", "c"], "a NULL key removes nothing"
 
