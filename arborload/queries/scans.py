@@ -113,7 +113,7 @@ DELETE_KEYS_SQL = f"""
 def delete_feed(spark: SparkSession, sf: str) -> DataFrame:
     docs = X.delete_feed(spark, sf)
     path = X.scratch_dir(spark, "deletes")
-    X.land(docs, X.as_of(), path)
+    X.land(docs, X.AS_OF, path)
     feed = scan(spark, path, docs.schema, Granularity.TODAY, X.AS_OF)
     return delete_keys(feed, "body.PNCID", "pncid").select(F.col("pncid").cast("string"))
 
