@@ -162,13 +162,17 @@ def flatten_links(spark: SparkSession, sf: str) -> DataFrame:
             F.col(ROOT_KEY).alias("parent_root"),
             F.col(BATCH_ID).alias("parent_batch"),
         )
-        joined = tables[child].join(links, f"{parent}_id", "left")
+        # Children are counted per link before the join: a row per line is joined and sorted, not one per word.
+        counted = tables[child].groupBy(f"{parent}_id", ROOT_KEY, BATCH_ID).agg(F.count(F.lit(1)).alias("n"))
+        joined = counted.join(links, f"{parent}_id", "left")
         linked = (F.col("parent_root") == F.col(ROOT_KEY)) & (F.col("parent_batch") == F.col(BATCH_ID))
-        # Partial counts per tree keep a large document from gathering in one task.
-        per_tree = joined.groupBy(ROOT_KEY).agg(
-            F.count(F.lit(1)).alias("n"),
-            F.count(F.when(linked, 1)).alias("linked"),
-            F.max(BATCH_ID).alias("batch"),
+        # Partial counts per tree keep a large document from gathering in one task; a greatest
+        # batch beside them would make Spark sort the joined rows, so it is taken per tree afterwards.
+        per_batch = joined.groupBy(ROOT_KEY, BATCH_ID).agg(
+            F.sum("n").alias("n"), F.sum(F.when(linked, F.col("n")).otherwise(0)).alias("linked")
+        )
+        per_tree = per_batch.groupBy(ROOT_KEY).agg(
+            F.sum("n").alias("n"), F.sum("linked").alias("linked"), F.max(BATCH_ID).alias("batch")
         )
         parts.append(
             per_tree.agg(
