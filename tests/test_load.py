@@ -14,6 +14,7 @@ import brute
 import data
 from arborload.operators.flatten import flatten
 from arborload.operators.project import Projections
+from arborload.plans import load as load_plan
 from arborload.plans import nominal
 from arborload.plans.config import Feed, Mode
 from arborload.plans.load import _documents, load_csv, run
@@ -529,3 +530,66 @@ def test_digest_first_loads_the_same_tables(spark, tables, scratch):
         assert content(tables) == wanted(docs)
         assert ("repeated_rows", "person", 3) in metrics(done) and ("read_count", "person", 3) in metrics(done)
     assert [d for d in directories(spark, tables.work) if "changes" not in d] == []
+
+
+def compared(monkeypatch):
+    """Columns of the tables whose rows are compared in full."""
+    seen, before = [], load_plan.quality.dedupe
+
+    def dedupe(frame, *args):
+        seen.append(frame.columns)
+        return before(frame, *args)
+
+    monkeypatch.setattr(load_plan.quality, "dedupe", dedupe)
+    return seen
+
+
+@pytest.mark.parametrize("mode", ["bulk", "upsert"])
+def test_copies_are_removed_as_documents(spark, tables, scratch, monkeypatch, mode):
+    docs = data.documents(["a", "b", "b", "c", "d", None], 7, SCHEMA)
+    batch = land(spark, land(spark, f"{scratch}/1", docs + docs[:2]), docs[1:])
+    seen = compared(monkeypatch)
+    done = go(spark, tables, batch, mode, scratch, header=True)
+    assert len(seen) == 1, "only the root's rows"
+    expected = wanted(docs)
+    found = content(tables)
+    assert {t: found[t] for t in found if t != "person"} == {t: expected[t] for t in found if t != "person"}
+    root = tables.read("s_f_person")
+    assert root.count() == root.select("input_filename").where("input_filename IS NOT NULL").count() == 5
+    counts = {(m, e): v for m, e, v in metrics(done)}
+    assert (counts["read_count", "person"], counts["repeated_rows", "person"]) == (5, 5)
+    for t in ("offence", "disposal", "note", "condition"):
+        assert counts["read_count", t] == counts["repeated_rows", t] == len(expected[t])
+    assert [d for d in directories(spark, tables.work) if "changes" not in d] == []
+
+
+def test_documents_that_come_once_are_not_compared(spark, tables, scratch, monkeypatch):
+    docs = data.documents(["a", "b", "b"], 8, SCHEMA)
+    seen = compared(monkeypatch)
+    done = go(spark, tables, land(spark, f"{scratch}/1", docs), "bulk", scratch)
+    assert len(seen) == 1 and content(tables) == wanted(docs)
+    assert {v for m, _, v in metrics(done) if m == "repeated_rows"} == {0}
+
+
+def test_rows_without_a_position_are_compared(spark, tables, scratch):
+    """A projection that drops the position lets rows of one document be equal."""
+    docs = data.documents(["a"], 1, SCHEMA)
+    docs[0]["body"]["Offence"] = [{"Plea": "p", "Disposal": None}, {"Plea": "p", "Disposal": None}, {"Plea": "q", "Disposal": None}]
+    for number, select in enumerate((["Plea"], ["Plea", "pos AS n"])):
+        projections = Projections({"s_f_offence": select})
+        target = Tables(spark, f"l_{uuid.uuid4().hex[:8]}", f"{scratch}/t{number}", buckets=3)
+        go(spark, target, land(spark, f"{scratch}/{number}", docs + docs), "bulk", scratch, projections=projections)
+        assert target.read("s_f_offence").count() == 2 + number
+
+
+def test_documents_that_json_takes_for_copies_all_stay(spark, tables, scratch):
+    """Times that differ by a microsecond only, under one hash: both roots stay."""
+    at = T.StructField("At", T.TimestampType())
+    body = T.StructType([*SCHEMA["body"].dataType.fields, at])
+    schema = T.StructType([SCHEMA["header"], T.StructField("body", body)])
+    docs = data.documents(["a"], 1, SCHEMA) * 2
+    docs = [{**d, "body": {**d["body"], "At": datetime(2024, 1, 1, 0, 0, 0, n)}} for n, d in enumerate(docs)]
+    where = f"{scratch}/1/year=2024/month=02/day=01/hour=02/minute=00"
+    spark.createDataFrame(docs, schema).write.parquet(where)
+    go(spark, tables, f"{scratch}/1", "bulk", scratch, schema=schema, tree=Tree.from_schema("person", data.KEY, schema))
+    assert tables.read("s_f_person").count() == 2
