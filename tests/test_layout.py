@@ -124,3 +124,11 @@ def test_a_clustered_target_is_not_exchanged(spark, scratch):
         assert upsert_by_key(target, stage, keys, "root_key").where("v = 'n'").count() == 2_500
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_large_tables_are_clustered_into_more_buckets(spark, scratch, monkeypatch):
+    monkeypatch.setattr("arborload.sinks.tables.CLUSTER_ROWS", 1_000)
+    tables = Tables(spark, f"x_{uuid.uuid4().hex[:8]}", scratch)
+    target = tables.cluster("t", rows(spark, 5_500), "root_key", 4)
+    found = spark.sql(f"DESCRIBE EXTENDED {tables.name('t')}").where("col_name = 'Num Buckets'").first()
+    assert found["data_type"] == "6" and target.count() == 5_500

@@ -7,6 +7,7 @@ import pytest
 import __spark_entry__  # noqa: F401  (registers the queries)
 from arborload.functions import keys as K
 from arborload.operators import changes
+from arborload.queries import fixtures
 from arborload.queries.registry import ORACLES, QUERIES
 
 SF = "/root/testdata/sf0.001"
@@ -70,3 +71,20 @@ def test_a_level_of_links_is_walked_once(spark, name):
     for table in ("customer", "orders", "lineitem"):
         if not (name == "delete_links_deep" and table == "lineitem"):
             assert text.count(f"{table}.parquet") == 0, "only the written levels are read"
+
+
+def test_children_are_counted_before_they_are_joined(spark):
+    """A row per link is joined with the parents, and no joined row is sorted to be counted."""
+    text = QUERIES["flatten_links"](spark, SF)._jdf.queryExecution().optimizedPlan().toString()
+    lines = [line.lstrip(" :+-") for line in text.splitlines()]
+    joins = [i for i, line in enumerate(lines) if line.startswith("Join LeftOuter")]
+    assert len(joins) == 3 and all(lines[i + 1].startswith("Aggregate") for i in joins)
+
+
+def test_rows_of_one_moment_land_unsorted(spark, scratch):
+    """They go straight into the directory, so no partition column has to be sorted by."""
+    frame = spark.range(10).toDF("id")
+    fixtures.land(frame.unionByName(frame), fixtures.AS_OF, f"{scratch}/area")
+    found = spark.read.parquet(f"{scratch}/area")
+    assert {tuple(r) for r in found.select("year", "month", "day", "hour", "minute").distinct().collect()} == {(2024, 2, 1, 2, 0)}
+    assert found.count() == 20 and not [f for f in found.inputFiles() if "hour=02/minute=00" not in f]
