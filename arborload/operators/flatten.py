@@ -59,6 +59,7 @@ def flatten(
     batch: str | None = None,
     version: Sequence[str] | None = None,
     every: Sequence[str] = (),
+    gather: Callable[[DataFrame], DataFrame] | None = None,
 ) -> DataFrame:
     """Rows of one table of the tree.
 
@@ -68,7 +69,8 @@ def flatten(
     such as the source file, that stay on the root rows.  ``batch`` is put on every
     row as ``batch_id``.  ``version`` gives SQL for the values that tell versions of a
     root apart, in place of the tree's version columns.  ``every`` names top-level columns
-    that stay on the rows of every table.
+    that stay on the rows of every table.  ``gather`` may shuffle the rows by their root key
+    before the last explode, where each still holds its child rows in an array.
 
     Only ``posexplode`` and hashing are involved: there is no shuffle, and key
     hashes are computed once per parent row, below the explode.
@@ -92,7 +94,10 @@ def flatten(
         f"{root_key} AS {ROOT_KEY}", *kept, f"{row} AS {_ROW}", f"{_dig(line[1].array)} AS {_ELEMENT}"
     )
     for depth, node in enumerate(line[1:], start=1):
-        frame = frame.where(f"size({_ELEMENT}) > 0").selectExpr(
+        frame = frame.where(f"size({_ELEMENT}) > 0")
+        if gather is not None and depth == len(line) - 1:
+            frame = gather(frame)
+        frame = frame.selectExpr(
             ROOT_KEY,
             *kept,
             f"{keys.link_key(node.table, _ROW)} AS {_LINK}",
@@ -129,6 +134,7 @@ def flatten_from(
     batch: str | None = None,
     version: Sequence[str] | None = None,
     every: Sequence[str] = (),
+    gather: Callable[[str], Callable[[DataFrame], DataFrame] | None] = lambda table: None,
 ) -> dict[str, DataFrame]:
     """Every table of the tree, each from its own narrow scan.
 
@@ -141,5 +147,5 @@ def flatten_from(
     for t in tree.tables:
         is_root = t == tree.root.table
         docs = read(tree.read_schema(t, schema), is_root)
-        out[t] = flatten(docs, tree, t, carry if is_root else (), batch, version, every)
+        out[t] = flatten(docs, tree, t, carry if is_root else (), batch, version, every, gather(t))
     return out

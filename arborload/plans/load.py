@@ -38,7 +38,7 @@ from arborload.sources.landing import (
     slice_path,
     with_partitions,
 )
-from arborload.sources.scratch import exists, materialise, remove
+from arborload.sources.scratch import CODEC, exists, materialise, remove, tidy
 from arborload.streaming.incremental import load_batches
 from arborload.tree import BATCH_ID, POSITION, ROOT_KEY, Tree, with_paths
 
@@ -89,7 +89,11 @@ def run(
     slice or an area that does not exist has no rows and gives two metrics.  ``between``
     is a range of landing times to load in place of a slice.
     """
-    mode, granularity = Mode(mode), Granularity(granularity)
+    with tidy(spark):
+        return _run(spark, feed, Mode(mode), tables, run_id, Granularity(granularity), as_of, reports_to, state, between)
+
+
+def _run(spark, feed: Feed, mode: Mode, tables: Tables, run_id: str, granularity: Granularity, as_of, reports_to, state, between) -> Outcome:
     as_of = as_of or datetime.now(timezone.utc)
     outcome = Outcome(Metrics(run_id))
     tables.recover(_scope(feed))
@@ -133,7 +137,7 @@ def _run_new(spark, feed: Feed, mode: Mode, tables: Tables, outcome: Outcome, as
                 _purge(feed, tables, before)
             ledger.begin(number, tag)
         path = f"{tables.work}/batch-{uuid.uuid4().hex}"
-        rows.write.parquet(path)
+        rows.write.parquet(path, compression=CODEC)
 
         def read(narrow: T.StructType, file: bool) -> DataFrame:
             fields = with_partitions(narrow).fields + [T.StructField(SOURCE_FILE, T.StringType())] * file
@@ -421,7 +425,7 @@ def _write_rejects(feed: Feed, tables: Tables, rows: DataFrame, outcome: Outcome
         outcome.rejected = report_path(reports_to, "rejects", feed.entity, as_of)
     else:
         outcome.rejected = f"{tables.location}/{tables.database}/_rejects/{feed.entity}/{uuid.uuid4().hex}"
-    outcome.metrics.rows(rows, feed.entity, "rejected_rows").write.mode("overwrite").parquet(outcome.rejected)
+    outcome.metrics.rows(rows, feed.entity, "rejected_rows").write.mode("overwrite").parquet(outcome.rejected, compression=CODEC)
 
 
 def _change_flat(feed: Feed, tables: Tables, keys: DataFrame, fresh: DataFrame | None) -> None:
@@ -447,7 +451,19 @@ def _load_tree(
     newest = (ROOT_VERSION,) if Versions(feed.on_duplicate_root) is Versions.NEWEST else ()
     carry = ((SOURCE_FILE,) if feed.header else ()) + newest
     every = () if documents.copies is None else (documents.copies,)
-    flat = flatten_from(documents.read, tree, feed.schema, carry, tag or metrics.run_id, documents.version, every)
+
+    def alone(table: str) -> bool:
+        """Whether rows of a table are never equal: those of one document differ by parent and position."""
+        return documents.single and not feed.digest_first and table != tree.root.table and _numbered(feed, table)
+
+    def gathers(table: str) -> bool:
+        """Whether rows are shuffled as arrays in their parent's row, which holds nothing else then."""
+        return mode is Mode.BULK and alone(table) and not tree.children(table)
+
+    def gather(table: str) -> Callable[[DataFrame], DataFrame] | None:
+        return (lambda rows: tables.gather(rows, feed.table(table))) if gathers(table) else None
+
+    flat = flatten_from(documents.read, tree, feed.schema, carry, tag or metrics.run_id, documents.version, every, gather)
     shaped = project_tree(flat, tree, feed.projections, feed.entity, metrics.run_id, as_of, feed.header, newest, every)
     volatile = (*VOLATILE, SOURCE_FILE)
 
@@ -457,8 +473,7 @@ def _load_tree(
         skip = volatile if table == tree.root.table else ()
         written: list[str] = []
         name = feed.table(table)
-        if documents.single and not feed.digest_first and table != tree.root.table and _numbered(feed, table):
-            # Rows of one document differ by parent and position, so there is nothing to compare.
+        if alone(table):
             rows = shaped[table] if every else shaped[table].withColumn(_COPIES, F.lit(1).cast("long"))
 
             def counted(frame: DataFrame) -> DataFrame:
@@ -466,7 +481,7 @@ def _load_tree(
 
             tables.create(name, T.StructType([f for f in rows.schema.fields if f.name != _COPIES]))
             if mode is Mode.BULK:
-                tables.append(rows, name, drop=[_COPIES], finish=counted)
+                tables.append(rows, name, drop=[_COPIES], finish=counted, gathered=gathers(table))
             else:
                 tables.stage(counted(rows), name, drop=[_COPIES])
             return

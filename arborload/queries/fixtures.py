@@ -18,6 +18,7 @@ from pyspark.sql import types as T
 from arborload.functions import keys as K
 from arborload.plans import nominal
 from arborload.sources.landing import PARTITIONS
+from arborload.sources.scratch import CODEC
 from arborload.tree import ROOT_KEY, Tree, id_column, link_column
 
 RUN_ID = "run-1"
@@ -446,7 +447,7 @@ def land(frame: DataFrame, at: Column | datetime, path: str, spread_by: Sequence
     if isinstance(at, datetime):
         hour, minute = at.hour // 3 * 3 + 2, at.minute // 20 * 20
         folder = f"year={at.year}/month={at.month:02}/day={at.day:02}/hour={hour:02}/minute={minute:02}"
-        frame.write.mode("append").parquet(f"{path}/{folder}")
+        frame.write.mode("append").parquet(f"{path}/{folder}", compression=CODEC)
         return
     values = [
         F.year(at),
@@ -460,4 +461,4 @@ def land(frame: DataFrame, at: Column | datetime, path: str, spread_by: Sequence
     rows = frame.select("*", *stamps)
     if spread_by:
         rows = rows.repartitionByRange(*PARTITIONS, *spread_by)
-    rows.write.mode("append").partitionBy(*PARTITIONS).parquet(path)
+    rows.write.mode("append").partitionBy(*PARTITIONS).parquet(path, compression=CODEC)

@@ -593,3 +593,30 @@ def test_documents_that_json_takes_for_copies_all_stay(spark, tables, scratch):
     spark.createDataFrame(docs, schema).write.parquet(where)
     go(spark, tables, f"{scratch}/1", "bulk", scratch, schema=schema, tree=Tree.from_schema("person", data.KEY, schema))
     assert tables.read("s_f_person").count() == 2
+
+
+def test_rows_of_leaf_tables_are_shuffled_in_their_parents_row(spark, tables, scratch, monkeypatch):
+    """A bulk load shuffles a row per parent, not one per child, and its files are small."""
+    docs = data.documents(["a", "b", "c"], 1, SCHEMA)
+    clustered, gathered = [], []
+    cluster, gather = Tables._clustered, Tables.gather
+    monkeypatch.setattr(Tables, "_clustered", lambda self, rows, table: clustered.append(table) or cluster(self, rows, table))
+    monkeypatch.setattr(Tables, "gather", lambda self, rows, table: gathered.append((table, rows)) or gather(self, rows, table))
+    go(spark, tables, land(spark, f"{scratch}/1", docs), Mode.BULK, scratch)
+    assert content(tables) == wanted(docs)
+    leaves = {f"s_f_{t}" for t in TREE.tables if not TREE.children(t)}
+    assert {t for t, _ in gathered} == leaves and not leaves & set(clustered)
+    for table, rows in gathered:
+        parents = tables.read(table).select(f"{TREE.parent(table.removeprefix('s_f_'))}_id").distinct().count()
+        assert rows.count() == parents < tables.read(table).count()
+    assert all(".zstd." in f for t in TREE.tables for f in tables.read(f"s_f_{t}").inputFiles())
+
+
+def test_a_run_removes_its_shuffle_files(spark, tables, scratch, monkeypatch):
+    """Within a run writes clean up after themselves; the session's own setting comes back."""
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    seen, before = [], spark.conf.get(name)
+    append = Tables.append
+    monkeypatch.setattr(Tables, "append", lambda self, *a, **k: seen.append(spark.conf.get(name)) or append(self, *a, **k))
+    go(spark, tables, land(spark, f"{scratch}/1", data.documents(["a"], 1, SCHEMA)), Mode.BULK, scratch)
+    assert set(seen) == {"true"} and spark.conf.get(name) == before
