@@ -89,7 +89,7 @@ def run(
     slice or an area that does not exist has no rows and gives two metrics.  ``between``
     is a range of landing times to load in place of a slice.
     """
-    with tidy(spark):
+    with tidy(spark, tables.ordered(_names(feed))):
         return _run(spark, feed, Mode(mode), tables, run_id, Granularity(granularity), as_of, reports_to, state, between)
 
 
@@ -117,6 +117,11 @@ def _run(spark, feed: Feed, mode: Mode, tables: Tables, run_id: str, granularity
     return outcome
 
 
+def _names(feed: Feed) -> list[str]:
+    """The feed's tables, the root's last."""
+    return [feed.entity] if feed.tree is None else [feed.table(t) for t in feed.tree.leaf_first()]
+
+
 def _scope(feed: Feed) -> str:
     """Name of the feed's changes: its root table, or its only one."""
     return feed.entity if feed.tree is None else feed.table(feed.tree.root.table)
@@ -155,8 +160,7 @@ def _run_new(spark, feed: Feed, mode: Mode, tables: Tables, outcome: Outcome, as
 
 def _purge(feed: Feed, tables: Tables, tag: str) -> None:
     """Remove what a broken-off batch has appended."""
-    names = [feed.entity] if feed.tree is None else [feed.table(t) for t in feed.tree.leaf_first()]
-    tables.purge(_scope(feed), [n for n in names if tables.exists(n)], f"{BATCH_ID} = {K.quoted(tag)}")
+    tables.purge(_scope(feed), [n for n in _names(feed) if tables.exists(n)], f"{BATCH_ID} = {K.quoted(tag)}")
 
 
 def _run_batch(

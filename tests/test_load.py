@@ -612,11 +612,15 @@ def test_rows_of_leaf_tables_are_shuffled_in_their_parents_row(spark, tables, sc
     assert all(".zstd." in f for t in TREE.tables for f in tables.read(f"s_f_{t}").inputFiles())
 
 
-def test_a_run_removes_its_shuffle_files(spark, tables, scratch, monkeypatch):
-    """Within a run writes clean up after themselves; the session's own setting comes back."""
-    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
-    seen, before = [], spark.conf.get(name)
-    append = Tables.append
-    monkeypatch.setattr(Tables, "append", lambda self, *a, **k: seen.append(spark.conf.get(name)) or append(self, *a, **k))
-    go(spark, tables, land(spark, f"{scratch}/1", data.documents(["a"], 1, SCHEMA)), Mode.BULK, scratch)
-    assert set(seen) == {"true"} and spark.conf.get(name) == before
+@pytest.mark.parametrize("indexed", [False, True])
+def test_settings_of_a_run(spark, scratch, monkeypatch, indexed):
+    """Within a run writes remove their shuffle files and don't sort by bucket; the session's own settings come back."""
+    names = ["spark.sql.classic.shuffleDependency.fileCleanup.enabled", "spark.sql.maxConcurrentOutputFileWriters"]
+    seen, before = [], [spark.conf.get(n) for n in names]
+    append, batch = Tables.append, land(spark, f"{scratch}/1", data.documents(["a"], 1, SCHEMA))
+    monkeypatch.setattr(Tables, "append", lambda self, *a, **k: seen.append(tuple(map(spark.conf.get, names))) or append(self, *a, **k))
+    target = Tables(spark, f"l_{uuid.uuid4().hex[:8]}", f"{scratch}/tables", buckets=3, indexed=indexed)
+    go(spark, target, batch, Mode.BULK, scratch)
+    assert set(seen) == {("true", before[1] if indexed else "4")} and [spark.conf.get(n) for n in names] == before
+    again = Tables(spark, target.database, target.location)
+    assert again.ordered(["s_f_person"]) == indexed
