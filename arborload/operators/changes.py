@@ -5,12 +5,17 @@ from __future__ import annotations
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from arborload.operators import links as L
 from arborload.operators.columns import align
 from arborload.operators.quality import distinct_rows
 from arborload.tree import ROOT_KEY, Tree
 
+#: 4 million key hashes fill an eighth of so many words of 64 bits.
+FILTER_WORDS = 1 << 19
+_WORD, _BIT, _BITS = "__word", "__bit", "__bits"
+
 
 def delete_by_key(target: DataFrame, keys: DataFrame, key: str) -> DataFrame:
     """Target rows whose key is not in the key set.
@@ -21,6 +26,22 @@ def delete_by_key(target: DataFrame, keys: DataFrame, key: str) -> DataFrame:
     return target.join(L.distinct_keys(keys, key), key, "left_anti").select(*target.columns)
 
 
+def delete_by_many_keys(target: DataFrame, keys: DataFrame, key: str) -> DataFrame:
+    """The rows of :func:`delete_by_key`, with only those rows shuffled whose key may be in the key set.
+
+    The key set leaves a bit per hash of a key in a table of at most ``FILTER_WORDS`` words of 64
+    bits, which is broadcast at any size.  A row whose bit is not set stays without an exchange;
+    the others are joined.  A key set that fills the table costs the exchange of all rows, as before.
+    """
+    gone = L.distinct_keys(keys, key)
+    at = [f"pmod(xxhash64(`{key}`), {FILTER_WORDS * 64}L) div 64 AS {_WORD}", f"CAST(pmod(xxhash64(`{key}`), 64L) AS INT) AS {_BIT}"]
+    words = gone.selectExpr(*at).groupBy(_WORD).agg(F.expr(f"bit_or(shiftleft(1L, {_BIT}))").alias(_BITS))
+    tagged = target.selectExpr("*", *at).join(F.broadcast(words), _WORD, "left")
+    maybe = f"`{key}` IS NOT NULL AND coalesce(getbit({_BITS}, {_BIT}) = 1, false)"
+    sure = tagged.where(f"NOT ({maybe})").select(*target.columns)
+    return sure.unionByName(tagged.where(maybe).select(*target.columns).join(gone, key, "left_anti").select(*target.columns))
+
+
 def upsert_by_key(target: DataFrame, stage: DataFrame, keys: DataFrame, key: str) -> DataFrame:
     """Delete the rows in the key set, then add the distinct rows of the stage."""
     fresh = distinct_rows(align(stage, target.schema))
@@ -52,7 +73,7 @@ def delete_tree(
     if by == "root_key":
         gone = L.root_keys(keys, tree)
         for table in tree.tables:
-            out[table] = delete_by_key(targets[table], gone, ROOT_KEY)
+            out[table] = delete_by_many_keys(targets[table], gone, ROOT_KEY)
         return out
     if by != "links":
         raise ValueError(f"by must be root_key or links, not {by}")

@@ -178,3 +178,27 @@ def test_the_second_branch_of_the_nominal_tree_takes_part(spark):
     rest = brute.flatten([d for d in docs if d["body"]["PNCID"] != "b"], tree)
     for table in ("oiconditions", "releasedetails", "mokeywordvictim", "occupation", "nominal"):
         assert brute.rows(left[table]) == brute.canon(rest[table]), table
+
+
+def test_rows_whose_key_is_surely_kept_are_not_exchanged(spark, scratch, monkeypatch):
+    """Of a large target only rows whose key may be in a key set, that is too large to broadcast, are shuffled."""
+    keyed = "CASE WHEN id % 50 = 0 THEN NULL ELSE concat('k', id % 4000) END AS root_key"
+    spark.range(40_000).selectExpr("id", keyed).write.parquet(f"{scratch}/rows")
+    target = spark.read.parquet(f"{scratch}/rows")
+    keys = spark.range(0, 8000, 4).selectExpr("concat('k', id) AS root_key").unionByName(spark.sql("SELECT NULL AS root_key"))
+    settings = ["spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold"]
+    before = [spark.conf.get(s, None) for s in settings]
+    for s in settings:
+        spark.conf.set(s, "-1")
+    try:
+        left = changes.delete_by_many_keys(target, keys.unionByName(keys), "root_key")
+        found = sorted(r["id"] for r in left.collect())
+        assert found == [i for i in range(40_000) if i % 50 == 0 or i % 4]
+        final = left._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+        sure, checked = final.split("SortMergeJoin")
+        assert "BroadcastHashJoin" in sure and "Exchange hashpartitioning(root_key" in checked
+    finally:
+        for s, value in zip(settings, before):
+            spark.conf.unset(s) if value is None else spark.conf.set(s, value)
+    monkeypatch.setattr(changes, "FILTER_WORDS", 1)
+    assert sorted(r["id"] for r in changes.delete_by_many_keys(target, keys, "root_key").collect()) == found, "a full table"
