@@ -18,10 +18,11 @@ from arborload.plans import load as load_plan
 from arborload.plans import nominal
 from arborload.plans.config import Feed, Mode
 from arborload.plans.load import _documents, load_csv, run
+from arborload.queries import fixtures, loading
 from arborload.sinks.ledger import Ledger
 from arborload.sinks.tables import BUCKET, Tables
 from arborload.sources.landing import scan
-from arborload.sources.scratch import directories
+from arborload.sources.scratch import directories, exists
 from arborload.tree import Tree
 
 SCHEMA = data.small_schema()
@@ -624,3 +625,94 @@ def test_settings_of_a_run(spark, scratch, monkeypatch, indexed):
     assert set(seen) == {("true", before[1] if indexed else "4")} and [spark.conf.get(n) for n in names] == before
     again = Tables(spark, target.database, target.location)
     assert again.ordered(["s_f_person"]) == indexed
+
+
+def test_digest_first_compares_every_document_once(spark, tables, scratch, monkeypatch):
+    """Copies go as documents, so rows of a document that landed three times are digested once and counted thrice."""
+    docs = data.documents(["a", "b", "c"], 1, SCHEMA)
+    seen, before = [], load_plan.quality.dedupe_by_digest
+
+    def dedupe(frame, *args, **settings):
+        seen.append((frame.count(), settings["copies"]))
+        return before(frame, *args, **settings)
+
+    monkeypatch.setattr(load_plan.quality, "dedupe_by_digest", dedupe)
+    done = go(spark, tables, land(spark, f"{scratch}/1", docs * 3), "bulk", scratch, digest_first=True)
+    expected = wanted(docs)
+    assert content(tables) == expected
+    assert sorted(n for n, _ in seen) == sorted(map(len, expected.values())) and all(c for _, c in seen)
+    assert ("repeated_rows", "disposal", len(expected["disposal"])) in metrics(done)
+
+
+@pytest.mark.parametrize("value", [None, b"same"])
+def test_copies_of_versions_without_a_hash_are_removed_as_documents(spark, tables, scratch, monkeypatch, value):
+    docs = data.documents(["a", "a", "b"], 6, SCHEMA)
+    for doc, plea in zip(docs, "pqr"):
+        doc["header"]["recordHash"] = value
+        doc["body"]["Offence"] = [{"Plea": plea, "Disposal": None}]
+    seen = compared(monkeypatch)
+    done = go(spark, tables, land(spark, f"{scratch}/1", docs + docs[1:]), "bulk", scratch)
+    assert len(seen) == 1, "only the root's rows"
+    assert sorted(r["Plea"] for r in tables.read("s_f_offence").collect()) == ["p", "q", "r"]
+    assert ("read_count", "offence", 3) in metrics(done) and ("repeated_rows", "offence", 2) in metrics(done)
+    assert [d for d in directories(spark, tables.work) if "changes" not in d] == []
+
+
+def test_older_versions_and_copies_are_marked_not_written_again(spark, tables, scratch):
+    docs = data.documents([f"k{i % 30}" for i in range(90)] + [None], 3, SCHEMA)
+    for number, doc in enumerate(docs):
+        doc["header"]["ingestDateTime"] = f"2024-01-01T00:00:{number:02}"
+    landing = land(spark, land(spark, f"{scratch}/1", docs), docs[:45])
+
+    def read(narrow, file):
+        return scan(spark, landing, narrow, source_file=file)
+
+    for mode, count in (("latest", 31), ("keep_all", 91)):
+        documents = _documents(feed(landing, on_duplicate_root=mode), TREE, tables, read)
+        left = documents.read(SCHEMA, False)
+        assert left.count() == count and [pathlib.Path(p).name.split("-")[0] for p in documents.written] == ["marks"]
+        assert mode == "keep_all" or {r[0] for r in left.select("header.ingestDateTime").collect()} >= {docs[89]["header"]["ingestDateTime"]}
+    assert left.agg(F.sum(documents.copies)).first()[0] == 136, "documents without a key are not compared"
+
+
+def test_few_buckets_are_written_without_a_shuffle(spark, scratch, monkeypatch):
+    """Also by changes; tables of many buckets are shuffled by them."""
+    docs = data.documents(["a", "b", "c", "d"], 1, SCHEMA)
+    seen, before = [], Tables._by_bucket
+
+    def by_bucket(self, rows, table, *args):
+        done = before(self, rows, table, *args)
+        seen.append("rebalance" in done._jdf.queryExecution().analyzed().toString().lower())
+        return done
+
+    monkeypatch.setattr(Tables, "_by_bucket", by_bucket)
+    batch, gone = land(spark, f"{scratch}/1", docs), land(spark, f"{scratch}/2", docs[:2])
+    for buckets, shuffled in ((8, False), (9, True)):
+        target = Tables(spark, f"l_{uuid.uuid4().hex[:8]}", f"{scratch}/t{buckets}", buckets=buckets)
+        for mode in ("bulk", "upsert"):
+            go(spark, target, batch, mode, scratch)
+            assert content(target) == wanted(docs)
+        go(spark, target, gone, "delete", scratch)
+        assert content(target) == wanted(docs[2:])
+        assert seen and set(seen) == {shuffled}
+        seen.clear()
+
+
+def test_landing_areas_of_queries_go_and_are_zstd(spark, scratch, monkeypatch):
+    rows = [(1, "a b\nc, d", "en", "web", 8), (2, "e", "fr", "web", 1)]
+    docs = fixtures.documents_of(spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long"))
+    landed, before = [], loading.run
+
+    def spy(spark, feed, *args):
+        landed.append((feed.landing, scan(spark, feed.landing, feed.schema).count()))
+        return before(spark, feed, *args)
+
+    monkeypatch.setattr(loading, "run", spy)
+    target = Tables(spark, f"l_{uuid.uuid4().hex[:8]}", f"{scratch}/tables", buckets=3)
+    loading._run(spark, docs, Mode.BULK, target)
+    assert [n for _, n in landed] == [2] and not exists(spark, landed[0][0])
+    assert target.read("text_feed_words").count() == 5
+
+    monkeypatch.setattr(fixtures, "nominal_documents", lambda spark, sf: docs)
+    path = fixtures.landed_nominal(spark, scratch)
+    assert all(".zstd." in f for f in spark.read.parquet(path).inputFiles())
